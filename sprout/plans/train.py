@@ -9,6 +9,8 @@ epochs, or right after the first step whose L1 size is below ``delta``.
 
 from __future__ import annotations
 
+import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,13 +18,19 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lookup import weight_array
+from ..session import scoped_conf
 from ..operators.features import featurize
-from ..operators.gradient import gradient
+from ..operators.gradient import gradient_from_view
 from ..operators.scoring import Model
 from ..operators.vocab import Vocabulary
 
 
+# Cached training rows per task (a row is one sentence's id list).
+ROWS_PER_TASK = 500_000
+# Gradient rows (at most m per task) per reducer.
+GRADIENT_ROWS_PER_REDUCER = 200_000
+
+
 @dataclass
 class TrainResult:
     weights: np.ndarray
@@ -32,24 +40,39 @@ class TrainResult:
 
 def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta: float,
                   label: str = "label", persist: bool = True) -> TrainResult:
-    """Train on ``feats`` (label, fids); labels 0 are ignored."""
+    """Train on ``feats`` (label, fids); labels 0 are ignored.
+
+    The rows are cached once and sized by count (about ROWS_PER_TASK per
+    task); every epoch then reads the cache. The per-epoch aggregate returns
+    at most ``size`` rows, so adaptive re-planning is switched off for the
+    loop and the reducer count follows ``size``.
+    """
     data = feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids")
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     weights = np.zeros(size)
     result = TrainResult(weights)
     try:
-        for _ in range(int(n_iter)):
-            rows = gradient(data, weight_array(weights), alpha).collect()
-            step = np.zeros(size)
-            for fid, value in rows:
-                step[fid] = value
-            weights = weights + step
-            l1 = float(sum(abs(value) for _, value in rows))
-            result.epochs += 1
-            result.l1.append(l1)
-            if l1 < delta:
-                break
+        rows = data.count()
+        tasks = max(1, min(data.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
+        # One task: the aggregate needs no exchange. More: partial sums shuffle.
+        view = "sprout_epoch_" + uuid.uuid4().hex
+        data.coalesce(tasks).createOrReplaceTempView(view)
+        reducers = max(1, math.ceil(size / GRADIENT_ROWS_PER_REDUCER))
+        with scoped_conf(data.sparkSession, {"spark.sql.adaptive.enabled": "false",
+                                             "spark.sql.shuffle.partitions": reducers}):
+            for _ in range(int(n_iter)):
+                got = gradient_from_view(data.sparkSession, view, weights, alpha).collect()
+                step = np.zeros(size)
+                for fid, value in got:
+                    step[fid] = value
+                weights = weights + step
+                l1 = float(sum(abs(value) for _, value in got))
+                result.epochs += 1
+                result.l1.append(l1)
+                if l1 < delta:
+                    break
+        data.sparkSession.catalog.dropTempView(view)
     finally:
         if persist:
             data.unpersist()

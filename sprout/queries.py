@@ -18,7 +18,6 @@ from .operators.gradient import gradient, gradient_norm
 from .operators.scoring import Model, accuracy
 from .operators.vocab import (Vocabulary, label_totals, ngram_class_counts, ngram_doc_freq,
                               rank_vocab, select_vocab, tokenized)
-from .functions.lookup import weight_array
 from .functions.stats import information_gain
 from .plans.batch import score_batch
 from .plans.search import best_config, search
@@ -172,7 +171,7 @@ def q_gradient_step(spark, sf):
     train, _ = _split(spark, sf)
     vocab = _vocab(spark, sf)
     feats = featurize(train.where(F.col("label") != 0), vocab)
-    delta = gradient(feats, weight_array([0.0] * vocab.size), CHECK["alpha"])
+    delta = gradient(feats, [0.0] * vocab.size, CHECK["alpha"])
     return delta.select("fid", r6(F.col("delta")).alias("delta"))
 
 
@@ -180,7 +179,7 @@ def q_gradient_norm(spark, sf):
     train, _ = _split(spark, sf)
     vocab = _vocab(spark, sf)
     feats = featurize(train.where(F.col("label") != 0), vocab)
-    delta = gradient(feats, weight_array([0.0] * vocab.size), CHECK["alpha"])
+    delta = gradient(feats, [0.0] * vocab.size, CHECK["alpha"])
     return gradient_norm(delta).select(r6(F.col("l1")).alias("l1"))
 
 

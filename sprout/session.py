@@ -11,6 +11,7 @@ and no directory is configured (tests, benches).
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,3 +68,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, settings: dict):
+    """Apply SQL settings for the duration of a block, then restore them."""
+    old = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
