@@ -1,0 +1,37 @@
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_MID
+
+TABLES = ["documents", "labels", "conversations", "benchmark"]
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert df.columns == ["ngram", "fid", "ig", "pos", "neg"] and len(rows) > 0
+
+
+def test_oracles_cover_queries():
+    q, o = E.queries(), E.oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == {"self_train", "search_grid", "best_config"}
+
+
+@pytest.mark.parametrize("name", ["select_vocab", "featurize", "train_weights_3ep", "self_train_round1",
+                                  "score_batch", "build_corpus"])
+def test_oracle_agreement(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_MID}/{t}.parquet')")
+    df = E.queries()[name](spark, SF_MID)
+    res = con.sql(E.oracle_sql()[name])
+    assert sorted(df.columns) == sorted(res.columns)
+    order = sorted(df.columns)
+
+    def norm(rows, cols):
+        idx = [cols.index(c) for c in order]
+        return sorted(tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in idx) for r in rows)
+
+    assert norm([tuple(r) for r in df.collect()], df.columns) == norm(res.fetchall(), res.columns)
