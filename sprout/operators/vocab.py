@@ -19,6 +19,8 @@ from ..functions.stats import information_gain
 from ..functions.text import ngrams, tokenize
 
 IG_DIGITS = 9  # ranking key precision: ties beyond it are broken by the N-gram
+# Largest vocabulary a model may hold (one driver-side weight per feature).
+MAX_DRIVER_FEATURES = 20_000_000
 
 
 def tokenized(sents: DataFrame, n: int, text: str = "text", keep=("sent_id", "label")) -> DataFrame:
@@ -105,8 +107,16 @@ class Vocabulary:
 
     @classmethod
     def from_frame(cls, vocab: DataFrame, n: int) -> "Vocabulary":
-        """Collect a ranked vocabulary (ngram, fid) — bounded by ``m``."""
-        rows = vocab.select("ngram", "fid", F.xxhash64("ngram").alias("_h")).collect()
+        """Collect a ranked vocabulary (ngram, fid) — bounded by ``m``.
+
+        The model keeps one weight per feature on the driver, so ``m`` is
+        capped at ``MAX_DRIVER_FEATURES``; the bound is checked before
+        more than that is collected.
+        """
+        rows = (vocab.select("ngram", "fid", F.xxhash64("ngram").alias("_h"))
+                .limit(MAX_DRIVER_FEATURES + 1).collect())
+        if len(rows) > MAX_DRIVER_FEATURES:
+            raise ValueError(f"vocabulary exceeds {MAX_DRIVER_FEATURES} rows; use a smaller m")
         ordered = sorted(rows, key=lambda r: r["fid"])
         if [r["fid"] for r in ordered] != list(range(len(ordered))):
             raise ValueError("feature ids must be 0..m-1")

@@ -1,0 +1,5 @@
+"""Structured Streaming entry points."""
+
+from .scoring import score_stream, start_scoring
+
+__all__ = ["score_stream", "start_scoring"]
