@@ -100,8 +100,12 @@ def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
 
 def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
            num_iter=(100, 100, 100), threshold=(0.5, 0.5, 0.1), alpha=(0.002, 0.002, 0.002),
-           delta=(0.05, 0.05, 0.05)) -> DataFrame:
-    """(config_id, n, m, num_iter, threshold, alpha, delta, accuracy, rounds)."""
+           delta=(0.05, 0.05, 0.05), max_rounds: int | None = None) -> DataFrame:
+    """(config_id, n, m, num_iter, threshold, alpha, delta, accuracy, rounds).
+
+    ``max_rounds`` is an optional safety limit per configuration (off by
+    default: every configuration runs to convergence).
+    """
     spark = train.sparkSession
     configs = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
     train = prepare_input(train)
@@ -110,7 +114,8 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
     for c in configs:
         first = firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)]
         result = self_train(train, test, n=c.n, m=c.m, n_iter=c.num_iter, threshold=c.threshold,
-                            alpha=c.alpha, delta=c.delta, first=first, prepared=True)
+                            alpha=c.alpha, delta=c.delta, first=first, prepared=True,
+                            max_rounds=max_rounds)
         acc = result.test_accuracy
         rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
                      None if acc is None else round(float(acc), 9), len(result.models)))

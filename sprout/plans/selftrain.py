@@ -1,17 +1,17 @@
 """Self-training: grow labels from seeds, one model per round.
 
 Round k ranks N-grams over the rows labelled so far, trains a model on them,
-and labels each still-unknown row whose score clears the threshold. Labels
-stick once set, so a row's label after round k is the first non-zero of
-(seed, cut_1, ..., cut_k), where cut_j is the threshold rule under model j.
-That chain is a ``coalesce`` over in-row scores: the per-round label state
-needs no table, no join back to the text and no growing lineage; only the
-models (m ids and weights each) live on the driver.
-
-The loop stops when no row is unknown or a round labels nothing new (or at
-``max_rounds``). Each round costs two scans of the input: one aggregation
-for class counts (which also yields the class totals and the unknown count)
-and one cached featurized copy of the labelled rows for training.
+and labels each still-unknown row whose score clears the threshold; labels
+stick once set. The loop stops when no row is unknown or a round labels
+nothing new (or at ``max_rounds``, a safety limit that is off by default).
+
+The working state is (sent_id, label, ng): tokenized once, cached, and
+replaced each round by a narrow relabel projection (the usual cache-per-
+iteration pattern). Every ``checkpoint_every`` rounds the state is written as
+Parquet under ``spark.checkpoint.dir`` and read back, which bounds the
+lineage a lost executor has to replay. Each round runs one aggregation (class
+counts, class totals and the unknown count together), one cached featurized
+copy of the labelled rows, and the training epochs.
 """
 
 from __future__ import annotations
@@ -31,6 +31,9 @@ from ..sources.fixtures import materialize, split_train_test
 from .train import train_weights
 
 
+CHECKPOINT_EVERY = 10  # rounds between reliable state checkpoints
+
+
 def label_chain(seed: Column, ng: Column, models: list, threshold: float) -> Column:
     """First non-zero of the seed label and each round's threshold cut."""
     if not models:
@@ -54,16 +57,25 @@ class RoundInfo:
 
 @dataclass
 class SelfTrainResult:
-    labels: DataFrame  # (sent_id, text, label) for the training rows
+    labels: DataFrame  # (sent_id, label) for the training rows, cached
     model: Model
     models: list
     threshold: float
     history: list = field(default_factory=list)
     unlabelled_after: int = 0
     test_accuracy: float | None = None
+    source: DataFrame | None = None
 
-    def labelled_rows(self) -> DataFrame:
-        return self.labels
+    def labelled_text(self) -> DataFrame:
+        """(sent_id, text, label) recomputed from the input in one narrow pass.
+
+        The label is the first non-zero of the seed and each round's cut, so
+        the text never has to be joined with the label table.
+        """
+        n = self.model.n
+        chain = label_chain(F.col("label"), F.col("_ng"), self.models, self.threshold)
+        return (tokenized(self.source, n, keep=("sent_id", "text", "label"))
+                .withColumnRenamed("ng", "_ng").select("sent_id", "text", chain.alias("label")))
 
 
 def _totals(counts: DataFrame) -> tuple[int, int, int]:
@@ -98,12 +110,20 @@ def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFram
     return train
 
 
+def relabel(state: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """Label unknown rows of (sent_id, label, ng) whose score clears the threshold."""
+    cut = threshold_cut(model_score(F.col("ng"), model), threshold)
+    return state.select("sent_id", F.when(F.col("label") != 0, F.col("label")).otherwise(cut).alias("label"),
+                        "ng")
+
+
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
                m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
                delta: float = defaults.DELTA, max_rounds: int | None = None,
                refresh_vocab: bool = True, materialize_input: bool = False,
-               first: FirstRound | None = None, prepared: bool = False) -> SelfTrainResult:
+               first: FirstRound | None = None, prepared: bool = False,
+               checkpoint_every: int = CHECKPOINT_EVERY) -> SelfTrainResult:
     """Run self-training on ``train`` (sent_id, text, label in {1,-1,0}).
 
     ``n_iter`` is the exact number of epochs per training (pass n_iter + 1
@@ -112,7 +132,8 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     """
     if not prepared:
         train = prepare_input(train, materialize_input)
-    rows = tokenized(train, n, keep=("sent_id", "label"))
+    state = tokenized(train, n, keep=("sent_id", "label")).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [state]
     models: list[Model] = []
     history: list[RoundInfo] = []
     vocab: Vocabulary | None = None
@@ -123,32 +144,42 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         history.append(first.info)
         vocab = first.model.vocab
         unlabelled_prev = first.unlabelled
-    while True:
-        staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), models, threshold))
-        counts = class_counts_with_totals(staged, F.col("_lab")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            positives, negatives, unlabelled = _totals(counts)
-            if models:
-                if unlabelled == 0 or unlabelled == unlabelled_prev:
-                    break
-                if max_rounds is not None and len(models) >= max_rounds:
-                    break
-            if vocab is None or refresh_vocab:
-                vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
-        finally:
-            counts.unpersist()
-        unlabelled_prev = unlabelled
-        labelled = staged.where(F.col("_lab") != 0).select(F.col("_lab").alias("label"), "ng")
-        model, info = train_round(labelled, vocab, n_iter, alpha, delta)
-        info.round, info.positives, info.negatives, info.unlabelled_before = \
-            len(models) + 1, positives, negatives, unlabelled
-        models.append(model)
-        history.append(info)
-    final = label_chain(F.col("label"), F.col("_ng"), models, threshold)
-    labels = (tokenized(train, n, keep=("sent_id", "text", "label"))
-              .withColumnRenamed("ng", "_ng")
-              .select("sent_id", "text", final.alias("label")))
-    result = SelfTrainResult(labels, models[-1], models, threshold, history, unlabelled)
+        state = relabel(state, first.model, threshold).persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(state)
+    try:
+        while True:
+            counts = class_counts_with_totals(state, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                positives, negatives, unlabelled = _totals(counts)  # also caches ``state``
+                while len(cached) > 1:  # older states are no longer read
+                    cached.pop(0).unpersist()
+                if models:
+                    if unlabelled == 0 or unlabelled == unlabelled_prev:
+                        break
+                    if max_rounds is not None and len(models) >= max_rounds:
+                        break
+                if vocab is None or refresh_vocab:
+                    vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
+            finally:
+                counts.unpersist()
+            unlabelled_prev = unlabelled
+            labelled = state.where(F.col("label") != 0).select("label", "ng")
+            model, info = train_round(labelled, vocab, n_iter, alpha, delta)
+            info.round, info.positives, info.negatives, info.unlabelled_before = \
+                len(models) + 1, positives, negatives, unlabelled
+            models.append(model)
+            history.append(info)
+            state = relabel(state, model, threshold)
+            if checkpoint_every and len(models) % checkpoint_every == 0:
+                state = materialize(state, "selftrain-state")
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(state)
+        labels = state.select("sent_id", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        labels.count()
+    finally:
+        for df in cached:
+            df.unpersist()
+    result = SelfTrainResult(labels, models[-1], models, threshold, history, unlabelled, source=train)
     if test is not None:
         result.test_accuracy = evaluate(test, result.model)
     return result

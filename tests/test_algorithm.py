@@ -126,3 +126,13 @@ def test_scores_invariant_to_partitioning(spark, split):
     a = {r.sent_id: r.score for r in score_rows(test, res.model).collect()}
     b = {r.sent_id: r.score for r in score_rows(test.repartition(7), res.model).collect()}
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_labelled_text_matches_state(spark, split):
+    train, _ = split
+    res = self_train(train, None, n=1, m=80, n_iter=8, threshold=0.1, alpha=0.02, delta=0.05,
+                     checkpoint_every=2)
+    state = {r.sent_id: r.label for r in res.labels.collect()}
+    text = {r.sent_id: r.label for r in res.labelled_text().collect()}
+    assert state == text
+    assert len(res.models) >= 2
