@@ -4,8 +4,14 @@ Configurations are numbered in loop order (N outermost, then m, num_iter,
 threshold, alpha, delta innermost), and the best is the first with the
 highest held-out accuracy. Round 1 depends only on the seeds, so it is shared:
 one class-count job and one ranking (with the largest m) per N, and one
-training per distinct (N, m, num_iter, alpha, delta). Later rounds diverge
-with the labels each configuration grows and run per configuration.
+training per distinct (N, m, num_iter, alpha, delta).
+
+Later rounds diverge with the labels each configuration grows, but they still
+run together: the state row (sent_id, ng, labs) carries one label per
+configuration, the class counts of all configurations come from one
+``groupBy(slot, ngram)``, and every training epoch is one job keyed by
+(slot, fid) for all configurations still training. A configuration that stops
+drops out of the queries; the grid size is a user bound.
 
 Grid values are exact decimals (0.5 + 3 x 0.1 is 0.8, not 0.7999...).
 """
@@ -19,9 +25,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..functions.lookup import build_lookup
-from .selftrain import FirstRound, _totals, prepare_input, self_train, train_round
+from ..functions.stats import threshold_cut
+from ..operators.features import feature_ids
+from ..operators.scoring import Model, model_score
+from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
+from ..sources.fixtures import materialize
+from .selftrain import CHECKPOINT_EVERY, FirstRound, _totals, prepare_input, train_round
+from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
 INT_PARAMS = ("n", "m", "num_iter")
@@ -98,27 +109,139 @@ def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
     return out
 
 
+def _labs(slot: int):
+    return F.element_at(F.col("labs"), slot + 1)
+
+
+def _group_counts(state: DataFrame, slots: list) -> DataFrame:
+    """Class counts per (slot, ngram); totals per slot under the NULL N-gram."""
+    per_row = state.select("labs", F.array_distinct("ng").alias("dng"))
+    pairs = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("lab")) for s in slots])
+    per_slot = per_row.select(F.explode(pairs).alias("x"), "dng").select("x.slot", "x.lab", "dng")
+    none = F.array(F.lit(None).cast("string"))
+    keys = F.when(F.col("lab") != 0, F.concat(F.col("dng"), none)).otherwise(none)
+    return (per_slot.select("slot", "lab", F.explode(keys).alias("ngram"))
+            .groupBy("slot", "ngram")
+            .agg(F.count_if(F.col("lab") == 1).alias("pos"),
+                 F.count_if(F.col("lab") == -1).alias("neg"),
+                 F.count_if(F.col("lab") == 0).alias("unlabelled")))
+
+
+def _relabel(state: DataFrame, width: int, models: dict, thresholds: dict) -> DataFrame:
+    """Apply each slot's new model to that slot's unknown rows."""
+    cols = []
+    for s in range(width):
+        if s in models:
+            cut = threshold_cut(model_score(F.col("ng"), models[s]), thresholds[s])
+            cols.append(F.when(_labs(s) != 0, _labs(s)).otherwise(cut))
+        else:
+            cols.append(_labs(s))
+    return state.select("sent_id", "ng", F.array(*cols).alias("labs"))
+
+
+def _test_accuracy(test: DataFrame, n: int, models: dict) -> dict:
+    """Held-out accuracy of every slot's final model, in one job."""
+    slots = sorted(models)
+    rows = tokenized(test, n, keep=("sent_id", "label"))
+    scores = F.array(*[F.struct(F.lit(s).alias("slot"), model_score(F.col("ng"), models[s]).alias("score"))
+                       for s in slots])
+    per_slot = rows.select("label", F.explode(scores).alias("x")).select("label", "x.slot", "x.score")
+    right = F.when(F.col("score") * F.col("label") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    got = {r.slot: r.accuracy for r in per_slot.groupBy("slot").agg(F.avg(right).alias("accuracy")).collect()}
+    return {s: got.get(s) for s in slots}
+
+
+def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: dict,
+               max_rounds: int | None, checkpoint_every: int) -> dict:
+    """Self-train every configuration of one N together; returns slot -> (acc, rounds)."""
+    width = len(group)
+    thresholds = {s: c.threshold for s, c in enumerate(group)}
+    state = (tokenized(train, n, keep=("sent_id", "label"))
+             .select("sent_id", "ng", F.array_repeat(F.col("label"), width).alias("labs"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    cached = [state]
+    models = {s: [firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)].model] for s, c in enumerate(group)}
+    previous = {s: firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)].unlabelled for s, c in enumerate(group)}
+    state = _relabel(state, width, {s: models[s][0] for s in models}, thresholds)
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(state)
+    active = list(range(width))
+    rounds_done = 1
+    try:
+        while active:
+            counts = _group_counts(state, active).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                totals = {r.slot: (int(r.pos), int(r.neg), int(r.unlabelled))
+                          for r in counts.where(F.col("ngram").isNull()).collect()}
+                while len(cached) > 1:
+                    cached.pop(0).unpersist()
+                still = []
+                for s in active:
+                    unlabelled = totals.get(s, (0, 0, 0))[2]
+                    stop = unlabelled == 0 or unlabelled == previous[s]
+                    if max_rounds is not None and len(models[s]) >= max_rounds:
+                        stop = True
+                    if not stop:
+                        still.append(s)
+                        previous[s] = unlabelled
+                active = still
+                if not active:
+                    break
+                vocabs = {}
+                for s in active:
+                    p, q, _ = totals[s]
+                    part = counts.where(F.col("slot") == s).drop("slot")
+                    vocabs[s] = Vocabulary.from_frame(rank_vocab(part, p, q, group[s].m), n)
+            finally:
+                counts.unpersist()
+            parts = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("label"),
+                                       F.when(_labs(s) != 0, feature_ids(F.col("ng"), vocabs[s])).alias("fids"))
+                              for s in active])
+            feats = state.select(F.explode(parts).alias("x")).select("x.*").where(F.col("label") != 0)
+            fits = train_weights_batched(
+                feats, {s: vocabs[s].size for s in active}, {s: group[s].num_iter for s in active},
+                {s: group[s].alpha for s in active}, {s: group[s].delta for s in active})
+            new = {s: Model(vocabs[s], fits[s].weights) for s in active}
+            for s in active:
+                models[s].append(new[s])
+            rounds_done += 1
+            state = _relabel(state, width, new, thresholds)
+            if checkpoint_every and rounds_done % checkpoint_every == 0:
+                state = materialize(state, "search-state")
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(state)
+    finally:
+        for df in cached:
+            df.unpersist()
+    final = {s: models[s][-1] for s in range(width)}
+    accuracy = _test_accuracy(test, n, final) if test is not None else {s: None for s in final}
+    return {s: (accuracy[s], len(models[s])) for s in range(width)}
+
+
 def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
            num_iter=(100, 100, 100), threshold=(0.5, 0.5, 0.1), alpha=(0.002, 0.002, 0.002),
-           delta=(0.05, 0.05, 0.05), max_rounds: int | None = None) -> DataFrame:
+           delta=(0.05, 0.05, 0.05), max_rounds: int | None = None,
+           checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
     """(config_id, n, m, num_iter, threshold, alpha, delta, accuracy, rounds).
 
-    ``max_rounds`` is an optional safety limit per configuration (off by
-    default: every configuration runs to convergence).
+    All configurations with the same N advance together: one class-count
+    aggregation and one job per training epoch serve every configuration
+    still running. ``max_rounds`` is an optional safety limit per
+    configuration (off by default: every configuration runs to convergence).
     """
     spark = train.sparkSession
     configs = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
     train = prepare_input(train)
     firsts = _shared_first_rounds(train, configs)
     rows = []
-    for c in configs:
-        first = firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)]
-        result = self_train(train, test, n=c.n, m=c.m, n_iter=c.num_iter, threshold=c.threshold,
-                            alpha=c.alpha, delta=c.delta, first=first, prepared=True,
-                            max_rounds=max_rounds)
-        acc = result.test_accuracy
-        rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
-                     None if acc is None else round(float(acc), 9), len(result.models)))
+    for n_value in sorted({c.n for c in configs}):
+        group = [c for c in configs if c.n == n_value]
+        outcome = _run_group(train, test, n_value, group, firsts, max_rounds, checkpoint_every)
+        for s, c in enumerate(group):
+            acc, rounds = outcome[s]
+            rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
+                         None if acc is None else round(float(acc), 9), rounds))
+    rows.sort(key=lambda r: r[0])
     return spark.createDataFrame(rows, "config_id int, n int, m int, num_iter int, threshold double, "
                                        "alpha double, delta double, accuracy double, rounds int")
 

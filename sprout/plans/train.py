@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..session import scoped_conf
 from ..operators.features import featurize
-from ..operators.gradient import gradient_from_view
+from ..operators.gradient import gradient_from_view, weights_sql
 from ..operators.scoring import Model
 from ..operators.vocab import Vocabulary
 
@@ -86,3 +86,63 @@ def train_model(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: floa
     feats = featurize(labelled.where(F.col("label") != 0), vocab)
     result = train_weights(feats, vocab.size, n_iter, alpha, delta)
     return Model(vocab, result.weights), result
+
+
+def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: dict,
+                          delta: dict) -> dict:
+    """Train several independent models in one job per epoch.
+
+    ``feats`` has (slot, label, fids); every dict is keyed by slot (0-based,
+    small: one entry per configuration). Each slot follows exactly the
+    single-model trajectory of :func:`train_weights` and drops out of the
+    epoch query once it stops, so an epoch costs one job for all slots. The
+    shuffle is keyed by (slot, fid): at most sum(m) partial sums per task.
+    """
+    spark = feats.sparkSession
+    slots = sorted(sizes)
+    weights = {s: np.zeros(sizes[s]) for s in slots}
+    results = {s: TrainResult(weights[s]) for s in slots}
+    active = [s for s in slots if n_iter[s] > 0]
+    data = feats.where(F.col("label") != 0).select("slot", "label", "fids").persist(StorageLevel.MEMORY_AND_DISK)
+    view = "sprout_epochs_" + uuid.uuid4().hex
+    try:
+        rows = data.count()
+        tasks = max(1, min(data.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
+        data.coalesce(tasks).createOrReplaceTempView(view)
+        width = max(slots) + 1 if slots else 0
+        alphas = "array(" + ", ".join(f"CAST({float(alpha.get(s, 0.0))!r} AS DOUBLE)" for s in range(width)) + ")"
+        reducers = max(1, math.ceil(sum(sizes.values()) / GRADIENT_ROWS_PER_REDUCER))
+        with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false",
+                                 "spark.sql.shuffle.partitions": reducers}):
+            while active:
+                table = "array(" + ", ".join(
+                    weights_sql(weights[s]) if s in active else "CAST(array() AS ARRAY<DOUBLE>)"
+                    for s in range(width)) + ")"
+                score = (f"aggregate(fids, CAST(0 AS DOUBLE), "
+                         f"(acc, f) -> acc + element_at(element_at({table}, slot + 1), f + 1))")
+                step = (f"((CASE WHEN label > 0 THEN 1.0D ELSE 0.0D END) - 1.0D / (1.0D + exp(-({score})))) "
+                        f"* element_at({alphas}, slot + 1)")
+                got = spark.sql(
+                    f"SELECT slot, fid, sum(_g) AS delta FROM ("
+                    f"SELECT slot, explode(fids) AS fid, _g FROM ("
+                    f"SELECT slot, fids, {step} AS _g FROM {view} "
+                    f"WHERE slot IN ({', '.join(str(s) for s in active)}))) GROUP BY slot, fid").collect()
+                steps = {s: np.zeros(sizes[s]) for s in active}
+                l1 = {s: 0.0 for s in active}
+                for slot, fid, value in got:
+                    steps[slot][fid] = value
+                    l1[slot] += abs(value)
+                still = []
+                for s in active:
+                    weights[s] = weights[s] + steps[s]
+                    results[s].epochs += 1
+                    results[s].l1.append(l1[s])
+                    if l1[s] >= delta[s] and results[s].epochs < n_iter[s]:
+                        still.append(s)
+                active = still
+        spark.catalog.dropTempView(view)
+    finally:
+        data.unpersist()
+    for s in slots:
+        results[s].weights = weights[s]
+    return results

@@ -136,3 +136,21 @@ def test_labelled_text_matches_state(spark, split):
     text = {r.sent_id: r.label for r in res.labelled_text().collect()}
     assert state == text
     assert len(res.models) >= 2
+
+
+def test_batched_training_equals_single(spark, split):
+    from pyspark.sql import functions as F
+    from sprout.plans.train import train_weights_batched
+    train, _ = split
+    v1 = Vocabulary.from_frame(select_vocab(train, 1, 60), 1)
+    v2 = Vocabulary.from_frame(select_vocab(train, 1, 30), 1)
+    f1 = featurize(train.where("label != 0"), v1)
+    f2 = featurize(train.where("label != 0"), v2)
+    both = (f1.select(F.lit(0).alias("slot"), "label", "fids")
+            .unionByName(f2.select(F.lit(1).alias("slot"), "label", "fids")))
+    got = train_weights_batched(both, {0: 60, 1: 30}, {0: 12, 1: 4}, {0: 0.01, 1: 0.05}, {0: 0.05, 1: 1e-9})
+    one = train_weights(f1, 60, 12, 0.01, 0.05)
+    two = train_weights(f2, 30, 4, 0.05, 1e-9)
+    assert got[0].epochs == one.epochs and got[1].epochs == two.epochs == 4
+    assert np.allclose(got[0].weights, one.weights, atol=1e-12)
+    assert np.allclose(got[1].weights, two.weights, atol=1e-12)
