@@ -11,7 +11,9 @@ run together: the state row (sent_id, ng, labs) carries one label per
 configuration, the class counts of all configurations come from one
 ``groupBy(slot, ngram)``, and every training epoch is one job keyed by
 (slot, fid) for all configurations still training. A configuration that stops
-drops out of the queries; the grid size is a user bound.
+drops out of the queries; the grid size is a user bound. Per-configuration
+labels live in one array column, advanced in-row by each configuration's
+models and folded into a Parquet base every ``checkpoint_every`` rounds.
 
 Grid values are exact decimals (0.5 + 3 x 0.1 is 0.8, not 0.7999...).
 """
@@ -26,12 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lookup import build_lookup
-from ..functions.stats import threshold_cut
 from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize
-from .selftrain import CHECKPOINT_EVERY, FirstRound, _totals, prepare_input, train_round
+from .selftrain import CHECKPOINT_EVERY, FirstRound, _totals, label_chain, prepare_input, train_round
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -127,16 +128,10 @@ def _group_counts(state: DataFrame, slots: list) -> DataFrame:
                  F.count_if(F.col("lab") == 0).alias("unlabelled")))
 
 
-def _relabel(state: DataFrame, width: int, models: dict, thresholds: dict) -> DataFrame:
-    """Apply each slot's new model to that slot's unknown rows."""
-    cols = []
-    for s in range(width):
-        if s in models:
-            cut = threshold_cut(model_score(F.col("ng"), models[s]), thresholds[s])
-            cols.append(F.when(_labs(s) != 0, _labs(s)).otherwise(cut))
-        else:
-            cols.append(_labs(s))
-    return state.select("sent_id", "ng", F.array(*cols).alias("labs"))
+def _chained_labs(width: int, segment: dict, thresholds: dict):
+    """Each slot's label after its segment models (first non-zero wins)."""
+    return F.array(*[label_chain(_labs(s), F.col("ng"), segment.get(s, []), thresholds[s])
+                     for s in range(width)])
 
 
 def _test_accuracy(test: DataFrame, n: int, models: dict) -> dict:
@@ -153,66 +148,65 @@ def _test_accuracy(test: DataFrame, n: int, models: dict) -> dict:
 
 def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: dict,
                max_rounds: int | None, checkpoint_every: int) -> dict:
-    """Self-train every configuration of one N together; returns slot -> (acc, rounds)."""
+    """Self-train every configuration of one N together; returns slot -> (acc, rounds).
+
+    The segment base is (sent_id, text, labs) with one label per slot; the
+    models of the current segment are applied in-row as per-slot chains, and
+    folded into a new Parquet base every ``checkpoint_every`` rounds.
+    """
     width = len(group)
     thresholds = {s: c.threshold for s, c in enumerate(group)}
-    state = (tokenized(train, n, keep=("sent_id", "label"))
-             .select("sent_id", "ng", F.array_repeat(F.col("label"), width).alias("labs"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    cached = [state]
-    models = {s: [firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)].model] for s, c in enumerate(group)}
-    previous = {s: firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)].unlabelled for s, c in enumerate(group)}
-    state = _relabel(state, width, {s: models[s][0] for s in models}, thresholds)
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(state)
+    base = train.select("sent_id", "text", F.array_repeat(F.col("label"), width).alias("labs"))
+    firsts_by_slot = {s: firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)] for s, c in enumerate(group)}
+    models = {s: [firsts_by_slot[s].model] for s in range(width)}
+    segment = {s: [firsts_by_slot[s].model] for s in range(width)}
+    previous = {s: firsts_by_slot[s].unlabelled for s in range(width)}
     active = list(range(width))
-    rounds_done = 1
-    try:
-        while active:
-            counts = _group_counts(state, active).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                totals = {r.slot: (int(r.pos), int(r.neg), int(r.unlabelled))
-                          for r in counts.where(F.col("ngram").isNull()).collect()}
-                while len(cached) > 1:
-                    cached.pop(0).unpersist()
-                still = []
-                for s in active:
-                    unlabelled = totals.get(s, (0, 0, 0))[2]
-                    stop = unlabelled == 0 or unlabelled == previous[s]
-                    if max_rounds is not None and len(models[s]) >= max_rounds:
-                        stop = True
-                    if not stop:
-                        still.append(s)
-                        previous[s] = unlabelled
-                active = still
-                if not active:
-                    break
-                vocabs = {}
-                for s in active:
-                    p, q, _ = totals[s]
-                    part = counts.where(F.col("slot") == s).drop("slot")
-                    vocabs[s] = Vocabulary.from_frame(rank_vocab(part, p, q, group[s].m), n)
-            finally:
-                counts.unpersist()
-            parts = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("label"),
-                                       F.when(_labs(s) != 0, feature_ids(F.col("ng"), vocabs[s])).alias("fids"))
-                              for s in active])
-            feats = state.select(F.explode(parts).alias("x")).select("x.*").where(F.col("label") != 0)
-            fits = train_weights_batched(
-                feats, {s: vocabs[s].size for s in active}, {s: group[s].num_iter for s in active},
-                {s: group[s].alpha for s in active}, {s: group[s].delta for s in active})
-            new = {s: Model(vocabs[s], fits[s].weights) for s in active}
+    rounds_in_segment = 1
+    while active:
+        rows = tokenized(base, n, keep=("sent_id", "labs"))
+        staged = rows.withColumn("labs", _chained_labs(width, segment, thresholds))
+        counts = _group_counts(staged, active).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            totals = {r.slot: (int(r.pos), int(r.neg), int(r.unlabelled))
+                      for r in counts.where(F.col("ngram").isNull()).collect()}
+            still = []
             for s in active:
-                models[s].append(new[s])
-            rounds_done += 1
-            state = _relabel(state, width, new, thresholds)
-            if checkpoint_every and rounds_done % checkpoint_every == 0:
-                state = materialize(state, "search-state")
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(state)
-    finally:
-        for df in cached:
-            df.unpersist()
+                unlabelled = totals.get(s, (0, 0, 0))[2]
+                stop = unlabelled == 0 or unlabelled == previous[s]
+                if max_rounds is not None and len(models[s]) >= max_rounds:
+                    stop = True
+                if not stop:
+                    still.append(s)
+                    previous[s] = unlabelled
+            active = still
+            if not active:
+                break
+            vocabs = {}
+            for s in active:
+                p, q, _ = totals[s]
+                part = counts.where(F.col("slot") == s).drop("slot")
+                vocabs[s] = Vocabulary.from_frame(rank_vocab(part, p, q, group[s].m), n)
+        finally:
+            counts.unpersist()
+        parts = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("label"),
+                                   F.when(_labs(s) != 0, feature_ids(F.col("ng"), vocabs[s])).alias("fids"))
+                          for s in active])
+        feats = staged.select(F.explode(parts).alias("x")).select("x.*").where(F.col("label") != 0)
+        fits = train_weights_batched(
+            feats, {s: vocabs[s].size for s in active}, {s: group[s].num_iter for s in active},
+            {s: group[s].alpha for s in active}, {s: group[s].delta for s in active})
+        for s in active:
+            model = Model(vocabs[s], fits[s].weights)
+            models[s].append(model)
+            segment[s].append(model)
+        rounds_in_segment += 1
+        if checkpoint_every and rounds_in_segment >= checkpoint_every:
+            folded = (tokenized(base, n, keep=("sent_id", "text", "labs"))
+                      .select("sent_id", "text", _chained_labs(width, segment, thresholds).alias("labs")))
+            base = materialize(folded, "search-state")
+            segment = {s: [] for s in range(width)}
+            rounds_in_segment = 0
     final = {s: models[s][-1] for s in range(width)}
     accuracy = _test_accuracy(test, n, final) if test is not None else {s: None for s in final}
     return {s: (accuracy[s], len(models[s])) for s in range(width)}

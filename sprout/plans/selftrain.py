@@ -5,13 +5,18 @@ and labels each still-unknown row whose score clears the threshold; labels
 stick once set. The loop stops when no row is unknown or a round labels
 nothing new (or at ``max_rounds``, a safety limit that is off by default).
 
-The working state is (sent_id, label, ng): tokenized once, cached, and
-replaced each round by a narrow relabel projection (the usual cache-per-
-iteration pattern). Every ``checkpoint_every`` rounds the state is written as
-Parquet under ``spark.checkpoint.dir`` and read back, which bounds the
-lineage a lost executor has to replay. Each round runs one aggregation (class
-counts, class totals and the unknown count together), one cached featurized
-copy of the labelled rows, and the training epochs.
+State is kept in segments. A segment base is the input (sent_id, text,
+label) with labels as of the segment start; within a segment, a row's label
+is the first non-zero of (base label, cut_1, ..., cut_j), the threshold
+rules of the segment's models applied in-row. That chain is a ``coalesce``
+over narrow expressions: no label table, no join back to the text, no token
+arrays cached. Every ``checkpoint_every`` rounds the labels are folded into a
+new base written as Parquet under ``spark.checkpoint.dir``, which bounds both
+the chain length and the lineage a lost executor has to replay.
+
+Each round runs one aggregation (class counts, class totals and the unknown
+count together), one cached featurized copy of the labelled rows, and the
+training epochs.
 """
 
 from __future__ import annotations
@@ -57,25 +62,19 @@ class RoundInfo:
 
 @dataclass
 class SelfTrainResult:
-    labels: DataFrame  # (sent_id, label) for the training rows, cached
+    labels: DataFrame | None  # (sent_id, label) for the training rows
     model: Model
     models: list
     threshold: float
     history: list = field(default_factory=list)
     unlabelled_after: int = 0
     test_accuracy: float | None = None
-    source: DataFrame | None = None
+    source: DataFrame | None = None  # last segment base (sent_id, text, label)
+    segment: list = field(default_factory=list)  # models applied on top of it
 
     def labelled_text(self) -> DataFrame:
-        """(sent_id, text, label) recomputed from the input in one narrow pass.
-
-        The label is the first non-zero of the seed and each round's cut, so
-        the text never has to be joined with the label table.
-        """
-        n = self.model.n
-        chain = label_chain(F.col("label"), F.col("_ng"), self.models, self.threshold)
-        return (tokenized(self.source, n, keep=("sent_id", "text", "label"))
-                .withColumnRenamed("ng", "_ng").select("sent_id", "text", chain.alias("label")))
+        """(sent_id, text, label) after the last round, in one narrow pass."""
+        return fold_labels(self.source, self.model.n, self.segment, self.threshold)
 
 
 def _totals(counts: DataFrame) -> tuple[int, int, int]:
@@ -110,13 +109,6 @@ def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFram
     return train
 
 
-def relabel(state: DataFrame, model: Model, threshold: float) -> DataFrame:
-    """Label unknown rows of (sent_id, label, ng) whose score clears the threshold."""
-    cut = threshold_cut(model_score(F.col("ng"), model), threshold)
-    return state.select("sent_id", F.when(F.col("label") != 0, F.col("label")).otherwise(cut).alias("label"),
-                        "ng")
-
-
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
                m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
@@ -132,8 +124,8 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     """
     if not prepared:
         train = prepare_input(train, materialize_input)
-    state = tokenized(train, n, keep=("sent_id", "label")).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [state]
+    base = train.select("sent_id", "text", "label")
+    segment: list[Model] = []  # models applied on top of ``base``
     models: list[Model] = []
     history: list[RoundInfo] = []
     vocab: Vocabulary | None = None
@@ -141,50 +133,51 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     unlabelled = 0
     if first is not None:
         models.append(first.model)
+        segment.append(first.model)
         history.append(first.info)
         vocab = first.model.vocab
         unlabelled_prev = first.unlabelled
-        state = relabel(state, first.model, threshold).persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(state)
-    try:
-        while True:
-            counts = class_counts_with_totals(state, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                positives, negatives, unlabelled = _totals(counts)  # also caches ``state``
-                while len(cached) > 1:  # older states are no longer read
-                    cached.pop(0).unpersist()
-                if models:
-                    if unlabelled == 0 or unlabelled == unlabelled_prev:
-                        break
-                    if max_rounds is not None and len(models) >= max_rounds:
-                        break
-                if vocab is None or refresh_vocab:
-                    vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
-            finally:
-                counts.unpersist()
-            unlabelled_prev = unlabelled
-            labelled = state.where(F.col("label") != 0).select("label", "ng")
-            model, info = train_round(labelled, vocab, n_iter, alpha, delta)
-            info.round, info.positives, info.negatives, info.unlabelled_before = \
-                len(models) + 1, positives, negatives, unlabelled
-            models.append(model)
-            history.append(info)
-            state = relabel(state, model, threshold)
-            if checkpoint_every and len(models) % checkpoint_every == 0:
-                state = materialize(state, "selftrain-state")
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(state)
-        labels = state.select("sent_id", "label").persist(StorageLevel.MEMORY_AND_DISK)
-        labels.count()
-    finally:
-        for df in cached:
-            df.unpersist()
-    result = SelfTrainResult(labels, models[-1], models, threshold, history, unlabelled, source=train)
+    while True:
+        rows = tokenized(base, n, keep=("sent_id", "label"))
+        staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
+        counts = class_counts_with_totals(staged, F.col("_lab")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            positives, negatives, unlabelled = _totals(counts)
+            if models:
+                if unlabelled == 0 or unlabelled == unlabelled_prev:
+                    break
+                if max_rounds is not None and len(models) >= max_rounds:
+                    break
+            if vocab is None or refresh_vocab:
+                vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
+        finally:
+            counts.unpersist()
+        unlabelled_prev = unlabelled
+        labelled = staged.where(F.col("_lab") != 0).select(F.col("_lab").alias("label"), "ng")
+        model, info = train_round(labelled, vocab, n_iter, alpha, delta)
+        info.round, info.positives, info.negatives, info.unlabelled_before = \
+            len(models) + 1, positives, negatives, unlabelled
+        models.append(model)
+        segment.append(model)
+        history.append(info)
+        if checkpoint_every and len(segment) >= checkpoint_every:
+            base = materialize(fold_labels(base, n, segment, threshold), "selftrain-state")
+            segment = []
+    result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
+                             source=base, segment=segment)
+    result.labels = result.labelled_text().select("sent_id", "label")
     if test is not None:
         result.test_accuracy = evaluate(test, result.model)
     return result
 
 
+def fold_labels(base: DataFrame, n: int, segment: list, threshold: float) -> DataFrame:
+    """(sent_id, text, label) with the segment's labels applied (narrow)."""
+    chain = label_chain(F.col("label"), F.col("_ng"), segment, threshold)
+    return (tokenized(base, n, keep=("sent_id", "text", "label")).withColumnRenamed("ng", "_ng")
+            .select("sent_id", "text", chain.alias("label")))
+
+
 def train_round(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: float,
                 delta: float) -> tuple[Model, RoundInfo]:
     """Featurize labelled rows (label, ng), cache them, train, measure."""

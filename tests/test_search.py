@@ -27,7 +27,7 @@ def test_search_matches_bruteforce(spark):
     train, test = split_train_test(sentences(spark, SF_SMALL))
     grid = dict(n=(1, 1, 1), m=(40, 80, 40), num_iter=(8, 8, 1), threshold=(0.1, 0.3, 0.2),
                 alpha=(0.01, 0.01, 0.01), delta=(0.05, 0.05, 0.05))
-    results = search(train, test, **grid).orderBy("config_id").collect()
+    results = search(train, test, checkpoint_every=2, **grid).orderBy("config_id").collect()
     bf_train, bf_test = bf.split(bf.load_sentences(SF_SMALL))
     rows = [(t, l) for _, t, l in bf_test]
     for r in results:
