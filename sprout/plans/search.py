@@ -32,7 +32,7 @@ from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize
-from .selftrain import CHECKPOINT_EVERY, FirstRound, _totals, label_chain, prepare_input, train_round
+from .selftrain import CHECKPOINT_EVERY, FirstRound, _prepare, _totals, label_chain, token_rows, train_round
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -147,7 +147,7 @@ def _test_accuracy(test: DataFrame, n: int, models: dict) -> dict:
 
 
 def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: dict,
-               max_rounds: int | None, checkpoint_every: int) -> dict:
+               max_rounds: int | None, checkpoint_every: int, small: bool) -> dict:
     """Self-train every configuration of one N together; returns slot -> (acc, rounds).
 
     The segment base is (sent_id, text, labs) with one label per slot; the
@@ -163,8 +163,8 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
     previous = {s: firsts_by_slot[s].unlabelled for s in range(width)}
     active = list(range(width))
     rounds_in_segment = 1
+    rows = token_rows(base, n, ("sent_id", "labs"), small)
     while active:
-        rows = tokenized(base, n, keep=("sent_id", "labs"))
         staged = rows.withColumn("labs", _chained_labs(width, segment, thresholds))
         counts = _group_counts(staged, active).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -207,6 +207,9 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
             base = materialize(folded, "search-state")
             segment = {s: [] for s in range(width)}
             rounds_in_segment = 0
+            rows.unpersist()
+            rows = token_rows(base, n, ("sent_id", "labs"), small)
+    rows.unpersist()
     final = {s: models[s][-1] for s in range(width)}
     accuracy = _test_accuracy(test, n, final) if test is not None else {s: None for s in final}
     return {s: (accuracy[s], len(models[s])) for s in range(width)}
@@ -225,12 +228,12 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
     """
     spark = train.sparkSession
     configs = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
-    train = prepare_input(train)
+    train, small = _prepare(train)
     firsts = _shared_first_rounds(train, configs)
     rows = []
     for n_value in sorted({c.n for c in configs}):
         group = [c for c in configs if c.n == n_value]
-        outcome = _run_group(train, test, n_value, group, firsts, max_rounds, checkpoint_every)
+        outcome = _run_group(train, test, n_value, group, firsts, max_rounds, checkpoint_every, small)
         for s, c in enumerate(group):
             acc, rounds = outcome[s]
             rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,

@@ -100,13 +100,23 @@ def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFram
     construction (each split is at most one file block), so it is
     round-robin repartitioned and cached. Large inputs are left as they are.
     """
+    return _prepare(train, materialize_input)[0]
+
+
+def _prepare(train: DataFrame, materialize_input: bool = False) -> tuple[DataFrame, bool]:
     spark = train.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if materialize_input:
         train = materialize(train.select("sent_id", "text", "label"), "selftrain-input")
     if train.rdd.getNumPartitions() < cores:
-        train = train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    return train
+        return train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK), True
+    return train, False
+
+
+def token_rows(base: DataFrame, n: int, keep, small: bool) -> DataFrame:
+    """Tokenized rows of a segment base; cached only when the input is small."""
+    rows = tokenized(base, n, keep=keep)
+    return rows.persist(StorageLevel.MEMORY_AND_DISK) if small else rows
 
 
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
@@ -122,9 +132,11 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     to reproduce the Scala loop bounds). ``refresh_vocab=False`` keeps the
     first round's vocabulary, as the notebook variant does.
     """
+    small = prepared and train.is_cached
     if not prepared:
-        train = prepare_input(train, materialize_input)
+        train, small = _prepare(train, materialize_input)
     base = train.select("sent_id", "text", "label")
+    rows = token_rows(base, n, ("sent_id", "label"), small)
     segment: list[Model] = []  # models applied on top of ``base``
     models: list[Model] = []
     history: list[RoundInfo] = []
@@ -138,7 +150,6 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         vocab = first.model.vocab
         unlabelled_prev = first.unlabelled
     while True:
-        rows = tokenized(base, n, keep=("sent_id", "label"))
         staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
         counts = class_counts_with_totals(staged, F.col("_lab")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -163,6 +174,9 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         if checkpoint_every and len(segment) >= checkpoint_every:
             base = materialize(fold_labels(base, n, segment, threshold), "selftrain-state")
             segment = []
+            rows.unpersist()
+            rows = token_rows(base, n, ("sent_id", "label"), small)
+    rows.unpersist()
     result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
                              source=base, segment=segment)
     result.labels = result.labelled_text().select("sent_id", "label")
@@ -180,17 +194,12 @@ def fold_labels(base: DataFrame, n: int, segment: list, threshold: float) -> Dat
 
 def train_round(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: float,
                 delta: float) -> tuple[Model, RoundInfo]:
-    """Featurize labelled rows (label, ng), cache them, train, measure."""
-    feats = (labelled.select("label", feature_ids(F.col("ng"), vocab).alias("fids"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        fit = train_weights(feats, vocab.size, n_iter, alpha, delta, persist=False)
-        model = Model(vocab, fit.weights)
-        scored = feats.select("label", score_features(F.col("fids"), model.weight_column()).alias("score"))
-        train_acc = accuracy(scored).first()["accuracy"]
-    finally:
-        feats.unpersist()
-    info = RoundInfo(1, 0, 0, 0, vocab.size, fit.epochs, fit.l1[-1] if fit.l1 else None, train_acc)
+    """Featurize labelled rows (label, ng), train, measure training accuracy."""
+    feats = labelled.select("label", feature_ids(F.col("ng"), vocab).alias("fids"))
+    fit = train_weights(feats, vocab.size, n_iter, alpha, delta, measure=True)
+    model = Model(vocab, fit.weights)
+    info = RoundInfo(1, 0, 0, 0, vocab.size, fit.epochs, fit.l1[-1] if fit.l1 else None,
+                     fit.train_accuracy)
     return model, info
 
 

@@ -18,10 +18,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scoped_conf
+from ..session import ensure_checkpoint_dir, scoped_conf
 from ..operators.features import featurize
 from ..operators.gradient import gradient_from_view, weights_sql
-from ..operators.scoring import Model
+from ..functions.lookup import weight_array
+from ..operators.scoring import Model, accuracy, score_features
 from ..operators.vocab import Vocabulary
 
 
@@ -36,33 +37,49 @@ class TrainResult:
     weights: np.ndarray
     epochs: int = 0
     l1: list = field(default_factory=list)
+    train_accuracy: float | None = None
+
+
+def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, int]:
+    """Reliable, cached copy of the training rows, sized by row count.
+
+    The rows are counted once, coalesced to about ROWS_PER_TASK per task,
+    written to the checkpoint folder and cached. Epoch plans then start from a
+    small leaf (cheap to plan every epoch), read memory, and a lost cache
+    block is reloaded from the checkpoint rather than recomputed from text.
+    """
+    ensure_checkpoint_dir(feats.sparkSession)
+    staged = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = staged.count()
+        tasks = max(1, min(staged.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
+        # One task: the epoch aggregate needs no exchange. More: partial sums shuffle.
+        epoch_input = staged.coalesce(tasks).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        staged.unpersist()
+    return epoch_input, rows
 
 
 def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta: float,
-                  label: str = "label", persist: bool = True) -> TrainResult:
+                  label: str = "label", measure: bool = False) -> TrainResult:
     """Train on ``feats`` (label, fids); labels 0 are ignored.
 
-    The rows are cached once and sized by count (about ROWS_PER_TASK per
-    task); every epoch then reads the cache. The per-epoch aggregate returns
-    at most ``size`` rows, so adaptive re-planning is switched off for the
-    loop and the reducer count follows ``size``.
+    Every epoch reads the staged copy (:func:`stage_epoch_input`). The
+    per-epoch aggregate returns at most ``size`` rows, so adaptive re-planning
+    is switched off for the loop and the reducer count follows ``size``.
     """
-    data = feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids")
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = feats.sparkSession
+    data, _ = stage_epoch_input(feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids"))
     weights = np.zeros(size)
     result = TrainResult(weights)
+    view = "sprout_epoch_" + uuid.uuid4().hex
     try:
-        rows = data.count()
-        tasks = max(1, min(data.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
-        # One task: the aggregate needs no exchange. More: partial sums shuffle.
-        view = "sprout_epoch_" + uuid.uuid4().hex
-        data.coalesce(tasks).createOrReplaceTempView(view)
+        data.createOrReplaceTempView(view)
         reducers = max(1, math.ceil(size / GRADIENT_ROWS_PER_REDUCER))
-        with scoped_conf(data.sparkSession, {"spark.sql.adaptive.enabled": "false",
-                                             "spark.sql.shuffle.partitions": reducers}):
+        with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false",
+                                 "spark.sql.shuffle.partitions": reducers}):
             for _ in range(int(n_iter)):
-                got = gradient_from_view(data.sparkSession, view, weights, alpha).collect()
+                got = gradient_from_view(spark, view, weights, alpha).collect()
                 step = np.zeros(size)
                 for fid, value in got:
                     step[fid] = value
@@ -72,10 +89,12 @@ def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta:
                 result.l1.append(l1)
                 if l1 < delta:
                     break
-        data.sparkSession.catalog.dropTempView(view)
+        if measure:  # accuracy of the final weights on the training rows
+            scored = data.select("label", score_features(F.col("fids"), weight_array(weights)).alias("score"))
+            result.train_accuracy = accuracy(scored).first()["accuracy"]
     finally:
-        if persist:
-            data.unpersist()
+        spark.catalog.dropTempView(view)
+        data.unpersist()
     result.weights = weights
     return result
 
@@ -103,12 +122,10 @@ def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: di
     weights = {s: np.zeros(sizes[s]) for s in slots}
     results = {s: TrainResult(weights[s]) for s in slots}
     active = [s for s in slots if n_iter[s] > 0]
-    data = feats.where(F.col("label") != 0).select("slot", "label", "fids").persist(StorageLevel.MEMORY_AND_DISK)
+    data, _ = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
     view = "sprout_epochs_" + uuid.uuid4().hex
     try:
-        rows = data.count()
-        tasks = max(1, min(data.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
-        data.coalesce(tasks).createOrReplaceTempView(view)
+        data.createOrReplaceTempView(view)
         width = max(slots) + 1 if slots else 0
         alphas = "array(" + ", ".join(f"CAST({float(alpha.get(s, 0.0))!r} AS DOUBLE)" for s in range(width)) + ")"
         reducers = max(1, math.ceil(sum(sizes.values()) / GRADIENT_ROWS_PER_REDUCER))
@@ -140,8 +157,8 @@ def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: di
                     if l1[s] >= delta[s] and results[s].epochs < n_iter[s]:
                         still.append(s)
                 active = still
-        spark.catalog.dropTempView(view)
     finally:
+        spark.catalog.dropTempView(view)
         data.unpersist()
     for s in slots:
         results[s].weights = weights[s]
