@@ -38,8 +38,36 @@ def encode_labelled(sents: DataFrame, keep=()) -> DataFrame:
     return sents.select(*keep, F.concat(F.col("text"), encode_marker(F.col("label"))).alias("value"))
 
 
-def read_labelled_lines(spark: SparkSession, path: str, strip_chars: int = 1) -> DataFrame:
-    return parse_lines(spark.read.text(path), "value", strip_chars)
+def with_line_index(df: DataFrame, name: str = "sent_id") -> DataFrame:
+    """Add a dense 0-based row index in read order (``zipWithIndex`` semantics).
+
+    One small job counts rows per partition (one row per partition reaches
+    the driver); the index is then a narrow projection: the partition's
+    offset plus the row's position inside it, both taken from
+    ``monotonically_increasing_id``. For one text file, read order is line
+    order (splits are read in offset order).
+    """
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = sorted((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())
+    offsets, total = {}, 0
+    for p, c in counts:
+        offsets[p] = total
+        total += c
+    width = (max(offsets) + 1) if offsets else 1
+    table = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(width)])
+    position = F.col("_mid") - F.shiftleft(part, 33)
+    return tagged.select((F.element_at(table, (part + 1).cast("int")) + position).alias(name),
+                         *[c for c in df.columns])
+
+
+def read_labelled_lines(spark: SparkSession, path: str, strip_chars: int = 1,
+                        index: bool = False) -> DataFrame:
+    """(text, label) per line; with ``index``, (sent_id, text, label) by line position."""
+    lines = spark.read.text(path)
+    if index:
+        return parse_lines(with_line_index(lines), "value", strip_chars, keep=("sent_id",))
+    return parse_lines(lines, "value", strip_chars)
 
 
 def write_labelled_lines(sents: DataFrame, path: str) -> None:
