@@ -53,6 +53,12 @@ def threshold_cut(score: Column, threshold: float) -> Column:
             .otherwise(F.lit(0)))
 
 
+def threshold_decision(score: Column, threshold: float) -> Column:
+    """Like :func:`threshold_cut` but NULL (no decision) instead of 0."""
+    return (F.when(score > F.lit(float(threshold)), F.lit(1))
+            .when(score < F.lit(-float(threshold)), F.lit(-1)))
+
+
 def sign_marker(score: Column) -> Column:
     """Single-sentence decision: '+' when score > 0, else '-' (0 is '-')."""
     return F.when(score > 0, F.lit("+")).otherwise(F.lit("-"))

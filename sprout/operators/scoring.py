@@ -42,13 +42,21 @@ class Model:
         return df.orderBy(F.col("weight").desc(), F.col("ngram"))
 
 
-def model_score(ng: Column, model: Model) -> Column:
-    """Score of a row's N-gram list under ``model``, probing in-row."""
+def model_score(ng: Column, model: Model, finish=None) -> Column:
+    """Score of a row's N-gram list under ``model``, probing in-row.
+
+    ``finish`` maps the final score (evaluated once), e.g. to a threshold
+    decision, without repeating the fold.
+    """
     weights = model.weight_column()
     lookup = model.vocab.lookup
-    return F.aggregate(ng, F.lit(0.0),
-                       lambda acc, g: acc + F.coalesce(F.element_at(weights, lookup.get(g) + 1),
-                                                       F.lit(0.0)))
+
+    def merge(acc, g):
+        return acc + F.coalesce(F.element_at(weights, lookup.get(g) + 1), F.lit(0.0))
+
+    if finish is None:
+        return F.aggregate(ng, F.lit(0.0), merge)
+    return F.aggregate(ng, F.lit(0.0), merge, finish)
 
 
 def score_by_join(rows: DataFrame, model_frame: DataFrame, keys) -> DataFrame:

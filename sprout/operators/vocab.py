@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.lookup import HashedLookup, collect_lookup
+from ..functions.lookup import HashedLookup, build_lookup
 from ..functions.stats import information_gain
 from ..functions.text import ngrams, tokenize
 
@@ -120,7 +120,6 @@ class Vocabulary:
         ordered = sorted(rows, key=lambda r: r["fid"])
         if [r["fid"] for r in ordered] != list(range(len(ordered))):
             raise ValueError("feature ids must be 0..m-1")
-        from ..functions.lookup import build_lookup
         return cls(n, tuple(r["ngram"] for r in ordered),
                    build_lookup([(r[0], r[1], r[2]) for r in rows]))
 
@@ -128,6 +127,3 @@ class Vocabulary:
         return spark.createDataFrame([(g, i) for i, g in enumerate(self.ngrams)],
                                      "ngram string, fid int")
 
-
-__all__ = ["Vocabulary", "class_counts_with_totals", "label_totals", "ngram_class_counts",
-           "ngram_doc_freq", "rank_vocab", "select_vocab", "tokenized", "collect_lookup"]

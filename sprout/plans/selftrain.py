@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import defaults
-from ..functions.stats import threshold_cut
+from ..functions.stats import threshold_decision
 from ..operators.features import feature_ids
 from ..operators.scoring import Model, accuracy, model_score, score_features
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
@@ -43,8 +43,8 @@ def label_chain(seed: Column, ng: Column, models: list, threshold: float) -> Col
     """First non-zero of the seed label and each round's threshold cut."""
     if not models:
         return seed
-    cuts = [F.nullif(threshold_cut(model_score(ng, model), threshold), F.lit(0))
-            for model in models]
+    # One fold per model; the finish step yields 1 / -1, or NULL when undecided.
+    cuts = [model_score(ng, model, lambda s: threshold_decision(s, threshold)) for model in models]
     return F.coalesce(F.nullif(seed, F.lit(0)), *cuts, F.lit(0))
 
 
