@@ -238,6 +238,8 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
             acc, rounds = outcome[s]
             rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
                          None if acc is None else round(float(acc), 9), rounds))
+    if small:
+        train.unpersist()
     rows.sort(key=lambda r: r[0])
     return spark.createDataFrame(rows, "config_id int, n int, m int, num_iter int, threshold double, "
                                        "alpha double, delta double, accuracy double, rounds int")

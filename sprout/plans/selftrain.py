@@ -133,8 +133,10 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     first round's vocabulary, as the notebook variant does.
     """
     small = prepared and train.is_cached
+    owned = None  # a cached copy made here, released before returning
     if not prepared:
         train, small = _prepare(train, materialize_input)
+        owned = train if small else None
     base = train.select("sent_id", "text", "label")
     rows = token_rows(base, n, ("sent_id", "label"), small)
     segment: list[Model] = []  # models applied on top of ``base``
@@ -182,6 +184,8 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     result.labels = result.labelled_text().select("sent_id", "label")
     if test is not None:
         result.test_accuracy = evaluate(test, result.model)
+    if owned is not None:
+        owned.unpersist()
     return result
 
 
