@@ -32,7 +32,7 @@ from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize
-from .selftrain import CHECKPOINT_EVERY, FirstRound, _prepare, _totals, label_chain, token_rows, train_round
+from .selftrain import CHECKPOINT_EVERY, FirstRound, _check_vocab_bound, _prepare, _totals, label_chain, token_rows, train_round
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -228,6 +228,8 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
     """
     spark = train.sparkSession
     configs = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
+    for c in configs:
+        _check_vocab_bound(c.m)
     train, small = _prepare(train)
     firsts = _shared_first_rounds(train, configs)
     rows = []

@@ -119,6 +119,13 @@ def token_rows(base: DataFrame, n: int, keep, small: bool) -> DataFrame:
     return rows.persist(StorageLevel.MEMORY_AND_DISK) if small else rows
 
 
+def _check_vocab_bound(m: int) -> None:
+    """Self-training probes every round's vocabulary in-row; it must fit the bound."""
+    if m > defaults.MAX_LOOKUP_KEYS:
+        raise ValueError(f"m={m} exceeds MAX_LOOKUP_KEYS={defaults.MAX_LOOKUP_KEYS}: self-training "
+                         "ships each vocabulary to tasks as a constant; use a smaller m")
+
+
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
                m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
@@ -132,6 +139,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     to reproduce the Scala loop bounds). ``refresh_vocab=False`` keeps the
     first round's vocabulary, as the notebook variant does.
     """
+    _check_vocab_bound(m)
     small = prepared and train.is_cached
     owned = None  # a cached copy made here, released before returning
     if not prepared:
