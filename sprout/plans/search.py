@@ -31,7 +31,7 @@ from ..functions.lookup import build_lookup
 from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
-from ..sources.fixtures import materialize
+from ..sources.fixtures import materialize_at, release
 from .selftrain import CHECKPOINT_EVERY, FirstRound, _check_vocab_bound, _prepare, _totals, label_chain, token_rows, train_round
 from .train import train_weights_batched
 
@@ -163,6 +163,7 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
     previous = {s: firsts_by_slot[s].unlabelled for s in range(width)}
     active = list(range(width))
     rounds_in_segment = 1
+    base_path = None
     rows = token_rows(base, n, ("sent_id", "labs"), small)
     while active:
         staged = rows.withColumn("labs", _chained_labs(width, segment, thresholds))
@@ -204,12 +205,15 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
         if checkpoint_every and rounds_in_segment >= checkpoint_every:
             folded = (tokenized(base, n, keep=("sent_id", "text", "labs"))
                       .select("sent_id", "text", _chained_labs(width, segment, thresholds).alias("labs")))
-            base = materialize(folded, "search-state")
+            previous_path = base_path
+            base, base_path = materialize_at(folded, "search-state")
+            release(base.sparkSession, previous_path)  # the new base no longer reads it
             segment = {s: [] for s in range(width)}
             rounds_in_segment = 0
             rows.unpersist()
             rows = token_rows(base, n, ("sent_id", "labs"), small)
     rows.unpersist()
+    release(train.sparkSession, base_path)
     final = {s: models[s][-1] for s in range(width)}
     accuracy = _test_accuracy(test, n, final) if test is not None else {s: None for s in final}
     return {s: (accuracy[s], len(models[s])) for s in range(width)}

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .. import defaults
 from ..functions.stats import threshold_decision
 from ..operators.features import feature_ids
-from ..operators.scoring import Model, accuracy, model_score, score_features
+from ..operators.scoring import Model, accuracy, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
-from ..sources.fixtures import materialize, split_train_test
+from ..sources.fixtures import materialize, materialize_at, release, split_train_test
 from .train import train_weights
 
 
@@ -146,6 +146,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         train, small = _prepare(train, materialize_input)
         owned = train if small else None
     base = train.select("sent_id", "text", "label")
+    base_path = None  # scratch files of the current base, if written here
     rows = token_rows(base, n, ("sent_id", "label"), small)
     segment: list[Model] = []  # models applied on top of ``base``
     models: list[Model] = []
@@ -182,7 +183,9 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         segment.append(model)
         history.append(info)
         if checkpoint_every and len(segment) >= checkpoint_every:
-            base = materialize(fold_labels(base, n, segment, threshold), "selftrain-state")
+            previous_path = base_path
+            base, base_path = materialize_at(fold_labels(base, n, segment, threshold), "selftrain-state")
+            release(base.sparkSession, previous_path)  # the new base no longer reads it
             segment = []
             rows.unpersist()
             rows = token_rows(base, n, ("sent_id", "label"), small)

@@ -18,7 +18,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scoped_conf
+from ..session import scoped_conf
+from ..sources.fixtures import materialize_at, release
 from ..operators.features import featurize
 from ..operators.gradient import gradient_from_view, weights_sql
 from ..functions.lookup import weight_array
@@ -40,24 +41,29 @@ class TrainResult:
     train_accuracy: float | None = None
 
 
-def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, int]:
+def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
     """Reliable, cached copy of the training rows, sized by row count.
 
     The rows are counted once, coalesced to about ROWS_PER_TASK per task,
-    written to the checkpoint folder and cached. Epoch plans then start from a
-    small leaf (cheap to plan every epoch), read memory, and a lost cache
-    block is reloaded from the checkpoint rather than recomputed from text.
+    written as Parquet under the checkpoint folder and cached. Epoch plans
+    then start from a small leaf (cheap to plan every epoch), read memory, and
+    a lost cache block is reloaded from the files rather than recomputed from
+    text. The caller releases the copy (:func:`release_epoch_input`).
     """
-    ensure_checkpoint_dir(feats.sparkSession)
     staged = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = staged.count()
         tasks = max(1, min(staged.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
         # One task: the epoch aggregate needs no exchange. More: partial sums shuffle.
-        epoch_input = staged.coalesce(tasks).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+        copy, path = materialize_at(staged.coalesce(tasks), "epoch-input")
     finally:
         staged.unpersist()
-    return epoch_input, rows
+    return copy.persist(StorageLevel.MEMORY_AND_DISK), path
+
+
+def release_epoch_input(data: DataFrame, path: str) -> None:
+    data.unpersist()
+    release(data.sparkSession, path)
 
 
 def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta: float,
@@ -69,7 +75,7 @@ def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta:
     is switched off for the loop and the reducer count follows ``size``.
     """
     spark = feats.sparkSession
-    data, _ = stage_epoch_input(feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids"))
+    data, path = stage_epoch_input(feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids"))
     weights = np.zeros(size)
     result = TrainResult(weights)
     view = "sprout_epoch_" + uuid.uuid4().hex
@@ -94,7 +100,7 @@ def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta:
             result.train_accuracy = accuracy(scored).first()["accuracy"]
     finally:
         spark.catalog.dropTempView(view)
-        data.unpersist()
+        release_epoch_input(data, path)
     result.weights = weights
     return result
 
@@ -122,7 +128,7 @@ def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: di
     weights = {s: np.zeros(sizes[s]) for s in slots}
     results = {s: TrainResult(weights[s]) for s in slots}
     active = [s for s in slots if n_iter[s] > 0]
-    data, _ = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
+    data, path = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
     view = "sprout_epochs_" + uuid.uuid4().hex
     try:
         data.createOrReplaceTempView(view)
@@ -159,7 +165,7 @@ def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: di
                 active = still
     finally:
         spark.catalog.dropTempView(view)
-        data.unpersist()
+        release_epoch_input(data, path)
     for s in slots:
         results[s].weights = weights[s]
     return results

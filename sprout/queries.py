@@ -7,17 +7,15 @@ whole fixture tables. The oracle-checked ones fix the parameters in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import defaults
 from .functions.stats import sigmoid, threshold_cut
 from .functions.text import tokenize
 from .operators.features import explode_features, featurize
 from .operators.gradient import gradient, gradient_norm
 from .operators.scoring import Model, accuracy
 from .operators.vocab import (Vocabulary, label_totals, ngram_class_counts, ngram_doc_freq,
-                              rank_vocab, select_vocab, tokenized)
+                              select_vocab, tokenized)
 from .functions.stats import information_gain
 from .plans.batch import score_batch
 from .plans.search import best_config, search

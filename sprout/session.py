@@ -70,6 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete a scratch path through the session's Hadoop filesystem."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict):
     """Apply SQL settings for the duration of a block, then restore them."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 TEST_EVERY = 5  # every 5th labelled row is held out
 
@@ -47,6 +47,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage reliably: a lost executor re-reads files, it does not
     recompute joins. Column pruning still works on the copy.
     """
+    return materialize_at(df, name)[0]
+
+
+def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`materialize`, also returning the path (for :func:`release`)."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def release(spark: SparkSession, path: str | None) -> None:
+    """Delete a scratch copy made by :func:`materialize_at` once it is superseded."""
+    if path:
+        delete_path(spark, path)
