@@ -13,15 +13,15 @@ WORD_PATTERN = r"[A-Za-z]+(?:'[A-Za-z]+)?"
 
 
 def tokenize(text: Column | str) -> Column:
-    """ARRAY<STRING> of lower-cased tokens, in text order."""
-    return F.regexp_extract_all(F.lower(F.col(text) if isinstance(text, str) else text),
-                                F.lit(TOKEN_PATTERN), 0)
+    """ARRAY<STRING> of lower-cased tokens, in text order (NULL text: none)."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(TOKEN_PATTERN), 0)
 
 
 def words(text: Column | str) -> Column:
-    """ARRAY<STRING> of case-preserved words (keyword filter)."""
-    return F.regexp_extract_all(F.col(text) if isinstance(text, str) else text,
-                                F.lit(WORD_PATTERN), 0)
+    """ARRAY<STRING> of case-preserved words (keyword filter; NULL text: none)."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(WORD_PATTERN), 0)
 
 
 def ngrams(tokens: Column | str, n: int) -> Column:

@@ -23,6 +23,9 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Local mode: the driver JVM is the executor; only applies when this
+    # builder starts the JVM.
+    "spark.driver.memory": "12g",
 }
 
 
