@@ -4,7 +4,8 @@ Configurations are numbered in loop order (N outermost, then m, num_iter,
 threshold, alpha, delta innermost), and the best is the first with the
 highest held-out accuracy. Round 1 depends only on the seeds, so it is shared:
 one class-count job and one ranking (with the largest m) per N, and one
-training per distinct (N, m, num_iter, alpha, delta).
+training per distinct (N, m, num_iter, alpha, delta), all of them advanced
+by the same epoch jobs.
 
 Later rounds diverge with the labels each configuration grows, but they still
 run together: the state row (sent_id, ng, labs) carries one label per
@@ -32,7 +33,8 @@ from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize_at, release
-from .selftrain import CHECKPOINT_EVERY, FirstRound, _check_vocab_bound, _prepare, _totals, label_chain, token_rows, train_round
+from .selftrain import (CHECKPOINT_EVERY, FirstRound, RoundInfo, _check_vocab_bound, _prepare, _totals,
+                        label_chain, token_rows)
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -85,7 +87,12 @@ def config_grid(spark: SparkSession, **ranges) -> DataFrame:
 
 
 def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
-    """Round-1 models keyed by (n, m, num_iter, alpha, delta)."""
+    """Round-1 models keyed by (n, m, num_iter, alpha, delta).
+
+    Per N: one class-count job and one ranking with the largest m (each m's
+    vocabulary is a prefix of it), then every distinct training trains in the
+    same epoch jobs (one slot per training).
+    """
     out = {}
     for n in sorted({c.n for c in configs}):
         group = [c for c in configs if c.n == n]
@@ -98,15 +105,25 @@ def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
         finally:
             counts.unpersist()
         ranking.sort(key=lambda r: r["fid"])
-        labelled = rows.where(F.col("label") != 0).select("label", "ng")
-        for key in sorted({(c.m, c.num_iter, c.alpha, c.delta) for c in group}):
-            m, num_iter, alpha, delta = key
+        keys = sorted({(c.m, c.num_iter, c.alpha, c.delta) for c in group})
+        vocabs = {}
+        for slot, (m, _, _, _) in enumerate(keys):
             top = ranking[:m]
-            vocab = Vocabulary(n, tuple(r["ngram"] for r in top),
-                               build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in top]))
-            model, info = train_round(labelled, vocab, num_iter, alpha, delta)
-            info.positives, info.negatives, info.unlabelled_before = positives, negatives, unlabelled
-            out[(n,) + key] = FirstRound(model, info, unlabelled)
+            vocabs[slot] = Vocabulary(n, tuple(r["ngram"] for r in top),
+                                      build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in top]))
+        labelled = rows.where(F.col("label") != 0)
+        parts = F.array(*[F.struct(F.lit(s).alias("slot"), F.col("label").alias("label"),
+                                   feature_ids(F.col("ng"), vocabs[s]).alias("fids"))
+                          for s in vocabs])
+        feats = labelled.select(F.explode(parts).alias("x")).select("x.*")
+        fits = train_weights_batched(feats, {s: vocabs[s].size for s in vocabs},
+                                     {s: keys[s][1] for s in vocabs}, {s: keys[s][2] for s in vocabs},
+                                     {s: keys[s][3] for s in vocabs})
+        for slot, key in enumerate(keys):
+            fit = fits[slot]
+            info = RoundInfo(1, positives, negatives, unlabelled, vocabs[slot].size, fit.epochs,
+                             fit.l1[-1] if fit.l1 else None, None)
+            out[(n,) + key] = FirstRound(Model(vocabs[slot], fit.weights), info, unlabelled)
     return out
 
 
