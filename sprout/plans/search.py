@@ -111,9 +111,13 @@ def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
             top = ranking[:m]
             vocabs[slot] = Vocabulary(n, tuple(r["ngram"] for r in top),
                                       build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in top]))
-        labelled = rows.where(F.col("label") != 0)
+        # Ids are ranks and every vocabulary is a prefix of the ranking, so one
+        # probe into the largest serves all slots: slot s keeps ids below its m.
+        widest = max(vocabs.values(), key=lambda v: v.size)
+        labelled = (rows.where(F.col("label") != 0)
+                    .select("label", feature_ids(F.col("ng"), widest).alias("_all")))
         parts = F.array(*[F.struct(F.lit(s).alias("slot"), F.col("label").alias("label"),
-                                   feature_ids(F.col("ng"), vocabs[s]).alias("fids"))
+                                   F.filter("_all", lambda f, m=vocabs[s].size: f < m).alias("fids"))
                           for s in vocabs])
         feats = labelled.select(F.explode(parts).alias("x")).select("x.*")
         fits = train_weights_batched(feats, {s: vocabs[s].size for s in vocabs},
