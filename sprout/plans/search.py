@@ -86,6 +86,11 @@ def config_grid(spark: SparkSession, **ranges) -> DataFrame:
                                        "alpha double, delta double")
 
 
+def _below(limit: int):
+    """One-argument predicate ``f < limit`` (a closure: Spark reads the arity)."""
+    return lambda f: f < F.lit(limit)
+
+
 def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
     """Round-1 models keyed by (n, m, num_iter, alpha, delta).
 
@@ -117,7 +122,7 @@ def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
         labelled = (rows.where(F.col("label") != 0)
                     .select("label", feature_ids(F.col("ng"), widest).alias("_all")))
         parts = F.array(*[F.struct(F.lit(s).alias("slot"), F.col("label").alias("label"),
-                                   F.filter("_all", lambda f, m=vocabs[s].size: f < m).alias("fids"))
+                                   F.filter("_all", _below(vocabs[s].size)).alias("fids"))
                           for s in vocabs])
         feats = labelled.select(F.explode(parts).alias("x")).select("x.*")
         fits = train_weights_batched(feats, {s: vocabs[s].size for s in vocabs},
