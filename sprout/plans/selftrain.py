@@ -96,9 +96,9 @@ class FirstRound:
 def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFrame:
     """Spread a small input over the cluster's cores; optionally materialize.
 
-    An input with fewer partitions than the default parallelism is small by
+    An input with no more partitions than the default parallelism is small by
     construction (each split is at most one file block), so it is
-    round-robin repartitioned and cached. Large inputs are left as they are.
+    round-robin spread (if needed) and cached. Large inputs are left as they are.
     """
     return _prepare(train, materialize_input)[0]
 
@@ -108,8 +108,11 @@ def _prepare(train: DataFrame, materialize_input: bool = False) -> tuple[DataFra
     cores = spark.sparkContext.defaultParallelism
     if materialize_input:
         train = materialize(train.select("sent_id", "text", "label"), "selftrain-input")
-    if train.rdd.getNumPartitions() < cores:
+    parts = train.rdd.getNumPartitions()
+    if parts < cores:
         return train.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK), True
+    if parts == cores:  # already spread by the reader: small, cache it
+        return train.persist(StorageLevel.MEMORY_AND_DISK), True
     return train, False
 
 

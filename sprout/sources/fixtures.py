@@ -10,8 +10,24 @@ from ..session import delete_path, scratch_path
 TEST_EVERY = 5  # every 5th labelled row is held out
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Parquet table; a scan with fewer splits than cores is spread over them.
+
+    Text work is per row and CPU-bound, so a small table read as one split
+    (one row group) would tokenize in one task. Spreading it is a cheap
+    round-robin shuffle of a small input; a large table already has more
+    splits than cores and is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism if it has fewer partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def label_from_quality(quality) -> F.Column:
@@ -26,7 +42,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     the broadcast threshold and shuffles both sides otherwise.
     """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    labels = read_table(spark, sf_dir, "labels", spread=False).select("doc_id", "quality")
     return (docs.join(labels, "doc_id", "left")
             .select(F.col("doc_id").alias("sent_id"), "text",
                     label_from_quality(F.col("quality")).alias("label")))
