@@ -43,3 +43,21 @@ def test_search_mode(spark, tmp_path):
     assert [r.m for r in rows] == [30, 60]
     top = max(rows, key=lambda r: (r.accuracy or 0, -r.config_id))
     assert best.first().config_id == (top.config_id if (top.accuracy or 0) > 0 else 0)
+
+
+def test_command_line(spark, tmp_path):
+    from sprout.cli import main
+    _write_lines(spark, tmp_path / "in.txt")
+    common = ["--input", str(tmp_path / "in.txt"), "--output", str(tmp_path / "out"),
+              "--model", str(tmp_path / "model"), "--m_start", "40", "--num_iter_start", "4",
+              "--threshold_start", "0.2", "--alpha_start", "0.02"]
+    result = main(["--mod", "train"] + common, spark=spark)
+    assert len(result.models) >= 1 and result.model.vocab.size == 40
+    out = main(["--mod", "test", "--model", str(tmp_path / "model"), "--test_sent", "the bank of the river"],
+               spark=spark)
+    assert out.first().label in ("+", "-")
+    grid = ["--m_end", "80", "--m_step", "40", "--threshold_end", "0.2", "--alpha_end", "0.02", "--num_iter_end", "4"]
+    results, best = main(["--mod", "search"] + common + grid, spark=spark)
+    assert results.count() == 2 and best.count() == 1
+    empty, none = main(["--mod", "search"] + common, spark=spark)  # alpha start > end: no configuration
+    assert empty.count() == 0 and none.count() == 0
