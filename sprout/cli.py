@@ -17,8 +17,11 @@ from . import defaults
 from .plans.modes import search_mode, test_mode, train_mode
 from .session import ensure_checkpoint_dir
 
-# Parameter names, in loop order, with their CLI defaults
-# (start, end, step).
+# Command-line defaults (input, output and model paths, the
+# test-mode sentence) and the parameter names, in loop order, with their
+# (start, end, step) defaults.
+DEFAULT_INPUT, DEFAULT_OUTPUT, DEFAULT_MODEL = "data/bank_final.txt", "output", "model"
+DEFAULT_TEST_SENTENCE = "I go to the bank and withdraw some money"
 PARAMETERS = [
     ("n", int, (defaults.N, defaults.N, 1)),
     ("m", int, (defaults.M, defaults.M, 100)),
@@ -31,9 +34,9 @@ PARAMETERS = [
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sprout")
-    p.add_argument("--input", default="data/bank_final.txt")
-    p.add_argument("--output", default="output")
-    p.add_argument("--model", default="model")
+    p.add_argument("--input", default=DEFAULT_INPUT)
+    p.add_argument("--output", default=DEFAULT_OUTPUT)
+    p.add_argument("--model", default=DEFAULT_MODEL)
     p.add_argument("--legacy_model", default=None, help="also write/read the (ngram,weight) text form here")
     p.add_argument("--mod", default="help", choices=["train", "search", "test", "help"])
     p.add_argument("--test_sent", default=None)
@@ -81,7 +84,7 @@ def main(argv=None, spark: SparkSession | None = None):
         out = test_mode(spark, model_path, texts, keys, text=args.text_col, legacy=bool(args.legacy_model))
         out.show(truncate=False)
         return out
-    sentence = args.test_sent if args.test_sent is not None else "I go to the bank and withdraw some money"
+    sentence = args.test_sent if args.test_sent is not None else DEFAULT_TEST_SENTENCE
     texts = spark.createDataFrame([(0, sentence)], "id long, text string")
     out = test_mode(spark, model_path, texts, ["id"], legacy=bool(args.legacy_model))
     row = out.first()
