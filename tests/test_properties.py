@@ -34,3 +34,22 @@ def test_information_gain_matches_python(spark, rows):
         assert (value is None) == (want is None)
         if want is not None:
             assert abs(value - want) < 1e-12
+
+
+examples = st.lists(st.tuples(st.sampled_from([1, -1]), st.lists(st.integers(0, 7), max_size=6)),
+                    min_size=1, max_size=30)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(examples, st.sampled_from([0.05, 0.5, 3.0]), st.sampled_from([0.01, 0.3, 10.0]))
+def test_training_matches_python(spark, rows, alpha, delta):
+    import numpy as np
+    from sprout.plans import train_weights
+    df = spark.createDataFrame(rows, "label int, fids array<int>")
+    fit = train_weights(df, 8, 6, alpha, delta)
+    w, l1s = bf.train([(f, l) for l, f in rows], 6, alpha, delta)
+    want = np.zeros(8)
+    for f, v in w.items():
+        want[f] = v
+    assert fit.epochs == len(l1s)
+    assert np.allclose(fit.weights, want, atol=1e-9)
