@@ -64,17 +64,41 @@ def class_counts_with_totals(rows: DataFrame, label: Column) -> DataFrame:
                  F.count_if(F.col("_lab") == 0).alias("unlabelled")))
 
 
-def rank_vocab(counts: DataFrame, positives: int, negatives: int, m: int) -> DataFrame:
+# Largest m ranked with a top-k (each task keeps m rows, one task merges
+# m x tasks rows); larger vocabularies use a distributed sort instead.
+TOPK_MAX = 100_000
+
+
+def rank_vocab(counts: DataFrame, positives: int, negatives: int, m: int,
+               topk_max: int = TOPK_MAX) -> DataFrame:
     """Top ``m`` N-grams by information gain: (ngram, fid, ig, pos, neg).
 
     Undefined gain is NULL and ranks last, so such N-grams only fill the list
     when fewer than ``m`` have a defined gain. ``fid`` is the 0-based rank.
+    Up to ``topk_max`` this is a ``TakeOrderedAndProject`` plus a rank window
+    over at most m rows; above it, a range-partitioned global sort numbered by
+    partition offsets (no single task ever holds more than its partition).
     """
     ig = F.round(information_gain(F.col("pos"), F.col("neg"), positives, negatives), IG_DIGITS)
     order = [F.col("ig").desc_nulls_last(), F.col("ngram").asc()]
-    top = (counts.where(F.col("ngram").isNotNull())
-           .select("ngram", ig.alias("ig"), "pos", "neg")
-           .orderBy(*order).limit(int(m)))
+    scored = counts.where(F.col("ngram").isNotNull()).select("ngram", ig.alias("ig"), "pos", "neg")
+    if m > topk_max:
+        from pyspark import StorageLevel
+        from ..sources.fixtures import materialize_at
+        from ..sources.lines import with_line_index
+        # The numbering reads the sorted rows twice (partition counts, then
+        # offsets), so they are pinned: a re-executed sort could sample other
+        # range bounds. The numbered vocabulary is written once and read back.
+        ranked = scored.orderBy(*order).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            numbered = with_line_index(ranked, name="_rank")
+            out, _ = materialize_at(numbered.where(F.col("_rank") < m)
+                                    .select("ngram", F.col("_rank").cast("int").alias("fid"), "ig", "pos", "neg"),
+                                    "vocab-rank")
+        finally:
+            ranked.unpersist()
+        return out
+    top = scored.orderBy(*order).limit(int(m))
     # At most m rows reach this window, by construction of the limit above.
     return top.select("ngram", (F.row_number().over(Window.orderBy(*order)) - 1).alias("fid"),
                       "ig", "pos", "neg")

@@ -154,3 +154,14 @@ def test_batched_training_equals_single(spark, split):
     assert got[0].epochs == one.epochs and got[1].epochs == two.epochs == 4
     assert np.allclose(got[0].weights, one.weights, atol=1e-12)
     assert np.allclose(got[1].weights, two.weights, atol=1e-12)
+
+
+def test_sorted_ranking_equals_topk(spark, split):
+    train, _ = split
+    p, q, _ = label_totals(train)
+    counts = ngram_class_counts(train.repartition(5), 1).persist()
+    for m in (7, 300, 10 ** 6):
+        a = [(r.ngram, r.fid, r.ig) for r in rank_vocab(counts, p, q, m).orderBy("fid").collect()]
+        b = [(r.ngram, r.fid, r.ig) for r in rank_vocab(counts, p, q, m, topk_max=0).orderBy("fid").collect()]
+        assert a == b and [x[1] for x in a] == list(range(len(a)))
+    counts.unpersist()
