@@ -13,9 +13,16 @@ from ..operators.scoring import Model, model_score, score_by_join
 from ..operators.vocab import Vocabulary, tokenized
 
 
-def load_model(model_frame: DataFrame) -> Model:
-    """Collect a model table (ngram, fid, weight, n) — at most m rows."""
-    rows = model_frame.select("ngram", "fid", "weight", "n", F.xxhash64("ngram").alias("_h")).collect()
+def load_model(model_frame: DataFrame, limit: int | None = None) -> Model | None:
+    """Collect a model table (ngram, fid, weight, n) — at most m rows.
+
+    With ``limit``, at most ``limit + 1`` rows are collected and ``None`` is
+    returned when the table is larger (the caller then joins instead).
+    """
+    rows = model_frame.select("ngram", "fid", "weight", "n", F.xxhash64("ngram").alias("_h"))
+    rows = (rows.limit(limit + 1) if limit is not None else rows).collect()
+    if limit is not None and len(rows) > limit:
+        return None
     rows.sort(key=lambda r: r["fid"])
     if not rows:
         raise ValueError("empty model")
@@ -30,16 +37,16 @@ def score_batch(texts: DataFrame, model_frame: DataFrame, keys, text: str = "tex
     """(keys..., score, label): label '+' when score > 0, else '-'.
 
     Models within ``max_lookup_keys`` rows are probed in-row (narrow, no
-    shuffle); larger ones are joined on the N-gram.
+    shuffle); larger ones are joined on the N-gram. One bounded collect
+    decides which.
     """
     keys = list(keys)
-    size = model_frame.count()
-    n = int(model_frame.select("n").first()["n"]) if size else 1
-    rows = tokenized(texts, n, text=text, keep=keys)
-    if size > max_lookup_keys:
+    model = load_model(model_frame, limit=max_lookup_keys)
+    if model is None:
+        n = int(model_frame.select("n").first()["n"])
+        rows = tokenized(texts, n, text=text, keep=keys)
         scored = score_by_join(rows, model_frame, keys)
     else:
-        model = load_model(model_frame)
+        rows = tokenized(texts, model.n, text=text, keep=keys)
         scored = rows.select(*keys, model_score(F.col("ng"), model).alias("score"))
     return scored.select(*keys, "score", sign_marker(F.col("score")).alias("label"))
-
