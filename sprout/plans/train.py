@@ -27,8 +27,9 @@ from ..operators.scoring import Model, accuracy, score_features
 from ..operators.vocab import Vocabulary
 
 
-# Cached training rows per task (a row is one sentence's id list).
-ROWS_PER_TASK = 500_000
+# Bytes of cached training rows per task (a row is one sentence's id list:
+# about 24 bytes of row overhead plus 4 per id).
+BYTES_PER_TASK = 128 * 1024 * 1024
 # Gradient rows (at most m per task) per reducer.
 GRADIENT_ROWS_PER_REDUCER = 200_000
 
@@ -42,9 +43,10 @@ class TrainResult:
 
 
 def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
-    """Reliable, cached copy of the training rows, sized by row count.
+    """Reliable, cached copy of the training rows, sized by volume.
 
-    The rows are counted once, coalesced to about ROWS_PER_TASK per task,
+    One job counts rows and ids; the rows are coalesced to about
+    BYTES_PER_TASK per task,
     written as Parquet under the checkpoint folder and cached. Epoch plans
     then start from a small leaf (cheap to plan every epoch), read memory, and
     a lost cache block is reloaded from the files rather than recomputed from
@@ -52,8 +54,10 @@ def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
     """
     staged = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = staged.count()
-        tasks = max(1, min(staged.rdd.getNumPartitions(), math.ceil(rows / ROWS_PER_TASK)))
+        row = staged.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("fids")).alias("ids")).first()
+        rows, ids = int(row["rows"] or 0), int(row["ids"] or 0)
+        volume = 24 * rows + 4 * ids
+        tasks = max(1, min(staged.rdd.getNumPartitions(), math.ceil(volume / BYTES_PER_TASK)))
         # One task: the epoch aggregate needs no exchange. More: partial sums shuffle.
         copy, path = materialize_at(staged.coalesce(tasks), "epoch-input")
     finally:
