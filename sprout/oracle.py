@@ -126,6 +126,9 @@ def _q_ngrams(n: int) -> str:
 ORACLES: dict[str, str] = {
     "scan_sentences": _with() + "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences",
     "parse_lines": _with() + "SELECT sent_id, text, label FROM sentences",
+    "parse_lines_strip3": _with() + (
+        "SELECT sent_id, CASE WHEN length(text) >= 2 THEN substr(text, 1, length(text) - 2) ELSE '' END AS text, "
+        "label FROM sentences"),
     "encode_labelled_text": _with() + (
         "SELECT sent_id, text || CASE label WHEN 1 THEN '+' WHEN -1 THEN '-' ELSE '0' END AS value FROM sentences"),
     "label_counts": _with() + """SELECT CASE WHEN label <> 0 AND sent_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
@@ -138,6 +141,7 @@ ORACLES: dict[str, str] = {
         "SELECT sent_id, CAST(pos - 1 AS INTEGER) AS pos, ngram AS token FROM all_ng"),
     "ngrams_n1": _q_ngrams(1),
     "ngrams_n2": _q_ngrams(2),
+    "ngrams_n3": _q_ngrams(3),
     "ngram_doc_freq": _with(",\n" + _ngram_cte("train_ng", "train", CHECK["n"])) + (
         "SELECT ngram, count(DISTINCT sent_id) AS df FROM train_ng GROUP BY ngram"),
     "ngram_class_counts": _with(_vocab_ctes(CHECK["n"], CHECK["m"])) + "SELECT ngram, pos, neg FROM class_counts",
@@ -147,6 +151,8 @@ ORACLES: dict[str, str] = {
     "vocab_semi_filter": _with(_vocab_ctes(CHECK["n"], CHECK["m"])) + (
         "SELECT ngram, count(*) AS occurrences FROM train_ng WHERE ngram IN (SELECT ngram FROM vocab) GROUP BY ngram"),
     "featurize": _with(_model_ctes()) + "SELECT sent_id, fid, count(*) AS cnt FROM occ GROUP BY sent_id, fid",
+    "featurize_n2": _with(_model_ctes(dict(CHECK, n=2))) + (
+        "SELECT sent_id, fid, count(*) AS cnt FROM occ GROUP BY sent_id, fid"),
     "gradient_step": _with(_model_ctes()) + f"SELECT fid, {r6('delta')} AS delta FROM d1",
     "gradient_norm": _with(_model_ctes()) + f"SELECT {r6('l1')} AS l1 FROM l1_1",
     "train_weights_3ep": _with(_model_ctes()) + (
@@ -169,6 +175,9 @@ ORACLES: dict[str, str] = {
     "self_train_round1": _with(_model_ctes(), _scores("scored", "train", "sent_id")) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
+    "self_train_round1_n2": _with(_model_ctes(dict(CHECK, n=2)), _scores("scored", "train", "sent_id", n=2)) + (
+        f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
+        f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
     "corpus_union": """SELECT 'documents' AS corpus, doc_id AS item_id, CAST(0 AS BIGINT) AS sub_id, text FROM documents
 UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations
 UNION ALL SELECT 'benchmark', item_id, CAST(0 AS BIGINT), text FROM benchmark""",

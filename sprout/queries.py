@@ -52,9 +52,9 @@ def _vocab(spark, sf, n=CHECK["n"], m=CHECK["m"]):
     return Vocabulary.from_frame(select_vocab(train, n, m), n)
 
 
-def _model(spark, sf) -> Model:
+def _model(spark, sf, n=CHECK["n"]) -> Model:
     train, _ = _split(spark, sf)
-    vocab = _vocab(spark, sf)
+    vocab = _vocab(spark, sf, n=n)
     model, _ = train_model(train, vocab, CHECK["n_iter"], CHECK["alpha"], CHECK["delta"])
     return model
 
@@ -75,6 +75,12 @@ def q_parse_lines(spark, sf):
     return parse_lines(lines, keep=("sent_id",))
 
 
+def q_parse_lines_strip3(spark, sf):
+    """The notebook's line form: three trailing characters dropped, last one is the marker."""
+    lines = encode_labelled(sentences(spark, sf), keep=("sent_id",))
+    return parse_lines(lines, strip_chars=3, keep=("sent_id",))
+
+
 def q_encode_labelled_text(spark, sf):
     return encode_labelled(sentences(spark, sf), keep=("sent_id",))
 
@@ -120,6 +126,10 @@ def q_ngrams_n2(spark, sf):
     return _ngram_occurrences(spark, sf, 2)
 
 
+def q_ngrams_n3(spark, sf):
+    return _ngram_occurrences(spark, sf, 3)
+
+
 def q_ngram_doc_freq(spark, sf):
     train, _ = _split(spark, sf)
     return ngram_doc_freq(train, CHECK["n"])
@@ -165,6 +175,12 @@ def q_featurize(spark, sf):
     return explode_features(feats, keep=("sent_id",))
 
 
+def q_featurize_n2(spark, sf):
+    train, _ = _split(spark, sf)
+    feats = featurize(train.where(F.col("label") != 0), _vocab(spark, sf, n=2))
+    return explode_features(feats, keep=("sent_id",))
+
+
 def q_gradient_step(spark, sf):
     train, _ = _split(spark, sf)
     vocab = _vocab(spark, sf)
@@ -242,6 +258,12 @@ def q_self_train_round1(spark, sf):
     return result.labels.select("sent_id", "label")
 
 
+def q_self_train_round1_n2(spark, sf):
+    train, _ = _split(spark, sf)
+    result = self_train(train, None, max_rounds=1, **dict(CHECK, n=2))
+    return result.labels.select("sent_id", "label")
+
+
 def q_self_train(spark, sf):
     """Full self-training at the default parameters (no SQL oracle)."""
     train, test = _split(spark, sf)
@@ -302,6 +324,7 @@ def q_build_corpus(spark, sf):
 QUERIES = {
     "scan_sentences": q_scan_sentences,
     "parse_lines": q_parse_lines,
+    "parse_lines_strip3": q_parse_lines_strip3,
     "encode_labelled_text": q_encode_labelled_text,
     "label_counts": q_label_counts,
     "split_train_test": q_split_train_test,
@@ -309,6 +332,7 @@ QUERIES = {
     "tokenize": q_tokenize,
     "ngrams_n1": q_ngrams_n1,
     "ngrams_n2": q_ngrams_n2,
+    "ngrams_n3": q_ngrams_n3,
     "ngram_doc_freq": q_ngram_doc_freq,
     "ngram_class_counts": q_ngram_class_counts,
     "info_gain": q_info_gain,
@@ -316,6 +340,7 @@ QUERIES = {
     "select_vocab_n2": q_select_vocab_n2,
     "vocab_semi_filter": q_vocab_semi_filter,
     "featurize": q_featurize,
+    "featurize_n2": q_featurize_n2,
     "gradient_step": q_gradient_step,
     "gradient_norm": q_gradient_norm,
     "train_weights_3ep": q_train_weights_3ep,
@@ -327,6 +352,7 @@ QUERIES = {
     "accuracy": q_accuracy,
     "score_batch": q_score_batch,
     "self_train_round1": q_self_train_round1,
+    "self_train_round1_n2": q_self_train_round1_n2,
     "self_train": q_self_train,
     "search_grid": q_search_grid,
     "best_config": q_best_config,
