@@ -32,7 +32,7 @@ def train_mode(spark: SparkSession, input_path: str, output_path: str, model_pat
     result = self_train(train, test, n=n, m=m, n_iter=n_iter, threshold=threshold,
                         alpha=alpha, delta=delta)
     write_labelled_lines(result.labelled_text(), output_path)
-    frame = result.model.frame(spark)
+    frame = result.model_frame(spark)
     write_model(frame, model_path)
     if legacy_model_path:
         write_legacy_model(frame, legacy_model_path)

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .. import defaults
 from ..functions.stats import threshold_decision
-from ..operators.features import feature_ids
-from ..operators.scoring import Model, accuracy, model_score
+from ..operators.features import feature_ids, featurize_by_join
+from ..operators.scoring import Model, accuracy, model_score, score_by_join
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize, materialize_at, release, split_train_test
 from .train import train_weights
@@ -71,10 +71,16 @@ class SelfTrainResult:
     test_accuracy: float | None = None
     source: DataFrame | None = None  # last segment base (sent_id, text, label)
     segment: list = field(default_factory=list)  # models applied on top of it
+    n: int = defaults.N
+    frame: DataFrame | None = None  # model table, when the model is not held on the driver
 
     def labelled_text(self) -> DataFrame:
         """(sent_id, text, label) after the last round, in one narrow pass."""
-        return fold_labels(self.source, self.model.n, self.segment, self.threshold)
+        return fold_labels(self.source, self.n, self.segment, self.threshold)
+
+    def model_frame(self, spark) -> DataFrame:
+        """(ngram, fid, weight, n) of the last model."""
+        return self.frame if self.frame is not None else self.model.frame(spark)
 
 
 def _totals(counts: DataFrame) -> tuple[int, int, int]:
@@ -135,14 +141,21 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
                delta: float = defaults.DELTA, max_rounds: int | None = None,
                refresh_vocab: bool = True, materialize_input: bool = False,
                first: FirstRound | None = None, prepared: bool = False,
-               checkpoint_every: int = CHECKPOINT_EVERY) -> SelfTrainResult:
+               checkpoint_every: int = CHECKPOINT_EVERY,
+               max_lookup_keys: int = defaults.MAX_LOOKUP_KEYS) -> SelfTrainResult:
     """Run self-training on ``train`` (sent_id, text, label in {1,-1,0}).
 
     ``n_iter`` is the exact number of epochs per training (pass n_iter + 1
     to reproduce the Scala loop bounds). ``refresh_vocab=False`` keeps the
-    first round's vocabulary, as the notebook variant does.
+    first round's vocabulary, as the notebook variant does. A vocabulary
+    larger than ``max_lookup_keys`` runs the join form of the loop
+    (:func:`_self_train_joined`).
     """
-    _check_vocab_bound(m)
+    if m > max_lookup_keys:
+        if first is not None:
+            raise ValueError("a shared first round needs the in-row lookup (m within the bound)")
+        return _self_train_joined(train, test, n, m, n_iter, threshold, alpha, delta, max_rounds,
+                                  refresh_vocab, prepared, materialize_input)
     small = prepared and train.is_cached
     owned = None  # a cached copy made here, released before returning
     if not prepared:
@@ -194,7 +207,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
             rows = token_rows(base, n, ("sent_id", "label"), small)
     rows.unpersist()
     result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
-                             source=base, segment=segment)
+                             source=base, segment=segment, n=n)
     result.labels = result.labelled_text().select("sent_id", "label")
     if test is not None:
         result.test_accuracy = evaluate(test, result.model)
@@ -203,6 +216,75 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     return result
 
 
+def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int, n_iter: int,
+                       threshold: float, alpha: float, delta: float, max_rounds: int | None,
+                       refresh_vocab: bool, prepared: bool, materialize_input: bool) -> SelfTrainResult:
+    """Self-training for vocabularies too large to ship as a constant.
+
+    The vocabulary stays a DataFrame (never collected); only the m weights
+    come to the driver. Training rows are featurized with a join on the
+    N-gram (only hit ids are shuffled, by sentence); unknown rows are scored
+    with a join against the model table. The round's decisions are joined
+    back to the text base by ``sent_id`` and the base is rewritten as Parquet
+    every round: one text-sized shuffle per round, the price of this form.
+    """
+    spark = train.sparkSession
+    owned = None
+    if not prepared:
+        train, small = _prepare(train, materialize_input)
+        owned = train if small else None
+    base, base_path = train.select("sent_id", "text", "label"), None
+    vocab_frame, vocab_path, frame = None, None, None
+    history: list[RoundInfo] = []
+    rounds, unlabelled_prev, unlabelled = 0, None, 0
+    while True:
+        rows = tokenized(base, n, keep=("sent_id", "label"))
+        counts = class_counts_with_totals(rows, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            positives, negatives, unlabelled = _totals(counts)
+            if rounds and (unlabelled == 0 or unlabelled == unlabelled_prev
+                           or (max_rounds is not None and rounds >= max_rounds)):
+                break
+            if vocab_frame is None or refresh_vocab:
+                ranked = rank_vocab(counts, positives, negatives, m).select("ngram", "fid")
+                previous_vocab = vocab_path
+                vocab_frame, vocab_path = materialize_at(ranked, "vocab-joined")
+                release(spark, previous_vocab)
+        finally:
+            counts.unpersist()
+        unlabelled_prev = unlabelled
+        size = vocab_frame.count()
+        feats = featurize_by_join(rows.where(F.col("label") != 0), vocab_frame)
+        fit = train_weights(feats, size, n_iter, alpha, delta, measure=True)
+        weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(fit.weights)],
+                                        "fid int, weight double")
+        frame = (vocab_frame.join(weights, "fid", "left")
+                 .select("ngram", "fid", F.coalesce("weight", F.lit(0.0)).alias("weight"),
+                         F.lit(n).alias("n")))
+        rounds += 1
+        history.append(RoundInfo(rounds, positives, negatives, unlabelled, size, fit.epochs,
+                                 fit.l1[-1] if fit.l1 else None, fit.train_accuracy))
+        unknown = rows.where(F.col("label") == 0)
+        decided = (score_by_join(unknown, frame, ["sent_id"])
+                   .select("sent_id", threshold_decision(F.col("score"), threshold).alias("_new"))
+                   .where(F.col("_new").isNotNull()))
+        relabelled = (base.join(decided, "sent_id", "left")
+                      .select("sent_id", "text",
+                              F.coalesce(F.nullif(F.col("label"), F.lit(0)), F.col("_new"), F.lit(0)).alias("label")))
+        previous_path = base_path
+        base, base_path = materialize_at(relabelled, "selftrain-joined-state")
+        release(spark, previous_path)
+    result = SelfTrainResult(None, None, [None] * rounds, threshold, history, unlabelled,
+                             source=base, segment=[], n=n, frame=frame)
+    result.labels = base.select("sent_id", "label")
+    if test is not None:
+        scored = score_by_join(tokenized(test, n, keep=("sent_id", "label")), frame, ["sent_id"])
+        result.test_accuracy = accuracy(scored.join(test.select("sent_id", "label"), "sent_id")).first()["accuracy"]
+    if owned is not None:
+        owned.unpersist()
+    return result
+
+
 def fold_labels(base: DataFrame, n: int, segment: list, threshold: float) -> DataFrame:
     """(sent_id, text, label) with the segment's labels applied (narrow)."""
     chain = label_chain(F.col("label"), F.col("_ng"), segment, threshold)

@@ -165,3 +165,20 @@ def test_sorted_ranking_equals_topk(spark, split):
         b = [(r.ngram, r.fid, r.ig) for r in rank_vocab(counts, p, q, m, topk_max=0).orderBy("fid").collect()]
         assert a == b and [x[1] for x in a] == list(range(len(a)))
     counts.unpersist()
+
+
+def test_joined_self_train_equals_lookup_and_bruteforce(spark, split, bf_split):
+    train, test = split
+    params = dict(n=1, m=60, n_iter=6, threshold=0.2, alpha=0.02, delta=0.05)
+    joined = self_train(train, test, max_lookup_keys=10, **params)
+    lookup = self_train(train, test, **params)
+    got = {r.sent_id: r.label for r in joined.labels.collect()}
+    assert got == {r.sent_id: r.label for r in lookup.labels.collect()}
+    labels, models = bf.self_train(bf_split[0], 1, 60, 6, 0.2, 0.02, 0.05)
+    assert got == labels and len(joined.models) == len(models)
+    assert joined.test_accuracy == pytest.approx(lookup.test_accuracy, abs=1e-12)
+    a = {r.ngram: r.weight for r in joined.model_frame(spark).collect()}
+    b = {r.ngram: r.weight for r in lookup.model_frame(spark).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    text = {r.sent_id: r.label for r in joined.labelled_text().collect()}
+    assert text == got
