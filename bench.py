@@ -1,7 +1,8 @@
 """Headline timings: prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8)
-select the data and the local core count. Each query runs to completion
+select the data and the local core count; BENCH_EVENT_LOG=<folder> also
+writes Spark's event log there (stage and task timings). Each query runs to completion
 through the no-op sink, so the time covers the whole plan, including the
 driver-side loops of the iterative queries.
 """
@@ -58,9 +59,12 @@ WORKLOADS = dict(QUERIES, self_train_3r=_self_train_3r, search_2r=_search_2r)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
-                          conf={"spark.ui.showConsoleProgress": "false",
-                                "spark.driver.memory": "16g"})
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"}
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # a scratch folder for stage/task timings
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, conf=conf)
     # Warm-up (untimed): JVM start, JIT and code generation caches. A short
     # training exercises the epoch path; it releases everything it caches.
     WORKLOADS["label_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
