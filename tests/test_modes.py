@@ -61,3 +61,13 @@ def test_command_line(spark, tmp_path):
     assert results.count() == 2 and best.count() == 1
     empty, none = main(["--mod", "search"] + common, spark=spark)  # alpha start > end: no configuration
     assert empty.count() == 0 and none.count() == 0
+
+
+def test_module_entry_point_help():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "sprout", "--mod", "help"], cwd=root,
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "--mod train, search or test" in out.stdout
