@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,12 @@ class Model:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """(ngram, fid, weight, n) sorted by weight descending."""
-        rows = [(g, i, float(self.weights[i]), self.n) for i, g in enumerate(self.vocab.ngrams)]
-        df = spark.createDataFrame(rows, "ngram string, fid int, weight double, n int")
+        size = self.vocab.size
+        table = pd.DataFrame({"ngram": pd.Series(self.vocab.ngrams, dtype="object"),
+                              "fid": np.arange(size, dtype="int32"),
+                              "weight": np.asarray(self.weights, dtype="float64"),
+                              "n": np.full(size, self.n, dtype="int32")})
+        df = spark.createDataFrame(table, "ngram string, fid int, weight double, n int")
         return df.orderBy(F.col("weight").desc(), F.col("ngram"))
 
 

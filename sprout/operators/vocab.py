@@ -148,6 +148,9 @@ class Vocabulary:
                    build_lookup([(r[0], r[1], r[2]) for r in rows]))
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(g, i) for i, g in enumerate(self.ngrams)],
-                                     "ngram string, fid int")
+        import numpy as np
+        import pandas as pd
+        table = pd.DataFrame({"ngram": pd.Series(self.ngrams, dtype="object"),
+                              "fid": np.arange(self.size, dtype="int32")})
+        return spark.createDataFrame(table, "ngram string, fid int")
 

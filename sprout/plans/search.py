@@ -28,13 +28,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..defaults import MAX_LOOKUP_KEYS
 from ..functions.lookup import build_lookup
 from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
 from ..sources.fixtures import materialize_at, release
-from .selftrain import (CHECKPOINT_EVERY, FirstRound, RoundInfo, _check_vocab_bound, _prepare, _totals,
-                        label_chain, token_rows)
+from .selftrain import (CHECKPOINT_EVERY, FirstRound, RoundInfo, _prepare, _totals, label_chain,
+                        self_train, token_rows)
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -248,7 +249,8 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
 def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
            num_iter=(100, 100, 100), threshold=(0.5, 0.5, 0.1), alpha=(0.002, 0.002, 0.002),
            delta=(0.05, 0.05, 0.05), max_rounds: int | None = None,
-           checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+           checkpoint_every: int = CHECKPOINT_EVERY,
+           max_lookup_keys: int = MAX_LOOKUP_KEYS) -> DataFrame:
     """(config_id, n, m, num_iter, threshold, alpha, delta, accuracy, rounds).
 
     All configurations with the same N advance together: one class-count
@@ -257,12 +259,21 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
     configuration (off by default: every configuration runs to convergence).
     """
     spark = train.sparkSession
-    configs = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
-    for c in configs:
-        _check_vocab_bound(c.m)
+    everything = grid_configs(n=n, m=m, num_iter=num_iter, threshold=threshold, alpha=alpha, delta=delta)
+    # Configurations whose vocabulary exceeds the in-row lookup bound run one
+    # by one in self-training's join form; the rest advance together.
+    configs = [c for c in everything if c.m <= max_lookup_keys]
     train, small = _prepare(train)
-    firsts = _shared_first_rounds(train, configs)
     rows = []
+    for c in everything:
+        if c.m > max_lookup_keys:
+            result = self_train(train, test, n=c.n, m=c.m, n_iter=c.num_iter, threshold=c.threshold,
+                                alpha=c.alpha, delta=c.delta, max_rounds=max_rounds, prepared=True,
+                                max_lookup_keys=max_lookup_keys)
+            acc = result.test_accuracy
+            rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
+                         None if acc is None else round(float(acc), 9), len(result.models)))
+    firsts = _shared_first_rounds(train, configs)
     for n_value in sorted({c.n for c in configs}):
         group = [c for c in configs if c.n == n_value]
         outcome = _run_group(train, test, n_value, group, firsts, max_rounds, checkpoint_every, small)

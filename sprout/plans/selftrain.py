@@ -23,6 +23,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,13 +131,6 @@ def token_rows(base: DataFrame, n: int, keep, small: bool) -> DataFrame:
     return rows.persist(StorageLevel.MEMORY_AND_DISK) if small else rows
 
 
-def _check_vocab_bound(m: int) -> None:
-    """Self-training probes every round's vocabulary in-row; it must fit the bound."""
-    if m > defaults.MAX_LOOKUP_KEYS:
-        raise ValueError(f"m={m} exceeds MAX_LOOKUP_KEYS={defaults.MAX_LOOKUP_KEYS}: self-training "
-                         "ships each vocabulary to tasks as a constant; use a smaller m")
-
-
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
                m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
@@ -256,8 +252,8 @@ def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int,
         size = vocab_frame.count()
         feats = featurize_by_join(rows.where(F.col("label") != 0), vocab_frame)
         fit = train_weights(feats, size, n_iter, alpha, delta, measure=True)
-        weights = spark.createDataFrame([(i, float(w)) for i, w in enumerate(fit.weights)],
-                                        "fid int, weight double")
+        weights = spark.createDataFrame(pd.DataFrame({"fid": np.arange(size, dtype="int32"),
+                                                      "weight": fit.weights.astype("float64")}))
         frame = (vocab_frame.join(weights, "fid", "left")
                  .select("ngram", "fid", F.coalesce("weight", F.lit(0.0)).alias("weight"),
                          F.lit(n).alias("n")))

@@ -44,3 +44,14 @@ def test_best_config_first_max_and_default(spark):
     assert best_config(df).first().config_id == 1
     zeros = spark.createDataFrame([(0, 1, 1, 1, 0.5, 0.1, 0.1, 0.0, 1), (1, 1, 2, 1, 0.5, 0.1, 0.1, 0.0, 1)], schema)
     assert best_config(zeros).first().config_id == 0
+
+
+def test_search_large_m_uses_join_form(spark):
+    train, test = split_train_test(sentences(spark, SF_SMALL))
+    grid = dict(n=(1, 1, 1), m=(20, 40, 20), num_iter=(4, 4, 1), threshold=(0.2, 0.2, 0.1),
+                alpha=(0.02, 0.02, 0.01), delta=(0.05, 0.05, 0.05))
+    mixed = {r.config_id: (r.accuracy, r.rounds) for r in search(train, test, max_lookup_keys=30, **grid).collect()}
+    plain = {r.config_id: (r.accuracy, r.rounds) for r in search(train, test, **grid).collect()}
+    assert mixed.keys() == plain.keys() == {0, 1}
+    for k in plain:
+        assert mixed[k][1] == plain[k][1] and abs((mixed[k][0] or 0) - (plain[k][0] or 0)) < 1e-12
