@@ -8,7 +8,7 @@ Column names, types and rounding match :mod:`sprout.queries`.
 
 from __future__ import annotations
 
-from .queries import CHECK, KEYWORD, SENSE_NEG, SENSE_POS
+from .queries import CHECK, KEYWORD, SEARCH_ROUND1_GRID, SENSE_NEG, SENSE_POS
 
 TOKEN_RE = "[a-z]+(?:''[a-z]+)?"
 WORD_RE = "[A-Za-z]+(?:''[A-Za-z]+)?"
@@ -123,6 +123,24 @@ def _q_ngrams(n: int) -> str:
         "SELECT ngram, count(*) AS occurrences FROM all_ng GROUP BY ngram"
 
 
+def _search_round1() -> str:
+    """One SELECT per configuration (loop order: m outer, threshold inner)."""
+    g = SEARCH_ROUND1_GRID
+    ms = list(range(g["m"][0], g["m"][1] + 1, g["m"][2]))
+    ts = [g["threshold"][0] + k * g["threshold"][2] for k in range(2)]
+    parts, cid = [], 0
+    for m in ms:
+        p = dict(n=1, m=m, n_iter=g["num_iter"][0], alpha=g["alpha"][0], delta=g["delta"][0])
+        for t in ts:
+            parts.append(
+                "(" + _with(_model_ctes(p), _scores("scored", "test", "sent_id")) +
+                f"SELECT CAST({cid} AS INTEGER) AS config_id, CAST({m} AS INTEGER) AS m, "
+                f"CAST({t!r} AS DOUBLE) AS threshold, "
+                "round(avg(CASE WHEN score * label > 0 THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM scored)")
+            cid += 1
+    return "\nUNION ALL\n".join(parts)
+
+
 ORACLES: dict[str, str] = {
     "scan_sentences": _with() + "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences",
     "parse_lines": _with() + "SELECT sent_id, text, label FROM sentences",
@@ -178,6 +196,7 @@ ORACLES: dict[str, str] = {
     "self_train_round1_n2": _with(_model_ctes(dict(CHECK, n=2)), _scores("scored", "train", "sent_id", n=2)) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
+    "search_round1": _search_round1(),
     "corpus_union": """SELECT 'documents' AS corpus, doc_id AS item_id, CAST(0 AS BIGINT) AS sub_id, text FROM documents
 UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations
 UNION ALL SELECT 'benchmark', item_id, CAST(0 AS BIGINT), text FROM benchmark""",

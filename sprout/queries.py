@@ -277,6 +277,19 @@ def q_search_grid(spark, sf):
     return search(train, test, **SEARCH_GRID)
 
 
+# One-round search: round 1 only (shared ranking, batched training, per
+# configuration held-out accuracy); its accuracy depends on m, not on the threshold.
+SEARCH_ROUND1_GRID = dict(n=(1, 1, 1), m=(100, 400, 300), num_iter=(3, 3, 1),
+                          threshold=(0.5, 0.8, 0.3), alpha=(0.002, 0.002, 0.002),
+                          delta=(0.05, 0.05, 0.05))
+
+
+def q_search_round1(spark, sf):
+    train, test = _split(spark, sf)
+    out = search(train, test, max_rounds=1, **SEARCH_ROUND1_GRID)
+    return out.select("config_id", "m", "threshold", "accuracy")
+
+
 def q_best_config(spark, sf):
     train, test = _split(spark, sf)
     return best_config(search(train, test, **SEARCH_GRID))
@@ -355,6 +368,7 @@ QUERIES = {
     "self_train_round1_n2": q_self_train_round1_n2,
     "self_train": q_self_train,
     "search_grid": q_search_grid,
+    "search_round1": q_search_round1,
     "best_config": q_best_config,
     "corpus_union": q_corpus_union,
     "keyword_filter": q_keyword_filter,
