@@ -8,7 +8,7 @@ Column names, types and rounding match :mod:`sprout.queries`.
 
 from __future__ import annotations
 
-from .queries import CHECK, KEYWORD, SEARCH_ROUND1_GRID, SENSE_NEG, SENSE_POS
+from .queries import CHECK, KEYWORD, ROUND2, SEARCH_ROUND1_GRID, SENSE_NEG, SENSE_POS
 
 TOKEN_RE = "[a-z]+(?:''[a-z]+)?"
 WORD_RE = "[A-Za-z]+(?:''[A-Za-z]+)?"
@@ -53,63 +53,81 @@ def _ig_expr() -> str:
             f"THEN {expr} END, 9)")
 
 
-def _vocab_ctes(n: int, m: int) -> str:
+def _vocab_ctes(n: int, m: int, pfx: str = "", train: str = "train") -> str:
+    """{pfx}train_ng, {pfx}totals, {pfx}class_counts, {pfx}gains, {pfx}vocab over ``train``."""
     return f""",
-{_ngram_cte('train_ng', 'train', n)},
-totals AS (SELECT count(*) FILTER (WHERE label = 1) AS tot_p, count(*) FILTER (WHERE label = -1) AS tot_q FROM train),
-class_counts AS (
+{_ngram_cte(pfx + 'train_ng', train, n)},
+{pfx}totals AS (SELECT count(*) FILTER (WHERE label = 1) AS tot_p, count(*) FILTER (WHERE label = -1) AS tot_q FROM {train}),
+{pfx}class_counts AS (
   SELECT ngram, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = -1) AS neg
-  FROM (SELECT DISTINCT sent_id, label, ngram FROM train_ng WHERE label <> 0) GROUP BY ngram),
-gains AS (SELECT ngram, pos, neg, {_ig_expr()} AS ig FROM class_counts, totals),
-vocab AS MATERIALIZED (
+  FROM (SELECT DISTINCT sent_id, label, ngram FROM {pfx}train_ng WHERE label <> 0) GROUP BY ngram),
+{pfx}gains AS (SELECT ngram, pos, neg, {_ig_expr()} AS ig FROM {pfx}class_counts, {pfx}totals),
+{pfx}vocab AS MATERIALIZED (
   SELECT ngram, CAST(row_number() OVER (ORDER BY ig DESC NULLS LAST, ngram) - 1 AS INTEGER) AS fid, ig, pos, neg
-  FROM gains QUALIFY row_number() OVER (ORDER BY ig DESC NULLS LAST, ngram) <= {m})"""
+  FROM {pfx}gains QUALIFY row_number() OVER (ORDER BY ig DESC NULLS LAST, ngram) <= {m})"""
 
 
-def _epoch(e: int, alpha: float) -> str:
-    prev = f"w{e - 1}"
+def _epoch(e: int, alpha: float, pfx: str = "") -> str:
+    prev = f"{pfx}w{e - 1}"
     return f""",
-score{e} AS (SELECT o.sent_id, any_value(o.label) AS label, sum(coalesce(w.weight, 0.0)) AS score
-            FROM occ o LEFT JOIN {prev} w ON o.fid = w.fid GROUP BY o.sent_id),
-d{e} AS (SELECT o.fid, sum(((CASE WHEN s.label > 0 THEN 1.0 ELSE 0.0 END) - 1.0 / (1.0 + exp(-s.score))) * {alpha!r}) AS delta
-        FROM occ o JOIN score{e} s ON o.sent_id = s.sent_id GROUP BY o.fid),
-l1_{e} AS (SELECT coalesce(sum(abs(delta)), 0.0) AS l1 FROM d{e}),
-w{e} AS MATERIALIZED (SELECT d.fid, d.delta + coalesce(w.weight, 0.0) AS weight FROM d{e} d LEFT JOIN {prev} w ON d.fid = w.fid)"""
+{pfx}score{e} AS (SELECT o.sent_id, any_value(o.label) AS label, sum(coalesce(w.weight, 0.0)) AS score
+            FROM {pfx}occ o LEFT JOIN {prev} w ON o.fid = w.fid GROUP BY o.sent_id),
+{pfx}d{e} AS (SELECT o.fid, sum(((CASE WHEN s.label > 0 THEN 1.0 ELSE 0.0 END) - 1.0 / (1.0 + exp(-s.score))) * {alpha!r}) AS delta
+        FROM {pfx}occ o JOIN {pfx}score{e} s ON o.sent_id = s.sent_id GROUP BY o.fid),
+{pfx}l1_{e} AS (SELECT coalesce(sum(abs(delta)), 0.0) AS l1 FROM {pfx}d{e}),
+{pfx}w{e} AS MATERIALIZED (SELECT d.fid, d.delta + coalesce(w.weight, 0.0) AS weight FROM {pfx}d{e} d LEFT JOIN {prev} w ON d.fid = w.fid)"""
 
 
-def _model_ctes(p=CHECK) -> str:
-    """vocab, occ (labelled training occurrences), w1..w3, model (ngram, fid, weight, n)."""
+def _model_ctes(p=CHECK, pfx: str = "", train: str = "train") -> str:
+    """{pfx}vocab, {pfx}occ (labelled occurrences), {pfx}w1.., {pfx}model (ngram, fid, weight, n)."""
     n, m, alpha, delta = p["n"], p["m"], p["alpha"], p["delta"]
-    sql = _vocab_ctes(n, m)
-    sql += """,
-occ AS MATERIALIZED (SELECT t.sent_id, t.label, v.fid FROM train_ng t JOIN vocab v ON t.ngram = v.ngram WHERE t.label <> 0),
-w0 AS (SELECT CAST(NULL AS INTEGER) AS fid, CAST(NULL AS DOUBLE) AS weight WHERE false)"""
+    sql = _vocab_ctes(n, m, pfx, train)
+    sql += f""",
+{pfx}occ AS MATERIALIZED (SELECT t.sent_id, t.label, v.fid FROM {pfx}train_ng t JOIN {pfx}vocab v ON t.ngram = v.ngram WHERE t.label <> 0),
+{pfx}w0 AS (SELECT CAST(NULL AS INTEGER) AS fid, CAST(NULL AS DOUBLE) AS weight WHERE false)"""
     epochs = p["n_iter"]
     for e in range(1, epochs + 1):
-        sql += _epoch(e, alpha)
+        sql += _epoch(e, alpha, pfx)
     # Stop right after the first epoch whose L1 step is below delta.
     parts = []
     for e in range(1, epochs + 1):
-        before = " AND ".join(f"(SELECT l1 FROM l1_{k}) >= {delta!r}" for k in range(1, e)) or "true"
-        last = f"(SELECT l1 FROM l1_{e}) < {delta!r}" if e < epochs else "true"
-        parts.append(f"SELECT fid, weight FROM w{e} WHERE {before} AND {last}")
-    sql += ",\nwfinal AS (" + " UNION ALL ".join(parts) + ")"
+        before = " AND ".join(f"(SELECT l1 FROM {pfx}l1_{k}) >= {delta!r}" for k in range(1, e)) or "true"
+        last = f"(SELECT l1 FROM {pfx}l1_{e}) < {delta!r}" if e < epochs else "true"
+        parts.append(f"SELECT fid, weight FROM {pfx}w{e} WHERE {before} AND {last}")
+    sql += f",\n{pfx}wfinal AS (" + " UNION ALL ".join(parts) + ")"
     sql += f""",
-model AS MATERIALIZED (SELECT v.ngram, v.fid, coalesce(w.weight, 0.0) AS weight, CAST({n} AS INTEGER) AS n
-          FROM vocab v LEFT JOIN wfinal w ON v.fid = w.fid)"""
+{pfx}model AS MATERIALIZED (SELECT v.ngram, v.fid, coalesce(w.weight, 0.0) AS weight, CAST({n} AS INTEGER) AS n
+          FROM {pfx}vocab v LEFT JOIN {pfx}wfinal w ON v.fid = w.fid)"""
     return sql
 
 
-def _scores(name: str, source: str, keys: str, n: int = 1) -> str:
-    """``name`` (keys..., score) for every row of ``source`` under ``model``."""
-    first = keys.split(",")[0].strip()
+def _scores(name: str, source: str, keys: str, n: int = 1, model: str = "model") -> str:
+    """``name`` (source columns..., score) for every row of ``source`` under ``model``."""
     on = " AND ".join(f"r.{k.strip()} = h.{k.strip()}" for k in keys.split(","))
     return f""",
 {_ngram_cte(name + '_ng', source, n, keys)},
-{name}_hits AS (SELECT {keys}, sum(m.weight) AS s FROM {name}_ng g JOIN model m ON g.ngram = m.ngram GROUP BY {keys}),
+{name}_hits AS (SELECT {keys}, sum(m.weight) AS s FROM {name}_ng g JOIN {model} m ON g.ngram = m.ngram GROUP BY {keys}),
 {name} AS (SELECT r.*, coalesce(h.s, 0.0) AS score FROM {source} r LEFT JOIN {name}_hits h ON {on})"""
 
 
+def _relabel_sql(scored: str, threshold: float) -> str:
+    return (f"SELECT sent_id, text, CAST(CASE WHEN label <> 0 THEN label WHEN score > {threshold!r} THEN 1 "
+            f"WHEN score < -{threshold!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM {scored}")
+
+
+def _self_train_round2(p=CHECK) -> str:
+    """Two rounds of the loop, with its stop rule after round 1."""
+    t = p["threshold"]
+    ctes = (_model_ctes(p, "r1_", "train") + _scores("r1_scored", "train", "sent_id", p["n"], "r1_model")
+            + f",\ntrain2 AS MATERIALIZED ({_relabel_sql('r1_scored', t)})"
+            + _model_ctes(p, "r2_", "train2") + _scores("r2_scored", "train2", "sent_id", p["n"], "r2_model")
+            + f",\ntrain3 AS ({_relabel_sql('r2_scored', t)})"
+            + ",\nu AS (SELECT (SELECT count(*) FROM train WHERE label = 0) AS u0, "
+              "(SELECT count(*) FROM train2 WHERE label = 0) AS u1)")
+    return _with(ctes) + ("SELECT sent_id, label FROM train2 WHERE (SELECT u1 FROM u) = 0 OR (SELECT u1 FROM u) = (SELECT u0 FROM u)\n"
+                          "UNION ALL SELECT sent_id, label FROM train3 WHERE (SELECT u1 FROM u) > 0 AND (SELECT u1 FROM u) <> (SELECT u0 FROM u)")
+
+
 def r6(x: str) -> str:
     return f"(round({x}, 6) + 0.0)"
 
@@ -193,6 +211,7 @@ ORACLES: dict[str, str] = {
     "self_train_round1": _with(_model_ctes(), _scores("scored", "train", "sent_id")) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
+    "self_train_round2": _self_train_round2(ROUND2),
     "self_train_round1_n2": _with(_model_ctes(dict(CHECK, n=2)), _scores("scored", "train", "sent_id", n=2)) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),

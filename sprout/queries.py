@@ -258,6 +258,17 @@ def q_self_train_round1(spark, sf):
     return result.labels.select("sent_id", "label")
 
 
+# Two-round self-training: parameters under which round 2 labels new rows.
+ROUND2 = dict(n=1, m=400, n_iter=3, threshold=0.3, alpha=0.05, delta=0.05)
+
+
+def q_self_train_round2(spark, sf):
+    """Two rounds of self-training (the second on the grown labels)."""
+    train, _ = _split(spark, sf)
+    result = self_train(train, None, max_rounds=2, **ROUND2)
+    return result.labels.select("sent_id", "label")
+
+
 def q_self_train_round1_n2(spark, sf):
     train, _ = _split(spark, sf)
     result = self_train(train, None, max_rounds=1, **dict(CHECK, n=2))
@@ -366,6 +377,7 @@ QUERIES = {
     "score_batch": q_score_batch,
     "self_train_round1": q_self_train_round1,
     "self_train_round1_n2": q_self_train_round1_n2,
+    "self_train_round2": q_self_train_round2,
     "self_train": q_self_train,
     "search_grid": q_search_grid,
     "search_round1": q_search_round1,
