@@ -212,6 +212,9 @@ ORACLES: dict[str, str] = {
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
     "self_train_round2": _self_train_round2(ROUND2),
+    "selftrain_output_lines": _with(_model_ctes(), _scores("scored", "train", "sent_id"),
+                                    f",\nlabelled AS ({_relabel_sql('scored', CHECK['threshold'])})") + (
+        "SELECT sent_id, text || CASE label WHEN 1 THEN '+' WHEN -1 THEN '-' ELSE '0' END AS value FROM labelled"),
     "self_train_round1_n2": _with(_model_ctes(dict(CHECK, n=2)), _scores("scored", "train", "sent_id", n=2)) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),

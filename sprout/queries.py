@@ -269,6 +269,13 @@ def q_self_train_round2(spark, sf):
     return result.labels.select("sent_id", "label")
 
 
+def q_selftrain_output_lines(spark, sf):
+    """Labelled-line output after one self-training round (text + marker)."""
+    train, _ = _split(spark, sf)
+    result = self_train(train, None, max_rounds=1, **CHECK)
+    return encode_labelled(result.labelled_text(), keep=("sent_id",))
+
+
 def q_self_train_round1_n2(spark, sf):
     train, _ = _split(spark, sf)
     result = self_train(train, None, max_rounds=1, **dict(CHECK, n=2))
@@ -378,6 +385,7 @@ QUERIES = {
     "self_train_round1": q_self_train_round1,
     "self_train_round1_n2": q_self_train_round1_n2,
     "self_train_round2": q_self_train_round2,
+    "selftrain_output_lines": q_selftrain_output_lines,
     "self_train": q_self_train,
     "search_grid": q_search_grid,
     "search_round1": q_search_round1,
