@@ -35,3 +35,16 @@ def test_oracle_agreement(spark, name):
         return sorted(tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in idx) for r in rows)
 
     assert norm([tuple(r) for r in df.collect()], df.columns) == norm(res.fetchall(), res.columns)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_query_runs_small(spark, name):
+    from conftest import SF_SMALL
+    df = E.queries()[name](spark, SF_SMALL)
+    rows = df.collect()
+    assert len(rows) > 0 and len(df.columns) == len(set(df.columns))
+    if name in E.oracle_sql():
+        con = duckdb.connect()
+        for t in TABLES:
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        assert sorted(con.sql(E.oracle_sql()[name]).columns) == sorted(df.columns)
