@@ -155,6 +155,29 @@ def _group_counts(state: DataFrame, slots: list) -> DataFrame:
                  F.count_if(F.col("lab") == 0).alias("unlabelled")))
 
 
+def _slot_vocabularies(counts: DataFrame, totals: dict, sizes: dict, n: int) -> dict:
+    """Every active slot's top-m vocabulary, collected in one job.
+
+    Each slot is still its own bounded top-m (``TakeOrderedAndProject``);
+    the union only saves one driver round trip per configuration.
+    """
+    parts = []
+    for s, m in sizes.items():
+        p, q, _ = totals[s]
+        ranked = rank_vocab(counts.where(F.col("slot") == s).drop("slot"), p, q, m)
+        parts.append(ranked.select(F.lit(s).alias("slot"), "ngram", "fid", F.xxhash64("ngram").alias("_h")))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    rows = union.collect()
+    out = {}
+    for s in sizes:
+        mine = sorted((r for r in rows if r["slot"] == s), key=lambda r: r["fid"])
+        out[s] = Vocabulary(n, tuple(r["ngram"] for r in mine),
+                            build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in mine]))
+    return out
+
+
 def _chained_labs(width: int, segment: dict, thresholds: dict):
     """Each slot's label after its segment models (first non-zero wins)."""
     return F.array(*[label_chain(_labs(s), F.col("ng"), segment.get(s, []), thresholds[s])
@@ -210,11 +233,7 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
             active = still
             if not active:
                 break
-            vocabs = {}
-            for s in active:
-                p, q, _ = totals[s]
-                part = counts.where(F.col("slot") == s).drop("slot")
-                vocabs[s] = Vocabulary.from_frame(rank_vocab(part, p, q, group[s].m), n)
+            vocabs = _slot_vocabularies(counts, totals, {s: group[s].m for s in active}, n)
         finally:
             counts.unpersist()
         parts = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("label"),
