@@ -43,6 +43,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--test_input", default=None, help="Parquet table with a text column to score")
     p.add_argument("--text_col", default="text")
     p.add_argument("--key_cols", default=None, help="comma-separated key columns of --test_input")
+    p.add_argument("--scala_epochs", action="store_true",
+                   help="run num_iter + 1 epochs per training (the Scala loop bounds)")
+    p.add_argument("--fixed_vocab", action="store_true",
+                   help="train mode: keep round 1's vocabulary (the notebook variant)")
+    p.add_argument("--strip_chars", type=int, default=1, help="characters dropped from each line end (3: notebook)")
     for name, kind, (start, end, step) in PARAMETERS:
         p.add_argument(f"--{name}_start", type=kind, default=start)
         p.add_argument(f"--{name}_end", type=kind, default=end)
@@ -57,17 +62,22 @@ def main(argv=None, spark: SparkSession | None = None):
         return None
     spark = spark or SparkSession.builder.appName("sprout").getOrCreate()
     ensure_checkpoint_dir(spark)
+    extra = 1 if args.scala_epochs else 0
     if args.mod == "train":
         result = train_mode(spark, args.input, args.output, args.model,
-                            n=args.n_start, m=args.m_start, n_iter=args.num_iter_start,
+                            n=args.n_start, m=args.m_start, n_iter=args.num_iter_start + extra,
                             threshold=args.threshold_start, alpha=args.alpha_start,
-                            delta=args.delta_start, legacy_model_path=args.legacy_model)
+                            delta=args.delta_start, legacy_model_path=args.legacy_model,
+                            strip_chars=args.strip_chars, refresh_vocab=not args.fixed_vocab)
         print(f"rounds: {len(result.models)}  test accuracy: {result.test_accuracy}")
         return result
     if args.mod == "search":
         ranges = {name: (getattr(args, f"{name}_start"), getattr(args, f"{name}_end"),
                          getattr(args, f"{name}_step")) for name, _, _ in PARAMETERS}
-        results, best = search_mode(spark, args.input, **ranges)
+        if extra:
+            start, end, step = ranges["num_iter"]
+            ranges["num_iter"] = (start + extra, end + extra, step)
+        results, best = search_mode(spark, args.input, strip_chars=args.strip_chars, **ranges)
         results.orderBy("config_id").show(truncate=False)
         row = best.first()
         if row is None:  # empty grid: the start values stand, with accuracy 0

@@ -25,12 +25,12 @@ def train_mode(spark: SparkSession, input_path: str, output_path: str, model_pat
                n: int = defaults.N, m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
                delta: float = defaults.DELTA, legacy_model_path: str | None = None,
-               strip_chars: int = 1) -> SelfTrainResult:
+               strip_chars: int = 1, refresh_vocab: bool = True) -> SelfTrainResult:
     """Self-train on labelled lines; write labelled lines and the model."""
     sents = read_labelled_lines(spark, input_path, strip_chars=strip_chars, index=True)
     train, test = split_train_test(sents)
     result = self_train(train, test, n=n, m=m, n_iter=n_iter, threshold=threshold,
-                        alpha=alpha, delta=delta)
+                        alpha=alpha, delta=delta, refresh_vocab=refresh_vocab)
     write_labelled_lines(result.labelled_text(), output_path)
     frame = result.model_frame(spark)
     write_model(frame, model_path)

@@ -21,6 +21,7 @@ training epochs.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -61,6 +62,7 @@ class RoundInfo:
     epochs: int
     last_l1: float | None
     train_accuracy: float | None
+    seconds: float | None = None  # wall time of the round (ranking, training, state)
 
 
 @dataclass
@@ -173,6 +175,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         vocab = first.model.vocab
         unlabelled_prev = first.unlabelled
     while True:
+        started = time.perf_counter()
         staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
         counts = class_counts_with_totals(staged, F.col("_lab")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -201,6 +204,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
             segment = []
             rows.unpersist()
             rows = token_rows(base, n, ("sent_id", "label"), small)
+        info.seconds = round(time.perf_counter() - started, 3)
     rows.unpersist()
     result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
                              source=base, segment=segment, n=n)

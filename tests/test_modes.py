@@ -71,3 +71,15 @@ def test_module_entry_point_help():
     out = subprocess.run([sys.executable, "-m", "sprout", "--mod", "help"], cwd=root,
                          capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and "--mod train, search or test" in out.stdout
+
+
+def test_command_line_variants(spark, tmp_path):
+    from sprout.cli import main
+    _write_lines(spark, tmp_path / "in.txt")
+    result = main(["--mod", "train", "--input", str(tmp_path / "in.txt"), "--output", str(tmp_path / "out"),
+                   "--model", str(tmp_path / "model"), "--m_start", "30", "--num_iter_start", "2",
+                   "--threshold_start", "0.05", "--alpha_start", "0.05", "--delta_start", "0.0",
+                   "--scala_epochs", "--fixed_vocab"], spark=spark)
+    assert all(h.epochs == 3 for h in result.history)
+    assert all(m.vocab.ngrams == result.models[0].vocab.ngrams for m in result.models)
+    assert all(h.seconds is not None and h.seconds > 0 for h in result.history)
