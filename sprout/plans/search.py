@@ -216,7 +216,9 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
     base_path = None
     rows = token_rows(base, n, ("sent_id", "labs"), small)
     while active:
-        staged = rows.withColumn("labs", _chained_labs(width, segment, thresholds))
+        # Stopped slots are never read again within the round; only the
+        # active ones pay for their chains (the fold below applies all).
+        staged = rows.withColumn("labs", _chained_labs(width, {s: segment[s] for s in active}, thresholds))
         counts = _group_counts(staged, active).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             totals = {r.slot: (int(r.pos), int(r.neg), int(r.unlabelled))
