@@ -40,3 +40,17 @@ def start_scoring(spark: SparkSession, source_path: str, schema: str, model_fram
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def start_scoring_text(spark: SparkSession, source_path: str, model_frame: DataFrame, sink_path: str,
+                       checkpoint: str | None = None, trigger_once: bool = False) -> StreamingQuery:
+    """Text files of sentences (one per line) in, (file, text, score, label) Parquet out."""
+    lines = spark.readStream.text(source_path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    out = score_stream(lines, model_frame, keys=["file", "text"], text="text")
+    writer = (out.writeStream.format("parquet").outputMode("append")
+              .option("path", sink_path)
+              .option("checkpointLocation", checkpoint or scratch_path(spark, "score-text-stream")))
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

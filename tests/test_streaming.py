@@ -18,3 +18,21 @@ def test_stream_scores_equal_batch(spark, tmp_path):
     want = {(r.conv_id, r.turn): (round(r.score, 9), r.label)
             for r in score_batch(conv, frame, ["conv_id", "turn"]).collect()}
     assert got == want and len(got) == conv.count()
+
+
+def test_text_stream_scores_equal_batch(spark, tmp_path):
+    from sprout.streaming import start_scoring_text
+    train, _ = split_train_test(sentences(spark, SF_SMALL))
+    frame = self_train(train, None, n=1, m=80, n_iter=5, max_rounds=1).model.frame(spark)
+    src = tmp_path / "text-in"
+    src.mkdir()
+    texts = ["the bank of the river", "money in the bank", "", "x y z"]
+    (src / "a.txt").write_text("\n".join(texts[:2]) + "\n")
+    (src / "b.txt").write_text("\n".join(texts[2:]) + "\n")
+    sink = str(tmp_path / "text-out")
+    q = start_scoring_text(spark, str(src), frame, sink, checkpoint=str(tmp_path / "ck"), trigger_once=True)
+    q.awaitTermination(120)
+    got = {r.text: round(r.score, 9) for r in spark.read.parquet(sink).collect()}
+    batch = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    want = {texts[r.i]: round(r.score, 9) for r in score_batch(batch, frame, ["i"]).collect()}
+    assert got == want
