@@ -71,7 +71,7 @@ def main() -> None:
     from sprout.plans import self_train
     from sprout.sources import sentences, split_train_test
     warm_train, _ = split_train_test(sentences(spark, sf_dir))
-    self_train(warm_train, None, n_iter=10, max_rounds=1).labels.write.format("noop").mode("overwrite").save()
+    self_train(warm_train, None, n_iter=40, max_rounds=2).labels.write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         start = time.perf_counter()
