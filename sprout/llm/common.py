@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from sprout.session import ensure_checkpoint_dir
 from sprout.sources.fixtures import materialize
@@ -53,16 +55,17 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
 def per_row(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str) -> DataFrame:
     """Apply a row function in Arrow batches: columns of ``df`` in, ``schema`` out.
 
     ``make`` runs once per task and returns the function, so models and
     compiled patterns are built there. One slice of texts is held at a time.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    target = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

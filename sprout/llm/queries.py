@@ -7,6 +7,19 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .ftrl import quality_scores
+from .packing import pack
+from .sharding import shard
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled splitters: eight shards of near-equal bytes."""
+    return shard(table(spark, sf_dir, "documents"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +27,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large-item matching: every piece and its place in a sequence."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FTRL logistic regression on hashed n-grams: a score for every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES = {
+    "op1_sharding": op1_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 LLM_ORACLES = {
