@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .ftrl import quality_scores
 from .packing import pack
@@ -27,6 +28,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional inverted index: benchmark phrases in every document."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Large-item matching: every piece and its place in a sequence."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -40,6 +46,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op10_quality_classifier": op10_quality_classifier,
 }
@@ -56,4 +63,27 @@ SELECT doc_id,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept,
        text_sha256
 FROM d""",
+    "op5_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + 9), ' ') AS gram
+  FROM i, unnest(range(1, greatest(len(w) - 8, 2))) AS r(s) WHERE len(w) > 0),
+m AS (
+  SELECT DISTINCT doc_id, s, l.n, array_to_string(list_slice(w, s, s + l.n - 1), ' ') AS gram
+  FROM (SELECT DISTINCT n FROM win) l, d, unnest(range(1, len(w) - l.n + 2)) AS r(s)
+  WHERE len(w) >= l.n),
+hit AS (SELECT doc_id, s, m.n, item_id FROM m JOIN win ON m.gram = win.gram AND m.n = win.n),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hit, unnest(range(s, s + n)) AS r(p) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }
