@@ -9,6 +9,7 @@ from .common import table
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .ftrl import quality_scores
+from .jaccard import jaccard_components
 from .packing import pack
 from .sharding import shard
 
@@ -38,6 +39,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set-relation skipping: every document's component of Jaccard links."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FTRL logistic regression on hashed n-grams: a score for every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,6 +54,7 @@ LLM_QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
