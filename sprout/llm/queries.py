@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
 from .decontam import decontaminate
 from .exact_dedup import exact_dedup
 from .ftrl import quality_scores
 from .jaccard import jaccard_components
+from .licenses import scan_licenses
 from .packing import pack
+from .pii import scan_pii
+from .secrets_scan import scan_secrets
 from .sharding import shard
+from .toxicity import toxicity_scores
 
 
 def tokenizer_path() -> str:
@@ -24,6 +27,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered signature rules: license labels of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees with isotonic calibration: a score for every document."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content sort: who keeps its text, for every document."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -44,6 +57,16 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and sliding-window entropy: secrets in every document."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns and a conditional random field: personal data in every document."""
+    return scan_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FTRL logistic regression on hashed n-grams: a score for every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -51,10 +74,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_license_scan": op2_license_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_pii": op9_pii,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
