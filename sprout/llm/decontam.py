@@ -40,8 +40,8 @@ def _id(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("\x00"))
 
 
-def document_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.select(F.col(doc_id).alias("doc_id"), _id(doc_id).alias("_id"),
+def document_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
+    return docs.select(F.col(doc_id).alias("doc_id"), *carry, _id(doc_id).alias("_id"),
                        F.xxhash64(text_or_empty(text)).alias("_text_hash"),
                        words(text_or_empty(text)).alias("_words"))
 
@@ -137,9 +137,9 @@ def matches(docs: DataFrame, wins: DataFrame, slop: int = SLOP) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop: int = SLOP,
                   doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near), one row per document."""
-    tokens = document_words(docs, doc_id, text)
+                  item_text: str = "text", carry=()) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near, carry...), one row per document."""
+    tokens = document_words(docs, doc_id, text, carry)
     wins = stored(windows(items, width, item_id, item_text), "windows")
     found = matches(tokens, wins, slop)
     exact = found.where("exact")
@@ -152,10 +152,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop:
     named = (exact.select(*KEY, "_win").distinct().join(wins.select("_win", "item_id"), "_win")
              .groupBy(*KEY).agg(F.sort_array(F.collect_set("item_id")).alias("ids")))
     near = found.where("NOT exact").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_near"))
-    return (tokens.select("doc_id", *KEY, F.size("_words").cast("long").alias("n_words"))
+    return (tokens.select("doc_id", *carry, *KEY, F.size("_words").cast("long").alias("n_words"))
             .join(hits.join(named, KEY).join(near, KEY, "full"), KEY, "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-                    F.coalesce("n_near", F.lit(0)).alias("n_near")))
+                    F.coalesce("n_near", F.lit(0)).alias("n_near"), *carry))
