@@ -1,0 +1,82 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sprout.llm.packing import Encoder, cut, pack, places, plan_sequences
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return Encoder(PATH)
+
+
+def whole(encode, text):
+    return np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes()
+
+
+ODD = ["a", "B", " ", "\n", "\t", "1", "'s", "'", "é", "\x0b", "\x85", "　", "漢", "😀", "!", "  ", "'ll",
+       "<|endoftext|>", "ß", "\xa0", "​", "\x1c", "ı", "́"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(parts=st.lists(st.sampled_from(ODD), max_size=16))
+def test_ids_equal_the_tokenizers_library(parts):
+    text = "".join(parts)
+    shared = test_ids_equal_the_tokenizers_library.__dict__.setdefault("encoder", Encoder(PATH))
+    assert shared(text) == whole(shared, text)
+
+
+def test_pieces_of_a_length():
+    assert cut(5, 8) == [(0, 5)]
+    assert cut(16, 8) == [(0, 8), (8, 8)]
+    assert cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
+
+
+def test_plan_holds_every_piece_and_is_tight():
+    rng = random.Random(3)
+    for _ in range(20):
+        cap = rng.choice([10, 64, 1024])
+        lengths = [rng.randint(1, cap) for _ in range(3000)]
+        counts = {n: lengths.count(n) for n in set(lengths)}
+        kinds = plan_sequences(counts, cap)
+        held = {}
+        for many, own in kinds:
+            assert many > 0 and sum(own) <= cap
+            assert sum(3 * n > cap for n in own) <= 2
+            for n in own:
+                held[n] = held.get(n, 0) + many
+        assert held == counts
+        # At most two large ones share a sequence, so a few more than the total may be needed.
+        assert sum(m for m, _ in kinds) <= 1.12 * max(sum(lengths) / cap, sum(2 * n > cap for n in lengths)) + 2
+        assert {n: r[0][0] for n, r in places(kinds).items()} == dict.fromkeys(counts, 0)
+
+
+def test_round_trip(spark, docs, encode):
+    got = pack(docs, PATH).collect()
+    texts = [(r[0], r[1] or "") for r in docs.select("doc_id", "text").collect()]
+    want = []
+    for i, t in texts:
+        raw = whole(encode, t)
+        want += [(i, n, s, m, zlib.crc32(raw[4 * s:4 * (s + m)])) for n, (s, m) in enumerate(cut(len(raw) // 4, 1024))]
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=repr) == sorted(want, key=repr)
+    rows = {}
+    for r in got:
+        rows.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in rows.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(rows) <= -(-sum(r.length for r in got) // 1024) + 1
+
+
+def test_empty_table(empty):
+    assert pack(empty, PATH).collect() == []
