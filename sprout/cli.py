@@ -5,6 +5,8 @@ Option names and defaults follow the source command line (fixed values in
 ``--model`` model folder (Parquet), the six ``<param>_start/_end/_step``
 triples (train uses the ``_start`` values), ``--test_sent`` for one sentence
 in test mode (``--test_input`` scores a Parquet table of texts instead).
+Search writes every configuration, and ``--test_input`` every scored row, as
+Parquet to ``--output``.
 """
 
 from __future__ import annotations
@@ -55,6 +57,10 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _named(values) -> str:
+    return "best configuration: " + " ".join(f"{name}={v}" for (name, _, _), v in zip(PARAMETERS, values))
+
+
 def main(argv=None, spark: SparkSession | None = None):
     args = parser().parse_args(argv)
     if args.mod == "help":
@@ -69,7 +75,7 @@ def main(argv=None, spark: SparkSession | None = None):
                             threshold=args.threshold_start, alpha=args.alpha_start,
                             delta=args.delta_start, legacy_model_path=args.legacy_model,
                             strip_chars=args.strip_chars, refresh_vocab=not args.fixed_vocab)
-        print(f"rounds: {len(result.models)}  test accuracy: {result.test_accuracy}")
+        print(f"trained {len(result.models)} models; held-out accuracy {result.test_accuracy}")
         return result
     if args.mod == "search":
         ranges = {name: (getattr(args, f"{name}_start"), getattr(args, f"{name}_end"),
@@ -78,26 +84,27 @@ def main(argv=None, spark: SparkSession | None = None):
             start, end, step = ranges["num_iter"]
             ranges["num_iter"] = (start + extra, end + extra, step)
         results, best = search_mode(spark, args.input, strip_chars=args.strip_chars, **ranges)
-        results.orderBy("config_id").show(truncate=False)
+        results.write.mode("overwrite").parquet(args.output)
+        print(f"{results.count()} configurations written to {args.output}")
         row = best.first()
         if row is None:  # empty grid: the start values stand, with accuracy 0
             start = tuple(getattr(args, f"{name}_start") for name, _, _ in PARAMETERS)
-            print("best (N, m, num_iter, threshold, alpha, delta):", start, "accuracy:", 0.0)
+            print(_named(start), "accuracy=0.0")
         else:
-            print("best (N, m, num_iter, threshold, alpha, delta):",
-                  (row.n, row.m, row.num_iter, row.threshold, row.alpha, row.delta), "accuracy:", row.accuracy)
+            print(_named((row.n, row.m, row.num_iter, row.threshold, row.alpha, row.delta)), f"accuracy={row.accuracy}")
         return results, best
     model_path = args.legacy_model or args.model
     if args.test_input:
         texts = spark.read.parquet(args.test_input)
         keys = args.key_cols.split(",") if args.key_cols else [texts.columns[0]]
         out = test_mode(spark, model_path, texts, keys, text=args.text_col, legacy=bool(args.legacy_model))
-        out.show(truncate=False)
+        out.write.mode("overwrite").parquet(args.output)
+        out = spark.read.parquet(args.output)
+        print(f"{out.count()} scored rows written to {args.output}")
         return out
     sentence = args.test_sent if args.test_sent is not None else DEFAULT_TEST_SENTENCE
     texts = spark.createDataFrame([(0, sentence)], "id long, text string")
     out = test_mode(spark, model_path, texts, ["id"], legacy=bool(args.legacy_model))
     row = out.first()
-    print(f"score is: {row.score}")
-    print(f"classified as {row.label}")
+    print(f"{row.label} {row.score}")
     return out

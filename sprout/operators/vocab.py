@@ -64,9 +64,10 @@ def class_counts_with_totals(rows: DataFrame, label: Column) -> DataFrame:
                  F.count_if(F.col("_lab") == 0).alias("unlabelled")))
 
 
-# Largest m ranked with a top-k (each task keeps m rows, one task merges
-# m x tasks rows); larger vocabularies use a distributed sort instead.
+# A top-k keeps m rows in each task and merges m x tasks rows in one; above
+# this many merged rows the ranking is a distributed sort, with equal results.
 TOPK_MAX = 100_000
+TOPK_MERGED = 2_000_000
 
 
 def rank_vocab(counts: DataFrame, positives: int, negatives: int, m: int,
@@ -82,22 +83,16 @@ def rank_vocab(counts: DataFrame, positives: int, negatives: int, m: int,
     ig = F.round(information_gain(F.col("pos"), F.col("neg"), positives, negatives), IG_DIGITS)
     order = [F.col("ig").desc_nulls_last(), F.col("ngram").asc()]
     scored = counts.where(F.col("ngram").isNotNull()).select("ngram", ig.alias("ig"), "pos", "neg")
-    if m > topk_max:
-        from pyspark import StorageLevel
-        from ..sources.fixtures import materialize_at
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if m > topk_max or m * tasks > TOPK_MERGED:
+        from ..sources.fixtures import materialize
         from ..sources.lines import with_line_index
-        # The numbering reads the sorted rows twice (partition counts, then
-        # offsets), so they are pinned: a re-executed sort could sample other
-        # range bounds. The numbered vocabulary is written once and read back.
-        ranked = scored.orderBy(*order).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            numbered = with_line_index(ranked, name="_rank")
-            out, _ = materialize_at(numbered.where(F.col("_rank") < m)
-                                    .select("ngram", F.col("_rank").cast("int").alias("fid"), "ig", "pos", "neg"),
-                                    "vocab-rank")
-        finally:
-            ranked.unpersist()
-        return out
+        # The sorted rows are written first (one file per range, in order) and
+        # numbered by their place in the files: a task that runs again reads
+        # the same files, it doesn't sample other ranges.
+        numbered = with_line_index(materialize(scored.orderBy(*order), "vocab-sorted"), name="_rank")
+        return numbered.where(F.col("_rank") < m).select(
+            "ngram", F.col("_rank").cast("int").alias("fid"), "ig", "pos", "neg")
     top = scored.orderBy(*order).limit(int(m))
     # At most m rows reach this window, by construction of the limit above.
     return top.select("ngram", (F.row_number().over(Window.orderBy(*order)) - 1).alias("fid"),

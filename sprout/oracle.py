@@ -161,6 +161,9 @@ def _search_round1() -> str:
 
 ORACLES: dict[str, str] = {
     "scan_sentences": _with() + "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences",
+    "line_index": _with() + (
+        "SELECT row_number() OVER (ORDER BY sent_id) - 1 AS sent_id, "
+        "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences"),
     "parse_lines": _with() + "SELECT sent_id, text, label FROM sentences",
     "parse_lines_strip3": _with() + (
         "SELECT sent_id, CASE WHEN length(text) >= 2 THEN substr(text, 1, length(text) - 2) ELSE '' END AS text, "
@@ -194,7 +197,9 @@ ORACLES: dict[str, str] = {
     "train_weights_3ep": _with(_model_ctes()) + (
         f"SELECT fid, ngram, {r6('weight')} AS weight FROM model WHERE weight <> 0"),
     "model_table": _with(_model_ctes()) + f"SELECT ngram, fid, {r6('weight')} AS weight, n FROM model",
-    "model_roundtrip": _with(_model_ctes()) + f"SELECT ngram, {r6('weight')} AS weight, n FROM model",
+    "model_roundtrip": _with(_model_ctes()) + (
+        "SELECT ngram, CAST(row_number() OVER (ORDER BY round(weight, 12) DESC, ngram) - 1 AS INTEGER) AS fid, "
+        f"{r6('weight')} AS weight, n FROM model"),
     "score_sentences": _with(_model_ctes(), _scores("scored", "test", "sent_id")) + (
         f"SELECT sent_id, label, {r6('score')} AS score FROM scored"),
     "predict_proba": _with(_model_ctes(), _scores("scored", "test", "sent_id")) + (
@@ -208,6 +213,8 @@ ORACLES: dict[str, str] = {
         "CAST(coalesce(sum(CASE WHEN score * label > 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS correct FROM scored"),
     "score_batch": _with(_model_ctes(), _scores("scored", "conversations", "conv_id, turn")) + (
         f"SELECT conv_id, turn, {r6('score')} AS score, CASE WHEN score > 0 THEN '+' ELSE '-' END AS label FROM scored"),
+    "score_batch_joined": _with(_model_ctes(), _scores("scored", "conversations", "conv_id, turn")) + (
+        f"SELECT conv_id, turn, {r6('score')} AS score, CASE WHEN score > 0 THEN '+' ELSE '-' END AS label FROM scored"),
     "self_train_round1": _with(_model_ctes(), _scores("scored", "train", "sent_id")) + (
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
@@ -219,6 +226,8 @@ ORACLES: dict[str, str] = {
         f"SELECT sent_id, CAST(CASE WHEN label <> 0 THEN label WHEN score > {CHECK['threshold']!r} THEN 1 "
         f"WHEN score < -{CHECK['threshold']!r} THEN -1 ELSE 0 END AS INTEGER) AS label FROM scored"),
     "search_round1": _search_round1(),
+    "best_config_round1": ("SELECT config_id, m, threshold, accuracy FROM (" + _search_round1() + ")\n"
+                           "ORDER BY greatest(coalesce(accuracy, 0), 0) DESC, config_id LIMIT 1"),
     "corpus_union": """SELECT 'documents' AS corpus, doc_id AS item_id, CAST(0 AS BIGINT) AS sub_id, text FROM documents
 UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations
 UNION ALL SELECT 'benchmark', item_id, CAST(0 AS BIGINT), text FROM benchmark""",
@@ -231,7 +240,7 @@ UNION ALL SELECT 'benchmark', item_id, CAST(0 AS BIGINT), text FROM benchmark"""
 conv AS (SELECT 'conversations' AS corpus, conv_id AS item_id, turn AS sub_id, text, '0' AS marker FROM conversations),
 bench AS (SELECT 'benchmark' AS corpus, item_id, CAST(0 AS BIGINT) AS sub_id, text, '0' AS marker FROM benchmark),
 alls AS (SELECT * FROM docs UNION ALL SELECT * FROM conv UNION ALL SELECT * FROM bench),
-w AS (SELECT corpus, item_id, sub_id, regexp_extract_all(text, '{WORD_RE}') AS words, marker FROM alls)
-SELECT corpus, item_id, sub_id, array_to_string(words, ' ') || marker AS value FROM w
+w AS (SELECT corpus, item_id, sub_id, text, regexp_extract_all(text, '{WORD_RE}') AS words, marker FROM alls)
+SELECT corpus, item_id, sub_id, regexp_replace(text, '[\\r\\n]', ' ', 'g') || marker AS value FROM w
 WHERE list_contains(words, '{KEYWORD}')""",
 }

@@ -107,17 +107,24 @@ class FirstRound:
 def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFrame:
     """Spread a small input over the cluster's cores; optionally materialize.
 
-    An input with no more partitions than the default parallelism is small by
-    construction (each split is at most one file block), so it is
-    round-robin spread (if needed) and cached. Large inputs are left as they are.
+    An input that is a bare scan with no more splits than the default
+    parallelism is small (a split is at most one file block), so it is
+    round-robin spread (if needed) and cached. An input whose plan shuffles is
+    written once first: rounds then scan files instead of repeating its joins.
     """
     return _prepare(train, materialize_input)[0]
 
 
+def shuffles(df: DataFrame) -> bool:
+    """Whether the plan moves rows between tasks (read from the plan, nothing runs)."""
+    return "Exchange" in df._jdf.queryExecution().sparkPlan().toString() or \
+        "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def _prepare(train: DataFrame, materialize_input: bool = False) -> tuple[DataFrame, bool]:
     spark = train.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if materialize_input:
+    if materialize_input or shuffles(train):
         train = materialize(train.select("sent_id", "text", "label"), "selftrain-input")
     parts = train.rdd.getNumPartitions()
     if parts < cores:
@@ -233,12 +240,15 @@ def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int,
     if not prepared:
         train, small = _prepare(train, materialize_input)
         owned = train if small else None
-    base, base_path = train.select("sent_id", "text", "label"), None
+    # A number per row, written once: repeated or NULL ids stay separate rows.
+    base, base_path = materialize_at(
+        train.select("sent_id", "text", "label", F.monotonically_increasing_id().alias("_row")), "selftrain-joined-state")
     vocab_frame, vocab_path, frame = None, None, None
     history: list[RoundInfo] = []
     rounds, unlabelled_prev, unlabelled = 0, None, 0
     while True:
-        rows = tokenized(base, n, keep=("sent_id", "label"))
+        started = time.perf_counter()
+        rows = tokenized(base, n, keep=("sent_id", "label", "_row"))
         counts = class_counts_with_totals(rows, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             positives, negatives, unlabelled = _totals(counts)
@@ -254,7 +264,7 @@ def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int,
             counts.unpersist()
         unlabelled_prev = unlabelled
         size = vocab_frame.count()
-        feats = featurize_by_join(rows.where(F.col("label") != 0), vocab_frame)
+        feats = featurize_by_join(rows.where(F.col("label") != 0), vocab_frame, keep=("_row", "label"))
         fit = train_weights(feats, size, n_iter, alpha, delta, measure=True)
         weights = spark.createDataFrame(pd.DataFrame({"fid": np.arange(size, dtype="int32"),
                                                       "weight": fit.weights.astype("float64")}))
@@ -265,21 +275,23 @@ def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int,
         history.append(RoundInfo(rounds, positives, negatives, unlabelled, size, fit.epochs,
                                  fit.l1[-1] if fit.l1 else None, fit.train_accuracy))
         unknown = rows.where(F.col("label") == 0)
-        decided = (score_by_join(unknown, frame, ["sent_id"])
-                   .select("sent_id", threshold_decision(F.col("score"), threshold).alias("_new"))
+        decided = (score_by_join(unknown, frame, ["_row"])
+                   .select("_row", threshold_decision(F.col("score"), threshold).alias("_new"))
                    .where(F.col("_new").isNotNull()))
-        relabelled = (base.join(decided, "sent_id", "left")
+        relabelled = (base.join(decided, "_row", "left")
                       .select("sent_id", "text",
-                              F.coalesce(F.nullif(F.col("label"), F.lit(0)), F.col("_new"), F.lit(0)).alias("label")))
+                              F.coalesce(F.nullif(F.col("label"), F.lit(0)), F.col("_new"), F.lit(0)).alias("label"),
+                              "_row"))
         previous_path = base_path
         base, base_path = materialize_at(relabelled, "selftrain-joined-state")
         release(spark, previous_path)
+        history[-1].seconds = round(time.perf_counter() - started, 3)
     result = SelfTrainResult(None, None, [None] * rounds, threshold, history, unlabelled,
                              source=base, segment=[], n=n, frame=frame)
     result.labels = base.select("sent_id", "label")
     if test is not None:
-        scored = score_by_join(tokenized(test, n, keep=("sent_id", "label")), frame, ["sent_id"])
-        result.test_accuracy = accuracy(scored.join(test.select("sent_id", "label"), "sent_id")).first()["accuracy"]
+        scored = score_by_join(tokenized(test, n, keep=("sent_id", "label")), frame, ["sent_id", "label"])
+        result.test_accuracy = accuracy(scored).first()["accuracy"]
     if owned is not None:
         owned.unpersist()
     return result

@@ -24,7 +24,7 @@ from .plans.train import train_model
 from .session import scratch_path
 from .sources.corpus import build_corpus, keyword_filter, seed_by_marker
 from .sources.fixtures import read_table, sentences, split_train_test
-from .sources.lines import encode_labelled, parse_lines, read_labelled_lines
+from .sources.lines import encode_labelled, parse_lines, read_labelled_lines, write_labelled_lines
 from .sources.models import read_legacy_model, read_model, write_legacy_model, write_model
 
 # Parameters of the oracle-checked training queries.
@@ -63,13 +63,19 @@ def _model(spark, sf, n=CHECK["n"]) -> Model:
 
 def q_scan_sentences(spark, sf):
     """Labelled lines written as text and scanned back (one line per document)."""
-    sents = sentences(spark, sf).select(
-        F.regexp_replace("text", r"[\r\n]", " ").alias("text"), "label")
     path = scratch_path(spark, "labelled-lines")
-    encode_labelled(sents).write.mode("overwrite").text(path)
+    write_labelled_lines(sentences(spark, sf).select("text", "label"), path)
     return read_labelled_lines(spark, path)
 
 
+def q_line_index(spark, sf):
+    """Lines in several files, read back with their position over the whole folder."""
+    path = scratch_path(spark, "indexed-lines")
+    by_id = sentences(spark, sf).repartitionByRange(7, "sent_id").sortWithinPartitions("sent_id")
+    write_labelled_lines(by_id.select("text", "label"), path)
+    return read_labelled_lines(spark, path, index=True)
+
+
 def q_parse_lines(spark, sf):
     lines = encode_labelled(sentences(spark, sf), keep=("sent_id",))
     return parse_lines(lines, keep=("sent_id",))
@@ -163,7 +169,7 @@ def q_vocab_semi_filter(spark, sf):
     train, _ = _split(spark, sf)
     vocab = select_vocab(train, CHECK["n"], CHECK["m"]).select("ngram")
     occ = tokenized(train, CHECK["n"], keep=("sent_id",)).select(F.explode("ng").alias("ngram"))
-    return (occ.join(F.broadcast(vocab), "ngram", "left_semi")  # vocab: at most m rows
+    return (occ.join(vocab, "ngram", "left_semi")
             .groupBy("ngram").agg(F.count(F.lit(1)).alias("occurrences")))
 
 
@@ -215,7 +221,7 @@ def q_model_roundtrip(spark, sf):
     text_path = scratch_path(spark, "model-text")
     write_legacy_model(read_model(spark, parquet_path), text_path)
     legacy = read_legacy_model(spark, text_path)
-    return legacy.select("ngram", r6(F.col("weight")).alias("weight"), "n")
+    return legacy.select("ngram", "fid", r6(F.col("weight")).alias("weight"), "n")
 
 
 def q_score_sentences(spark, sf):
@@ -250,6 +256,14 @@ def q_score_batch(spark, sf):
     return out.select("conv_id", "turn", r6(F.col("score")).alias("score"), "label")
 
 
+def q_score_batch_joined(spark, sf):
+    """The same scores by the join form, which models beyond the lookup bound take."""
+    frame = _model(spark, sf).frame(spark)
+    conv = read_table(spark, sf, "conversations")
+    out = score_batch(conv, frame, keys=("conv_id", "turn"), max_lookup_keys=0)
+    return out.select("conv_id", "turn", r6(F.col("score")).alias("score"), "label")
+
+
 # --- self-training and search ---------------------------------------------------------
 
 def q_self_train_round1(spark, sf):
@@ -308,6 +322,13 @@ def q_search_round1(spark, sf):
     return out.select("config_id", "m", "threshold", "accuracy")
 
 
+def q_best_config_round1(spark, sf):
+    """The best configuration of the one-round search."""
+    train, test = _split(spark, sf)
+    out = best_config(search(train, test, max_rounds=1, **SEARCH_ROUND1_GRID))
+    return out.select("config_id", "m", "threshold", "accuracy")
+
+
 def q_best_config(spark, sf):
     train, test = _split(spark, sf)
     return best_config(search(train, test, **SEARCH_GRID))
@@ -354,6 +375,7 @@ def q_build_corpus(spark, sf):
 
 QUERIES = {
     "scan_sentences": q_scan_sentences,
+    "line_index": q_line_index,
     "parse_lines": q_parse_lines,
     "parse_lines_strip3": q_parse_lines_strip3,
     "encode_labelled_text": q_encode_labelled_text,
@@ -382,6 +404,7 @@ QUERIES = {
     "threshold_label": q_threshold_label,
     "accuracy": q_accuracy,
     "score_batch": q_score_batch,
+    "score_batch_joined": q_score_batch_joined,
     "self_train_round1": q_self_train_round1,
     "self_train_round1_n2": q_self_train_round1_n2,
     "self_train_round2": q_self_train_round2,
@@ -390,6 +413,7 @@ QUERIES = {
     "search_grid": q_search_grid,
     "search_round1": q_search_round1,
     "best_config": q_best_config,
+    "best_config_round1": q_best_config_round1,
     "corpus_union": q_corpus_union,
     "keyword_filter": q_keyword_filter,
     "seed_by_marker": q_seed_by_marker,

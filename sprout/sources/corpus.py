@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from .lines import NEGATIVE_MARK, POSITIVE_MARK, UNKNOWN_MARK
+from .lines import NEGATIVE_MARK, POSITIVE_MARK, UNKNOWN_MARK, one_line
 
 
 def keyword_filter(df: DataFrame, keyword: str, text: str = "text") -> DataFrame:
@@ -27,10 +27,10 @@ def seed_by_marker(tags: Column, sense_pos: str, sense_neg: str) -> Column:
 
 def corpus_lines(df: DataFrame, corpus: str, item_id: Column, sub_id: Column, text: str,
                  marker: Column) -> DataFrame:
-    """(corpus, item_id, sub_id, value): words joined by spaces, then the marker."""
+    """(corpus, item_id, sub_id, value): the text on one line, then the marker."""
     return df.select(F.lit(corpus).alias("corpus"), item_id.cast("long").alias("item_id"),
                      sub_id.cast("long").alias("sub_id"),
-                     F.concat(F.array_join(words(F.col(text)), " "), marker).alias("value"))
+                     F.concat(one_line(F.col(text)), marker).alias("value"))
 
 
 def build_corpus(keyword: str, tagged: list, untagged: list,

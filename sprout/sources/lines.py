@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Line markers for label 1, -1 and unknown (0).
@@ -39,36 +39,41 @@ def encode_labelled(sents: DataFrame, keep=()) -> DataFrame:
 
 
 def with_line_index(df: DataFrame, name: str = "sent_id") -> DataFrame:
-    """Add a dense 0-based row index in read order (``zipWithIndex`` semantics).
+    """Add a dense 0-based index to rows scanned from files, in file order.
 
-    One small job counts rows per partition (one row per partition reaches
-    the driver); the index is then a narrow projection: the partition's
-    offset plus the row's position inside it, both taken from
-    ``monotonically_increasing_id``. For one text file, read order is line
-    order (splits are read in offset order).
+    Files are ordered by path, their blocks by start, rows by position in the
+    block; the index doesn't depend on how the scan was split or scheduled.
+    One small aggregation counts rows per block; its running totals are joined
+    back, so nothing grows on the driver.
     """
-    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("_mid"), 33)
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy(part.alias("p")).count().collect())
-    offsets, total = {}, 0
-    for p, c in counts:
-        offsets[p] = total
-        total += c
-    width = (max(offsets) + 1) if offsets else 1
-    table = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(width)])
-    position = F.col("_mid") - F.shiftleft(part, 33)
-    return tagged.select((F.element_at(table, (part + 1).cast("int")) + position).alias(name),
-                         *[c for c in df.columns])
+    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_mid"))
+    blocks = tagged.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_mid").alias("_first"))
+    # One row per file block meets in this window, not one per line.
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(offsets, ["_file", "_block"])
+            .select((F.col("_off") + F.col("_mid") - F.col("_first")).alias(name), *df.columns))
 
 
 def read_labelled_lines(spark: SparkSession, path: str, strip_chars: int = 1,
                         index: bool = False) -> DataFrame:
-    """(text, label) per line; with ``index``, (sent_id, text, label) by line position."""
+    """(text, label) per line; with ``index``, (sent_id, text, label) by line position.
+
+    ``path`` may be a file or a folder of files.
+    """
     lines = spark.read.text(path)
     if index:
         return parse_lines(with_line_index(lines), "value", strip_chars, keep=("sent_id",))
     return parse_lines(lines, "value", strip_chars)
 
 
+def one_line(text: Column) -> Column:
+    """Text for a line-based file: each line break becomes a space."""
+    return F.regexp_replace(text, r"[\r\n]", " ")
+
+
 def write_labelled_lines(sents: DataFrame, path: str) -> None:
-    encode_labelled(sents).write.mode("overwrite").text(path)
+    """One line per row; line breaks inside a text become spaces."""
+    encode_labelled(sents.withColumn("text", one_line(F.col("text")))).write.mode("overwrite").text(path)

@@ -7,9 +7,11 @@ count of an N-gram.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .lines import with_line_index
+
 
 def write_model(model_frame: DataFrame, path: str) -> None:
     model_frame.write.mode("overwrite").parquet(path)
@@ -20,9 +22,12 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_legacy_model(model_frame: DataFrame, path: str) -> None:
-    """``(ngram,weight)`` lines; a model is small (m rows), one file."""
+    """``(ngram,weight)`` lines by weight descending, then N-gram; one file of m lines.
+
+    Weights that differ only by rounding noise count as equal in the order.
+    """
     line = F.concat(F.lit("("), F.col("ngram"), F.lit(","), F.col("weight").cast("string"), F.lit(")"))
-    (model_frame.orderBy(F.col("weight").desc(), F.col("ngram"))
+    (model_frame.orderBy(F.round("weight", 12).desc(), F.col("ngram"))
      .select(line.alias("value")).coalesce(1)
      .write.mode("overwrite").text(path))
 
@@ -30,14 +35,13 @@ def write_legacy_model(model_frame: DataFrame, path: str) -> None:
 def read_legacy_model(spark: SparkSession, path: str) -> DataFrame:
     """Parse legacy lines back to (ngram, fid, weight, n).
 
-    Ids follow the file order (weight descending; equal weights by N-gram).
+    The id is the line's position in the file.
     """
-    raw = spark.read.text(path)
+    raw = with_line_index(spark.read.text(path), name="fid")
     parsed = raw.select(
+        F.col("fid").cast("int").alias("fid"),
         F.regexp_extract("value", r"^\((.*),([^,]*)\)$", 1).alias("ngram"),
         F.regexp_extract("value", r"^\((.*),([^,]*)\)$", 2).cast("double").alias("weight"))
-    order = Window.orderBy(F.col("weight").desc(), F.col("ngram"))
-    # A model has at most m rows, so one ordered window partition is bounded.
     return parsed.select(
-        "ngram", (F.row_number().over(order) - 1).cast("int").alias("fid"), "weight",
+        "ngram", "fid", "weight",
         F.size(F.split("ngram", " ")).alias("n"))

@@ -12,45 +12,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..defaults import MAX_LOOKUP_KEYS
 from ..functions.stats import sign_marker
 from ..operators.scoring import model_score
 from ..operators.vocab import tokenized
 from ..plans.batch import load_model
-from ..session import scratch_path
 
 
 def score_stream(stream: DataFrame, model_frame: DataFrame, keys, text: str = "text") -> DataFrame:
     """(keys..., score, label) for a streaming (or batch) DataFrame."""
     keys = list(keys)
-    model = load_model(model_frame)
+    model = load_model(model_frame, limit=MAX_LOOKUP_KEYS)
+    if model is None:
+        raise ValueError(f"a streaming model holds at most {MAX_LOOKUP_KEYS} N-grams")
     rows = tokenized(stream, model.n, text=text, keep=keys)
     scored = rows.select(*keys, model_score(F.col("ng"), model).alias("score"))
     return scored.select(*keys, "score", sign_marker(F.col("score")).alias("label"))
 
 
 def start_scoring(spark: SparkSession, source_path: str, schema: str, model_frame: DataFrame,
-                  sink_path: str, keys, text: str = "text", checkpoint: str | None = None,
+                  sink_path: str, keys, checkpoint: str, text: str = "text",
                   trigger_once: bool = False) -> StreamingQuery:
-    """Parquet folder in, scored Parquet out, checkpointed in the shared folder."""
+    """Parquet folder in, scored Parquet out.
+
+    ``checkpoint`` is the query's own folder in shared storage: a restart with
+    the same one goes on where the query stopped.
+    """
     stream = spark.readStream.schema(schema).parquet(source_path)
     out = score_stream(stream, model_frame, keys, text)
     writer = (out.writeStream.format("parquet").outputMode("append")
               .option("path", sink_path)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "score-stream")))
+              .option("checkpointLocation", checkpoint))
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
 def start_scoring_text(spark: SparkSession, source_path: str, model_frame: DataFrame, sink_path: str,
-                       checkpoint: str | None = None, trigger_once: bool = False) -> StreamingQuery:
+                       checkpoint: str, trigger_once: bool = False) -> StreamingQuery:
     """Text files of sentences (one per line) in, (file, text, score, label) Parquet out."""
     lines = spark.readStream.text(source_path).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     out = score_stream(lines, model_frame, keys=["file", "text"], text="text")
     writer = (out.writeStream.format("parquet").outputMode("append")
               .option("path", sink_path)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "score-text-stream")))
+              .option("checkpointLocation", checkpoint))
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -10,13 +10,66 @@ from sprout.sources.lines import with_line_index
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(0, 300), st.integers(1, 9))
 def test_line_index_is_dense_and_ordered(spark, rows, parts):
-    df = spark.range(rows).repartition(parts).persist()  # fixed read order for both passes
+    # Sorted ranges, one file each: the index follows the files in path order.
+    df, path = materialize_at(spark.range(rows).repartitionByRange(parts, "id").sortWithinPartitions("id"), "line-index")
     got = with_line_index(df, "idx").collect()
-    assert sorted(r.idx for r in got) == list(range(rows))
-    # the index follows read order: partition by partition, row by row
-    order = [r.id for r in df.collect()]
-    assert [r.id for r in sorted(got, key=lambda r: r.idx)] == order
-    df.unpersist()
+    assert sorted((r.idx, r.id) for r in got) == [(k, k) for k in range(rows)]
+    release(spark, path)
+
+
+def test_line_index_of_a_folder_ignores_file_sizes_and_splits(spark, tmp_path):
+    from sprout.session import scoped_conf
+    from sprout.sources.lines import read_labelled_lines
+    want = []
+    for name, lines in (("a", 3), ("b", 400), ("c", 1), ("d", 90), ("e", 0), ("f", 250)):
+        own = [f"{name} line {i} " + "x" * (i % 29) for i in range(lines)]
+        (tmp_path / f"{name}.txt").write_text("".join(line + "+\n" for line in own))
+        want += own
+    for size in ("2048", "128m"):
+        with scoped_conf(spark, {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0"}):
+            got = sorted(read_labelled_lines(spark, str(tmp_path), index=True).collect())
+        assert [(r.sent_id, r.text) for r in got] == list(enumerate(want))
+
+
+def test_join_form_keeps_repeated_and_null_keys(spark):
+    from sprout.plans import score_batch
+    model = spark.createDataFrame([("good", 0, 1.0, 1), ("bad", 1, -2.0, 1)], "ngram string, fid int, weight double, n int")
+    texts = spark.createDataFrame([(1, "good"), (1, "bad"), (None, "good"), (2, "good good"), (3, ""), (4, None)],
+                                  "k int, text string")
+    forms = [sorted(map(tuple, score_batch(texts, model, ["k"], max_lookup_keys=bound).collect()), key=repr)
+             for bound in (100, 0)]
+    assert forms[0] == forms[1]
+    assert sorted(s for _, s, _ in forms[0]) == [-2.0, 0.0, 0.0, 1.0, 1.0, 2.0]
+
+
+def test_self_training_forms_agree_on_repeated_ids(spark):
+    from sprout.plans import self_train
+    rows = [(1, "good nice day", 1), (2, "bad sad day", -1), (3, "good nice", 0), (3, "bad sad", 0), (None, "good nice", 0),
+            (4, "fine nice good", 1), (5, "sad bad grim", -1), (4, "nothing here", 0)]
+    df = spark.createDataFrame(rows, "sent_id long, text string, label int")
+    forms = []
+    for bound in (1000, 1):
+        result = self_train(df, None, n=1, m=20, n_iter=30, threshold=0.1, alpha=0.1, max_lookup_keys=bound)
+        forms.append(sorted(map(tuple, result.labelled_text().collect()), key=repr))
+        assert all(h.seconds is not None for h in result.history) and len(result.models) == len(result.history)
+    assert forms[0] == forms[1] and len(forms[0]) == len(rows)
+
+
+def test_sink_keeps_one_row_per_text(spark, tmp_path):
+    from sprout.sources.lines import read_labelled_lines, write_labelled_lines
+    df = spark.createDataFrame([("first line\nsecond line", 1), ("a\r\nb", -1)], "text string, label int")
+    for _ in range(2):  # the second write replaces the first
+        write_labelled_lines(df, str(tmp_path / "out"))
+    assert sorted(map(tuple, read_labelled_lines(spark, str(tmp_path / "out")).collect())) == [
+        ("a  b", -1), ("first line second line", 1)]
+
+
+def test_ranking_forms_agree(spark):
+    from sprout.operators.vocab import rank_vocab
+    counts = spark.createDataFrame([(f"w{k}", 1 + k % 7, 1 + k % 5) for k in range(60)] + [(None, 30, 30)],
+                                   "ngram string, pos long, neg long")
+    forms = [sorted((r.fid, r.ngram) for r in rank_vocab(counts, 30, 30, 25, topk_max=bound).collect()) for bound in (100, 10)]
+    assert forms[0] == forms[1] and [f for f, _ in forms[0]] == list(range(25))
 
 
 def test_release_deletes_scratch_copy(spark):

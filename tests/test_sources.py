@@ -24,7 +24,7 @@ def test_build_corpus(spark):
     out = build_corpus("the", [("t", tagged, F.col("id"), F.lit(0), "text", "tags")],
                        [("u", plain, F.col("id"), F.lit(0), "text")], "src1", "src2")
     assert sorted((r.corpus, r.item_id, r.value) for r in out.collect()) == [
-        ("t", 1, "the bank river+"), ("t", 3, "the x-"), ("u", 9, "at the bank0")]
+        ("t", 1, "the bank, river+"), ("t", 3, "the x-"), ("u", 9, "at the bank0")]
 
 
 def _model(spark):
@@ -41,6 +41,13 @@ def test_model_roundtrips(spark, tmp_path):
     write_legacy_model(back, str(tmp_path / "t"))
     legacy = read_legacy_model(spark, str(tmp_path / "t"))
     assert sorted((r.ngram, r.weight, r.n) for r in legacy.collect()) == sorted((g, w, n) for g, _, w, n in want)
+    rows = sorted(legacy.collect(), key=lambda r: r.fid)
+    assert [r.fid for r in rows] == list(range(len(rows)))
+    assert [r.weight for r in rows] == sorted((w for _, _, w, _ in want), reverse=True)
+    files = spark.read.text(str(tmp_path / "t")).collect()
+    assert [f"({r.ngram},{r.weight!r})".split(",")[0] for r in rows] == [f.value.split(",")[0] for f in files]
+    write_legacy_model(back.limit(3), str(tmp_path / "t"))  # outputs are overwritten
+    assert spark.read.text(str(tmp_path / "t")).count() == 3
     lines = spark.read.text(str(tmp_path / "t")).collect()
     assert all(r.value.startswith("(") and r.value.endswith(")") for r in lines)
 
