@@ -18,7 +18,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scoped_conf
 from ..sources.fixtures import materialize_at, release
 from ..operators.features import featurize
 from ..operators.gradient import gradient_from_view, weights_sql
@@ -27,9 +26,11 @@ from ..operators.scoring import Model, accuracy, score_features
 from ..operators.vocab import Vocabulary
 
 
-# Bytes of cached training rows per task (a row is one sentence's id list:
-# about 24 bytes of row overhead plus 4 per id).
+# Bytes of cached training rows per task, at most, and the bytes worth a task of
+# their own while cores are free (a row is one sentence's id list: about 24
+# bytes of row overhead plus 4 per id).
 BYTES_PER_TASK = 128 * 1024 * 1024
+BYTES_WORTH_A_TASK = 4 * 1024 * 1024
 # Gradient rows (at most m per task) per reducer.
 GRADIENT_ROWS_PER_REDUCER = 200_000
 
@@ -45,8 +46,8 @@ class TrainResult:
 def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
     """Reliable, cached copy of the training rows, sized by volume.
 
-    One job counts rows and ids; the rows are coalesced to about
-    BYTES_PER_TASK per task,
+    One job counts rows and ids; the rows are spread over the cores, in
+    tasks of BYTES_WORTH_A_TASK to BYTES_PER_TASK,
     written as Parquet under the checkpoint folder and cached. Epoch plans
     then start from a small leaf (cheap to plan every epoch), read memory, and
     a lost cache block is reloaded from the files rather than recomputed from
@@ -57,12 +58,17 @@ def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
         row = staged.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("fids")).alias("ids")).first()
         rows, ids = int(row["rows"] or 0), int(row["ids"] or 0)
         volume = 24 * rows + 4 * ids
-        tasks = max(1, min(staged.rdd.getNumPartitions(), math.ceil(volume / BYTES_PER_TASK)))
+        cores = feats.sparkSession.sparkContext.defaultParallelism
+        tasks = max(1, math.ceil(volume / BYTES_PER_TASK), min(cores, math.ceil(volume / BYTES_WORTH_A_TASK)))
         # One task: the epoch aggregate needs no exchange. More: partial sums shuffle.
-        copy, path = materialize_at(staged.coalesce(tasks), "epoch-input")
+        _, path = materialize_at(staged.repartition(tasks) if tasks > 1 else staged.coalesce(1), "epoch-input")
     finally:
         staged.unpersist()
-    return copy.persist(StorageLevel.MEMORY_AND_DISK), path
+    # The loop has a session of its own: its settings touch no other query.
+    loop = feats.sparkSession.newSession()
+    loop.conf.set("spark.sql.adaptive.enabled", "false")
+    loop.conf.set("spark.sql.files.openCostInBytes", str(BYTES_PER_TASK))  # one split per file
+    return loop.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK), path
 
 
 def release_epoch_input(data: DataFrame, path: str) -> None:
@@ -75,30 +81,28 @@ def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta:
     """Train on ``feats`` (label, fids); labels 0 are ignored.
 
     Every epoch reads the staged copy (:func:`stage_epoch_input`). The
-    per-epoch aggregate returns at most ``size`` rows, so adaptive re-planning
-    is switched off for the loop and the reducer count follows ``size``.
+    per-epoch aggregate returns at most ``size`` rows, so the loop's own session
+    plans without adaptive steps and its reducer count follows ``size``.
     """
-    spark = feats.sparkSession
     data, path = stage_epoch_input(feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids"))
+    spark = data.sparkSession
     weights = np.zeros(size)
     result = TrainResult(weights)
     view = "sprout_epoch_" + uuid.uuid4().hex
     try:
         data.createOrReplaceTempView(view)
-        reducers = max(1, math.ceil(size / GRADIENT_ROWS_PER_REDUCER))
-        with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false",
-                                 "spark.sql.shuffle.partitions": reducers}):
-            for _ in range(int(n_iter)):
-                got = gradient_from_view(spark, view, weights, alpha).collect()
-                step = np.zeros(size)
-                for fid, value in got:
-                    step[fid] = value
-                weights = weights + step
-                l1 = float(sum(abs(value) for _, value in got))
-                result.epochs += 1
-                result.l1.append(l1)
-                if l1 < delta:
-                    break
+        spark.conf.set("spark.sql.shuffle.partitions", max(1, math.ceil(size / GRADIENT_ROWS_PER_REDUCER)))
+        for _ in range(int(n_iter)):
+            got = gradient_from_view(spark, view, weights, alpha).collect()
+            step = np.zeros(size)
+            for fid, value in got:
+                step[fid] = value
+            weights = weights + step
+            l1 = float(sum(abs(value) for _, value in got))
+            result.epochs += 1
+            result.l1.append(l1)
+            if l1 < delta:
+                break
         if measure:  # accuracy of the final weights on the training rows
             scored = data.select("label", score_features(F.col("fids"), weight_array(weights)).alias("score"))
             result.train_accuracy = accuracy(scored).first()["accuracy"]
@@ -127,46 +131,44 @@ def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: di
     epoch query once it stops, so an epoch costs one job for all slots. The
     shuffle is keyed by (slot, fid): at most sum(m) partial sums per task.
     """
-    spark = feats.sparkSession
     slots = sorted(sizes)
     weights = {s: np.zeros(sizes[s]) for s in slots}
     results = {s: TrainResult(weights[s]) for s in slots}
     active = [s for s in slots if n_iter[s] > 0]
     data, path = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
+    spark = data.sparkSession
     view = "sprout_epochs_" + uuid.uuid4().hex
     try:
         data.createOrReplaceTempView(view)
         width = max(slots) + 1 if slots else 0
         alphas = "array(" + ", ".join(f"CAST({float(alpha.get(s, 0.0))!r} AS DOUBLE)" for s in range(width)) + ")"
-        reducers = max(1, math.ceil(sum(sizes.values()) / GRADIENT_ROWS_PER_REDUCER))
-        with scoped_conf(spark, {"spark.sql.adaptive.enabled": "false",
-                                 "spark.sql.shuffle.partitions": reducers}):
-            while active:
-                table = "array(" + ", ".join(
-                    weights_sql(weights[s]) if s in active else "CAST(array() AS ARRAY<DOUBLE>)"
-                    for s in range(width)) + ")"
-                score = (f"aggregate(fids, CAST(0 AS DOUBLE), "
-                         f"(acc, f) -> acc + element_at(element_at({table}, slot + 1), f + 1))")
-                step = (f"((CASE WHEN label > 0 THEN 1.0D ELSE 0.0D END) - 1.0D / (1.0D + exp(-({score})))) "
-                        f"* element_at({alphas}, slot + 1)")
-                got = spark.sql(
-                    f"SELECT slot, fid, sum(_g) AS delta FROM ("
-                    f"SELECT slot, explode(fids) AS fid, _g FROM ("
-                    f"SELECT slot, fids, {step} AS _g FROM {view} "
-                    f"WHERE slot IN ({', '.join(str(s) for s in active)}))) GROUP BY slot, fid").collect()
-                steps = {s: np.zeros(sizes[s]) for s in active}
-                l1 = {s: 0.0 for s in active}
-                for slot, fid, value in got:
-                    steps[slot][fid] = value
-                    l1[slot] += abs(value)
-                still = []
-                for s in active:
-                    weights[s] = weights[s] + steps[s]
-                    results[s].epochs += 1
-                    results[s].l1.append(l1[s])
-                    if l1[s] >= delta[s] and results[s].epochs < n_iter[s]:
-                        still.append(s)
-                active = still
+        spark.conf.set("spark.sql.shuffle.partitions", max(1, math.ceil(sum(sizes.values()) / GRADIENT_ROWS_PER_REDUCER)))
+        while active:
+            table = "array(" + ", ".join(
+                weights_sql(weights[s]) if s in active else "CAST(array() AS ARRAY<DOUBLE>)"
+                for s in range(width)) + ")"
+            score = (f"aggregate(fids, CAST(0 AS DOUBLE), "
+                     f"(acc, f) -> acc + element_at(element_at({table}, slot + 1), f + 1))")
+            step = (f"((CASE WHEN label > 0 THEN 1.0D ELSE 0.0D END) - 1.0D / (1.0D + exp(-({score})))) "
+                    f"* element_at({alphas}, slot + 1)")
+            got = spark.sql(
+                f"SELECT slot, fid, sum(_g) AS delta FROM ("
+                f"SELECT slot, explode(fids) AS fid, _g FROM ("
+                f"SELECT slot, fids, {step} AS _g FROM {view} "
+                f"WHERE slot IN ({', '.join(str(s) for s in active)}))) GROUP BY slot, fid").collect()
+            steps = {s: np.zeros(sizes[s]) for s in active}
+            l1 = {s: 0.0 for s in active}
+            for slot, fid, value in got:
+                steps[slot][fid] = value
+                l1[slot] += abs(value)
+            still = []
+            for s in active:
+                weights[s] = weights[s] + steps[s]
+                results[s].epochs += 1
+                results[s].l1.append(l1[s])
+                if l1[s] >= delta[s] and results[s].epochs < n_iter[s]:
+                    still.append(s)
+            active = still
     finally:
         spark.catalog.dropTempView(view)
         release_epoch_input(data, path)

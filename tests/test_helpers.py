@@ -79,3 +79,22 @@ def test_release_deletes_scratch_copy(spark):
     assert os.path.exists(local)
     release(spark, path)
     assert not os.path.exists(local)
+
+
+def test_training_over_several_tasks_in_its_own_session(spark, monkeypatch):
+    import numpy as np
+    from sprout.plans import train
+    rows = [(1 if k % 3 else -1, [k % 7, (k * 5) % 7, k % 2]) for k in range(400)]
+    df = spark.createDataFrame(rows, "label int, fids array<int>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    one = train.train_weights(df, 7, 12, 0.01, 1e-9)
+    monkeypatch.setattr(train, "BYTES_WORTH_A_TASK", 1024)
+    data, path = train.stage_epoch_input(df)
+    assert data.rdd.getNumPartitions() > 1
+    train.release_epoch_input(data, path)
+    many = train.train_weights(df, 7, 12, 0.01, 1e-9, measure=True)
+    assert one.epochs == many.epochs == 12
+    np.testing.assert_allclose(one.weights, many.weights, atol=1e-12)
+    assert before == {k: spark.conf.get(k) for k in before}
+    early = train.train_weights(df, 7, 100, 0.0001, 10.0)  # the first step is already below delta
+    assert early.epochs == 1
