@@ -14,9 +14,9 @@ arrays cached. Every ``checkpoint_every`` rounds the labels are folded into a
 new base written as Parquet under ``spark.checkpoint.dir``, which bounds both
 the chain length and the lineage a lost executor has to replay.
 
-Each round runs one aggregation (class counts, class totals and the unknown
-count together), one cached featurized copy of the labelled rows, and the
-training epochs.
+Labels stick, so class counts only grow: each round counts the rows that its
+model has just labelled and adds them to the counts it had. It also makes one
+featurized copy of the labelled rows and runs the training epochs.
 """
 
 from __future__ import annotations
@@ -181,26 +181,26 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
         history.append(first.info)
         vocab = first.model.vocab
         unlabelled_prev = first.unlabelled
+    staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
+    counts, counts_path = materialize_at(class_counts_with_totals(staged, F.col("_lab")), "class-counts")
     while True:
         started = time.perf_counter()
-        staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
-        counts = class_counts_with_totals(staged, F.col("_lab")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            positives, negatives, unlabelled = _totals(counts)
-            if models:
-                if unlabelled == 0 or unlabelled == unlabelled_prev:
-                    break
-                if max_rounds is not None and len(models) >= max_rounds:
-                    break
-            if vocab is None or refresh_vocab:
-                vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
-        finally:
-            counts.unpersist()
+        positives, negatives, unlabelled = _totals(counts)
+        if models:
+            if unlabelled == 0 or unlabelled == unlabelled_prev:
+                break
+            if max_rounds is not None and len(models) >= max_rounds:
+                break
+        if vocab is None or refresh_vocab:
+            vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
         unlabelled_prev = unlabelled
+        staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
         labelled = staged.where(F.col("_lab") != 0).select(F.col("_lab").alias("label"), "ng")
         model, info = train_round(labelled, vocab, n_iter, alpha, delta)
         info.round, info.positives, info.negatives, info.unlabelled_before = \
             len(models) + 1, positives, negatives, unlabelled
+        counts, counts_path = grown_counts(
+            counts, counts_path, staged.where(F.col("_lab") == 0).select("ng"), model, threshold)
         models.append(model)
         segment.append(model)
         history.append(info)
@@ -213,6 +213,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
             rows = token_rows(base, n, ("sent_id", "label"), small)
         info.seconds = round(time.perf_counter() - started, 3)
     rows.unpersist()
+    release(base.sparkSession, counts_path)
     result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
                              source=base, segment=segment, n=n)
     result.labels = result.labelled_text().select("sent_id", "label")
@@ -223,6 +224,22 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     return result
 
 
+def grown_counts(counts: DataFrame, path: str, unknown: DataFrame, model: Model,
+                 threshold: float) -> tuple[DataFrame, str]:
+    """Class counts after ``model`` has labelled some of the ``unknown`` rows (ng).
+
+    The new copy replaces the one at ``path``. The NULL key holds the totals:
+    class totals add up, the number of unknown rows is the new one.
+    """
+    decided = F.coalesce(model_score(F.col("ng"), model, lambda s: threshold_decision(s, threshold)), F.lit(0))
+    fresh = class_counts_with_totals(unknown, decided)
+    both = counts.withColumn("unlabelled", F.lit(0).cast("long")).unionByName(fresh)
+    grown = both.groupBy("ngram").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "unlabelled")])
+    out = materialize_at(grown, "class-counts")
+    release(counts.sparkSession, path)
+    return out
+
+
 def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int, n_iter: int,
                        threshold: float, alpha: float, delta: float, max_rounds: int | None,
                        refresh_vocab: bool, prepared: bool, materialize_input: bool) -> SelfTrainResult:
