@@ -43,7 +43,7 @@ def _below(key: Column, splitters: np.ndarray) -> Column:
     return number(key)
 
 
-def sample_keys(rows: DataFrame, total: int, wanted: int) -> np.ndarray:
+def sample_keys(rows: DataFrame, total: int, wanted: int, draw: int = 0) -> np.ndarray:
     """About ``wanted`` keys, each drawn in proportion to its record's size.
 
     A record stands for size * wanted / total samples; the fraction left is
@@ -53,7 +53,7 @@ def sample_keys(rows: DataFrame, total: int, wanted: int) -> np.ndarray:
     if not total:
         return np.array([], np.int64)
     expected = F.col("size") * F.lit(wanted / total)
-    chance = F.pmod(F.xxhash64("_key", "_tie"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chance = F.pmod(F.xxhash64("_key", "_tie", F.lit(draw)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = rows.select("_key", F.floor(expected + chance).cast("int").alias("n")).where("n > 0").toPandas()
     return np.sort(np.repeat(drawn["_key"].to_numpy(np.int64), drawn["n"].to_numpy(np.int64)))
 
@@ -67,7 +67,7 @@ def _quantiles(sample: np.ndarray, ranges: int) -> np.ndarray:
 def splitters_for(rows: DataFrame, total: int, ranges: int) -> np.ndarray:
     """Range boundaries; overfull ranges are sampled again and subdivided."""
     found = _quantiles(sample_keys(rows, total, ranges * SAMPLES_PER_RANGE), ranges)
-    for _ in range(8):
+    for draw in range(1, 9):  # each draw is finer than the one before
         sums = rows.groupBy(_below(F.col("_key"), found).alias("r")).agg(
             F.sum("size").alias("b"), F.min("_key").alias("lo"), F.max("_key").alias("hi"),
             F.max("size").alias("one")).toPandas()
@@ -76,11 +76,11 @@ def splitters_for(rows: DataFrame, total: int, ranges: int) -> np.ndarray:
         for r in over.itertuples():
             parts = math.ceil(r.b * ranges / total)
             inside = rows.where((F.col("_key") >= int(r.lo)) & (F.col("_key") <= int(r.hi)))
-            more.append(_quantiles(sample_keys(inside, int(r.b), parts * SAMPLES_PER_RANGE), parts))
-        grown = np.unique(np.concatenate([found, *more]))
-        if len(grown) == len(found):
+            more.append(_quantiles(sample_keys(inside, int(r.b), parts * SAMPLES_PER_RANGE * 2 ** draw, draw),
+                                   parts))
+        if not more:
             break
-        found = grown
+        found = np.unique(np.concatenate([found, *more]))
     return found
 
 

@@ -1,0 +1,46 @@
+import hashlib
+import re
+
+from sprout.llm import exact_dedup as module
+from sprout.llm.exact_dedup import exact_dedup
+
+
+def brute(rows):
+    groups = {}
+    for k, (i, t) in enumerate(rows):
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i or 0, k))
+    out = []
+    for norm, own in groups.items():
+        best = min(own)
+        out += [(rows[k][0], rows[best[3]][0], len(own), k == best[3],
+                 hashlib.sha256(norm.encode()).hexdigest()) for _, _, _, k in own]
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted(map(tuple, df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=repr)
+
+
+def test_awkward_rows(docs):
+    assert result(exact_dedup(docs)) == brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_empty_table(empty):
+    assert exact_dedup(empty).collect() == []
+
+
+def test_hot_group_is_split_and_merged(spark, monkeypatch):
+    monkeypatch.setattr(module, "SAMPLE_PER_PARTITION", 500)
+    rows = [(i, "hot  text" if i % 3 else "hot text") for i in range(900)] + [(i, f"text {i}") for i in range(900, 2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert module.hot_texts(df).count() == 1
+    assert result(exact_dedup(df)) == brute(rows)
+
+
+def test_one_exchange_for_sort_and_windows(spark, docs):
+    rows = docs.select("doc_id", "text").withColumn("k", module.normalised())
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    w = Window.partitionBy("k", "text").orderBy("doc_id")
+    plan = rows.repartitionByRange("k").select(F.row_number().over(w))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

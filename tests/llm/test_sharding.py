@@ -1,0 +1,63 @@
+import zlib
+
+import numpy as np
+
+from sprout.llm import sharding
+from sprout.llm.sharding import shard
+
+
+def check(rows, got, shards=8, slack=None):
+    assert len(got) == len(rows)
+    size = lambda t: 1 if t is None else len(t.encode()) + 1
+    want = sorted(((i, size(t), zlib.crc32((t or "").encode())) for i, t in rows), key=repr)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=repr) == want
+    load = np.zeros(shards)
+    slots = {}
+    for r in got:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        load[r.shard] += r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    for own in slots.values():
+        assert sorted(own) == list(range(len(own)))
+    biggest = max(size(t) for _, t in rows)
+    mean = load.sum() / shards
+    assert np.abs(load - mean).max() <= biggest + 2 * sharding.SNAP_SHARE * mean
+    return load
+
+
+def test_awkward_rows(docs):
+    check([tuple(r) for r in docs.select("doc_id", "text").collect()], shard(docs).collect())
+
+
+def test_empty_table(empty):
+    assert shard(empty).collect() == []
+
+
+def test_hot_text_and_repeats(spark):
+    rows = [(i, "the same text") for i in range(2000)] + [(5, "one row again")] * 500 + \
+        [(i, f"text {i} " * (1 + i % 7)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    check(rows, shard(df).collect())
+
+
+def test_small_groups_stay_whole(spark):
+    rows = [(i, f"text {i // 3} " * 40) for i in range(6000)]
+    got = shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    check(rows, got)
+    of = {}
+    for r in got:
+        of.setdefault(r.doc_id // 3, set()).add(r.shard)
+    assert all(len(s) == 1 for s in of.values())
+
+
+def test_overfull_range_is_subdivided(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SAMPLES_PER_RANGE", 1)
+    from pyspark.sql import functions as F
+    rows = spark.range(5000).select(F.col("id").alias("_key"), F.col("id").alias("_tie"),
+                                    F.when(F.col("id") < 100, 1000).otherwise(1).cast("long").alias("size")).cache()
+    total = rows.agg(F.sum("size")).first()[0]
+    found = sharding.splitters_for(rows, total, 16)
+    load = np.zeros(len(found) + 1)
+    for r in rows.collect():
+        load[np.searchsorted(found, r["_key"], side="right")] += r["size"]
+    assert load.max() <= sharding.OVERFULL * total / 16 + 1000
