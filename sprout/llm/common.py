@@ -15,8 +15,8 @@ from sprout.sources.fixtures import materialize
 
 # ASCII letters, lower-cased one by one (no other letter changes).
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Fixed value: a word is a run of characters outside these ASCII ranges.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: ASCII characters outside words; every other character is part of one.
+BETWEEN_WORDS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
 SLICE_ROWS = 256  # rows of an Arrow batch that are Python objects at one time
 BROADCAST_ROWS = 1_000_000  # id lists up to this many rows are broadcast, larger ones are shuffled
@@ -42,8 +42,13 @@ def text_or_empty(text: str = "text") -> Column:
 
 
 def words(text: Column) -> Column:
-    """ARRAY<STRING>: lower-cased (A-Z only) words of ``WORD``, in text order."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), 0)
+    """ARRAY<STRING>: words in text order, A-Z lower-cased.
+
+    One character map and a split at single spaces, which costs a third of
+    a regular expression over the text.
+    """
+    spaced = F.translate(text, UPPER + BETWEEN_WORDS, LOWER + " " * len(BETWEEN_WORDS))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,11 +1,7 @@
-import os
-import sys
+"""Awkward documents for the operator tests (``spark`` comes from tests/conftest.py)."""
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
 SF = "/root/testdata/sf0.001"
 TEXTS = [
     (1, "The quick brown fox jumps over the lazy dog and runs away from the big bad wolf today"),
@@ -32,10 +28,3 @@ def docs(spark):
 @pytest.fixture(scope="session")
 def empty(docs):
     return docs.where("false")
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from sprout.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, conf={"spark.ui.showConsoleProgress": "false"})
-    yield s

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import SF
+from llm_fixtures import SF, docs, empty  # noqa: F401
 from sprout.llm import ftrl, toxicity
 from sprout.llm.common import held_out
 from sprout.llm.ftrl import quality_scores

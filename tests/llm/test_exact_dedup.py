@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+from llm_fixtures import docs, empty  # noqa: F401
 from sprout.llm import exact_dedup as module
 from sprout.llm.exact_dedup import exact_dedup
 

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import docs, empty  # noqa: F401
 from sprout.llm.packing import Encoder, cut, pack, places, plan_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")

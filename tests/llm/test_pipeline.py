@@ -1,5 +1,5 @@
 import corpus_pipeline
-from conftest import SF
+from llm_fixtures import SF, docs, empty  # noqa: F401
 from sprout.llm.common import with_row_key
 
 

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_fixtures import docs, empty  # noqa: F401
 from sprout.llm import licenses, pii, secrets_scan
 from sprout.llm.licenses import scan_licenses
 from sprout.llm.pii import scan_pii

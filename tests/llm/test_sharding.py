@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 
+from llm_fixtures import docs, empty  # noqa: F401
 from sprout.llm import sharding
 from sprout.llm.sharding import shard
 
