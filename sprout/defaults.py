@@ -12,5 +12,7 @@ ALPHA = 0.002
 DELTA = 0.05
 
 # Largest vocabulary / model that is shipped to tasks as a constant lookup
-# table. Above it, featurization and scoring switch to joins.
-MAX_LOOKUP_KEYS = 2_000_000
+# table, by keys and by the bytes of their text. Above either, featurization and
+# scoring take the join form, which gives the same results.
+MAX_LOOKUP_KEYS = 200_000
+MAX_LOOKUP_BYTES = 16 * 1024 * 1024

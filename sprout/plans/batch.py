@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import MAX_LOOKUP_KEYS
+from ..defaults import MAX_LOOKUP_BYTES, MAX_LOOKUP_KEYS
 from ..functions.lookup import build_lookup
 from ..functions.stats import sign_marker
 from ..operators.scoring import Model, model_score, score_by_join
@@ -17,11 +17,12 @@ def load_model(model_frame: DataFrame, limit: int | None = None) -> Model | None
     """Collect a model table (ngram, fid, weight, n) — at most m rows.
 
     With ``limit``, at most ``limit + 1`` rows are collected and ``None`` is
-    returned when the table is larger (the caller then joins instead).
+    returned when the table is larger, or its text is larger than
+    ``MAX_LOOKUP_BYTES`` (the caller then joins instead).
     """
     rows = model_frame.select("ngram", "fid", "weight", "n", F.xxhash64("ngram").alias("_h"))
     rows = (rows.limit(limit + 1) if limit is not None else rows).collect()
-    if limit is not None and len(rows) > limit:
+    if limit is not None and (len(rows) > limit or sum(len(r["ngram"]) for r in rows) > MAX_LOOKUP_BYTES):
         return None
     rows.sort(key=lambda r: r["fid"])
     if not rows:

@@ -104,17 +104,6 @@ class FirstRound:
     unlabelled: int  # unknown rows before round 1
 
 
-def prepare_input(train: DataFrame, materialize_input: bool = False) -> DataFrame:
-    """Spread a small input over the cluster's cores; optionally materialize.
-
-    An input that is a bare scan with no more splits than the default
-    parallelism is small (a split is at most one file block), so it is
-    round-robin spread (if needed) and cached. An input whose plan shuffles is
-    written once first: rounds then scan files instead of repeating its joins.
-    """
-    return _prepare(train, materialize_input)[0]
-
-
 def shuffles(df: DataFrame) -> bool:
     """Whether the plan moves rows between tasks (read from the plan, nothing runs)."""
     return "Exchange" in df._jdf.queryExecution().sparkPlan().toString() or \
@@ -122,6 +111,13 @@ def shuffles(df: DataFrame) -> bool:
 
 
 def _prepare(train: DataFrame, materialize_input: bool = False) -> tuple[DataFrame, bool]:
+    """Spread a small input over the cluster's cores; write a shuffled one.
+
+    An input that is a bare scan with no more splits than the default
+    parallelism is small (a split is at most one file block), so it is
+    round-robin spread (if needed) and cached. An input whose plan shuffles is
+    written once first: rounds then scan files instead of repeating its joins.
+    """
     spark = train.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if materialize_input or shuffles(train):
@@ -156,7 +152,7 @@ def self_train(train: DataFrame, test: DataFrame | None = None, n: int = default
     larger than ``max_lookup_keys`` runs the join form of the loop
     (:func:`_self_train_joined`).
     """
-    if m > max_lookup_keys:
+    if m * max(1, checkpoint_every or 1) > max_lookup_keys:  # a chain holds that many models
         if first is not None:
             raise ValueError("a shared first round needs the in-row lookup (m within the bound)")
         return _self_train_joined(train, test, n, m, n_iter, threshold, alpha, delta, max_rounds,

@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_MID
+from sprout.queries import QUERIES
 
 TABLES = ["documents", "labels", "conversations", "benchmark"]
 
@@ -16,11 +17,12 @@ def test_entry_smoke(spark):
 def test_oracles_cover_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"self_train", "search_grid", "best_config"}
+    assert set(QUERIES) - set(o) == {"self_train", "search_grid", "best_config"}
 
 
 @pytest.mark.parametrize("name", ["select_vocab", "featurize", "train_weights_3ep", "self_train_round1",
-                                  "score_batch", "build_corpus"])
+                                  "score_batch", "score_batch_joined", "line_index", "model_roundtrip",
+                                  "best_config_round1", "build_corpus"])
 def test_oracle_agreement(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -37,7 +39,7 @@ def test_oracle_agreement(spark, name):
     assert norm([tuple(r) for r in df.collect()], df.columns) == norm(res.fetchall(), res.columns)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_every_query_runs_small(spark, name):
     from conftest import SF_SMALL
     df = E.queries()[name](spark, SF_SMALL)
@@ -48,3 +50,17 @@ def test_every_query_runs_small(spark, name):
         for t in TABLES:
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
         assert sorted(con.sql(E.oracle_sql()[name]).columns) == sorted(df.columns)
+
+
+def test_entry_works_without_the_optional_part(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(os.path.join(root, "sprout"), tmp_path / "sprout", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    code = ("import __spark_entry__ as e; q = e.queries(); assert 'select_vocab' in q and 'pipeline' not in q; "
+            "assert set(e.oracle_sql()) <= set(q); print('ok')")
+    out = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0 and "ok" in out.stdout, out.stderr
