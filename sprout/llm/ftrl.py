@@ -4,10 +4,12 @@ Tokens are runs of letters, runs of digits and runs of other visible
 characters; a token is also seen as its shape, so that capitals and
 decoration count whatever the word. Uni- and bigrams of both are hashed into
 ``2 ** BITS`` weights. A document's features are its distinct n-grams at
-equal value, with unit length, so a score is one sparse dot product.
+equal value, with unit length, and a bias of value 1, so a score is one sparse
+dot product and a text without known n-grams gets the share of good ones.
 
-Training: ``SHARDS`` learners pass over shares of the labelled rows, each
-with follow-the-regularised-leader updates, and their weights are averaged.
+Training: learners pass over shares of the labelled rows, at most ``SHARDS``
+of at least ``ROWS_PER_SHARD`` rows, each with follow-the-regularised-leader
+updates, and their weights are averaged.
 ``max_train_rows`` bounds the labelled rows, chosen by the hash of their id.
 
 Defined cases: NULL and empty texts have only the bias feature; several
@@ -29,8 +31,8 @@ from .common import held_out, per_row, text_or_empty
 
 BITS = 18
 MAX_TRAIN_ROWS = 40_000
-SHARDS = 8
-EPOCHS = 3
+SHARDS, ROWS_PER_SHARD = 8, 2_000
+EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-3
 THRESHOLD = 0.7
 MEMO = 200_000
@@ -83,16 +85,23 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPO
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     for _ in range(epochs):
         for at, label in rows:
-            value = 1.0 / np.sqrt(len(at))
+            value = np.full(len(at), 1.0 / np.sqrt(len(at)))
+            value[0] = 1.0  # the bias, always the first
             zi, ni = z[at], n[at]
             w = np.where(np.abs(zi) <= L1, 0.0, -(zi - np.sign(zi) * L1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
-            p = 1.0 / (1.0 + np.exp(-np.clip(w.sum() * value, -35, 35)))
+            p = 1.0 / (1.0 + np.exp(-np.clip(w @ value, -35, 35)))
             g = (p - label) * value
             z[at] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * w
             n[at] = ni + g * g
     return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
+def probability(w: np.ndarray, at: np.ndarray) -> float:
+    """Score of a document from its feature numbers."""
+    total = w[0] + w[at[1:]].sum() / np.sqrt(len(at))
+    return float(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int,
              doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, label): at most about ``max_rows`` rows whose label may be learnt."""
@@ -105,8 +114,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int,
             .join(F.broadcast(known), "doc_id"))
 
 
-def train(rows: DataFrame, bits: int = BITS, shards: int = SHARDS) -> np.ndarray | None:
+def train(rows: DataFrame, bits: int = BITS, shards: int | None = None) -> np.ndarray | None:
     """Average weights of the shards' learners (None without labelled rows)."""
+    shards = shards or max(1, min(SHARDS, rows.count() // ROWS_PER_SHARD))
     def learn(part: pd.DataFrame) -> pd.DataFrame:
         hasher = Hasher(bits)
         part = part.sort_values(["_mix", "doc_id"])
@@ -132,8 +142,7 @@ def score_rows(rows: DataFrame, weights: np.ndarray | None, bits: int, columns:
         def row(*values):
             if w is None:
                 return (*values[:-1], 0.5)
-            at = hasher(values[-1])
-            return (*values[:-1], float(1.0 / (1.0 + np.exp(-np.clip(w[at].sum() / np.sqrt(len(at)), -35, 35)))))
+            return (*values[:-1], probability(w, hasher(values[-1])))
         return row
 
     return per_row(rows.select(*columns), make, schema)
