@@ -50,29 +50,31 @@ def shape(token: str) -> str:
     return "\x01" + token[:1] * min(len(token), 4)
 
 
+class Hashes(dict):
+    """Token to its word hash (upper 32 bits) and shape hash (lower 32 bits)."""
+
+    def __missing__(self, token: str) -> int:
+        got = self[token] = zlib.crc32(token.lower().encode()) << 32 | zlib.crc32(shape(token).encode())
+        return got
+
+
 class Hasher:
     """Text to its distinct feature numbers."""
 
     def __init__(self, bits: int = BITS) -> None:
         self.mask = np.uint64((1 << bits) - 1)
-        self.memo: dict[str, tuple[int, int]] = {}
-
-    def pair(self, token: str) -> tuple[int, int]:
-        got = self.memo.get(token)
-        if got is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            got = self.memo[token] = (zlib.crc32(token.lower().encode()), zlib.crc32(shape(token).encode()))
-        return got
+        self.memo = Hashes()
 
     def __call__(self, text: str) -> np.ndarray:
         tokens = TOKEN.findall(text)
         if not tokens:
             return np.zeros(1, np.int64)
-        pair = self.pair
-        both = np.array([pair(t) for t in tokens], np.uint64)
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        both = np.fromiter(map(self.memo.__getitem__, tokens), np.uint64, len(tokens))
         found = [np.zeros(1, np.uint64)]  # the bias
-        for column, salt in ((both[:, 0], 0x9E3779B97F4A7C15), (both[:, 1], 0xC2B2AE3D27D4EB4F)):
+        for column, salt in ((both >> np.uint64(32), 0x9E3779B97F4A7C15),
+                             (both & np.uint64(0xFFFFFFFF), 0xC2B2AE3D27D4EB4F)):
             mixed = column * np.uint64(salt)
             found.append(mixed >> np.uint64(40))
             if len(mixed) > 1:
