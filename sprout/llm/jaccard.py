@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, arrow_schema, stored, text_or_empty
+from .common import BROADCAST_ROWS, arrow_schema, partitions, stored, text_or_empty
 from .components import components
 
 SHINGLE = 3
@@ -47,6 +47,7 @@ PERCENT = 90  # linked if 100 * intersection >= PERCENT * union
 SKETCH_BITS = (16, 22)  # counters: eight per document, within these powers of two
 CHUNK = 1 << 15
 BLOCK = 4096  # entries of a list compared in one block
+ENTRIES = 20_000  # entries compared at one time, and the rest of the last block
 MEMO = 300_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -216,30 +217,53 @@ def class_sets(rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int) -
 
 
 def open_pairs(part: pd.DataFrame, percent: int, within: bool) -> pd.DataFrame:
-    """Pairs of one block (or of two) of a list that nothing rules out yet."""
-    part = part.sort_values(["n", "class"], ignore_index=True)
+    """Pairs, in whole blocks of lists, that nothing rules out yet.
+
+    Entries stand block by block in order of size. Every entry is compared
+    with the one after it, then the one after that, and so on, all entries at
+    once; an entry leaves as soon as it meets the end of its block or a set too
+    large for it. One whose position is too late to link upwards never starts.
+    """
+    part = part.sort_values(["t", "bi", "bj", "n", "class"], ignore_index=True)
     n, room = part["n"].to_numpy(np.int64), (part["n"] - part["pos"]).to_numpy(np.int64)
+    keys = part[["t", "bi", "bj"]].to_numpy()
+    group = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)]) if len(part) else np.zeros(0, np.int64)
     root, _ = pd.factorize(part["root"])
     far, block = part["far"].to_numpy(float), part["block"].to_numpy()
-    two = bool((part["bi"] != part["bj"]).iloc[0])
-    name = part["class"].to_numpy(object)
-    found_a, found_b = [], []
-    for i in range(len(n) - 1):
-        end = np.searchsorted(n, 100 * n[i] // percent, side="right")  # larger ones are skipped
-        if end <= i + 1:
-            continue
-        j = slice(i + 1, end)
+    two = keys[:, 1] != keys[:, 2]
+    found = []
+    i = np.flatnonzero((100 + percent) * room >= 2 * percent * n)
+    step = 0
+    while len(i):
+        step += 1
+        i = i[i + step < len(n)]
+        i = i[(group[i + step] == group[i]) & (percent * n[i + step] <= 100 * n[i])]
+        j = i + step
         ok = (100 + percent) * np.minimum(room[i], room[j]) >= percent * (n[i] + n[j])
         if not within:
-            ok &= root[j] != root[i]
-        if two:
-            ok &= block[j] != block[i]
-        apart = np.abs(far[j] - far[i])  # NaN: not compared with the leader
-        ok &= ~(apart > 1 - percent / 100 + 1e-9)
-        for k in np.flatnonzero(ok) + i + 1:
-            found_a.append(min(name[i], name[k]))
-            found_b.append(max(name[i], name[k]))
-    return pd.DataFrame({"a": found_a, "b": found_b})
+            ok &= root[i] != root[j]
+        ok &= ~two[i] | (block[i] != block[j])
+        ok &= ~(np.abs(far[i] - far[j]) > 1 - percent / 100 + 1e-9)  # NaN: not compared with the leader
+        found.append(np.stack([i[ok], j[ok]]))
+    name = part["class"].to_numpy(object)
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    pairs = {(min(a, b), max(a, b)) for a, b in zip(name[pairs[0]], name[pairs[1]], strict=True)}
+    return pd.DataFrame(sorted(pairs), columns=["a", "b"])
+
+
+def whole_blocks(parts, rows: int = ENTRIES):
+    """Sorted entries as frames of at least ``rows`` rows that end with a block."""
+    held = None
+    for part in parts:
+        held = part if held is None else pd.concat([held, part], ignore_index=True)
+        if len(held) >= rows:
+            keys = held[["t", "bi", "bj"]].to_numpy()
+            end = int((keys == keys[-1]).all(axis=1).argmax())
+            if end:
+                yield held.iloc[:end]
+                held = held.iloc[end:]
+    if held is not None:
+        yield held
 
 
 def remaining_pairs(entries: DataFrame, known: DataFrame, roots: DataFrame, percent: int,
@@ -263,10 +287,14 @@ def remaining_pairs(entries: DataFrame, known: DataFrame, roots: DataFrame, perc
     rest = rest.select("t", "class", "n", "pos", "root", "far", "block",
                        F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
 
-    def search(part: pd.DataFrame) -> pd.DataFrame:
-        return open_pairs(part, percent, all_links)
+    def search(parts):
+        for part in whole_blocks(parts):
+            yield open_pairs(part, percent, all_links)
 
-    pairs = rest.groupBy("t", "bi", "bj").applyInPandas(search, "a binary, b binary").distinct()
+    # A fixed number of partitions: the work is in the comparisons, not the bytes.
+    tasks = 4 * partitions(entries.sparkSession)
+    pairs = (rest.repartition(tasks, "t", "bi", "bj").sortWithinPartitions("t", "bi", "bj", "n", "class")
+             .mapInPandas(search, "a binary, b binary").distinct())
     return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
 
 
