@@ -104,6 +104,16 @@ def test_open_pairs_keep_every_possible_link():
             assert ((min(a[3], b[3]), max(a[3], b[3])) in got) == (may and a.root != b.root)
 
 
+def test_parity_differs_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 50, 3000):
+        one = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        other = np.unique(np.concatenate([one[: size // 2], rng.integers(0, 2**63, size // 3, dtype=np.uint64)]))
+        differ = sum(int(x).bit_count() for x in
+                     (jaccard.parity_bits(one) ^ jaccard.parity_bits(other)).view(np.uint64))
+        assert differ <= len(np.setxor1d(one, other))
+
+
 def test_whole_blocks_end_with_a_block():
     rows = pd.DataFrame([(t, 0, 0, k) for t in range(30) for k in range(t % 7 + 1)], columns=["t", "bi", "bj", "k"])
     for size in (1, 5, 1000):
