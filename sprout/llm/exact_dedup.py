@@ -5,7 +5,8 @@ U+000D) is deleted. Records are range-partitioned on the normalised text with
 sampled splitters and sorted externally within each range, which puts equal
 texts next to each other; a window over the sorted rows compares neighbouring
 texts in full and keeps, of equal ones, the row whose original text has most
-code points, then the smallest id.
+code points, then the smallest id. Splitters are sampled as the first
+``HEAD`` characters and a hash, so what the driver sees of a text is bounded.
 
 Hot texts. A counted sample names the texts that would fill a good part of a
 range (at most four per shuffle partition, by construction). Their sort key
@@ -26,6 +27,7 @@ from .common import partitions, stored, text_or_empty
 
 # The white space that normalisation deletes.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
+HEAD = 32  # leading characters of a text that its splitter key holds
 SAMPLE_PER_PARTITION = 200  # sampled keys per shuffle partition
 HOT_SAMPLES = 50  # a text seen so often in the sample is split
 SEGMENT_SAMPLES = 12  # sampled keys a segment of a hot text stands for
@@ -52,15 +54,16 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
                        F.char_length(text_or_empty(text)).cast("long").alias("_len"),
                        normalised(text).alias("_norm"),
                        F.xxhash64(F.monotonically_increasing_id()).alias("_mix"))
-    rows = (rows.withColumn("_hash", F.xxhash64("_norm"))
+    rows = (rows.withColumn("_hash", F.xxhash64("_norm")).withColumn("_head", F.substring("_norm", 1, HEAD))
             .join(F.broadcast(stored(hot_texts(docs, text), "hot_texts")), "_hash", "left")
             .withColumn("_salt", F.coalesce(F.pmod("_mix", F.col("_parts")).cast("int"), F.lit(-1)))
-            .drop("_hash", "_parts", "_mix"))
-    # Window needs the rows of (_norm, _salt) together: the range partitioning
-    # already gives that, so there is one exchange and one sort.
-    ranged = rows.repartitionByRange("_norm", "_salt")
+            .drop("_parts", "_mix"))
+    # The windows need the rows of one sort key together: the range
+    # partitioning already gives that, so there is one exchange and one sort.
+    key = ["_head", "_hash", "_salt"]
+    ranged = rows.repartitionByRange(*key)
     best = [F.col("_len").desc(), F.col("doc_id").asc_nulls_last()]
-    group = Window.partitionBy("_norm", "_salt")
+    group = Window.partitionBy(*key, "_norm")
     first = stored(ranged.select(
         "doc_id", *carry, "_salt", "_len",
         F.row_number().over(group.orderBy(*best)).alias("_rank"),
