@@ -9,6 +9,9 @@ all documents, and a class enters the lists of its first
 first common shingle. An entry keeps its position in the class's order and
 the class's size, which bound the overlap that is still possible from there.
 
+Pairs are compared in full only if the parities of their shingles, 512 bits
+a class, do not already differ in too many places.
+
 Skipping. In each list the entry with the smallest position leads (a text
 that others were derived from has no shingle rarer than theirs). Leaders are
 compared with their lists first, exactly. The answers of a similar set then
@@ -39,11 +42,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, arrow_schema, partitions, stored, text_or_empty
+from .common import BROADCAST_ROWS, arrow_schema, by_ids, partitions, stored, text_or_empty
 from .components import components
 
 SHINGLE = 3
 PERCENT = 90  # linked if 100 * intersection >= PERCENT * union
+PARITY = 512  # bits of a class's parity
 SKETCH_BITS = (16, 22)  # counters: eight per document, within these powers of two
 CHUNK = 1 << 15
 BLOCK = 4096  # entries of a list compared in one block
@@ -142,14 +146,25 @@ def class_of(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles per bucket, packed into 64-bit words.
+
+    Two sets differ in at least as many shingles as these bits do, so a pair
+    with too many different bits is ruled out without its sets.
+    """
+    odd = np.bincount((shingles >> np.uint64(3)).astype(np.int64) % PARITY, minlength=PARITY).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def document_sets(texts: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(_id..., n, class, prefix): size, class and rarest shingles of every document.
+    """(_id..., n, class, bits, prefix): size, class, parity and rarest shingles of every document.
 
     The last column of ``texts`` is the text, the others are passed through.
     """
     *kept, _ = texts.columns
     ddl = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in kept)
-    schema = arrow_schema(ddl + "n long, class binary, prefix array<long>")
+    ddl += "n long, class binary, bits array<long>, prefix array<long>"
+    schema = arrow_schema(ddl)
     shared = texts.sparkSession.sparkContext.broadcast(sketch)
     shift = np.uint64(64 - int(math.log2(len(sketch))))
 
@@ -158,7 +173,7 @@ def document_sets(texts: DataFrame, sketch: np.ndarray, width: int, percent: int
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, classes, prefixes = [], [], []
+                sizes, classes, bits, prefixes = [], [], [], []
                 for text in part.column(part.num_columns - 1):
                     own = shingles(text.as_py())
                     n = len(own)
@@ -166,12 +181,13 @@ def document_sets(texts: DataFrame, sketch: np.ndarray, width: int, percent: int
                     first = n - -(-percent * n // 100) + 1 if n else 0
                     sizes.append(n)
                     classes.append(class_of(own))
+                    bits.append(parity_bits(own))
                     prefixes.append(own[order[:first]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
-                     pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
+                     pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
 
-    return texts.mapInArrow(run, schema=ddl + "n long, class binary, prefix array<long>")
+    return texts.mapInArrow(run, ddl)
 
 
 def can_link(percent: int, n1: str, p1: str, n2: str, p2: str):
@@ -182,12 +198,24 @@ def can_link(percent: int, n1: str, p1: str, n2: str, p2: str):
             & ((100 + percent) * room >= percent * (n1 + n2)))
 
 
+def promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose parity bits leave room for the overlap they need."""
+    of = lambda name: reps.select(F.col("class").alias(name), F.col("n").alias("n" + name),
+                                  F.col("bits").alias("bits" + name))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    differ = sum((F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k))))
+                  for k in range(PARITY // 64)), F.lit(0))
+    total = F.col("na") + F.col("nb")
+    return both.where((100 + percent) * (total - differ) >= 2 * percent * total).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, common, na, nb, linked): exact overlaps of the pairs."""
     of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias("s" + name))
     both = pairs.join(of("b"), "b").join(of("a"), "a")
+    # A repeated id can bring a class twice, a pair stays one row.
     both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
-                       F.size("sa").alias("na"), F.size("sb").alias("nb"))
+                       F.size("sa").alias("na"), F.size("sb").alias("nb")).dropDuplicates(["a", "b"])
     return both.withColumn("linked", 100 * F.col("common") >=
                            percent * (F.col("na") + F.col("nb") - F.col("common")))
 
@@ -212,8 +240,8 @@ def class_sets(rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int) -
                      pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], ["class", "shingles"])
 
     made = texts.mapInArrow(run, "class binary, shingles array<long>")
-    # A repeated id may bring texts of other classes; equal texts come once.
-    return stored(made.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"]), "class_sets")
+    # A repeated id may bring texts of other classes; the pairs' joins leave them out.
+    return stored(made, "class_sets")
 
 
 def open_pairs(part: pd.DataFrame, percent: int, within: bool) -> pd.DataFrame:
@@ -307,20 +335,24 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     sets = stored(document_sets(rows, sketch, width, percent), "document_sets")
 
     reps = stored(sets.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "classes")
+    # Most lists hold one class: they are found by their shingles alone, and
+    # only entries of the others move.
     entries = reps.select("class", "n", F.posexplode("prefix").alias("pos", "t"))
-    lists = (entries.groupBy("t").agg(F.count(F.lit(1)).alias("size"),
-                                      F.min(F.struct("pos", "n", "class")).alias("lead")).where("size > 1"))
+    several = stored(reps.select(F.explode("prefix").alias("t")).groupBy("t").count().where("count > 1").select("t"),
+                     "shared_shingles")
+    entries = stored(by_ids(entries, several, "t", "left_semi"), "entries")
+    lists = entries.groupBy("t").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("pos", "n", "class")).alias("lead"))
     entries = stored(entries.join(lists, "t").select(
         "t", "class", "n", "pos", "size", F.col("lead.class").alias("leader"),
         F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lp")), "lists")
 
-    star = stored(entries.where(F.col("class") != F.col("leader")).where(can_link(percent, "n", "pos", "ln", "lp"))
-                  .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct(),
-                  "leader_pairs")
+    star = (entries.where(F.col("class") != F.col("leader")).where(can_link(percent, "n", "pos", "ln", "lp"))
+            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct())
+    star = stored(promising(star, reps, percent), "leader_pairs")
     known = stored(verified(star, class_sets(rows, reps, star, width), percent), "leader_links")
     roots = stored(components(known.where("linked"), "a", "b"), "roots")
-    rest = stored(remaining_pairs(entries, known, roots, percent, all_links), "open_pairs")
+    rest = stored(promising(remaining_pairs(entries, known, roots, percent, all_links), reps, percent), "open_pairs")
     if rest.limit(1).count():
         more = stored(verified(rest, class_sets(rows, reps, rest, width), percent), "open_links")
         known = known.unionByName(more)
