@@ -35,3 +35,30 @@ def test_run(spark):
     assert 0 < out["doc_id"].nunique() <= documents.count()
     ends = out.sort_values("offset").groupby("sequence_id")["length"].sum()
     assert (ends <= 1024).all()
+
+
+def test_near_duplicates_between_the_bars(spark):
+    """5 words and 0.8: copies that 3 words and 0.9 would leave in go, those below 0.8 stay."""
+    from test_jaccard import shingles
+    rows, parts = [], []
+    for g in range(6):
+        base = [f"g{g}w{k}" for k in range(270)]
+        for changed in (0, 5, 9):
+            own = list(base)
+            for k in range(changed):
+                own[10 + 28 * k] = f"g{g}new{k}"
+            rows.append((100 * g + changed, " ".join(own)))
+    def jaccard(a, b, width):
+        a, b = shingles(a, width), shingles(b, width)
+        return len(a & b) / len(a | b)
+    for k in range(0, len(rows), 3):
+        base, near, far = (t for _, t in rows[k:k + 3])
+        assert jaccard(base, near, 5) >= 0.8 and jaccard(base, near, 3) < 0.9
+        assert jaccard(base, far, 5) < 0.8 and jaccard(near, far, 5) >= 0.8
+        parts.append(rows[k][0])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    def kept(d):
+        return sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, d, SF).collect())
+    assert kept(df.where("doc_id % 100 != 9")) == parts
+    assert kept(df.where("doc_id % 100 != 5")) == sorted(i for i, _ in rows if i % 100 != 5)
+    assert kept(df) == parts  # linked through the copy between them
