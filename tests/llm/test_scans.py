@@ -149,3 +149,41 @@ def test_viterbi_equals_all_paths():
     # A shorter and a longer segment in one batch must not disturb each other.
     got = model.decode([["one"], tokens, tokens * 3])
     assert tuple(got[1]) == best and len(got[0]) == 1 and len(got[2]) == 21
+
+
+def brute_crf(text, model):
+    """Every line with a trigger word, decoded whole and on its own."""
+    out, start = [], 0
+    for line in text.split("\n"):
+        tokens = list(re.finditer(r"\S+", line))
+        if any("@" in m.group() or re.search("[0-9]", m.group()) or m.group().strip(pii.EDGE).lower() in pii.CUES
+               for m in tokens):
+            tags = model.decode([[m.group() for m in tokens]])[0]
+            out += [(start + a, k, start + b) for a, k, b in pii.entity_spans(tokens, tags)]
+        start += len(line) + 1
+    base = pii.base_spans(text)
+    out = [s for s in out if not any(s[0] < e and b < s[2] for b, _, e in base)]
+    return pii.joined(sorted(base + out))
+
+
+def test_cues_beside_any_edge_character_are_decoded(monkeypatch):
+    model = pii.trained()
+    for c in pii.EDGE:
+        for line in (f"Signed{c} Maria Lopez", f"{c}contact John Smith", f'{c}Mrs{c} Jane Doe'):
+            assert [len(s) for s in pii.segments_of("nothing\n" + line)] == [len(line.split())], line
+    texts = ["Signed, Maria Lopez", "(contact John Smith)", "name; Anna Keller", '"Mrs" Doe', "",
+             "no cue here", "his(name)s no cue", "Call 555-123-4567\nName: Peter Jones\n\nhe left " + "x " * 40 + "at 9"]
+    want = [brute_crf(t, model) for t in texts]
+    assert [r[5] for r in pii.scan_batch(texts, model)] == want
+    assert "crf_person:8:19" in want[0] and "crf_person:9:19" in want[1]
+    monkeypatch.setattr(pii, "HELD_WORDS", 3)  # many small batches
+    assert [r[5] for r in pii.scan_batch(texts, model)] == want
+
+
+def test_long_entities_are_not_cut():
+    model = pii.trained()
+    names = " ".join(["Anna", "Maria"] * 10)
+    text = f"Signed {names} lives in the old town"
+    got = pii.scan_batch([text], model)[0][5]
+    assert got == brute_crf(text, model)
+    assert got.startswith("crf_person:7:") and len(text[7:int(got.split(":")[2])].split()) > 12
