@@ -8,8 +8,8 @@ terms, at their places in the item. A second pass stores the positional
 postings of these terms. Lists are offset-adjusted: a posting minus the term's
 place in the item is the diagonal on which the item would stand in the
 document. Where the diagonal of a window's two terms is the same, the window
-is a phrase candidate; where they are neighbours at most ``slop`` apart, it is
-a proximity match. The remaining terms of a candidate are compared with the
+is a phrase candidate; where they are at most ``slop`` apart, whatever else
+stands between them, it is a proximity match. The remaining terms of a candidate are compared with the
 document's words, so that phrase matches are exact.
 
 All steps are DataFrame operations. Test items are a stated query set: they
@@ -102,11 +102,12 @@ def intersected(index: DataFrame, anchors: DataFrame, wins: DataFrame, slop: int
                  .repartition(*KEY, "_seq")
                  .groupBy(*KEY, "_seq", "diag").agg(F.collect_set("at").alias("own")))
     order = Window.partitionBy(*KEY, "_seq").orderBy("diag")
-    diagonals = (diagonals.withColumn("next", F.lead("diag").over(order)).withColumn("beside", F.lead("own").over(order))
-                 .withColumn("beside", F.when(F.col("next") - F.col("diag") <= slop, F.col("beside"))))
+    # The places on all diagonals within slop, at most slop rows.
+    beside = F.flatten(F.collect_list("own").over(order.rangeBetween(1, slop))) if slop > 0 else F.array().cast("array<int>")
+    diagonals = diagonals.withColumn("beside", beside)
     single = F.broadcast(wins.where("p2 IS NULL").select("_seq").distinct().withColumn("single", F.lit(True)))
     diagonals = (diagonals.join(single, "_seq", "left")
-                 .where((F.size("own") > 1) | F.col("beside").isNotNull() | F.col("single")))
+                 .where((F.size("own") > 1) | (F.size("beside") > 0) | F.col("single")))
     on = lambda places, p: F.coalesce(F.array_contains(places, F.col(p)), F.lit(False))
     meets = on("own", "p1") & (F.col("p2").isNull() | on("own", "p2"))
     nears = (on("own", "p1") & on("beside", "p2")) | (on("own", "p2") & on("beside", "p1"))

@@ -66,3 +66,44 @@ def test_main_path_has_no_python(spark, docs):
     for df in (decontaminate(docs, items), exact_dedup(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "InArrow" not in plan
+
+
+def brute_near(docs, items, slop, width=10):
+    """(doc_id, item_id, start) of windows whose two rarest terms are 1 to ``slop`` diagonals apart."""
+    counts = {}
+    for _, t in docs:
+        for w in set(words(t)):
+            counts[w] = counts.get(w, 0) + 1
+    out = set()
+    for name, text in items:
+        own = words(text)
+        for s in range(max(1, len(own) - width + 1)):
+            places = range(s, min(s + width, len(own)))
+            if len(places) < 2 or any(own[p] not in counts for p in places):
+                continue
+            p1, p2 = sorted(places, key=lambda p: (counts[own[p]], p))[:2]
+            for i, t in docs:
+                w = words(t)
+                on = [{k - p for k in range(len(w)) if w[k] == own[p]} for p in (p1, p2)]
+                both = on[0] & on[1]
+                low = {min(a, b) for a in on[0] for b in on[1] if 1 <= abs(a - b) <= slop}
+                out |= {(i, name, d + s) for d in low - both if d + s >= 0}
+    return out
+
+
+def test_proximity_over_a_diagonal_between(spark):
+    """Two words inserted apart: diagonals d, d + 1 and d + 2 all have anchors of the item."""
+    own = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen".split()
+    def inserted(*at):
+        return " ".join(w if k not in at else f"zz {w}" for k, w in enumerate(own))
+    items = [(1, " ".join(own)), (2, "alpha beta gamma")]
+    rows = [(1, inserted(4, 9)), (2, inserted(2, 7)), (3, inserted(3, 6, 11)), (4, " ".join(own)),
+            (5, "one two zz one four five one six seven zz eight nine ten"), (6, "alpha zz beta zz gamma")]
+    rows += [(10 + k, " ".join(own[:k])) for k in range(1, 14, 3)] + [(30 + k, " ".join(own[k:])) for k in range(2, 14, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    for slop in (0, 2):
+        want = brute_near(rows, items, slop)
+        got = {r["doc_id"]: r["n_near"] for r in decontaminate(docs, frame, slop=slop).collect()}
+        assert got == {i: len({x for x in want if x[0] == i}) for i, _ in rows}
+        assert len(want) > 5 or slop < 2
