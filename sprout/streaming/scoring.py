@@ -2,12 +2,17 @@
 
 The model (at most m N-grams) is collected once and compiled into the plan as
 a constant lookup, so each micro-batch is a narrow projection: no state, no
-join, no shuffle. A new model means a new query (restart from the same
+join, no shuffle. A model above the lookup bound is broadcast as sorted hashes,
+weights and texts instead and probed in Arrow batches, with the same scores;
+that takes no state and no shuffle either. A new model means a new query (restart from the same
 checkpoint to keep exactly-once output).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,14 +24,62 @@ from ..operators.vocab import tokenized
 from ..plans.batch import load_model
 
 
+def digests_of(ngrams: list[str]) -> np.ndarray:
+    import xxhash
+    return np.fromiter((xxhash.xxh3_64_intdigest(g.encode()) for g in ngrams), np.uint64, len(ngrams))
+
+
+def probe(ngrams: list[str], asked: np.ndarray, digests: np.ndarray, weights: np.ndarray,
+          names: pa.Array) -> np.ndarray:
+    """Weights of ``ngrams`` (hashes ``asked``) in a model sorted by hash, 0 if absent; texts decide."""
+    out = np.zeros(len(ngrams))
+    at = np.searchsorted(digests, asked)
+    for k in np.flatnonzero(digests[np.minimum(at, len(digests) - 1)] == asked):
+        j = at[k]
+        while j < len(digests) and digests[j] == asked[k]:
+            if names[j].as_py() == ngrams[k]:
+                out[k] = weights[j]
+                break
+            j += 1
+    return out
+
+
+def score_by_probe(rows: DataFrame, model_frame: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., score) of ``rows`` (keys..., ng), weights added in text order as in the lookup form."""
+    table = model_frame.select("ngram", "weight").where("ngram IS NOT NULL AND weight IS NOT NULL").toArrow()
+    names = pa.concat_arrays(table["ngram"].cast(pa.large_string()).chunks)
+    digests = np.concatenate([digests_of(names[k:k + 100_000].to_pylist()) for k in range(0, len(names), 100_000)])
+    order = np.argsort(digests, kind="stable")
+    shared = rows.sparkSession.sparkContext.broadcast(
+        (digests[order], table["weight"].to_numpy().astype(float)[order], names.take(pa.array(order))))
+    rows = rows.select(*keys, "ng")
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            coded = lists.flatten().dictionary_encode()
+            found = coded.dictionary.to_pylist()
+            own = probe(found, digests_of(found), *model)[coded.indices.to_numpy()]
+            owner = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            score = np.bincount(owner, own, len(lists))  # adds one by one, in order
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(score, mask=lists.is_null().to_numpy(zero_copy_only=False))],
+                [*batch.schema.names[:-1], "score"])
+
+    return rows.mapInArrow(run, rows.select(*keys).schema.add("score", "double"))
+
+
 def score_stream(stream: DataFrame, model_frame: DataFrame, keys, text: str = "text") -> DataFrame:
     """(keys..., score, label) for a streaming (or batch) DataFrame."""
     keys = list(keys)
     model = load_model(model_frame, limit=MAX_LOOKUP_KEYS)
     if model is None:
-        raise ValueError(f"a streaming model holds at most {MAX_LOOKUP_KEYS} N-grams")
-    rows = tokenized(stream, model.n, text=text, keep=keys)
-    scored = rows.select(*keys, model_score(F.col("ng"), model).alias("score"))
+        n = int(model_frame.select("n").first()["n"])
+        scored = score_by_probe(tokenized(stream, n, text=text, keep=keys), model_frame, keys)
+    else:
+        rows = tokenized(stream, model.n, text=text, keep=keys)
+        scored = rows.select(*keys, model_score(F.col("ng"), model).alias("score"))
     return scored.select(*keys, "score", sign_marker(F.col("score")).alias("label"))
 
 

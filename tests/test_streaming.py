@@ -36,3 +36,33 @@ def test_text_stream_scores_equal_batch(spark, tmp_path):
     batch = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     want = {texts[r.i]: round(r.score, 9) for r in score_batch(batch, frame, ["i"]).collect()}
     assert got == want
+
+
+def test_large_model_scores_equal_batch(spark, tmp_path, monkeypatch):
+    """Above the lookup bound the same scores, on a stream and across a restart with a larger model."""
+    from sprout.streaming import scoring
+    frame = spark.createDataFrame([(f"w{k}", k, (k % 7 - 3) / 7, 1) for k in range(300)] + [("ünï", 300, 0.1, 1)],
+                                  "ngram string, fid int, weight double, n int").repartition(3)
+    texts = ["w1 w2 w2 w299 none", "", None, "none at all", "ünï w3 w3 w3 w5 w8", "w1 w2 w2 w299 none"]
+    schema, src, sink = "i int, text string", str(tmp_path / "in"), str(tmp_path / "out")
+
+    def batch(k):
+        return spark.createDataFrame([(10 * k + i, t) for i, t in enumerate(texts)], schema)
+    for k, bound in enumerate((1000, 20, 0)):
+        monkeypatch.setattr(scoring, "MAX_LOOKUP_KEYS", bound)
+        batch(k).coalesce(1).write.mode("append").parquet(src)
+        query = start_scoring(spark, src, schema, frame, sink, ["i"], checkpoint=str(tmp_path / "ck"), trigger_once=True)
+        query.awaitTermination(120)
+    got = spark.read.parquet(sink)
+    want = [tuple(r) for k in range(3) for r in score_batch(batch(k), frame, ["i"]).collect()]
+    assert got.columns == ["i", "score", "label"]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_probe_tells_equal_hashes_apart():
+    import numpy as np
+    import pyarrow as pa
+    from sprout.streaming.scoring import probe
+    got = probe(["b", "c", "a", "d"], np.array([5, 5, 5, 9], np.uint64), np.array([5, 5, 7], np.uint64),
+                np.array([1.0, 2.0, 3.0]), pa.array(["a", "b", "e"]))
+    assert got.tolist() == [2.0, 0.0, 1.0, 0.0]
