@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from sprout.session import ensure_checkpoint_dir
-from sprout.sources.fixtures import materialize
+from sprout.sources.fixtures import materialize, materialize_at, release
 
 # ASCII letters, lower-cased one by one (no other letter changes).
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,7 +19,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
 SLICE_ROWS = 256  # rows of an Arrow batch that are Python objects at one time
-BROADCAST_ROWS = 1_000_000  # id lists up to this many rows are broadcast, larger ones are shuffled
+# Tables up to this many rows and bytes are broadcast, larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 # Lower-cases A-Z in UTF-8 bytes and turns every ASCII byte outside a word into a space.
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else
@@ -37,6 +38,42 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+class Scratch:
+    """Stored tables of one operator, deleted one by one once nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        table, path = materialize_at(df, name)
+        self.held.append((table, path))
+        return table
+
+    def release(self, *tables: DataFrame) -> None:
+        for table in tables:
+            for k, (held, path) in enumerate(self.held):
+                if held is table:
+                    release(table.sparkSession, path)
+                    del self.held[k]
+                    break
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row, about: the text of strings and binaries, 8 for anything else."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8)
+             for c, kind in df.dtypes]
+    return sum(sizes, F.lit(0))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its rows and bytes, counted first, are within the bounds.
+
+    Without the hint the join shuffles both sides, with the same result.
+    """
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
@@ -88,21 +125,22 @@ def per_row(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str
 def by_ids(docs: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     """Semi or anti join of ``docs`` to a list of ids, NULL keys never matching.
 
-    The list is broadcast only after its rows were counted; a longer list
-    takes the shuffled join, with the same result.
+    The list is broadcast only after its rows and bytes were counted; a longer
+    list takes the shuffled join, with the same result.
     """
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, key, how)
+    return docs.join(small(ids), key, how)
 
 
 def with_row_key(docs: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, str]:
     """``docs`` and the name of a column that is unique per row.
 
     That is the id itself when it is unique and never NULL. Otherwise the
-    rows are stored with a number of their own.
+    rows are stored with a number of their own, under a name that no column has.
     """
-    ids = docs.groupBy(doc_id).count()
-    if ids.where((F.col("count") > 1) | F.col(doc_id).isNull()).limit(1).count() == 0:
+    ids = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_n"))
+    if ids.where((F.col("_n") > 1) | F.col(doc_id).isNull()).limit(1).count() == 0:
         return docs, doc_id
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows"), "_row"
+    name = "_row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name

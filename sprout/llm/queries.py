@@ -14,6 +14,7 @@ from .packing import pack
 from .pii import scan_pii
 from .secrets_scan import scan_secrets
 from .sharding import shard
+from .simhash import simhash_components
 from .toxicity import toxicity_scores
 
 
@@ -72,6 +73,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Covering masks: every document's fingerprint and component of near fingerprints."""
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_license_scan": op2_license_scan,
@@ -83,6 +89,7 @@ LLM_QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_pii": op9_pii,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_simhash": op11_simhash,
 }
 
 LLM_ORACLES = {
