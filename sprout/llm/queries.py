@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import decontaminate
+from .divergence import source_divergence
 from .exact_dedup import exact_dedup
 from .ftrl import quality_scores
 from .jaccard import jaccard_components
@@ -16,6 +17,7 @@ from .secrets_scan import scan_secrets
 from .sharding import shard
 from .simhash import simhash_components
 from .toxicity import toxicity_scores
+from .vector_codes import vector_codes
 
 
 def tokenizer_path() -> str:
@@ -78,6 +80,16 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cube partitioning: divergences between the sources of each language, and their terms."""
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric trees over parts: a code for every vector."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_license_scan": op2_license_scan,
@@ -90,8 +102,40 @@ LLM_QUERIES = {
     "op9_pii": op9_pii,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_simhash": op11_simhash,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+def vector_codes_sql(rounds: int = 4) -> str:
+    """The rounds of op13, one after the other, over (row, part, component) triples."""
+    nearest = """a{k} AS MATERIALIZED (
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT x.r, x.p, c.e, sum((x.y - c.y) * (x.y - c.y))::BIGINT AS d
+    FROM x JOIN c{k} c ON x.p = c.p AND x.i = c.i GROUP BY ALL) GROUP BY r, p),"""
+    average = """c{n} AS MATERIALIZED (
+  SELECT c.p, c.e, c.i, coalesce(m.y, c.y) AS y FROM c{k} c LEFT JOIN (
+    SELECT a.p, a.e, x.i, ((sum(x.y) - ((sum(x.y) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS y
+    FROM a{k} a JOIN x ON a.r = x.r AND a.p = x.p GROUP BY ALL) m ON m.p = c.p AND m.e = c.e AND m.i = c.i),"""
+    steps = "\n".join(nearest.format(k=k) + "\n" + average.format(k=k, n=k + 1) for k in range(rounds))
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label, embedding AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (
+  SELECT r, (i - 1) // (len(v) // 4) AS p, (i - 1) % (len(v) // 4) AS i, floor(1024 * v[i]::DOUBLE)::BIGINT AS y
+  FROM k, unnest(range(1, len(v) + 1)) AS t(i)),
+c0 AS (SELECT p, r - 1 AS e, i, y FROM x WHERE r <= 256),
+{steps}
+{nearest.format(k=rounds)}
+f AS (
+  SELECT r, string_agg(printf('%02x', e::INTEGER), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY p, e, i)) FROM c{rounds}) AS codebooks_sha256
+FROM k JOIN f USING (r)"""
+
+
 LLM_ORACLES = {
     "op4_exact_dedup": r"""
 WITH d AS (
@@ -127,4 +171,40 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op12_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+c AS (SELECT o.lang, o.source, o.term, count(*) AS n FROM o JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT a.lang, a.source, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) a LEFT JOIN c ON c.lang = a.lang AND c.source = a.source
+  GROUP BY ALL),
+s AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 1)) // (l.total + l.v) AS q
+  FROM g JOIN l USING (lang) JOIN kept ON kept.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS f
+    FROM s x JOIN s y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) z
+  ON z.lang = a.lang AND z.source = a.source AND z.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM s WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS "rank" FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS "rank" FROM terms)
+WHERE "rank" <= 200""",
+    "op13_vector_codes": vector_codes_sql(),
 }

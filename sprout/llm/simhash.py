@@ -186,18 +186,20 @@ def close_links(shared: DataFrame, radius: int) -> DataFrame:
 
 
 def mask_table(spark: SparkSession, level: list[tuple[int, int, int]]) -> DataFrame:
-    """One level of the mask tree, a fixed number of rows (15, 225, 3,375 at radius 3)."""
+    """A deeper level of the mask tree, a fixed number of rows (225 and 3,375 at radius 3)."""
     return spark.createDataFrame([(p, t, signed(m)) for p, t, m in level], "path int, t int, mask long")
 
 
 def near_links(nodes: DataFrame, radius: int = RADIUS, limit: int = LIMIT) -> DataFrame:
     """(a, b): links between distinct fingerprints ``nodes`` (fp) with the components of all links within ``radius``."""
     spark, scratch = nodes.sparkSession, Scratch()
-    held, links = nodes.select(F.lit(0).alias("path"), "fp"), []
-    tree = mask_tree(radius)
+    tree, links = mask_tree(radius), []
+    first = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(signed(m)).alias("mask")) for _, t, m in tree[0]])
+    tables = nodes.select("fp", F.explode(first).alias("m")).select("fp", "m.t", "m.mask")
     for depth, level in enumerate(tree, 1):
-        entries = (held.join(F.broadcast(mask_table(spark, level)), "path")
-                   .select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"))
+        if depth > 1:
+            tables = held.join(F.broadcast(mask_table(spark, level)), "path")
+        entries = tables.select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
         sizes = scratch.store(entries.groupBy("t", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"),
                               "simhash_buckets")
         full = sizes.where(F.col("size") > limit) if depth < len(tree) else sizes.where("false")
