@@ -155,9 +155,10 @@ def base_places(norm: bytes) -> list[tuple[int, str]]:
     out = []
     for phrase, label in BASE:
         needle = b" " + phrase.encode() + b" "
-        at = norm.find(needle)
+        at, seen, words = norm.find(needle), 0, 0
         while at >= 0:
-            out.append((norm.count(b" ", 0, at), label))
+            words, seen = words + norm.count(b" ", seen, at), at
+            out.append((words, label))
             at = norm.find(needle, at + 1)
     return out
 
@@ -170,19 +171,35 @@ def detect(norm: bytes) -> list[Detection]:
     for order, rule in enumerate(rules()):
         if rule.keyword not in norm:
             continue
+        start, seen = -1, 0
         for m in rule.pattern.finditer(norm):
-            start = norm.count(b" ", 0, m.start()) - 1
+            start, seen = start + norm.count(b" ", seen, m.start()), m.start()
             out.append(Detection(start, start + m.group().count(b" ") + 1, rule.label, rule.priority,
                                  rule.confidence, order))
     return out
 
 
 def resolve(found: list[Detection]) -> list[Detection]:
-    """Accepted detections: none lies inside one of higher rank."""
+    """Accepted detections: none lies inside one of higher rank.
+
+    The farthest end among accepted detections that start at or before a place is
+    kept in a tree over the places, so each one is asked and entered in log time.
+    """
     kept: list[Detection] = []
+    place = {s: k for k, s in enumerate(sorted({d.start for d in found}), 1)}
+    farthest = [-1] * (len(place) + 1)
     for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.order, d.start)):
-        if not any(k.start <= d.start and d.end <= k.end for k in kept):
-            kept.append(d)
+        k, end = place[d.start], -1
+        while k:
+            end = max(end, farthest[k])
+            k &= k - 1
+        if d.end <= end:
+            continue
+        kept.append(d)
+        k = place[d.start]
+        while k < len(farthest):
+            farthest[k] = max(farthest[k], d.end)
+            k += k & -k
     return kept
 
 

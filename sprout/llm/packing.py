@@ -46,18 +46,18 @@ PRE_TOKEN = r" ?\p{L}+|'(?:s|t|re|ve|m|ll|d)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 AGREED = "\t\n\r\x20-\x7e\xa1-ʯ‐-‧€"
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Byte strings and ids of a byte-level vocabulary file, special tokens left out."""
+def vocabulary(path: str) -> tuple[dict[bytes, int], list[str]]:
+    """Byte strings and ids of a byte-level vocabulary file, and its added tokens, which aren't among them."""
     import json
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = [t["content"] for t in spec.get("added_tokens", ())]
     # A byte-level vocabulary writes printable bytes as themselves and the
     # others, in order, as the characters from U+0100.
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     as_char = {chr(b): b for b in shown}
     as_char.update({chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)})
-    return {bytes(as_char[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in special}
+    return {bytes(as_char[c] for c in token): n for token, n in spec["model"]["vocab"].items() if token not in added}, added
 
 
 class Encoder:
@@ -71,10 +71,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.plain = tiktoken.Encoding("same ids", pat_str=PRE_TOKEN, mergeable_ranks=byte_ranks(path),
-                                       special_tokens={})
-        self.other = re.compile(f"[^{AGREED}]")
+        ranks, added = vocabulary(path)
+        self.plain = tiktoken.Encoding("same ids", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+        self.other = re.compile("|".join([f"[^{AGREED}]", *map(re.escape, added)]))
         self.end = int(end_id).to_bytes(4, "little")
 
     def ids(self, text: str) -> list[int]:
@@ -199,9 +198,11 @@ def places(kinds: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, np
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row per piece."""
-    cut_up = stored(pieces(docs, tokenizer, capacity, end_id, doc_id, text), "pieces")
+    # A number per piece, written with it: pieces under one repeated or NULL id spread over the buckets too.
+    cut_up = stored(pieces(docs, tokenizer, capacity, end_id, doc_id, text)
+                    .withColumn("_n", F.monotonically_increasing_id()), "pieces")
     buckets = int(min(BUCKETS, max(8, cut_up.count() // ROWS_PER_BUCKET)))
-    cut_up = cut_up.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    cut_up = cut_up.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "_n"), F.lit(buckets)).cast("int"))
     # At most capacity x buckets counts, far fewer in practice.
     sizes = cut_up.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -3,10 +3,11 @@
 Candidate strings (long unbroken runs) are cut into character classes. In
 each class a window slides over the string; its Shannon entropy is kept by
 updating the counts of the one character that enters and the one that leaves.
-Windows at or above the class's threshold are merged to spans of kind
-``entropy``. The allow list suppresses spans that are known to be harmless:
-runs without digits (words of any language), counting runs, identifiers in the
-usual 8-4-4-4-12 form, and spans inside a pattern's own span.
+Windows at or above the class's threshold are merged, as the window slides, to
+spans of kind ``entropy``. The allow list suppresses spans that are known to be
+harmless: runs without digits that look like words (capitals at word starts, or one
+case throughout), counting runs, identifiers in the usual 8-4-4-4-12 form, and
+spans inside a pattern's own span.
 
 Defined cases: NULL and empty texts have no span; texts are read whole;
 repeated rows get equal results; an empty table gives an empty result; extra
@@ -37,19 +38,22 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 CLASSES = (("hex", re.compile(r"[0-9a-fA-F]{%d,}" % WINDOW), 3.0),
            ("alnum", re.compile(r"[A-Za-z0-9]{%d,}" % WINDOW), 3.6),
            ("base64", re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW), 3.8))
-ALLOWED = (re.compile(r"[^0-9]*"),
-           re.compile(r"[0-9]*"),
+ALLOWED = (re.compile(r"[0-9]*"),
            re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
            re.compile(r"[0-9_=/+-]*"))
+# Letters alone are a key only with capitals in this share of them and so many changes
+# from small to capital a letter: words, names joined by capitals and shouting have fewer or more.
+MIXED, CHANGES = (0.3, 0.7), 1 / 8
+NO_DIGIT = re.compile(r"[^0-9]*")
+CHANGE = re.compile(r"[a-z][A-Z]")
 COUNTING = "0123456789abcdefghijklmnopqrstuvwxyz"
 _TERM = [0.0, 0.0, *(c * log2(c) for c in range(2, WINDOW + 1))]
 
 
-def window_entropies(text: str, width: int = WINDOW) -> list[float]:
-    """Entropy of every window of ``width`` characters, by incremental counts."""
+def window_entropies(text: str, width: int = WINDOW):
+    """Entropy of every window of ``width`` characters in turn, by incremental counts."""
     counts: dict[str, int] = {}
     total = 0.0  # sum of c * log2(c)
-    out = []
     for at, entering in enumerate(text):
         if at >= width:
             leaving = text[at - width]
@@ -60,12 +64,20 @@ def window_entropies(text: str, width: int = WINDOW) -> list[float]:
         total += _TERM[c + 1] - _TERM[c]
         counts[entering] = c + 1
         if at >= width - 1:
-            out.append(log2(width) - total / width)
-    return out
+            yield log2(width) - total / width
+
+
+def like_words(found: str) -> bool:
+    """Letters without digits whose case is that of words rather than of a key."""
+    letters = sum(map(str.isalpha, found))
+    capitals = sum(map(str.isupper, found))
+    mixed = MIXED[0] * letters <= capitals <= MIXED[1] * letters
+    return not (mixed and len(CHANGE.findall(found)) >= CHANGES * letters)
 
 
 def allowed(found: str) -> bool:
-    return any(p.fullmatch(found) for p in ALLOWED) or found.lower() in COUNTING * 2
+    return (any(p.fullmatch(found) for p in ALLOWED) or found.lower() in COUNTING * 2
+            or bool(NO_DIGIT.fullmatch(found)) and like_words(found))
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
@@ -74,11 +86,18 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     for candidate in CANDIDATE.finditer(text):
         if allowed(candidate.group()):
             continue
-        found = []
+        found: list[tuple[int, int]] = []
         for _, pattern, threshold in CLASSES:
             for run in pattern.finditer(text, candidate.start(), candidate.end()):
-                found += [(run.start() + k, run.start() + k + WINDOW)
-                          for k, bits in enumerate(window_entropies(run.group())) if bits >= threshold]
+                last = -1  # end of the span that the window is adding to
+                for at, bits in enumerate(window_entropies(run.group()), run.start()):
+                    if bits < threshold:
+                        continue
+                    if at <= last:
+                        found[-1] = (found[-1][0], at + WINDOW)
+                    else:
+                        found.append((at, at + WINDOW))
+                    last = at + WINDOW
         for start, end in sorted(found):
             if spans and start <= spans[-1][1]:
                 spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
@@ -102,8 +121,12 @@ def joined(spans: list[tuple[int, int, int]], kinds=KINDS) -> str:
 
 def scan(text: str) -> tuple[int, int, int, str, str]:
     base = base_spans(text)
-    extra = [(s, 3, e) for s, e in entropy_spans(text)
-             if not any(b <= s and e <= f for b, _, f in base)]
+    extra, at, reach = [], 0, -1  # reach: farthest end of a base span that starts at or before s
+    for s, e in entropy_spans(text):
+        while at < len(base) and base[at][0] <= s:
+            reach, at = max(reach, base[at][2]), at + 1
+        if e > reach:
+            extra.append((s, 3, e))
     counts = [sum(k == n for _, k, _ in base) for n in range(3)]
     return (*counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(sorted(base + extra)))
 

@@ -23,7 +23,7 @@ from math import log1p
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import held_out, per_row, stored, text_or_empty
@@ -87,6 +87,11 @@ def features(text: str, learnt: frozenset = frozenset()) -> list[float]:
             len(odd) / n, hidden / n, log1p(n)]
 
 
+def for_calibration(doc_id: str) -> Column:
+    """One labelled id in five."""
+    return F.pmod(F.xxhash64(doc_id, F.lit("calibrate")), F.lit(5)) == 0
+
+
 def learnt_words(rows: DataFrame) -> frozenset:
     """Words of toxic training texts that others hardly use, at most ``LEARNT``.
 
@@ -104,8 +109,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train_rows: int = MA
                     doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
                     threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per document."""
+    # Nothing is learnt from the rows of the calibration, words neither.
     known = labelled(docs, labels, label, max_train_rows, doc_id, text)
-    learnt = learnt_words(known)
+    learnt = learnt_words(known.where(~for_calibration("doc_id")))
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -121,7 +127,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_train_rows: int = MA
     if len(values) < 2:
         return scored(vectors.withColumn("score", F.lit(values[0]["label"] if values else 0.0)), threshold)
 
-    calibrate = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0
+    calibrate = for_calibration("doc_id")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, subsamplingRate=0.9, seed=7,
                           minInstancesPerNode=5).fit(train.where(~calibrate).select("features", "label"))
     own = vector_to_array("probability").getItem(1)

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -6,9 +7,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from llm_fixtures import docs, empty  # noqa: F401
-from sprout.llm.packing import Encoder, cut, pack, places, plan_sequences
+from sprout.llm.packing import Encoder, cut, encoder, pack, places, plan_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,8 +20,20 @@ def encode():
     return Encoder(PATH)
 
 
+LIBRARY = Tokenizer.from_file(PATH)  # as it comes, nothing set
+
+
 def whole(encode, text):
-    return np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes()
+    return np.array(LIBRARY.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes()
+
+
+def test_added_tokens_are_the_library_s(encode):
+    added = [t["content"] for t in json.load(open(PATH, encoding="utf-8"))["added_tokens"]]
+    assert added
+    for token in added:
+        for text in (token, f"a {token} b", f"{token}{token}x", token[:-1], f" {token[1:]}"):
+            assert encode(text) == whole(encode, text)
+    assert LIBRARY.encode(f"a {added[0]} b", add_special_tokens=False).ids != encode.plain.encode_ordinary(f"a {added[0]} b")
 
 
 ODD = ["a", "B", " ", "\n", "\t", "1", "'s", "'", "é", "\x0b", "\x85", "　", "漢", "😀", "!", "  ", "'ll",
@@ -30,7 +44,7 @@ ODD = ["a", "B", " ", "\n", "\t", "1", "'s", "'", "é", "\x0b", "\x85", "　", "
 @given(parts=st.lists(st.sampled_from(ODD), max_size=16))
 def test_ids_equal_the_tokenizers_library(parts):
     text = "".join(parts)
-    shared = test_ids_equal_the_tokenizers_library.__dict__.setdefault("encoder", Encoder(PATH))
+    shared = encoder(PATH, 2)
     assert shared(text) == whole(shared, text)
 
 

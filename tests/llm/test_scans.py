@@ -187,3 +187,97 @@ def test_long_entities_are_not_cut():
     got = pii.scan_batch([text], model)[0][5]
     assert got == brute_crf(text, model)
     assert got.startswith("crf_person:7:") and len(text[7:int(got.split(":")[2])].split()) > 12
+
+
+DOTTED = ["1", "22", "255", "300", "0", ".", "..", "@", "a", "-", " ", "x.y", "é"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(DOTTED), max_size=40))
+def test_dots_digits_and_ats_equal_the_plain_patterns(parts):
+    text = "".join(parts)
+    assert pii.scan_batch([text], pii.trained())[0][:5] == brute_pii(text)
+
+
+def plain_resolve(found):
+    kept = []
+    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.order, d.start)):
+        if not any(k.start <= d.start and d.end <= k.end for k in kept):
+            kept.append(d)
+    return kept
+
+
+NOTICES = ["mit license", "licensed under the apache license version 2.0", "GNU General Public License v3", "bsd 3-clause",
+           "SPDX-License-Identifier: MPL-2.0", "all rights reserved", "the", "license", "under", "public", "mit", "isc license",
+           "permission is hereby granted free of charge to any person obtaining a copy", "commercial license"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(NOTICES), max_size=25))
+def test_license_rules_without_prefilter_and_tree(parts):
+    """Every rule tried on every text, places counted from the start, containment tested pair by pair."""
+    norm, _ = licenses.word_form(", ".join(parts))
+    every = [licenses.Detection(norm[:m.start()].count(b" ") - 1, norm[:m.start()].count(b" ") + m.group().count(b" "),
+                                r.label, r.priority, r.confidence, k)
+             for k, r in enumerate(licenses.rules()) for m in r.pattern.finditer(norm)]
+    assert licenses.detect(norm) == every
+    assert licenses.resolve(every) == plain_resolve(every)
+
+
+def plain_entropy_spans(text, width=20):
+    """Every window of every run of every class, entropy from scratch, merged as sets of places."""
+    out = []
+    for c in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        if secrets_scan.allowed(c.group()):
+            continue
+        places = set()
+        for chars, least in (("0-9a-fA-F", 3.0), ("A-Za-z0-9", 3.6), ("A-Za-z0-9+/_=-", 3.8)):
+            for run in re.finditer(f"[{chars}]{{20,}}", c.group()):
+                for k in range(len(run.group()) - width + 1):
+                    w = run.group()[k:k + width]
+                    bits = -sum(w.count(x) / width * log2(w.count(x) / width) for x in set(w))
+                    if abs(bits - least) < 1e-9:
+                        return None  # on the bar: rounding decides
+                    if bits >= least:
+                        places.update(range(c.start() + run.start() + k, c.start() + run.start() + k + width))
+        edges = sorted(p for p in places if p - 1 not in places)
+        ends = sorted(p + 1 for p in places if p + 1 not in places)
+        out += zip(edges, ends)
+    return [s for s in out if not secrets_scan.allowed(text[s[0]:s[1]])]
+
+
+RUNS = ["aB3dE6gH9", "QwErTyUiOp", "zzzz", "0123456789", "deadbeef", "/", "+", "-", "_", " ", "getSomeValue", "k9", "X", "=="]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(RUNS), max_size=14))
+def test_entropy_spans_equal_a_plain_restatement(parts):
+    text = "".join(parts)
+    want = plain_entropy_spans(text)
+    assert want is None or secrets_scan.entropy_spans(text) == want
+
+
+def test_letter_keys_are_found_and_words_are_not():
+    spans = lambda t: secrets_scan.scan(t)[4]
+    assert spans("QwErTyUiOpAsDfGhJkLzXcVb") == "entropy:0:24"
+    assert spans("x hJkQwZrTpLmNvBxCyDgFsAeUo y") == "entropy:2:27"
+    for word in ("Donaudampfschifffahrtsgesellschaft", "getApplicationContextFactoryBean", "SOME_CONSTANT_NAME_IN_CODE",
+                 "well-known-words-joined-by-hyphens", "abcdefghijklmnopqrstuvwxyz", "path/to/some/source/folder"):
+        assert spans(word) == ""
+
+
+def test_long_adversarial_texts_take_seconds():
+    import time
+    rng = np.random.default_rng(1)
+    key = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 1_000_000))
+    notice = "Licensed under the MIT License and the Apache License version 2.0, General Public License. "
+    model = pii.trained()
+    cases = [lambda t=t: pii.scan_batch([t], model) for t in (
+        "7" * 1_000_000, "a" * 500_000 + " b@c.de " + "x" * 500_000, "1." * 500_000, "1 " * 300_000 + "@" * 100_000)]
+    cases += [lambda: licenses.scan(notice * 11_000), lambda: secrets_scan.scan(key),
+              lambda: secrets_scan.scan("token" * 200_000), lambda: secrets_scan.scan(("f" * 24 + " ") * 40_000)]
+    for case in cases:
+        began = time.process_time()
+        case()
+        assert time.process_time() - began < 30
+    assert secrets_scan.scan(key)[4].startswith("entropy:0:")
