@@ -43,7 +43,7 @@ MIN_DOCS = 3  # documents of its lang that a kept term is in
 TOP_TERMS = 200  # ranks listed per group
 TERMS = 4096  # terms of a term block, about
 SOURCES = 64  # sources of a group block, about
-HELD = 200_000  # terms a task counts at one time
+HELD = 400_000  # terms a task counts at one time
 
 # A-Z lower-cased, other ASCII characters outside a-z to spaces, every other byte as it is.
 _TERM_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 0x80 or 97 <= c <= 122 else 32 for c in range(256))
