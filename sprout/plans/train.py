@@ -1,16 +1,16 @@
 """Full-batch logistic training.
 
-Weights start at zero. Each epoch is one Spark job: score every labelled row
-against the current weights (a constant array of m doubles in the plan),
-explode its feature ids and sum ``(y - p) * alpha`` per id with map-side
-partial sums. Only the m deltas come back. Training stops after ``n_iter``
-epochs, or right after the first step whose L1 size is below ``delta``.
+Weights start at zero. Each epoch is one Spark job over columnar blocks of the
+labelled rows (:mod:`sprout.operators.blocks`): score every row against the
+current weights and sum ``(y - p) * alpha`` per feature id. Weights go out and
+sums come back as arrays, so an epoch's cost in the driver does not grow with
+text or Python rows per feature. Training stops after ``n_iter`` epochs, or right
+after the first step whose L1 size is below ``delta``.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,21 +18,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.fixtures import materialize_at, release
+from ..operators.blocks import gradients, pack_blocks, right_answers
 from ..operators.features import featurize
-from ..operators.gradient import gradient_from_view, weights_sql
-from ..functions.lookup import weight_array
-from ..operators.scoring import Model, accuracy, score_features
+from ..operators.scoring import Model
 from ..operators.vocab import Vocabulary
+from ..sources.fixtures import materialize_at, release
 
 
-# Bytes of cached training rows per task, at most, and the bytes worth a task of
-# their own while cores are free (a row is one sentence's id list: about 24
-# bytes of row overhead plus 4 per id).
+# Bytes of training rows per task, at most, and the bytes worth a task of their own
+# while cores are free (8 bytes per distinct id of a row, at most, and 5 per row).
 BYTES_PER_TASK = 128 * 1024 * 1024
 BYTES_WORTH_A_TASK = 4 * 1024 * 1024
-# Gradient rows (at most m per task) per reducer.
-GRADIENT_ROWS_PER_REDUCER = 200_000
 
 
 @dataclass
@@ -43,74 +39,50 @@ class TrainResult:
     train_accuracy: float | None = None
 
 
-def stage_epoch_input(feats: DataFrame) -> tuple[DataFrame, str]:
-    """Reliable, cached copy of the training rows, sized by volume.
+@dataclass
+class EpochInput:
+    """Blocks of the training rows, cached in a session of the loop's own."""
+
+    blocks: DataFrame
+    tasks: int
+    path: str
+
+    def release(self) -> None:
+        self.blocks.unpersist()
+        release(self.blocks.sparkSession, self.path)
+
+
+def stage_epoch_input(feats: DataFrame) -> EpochInput:
+    """Reliable, cached copy of the training rows (slot, label, fids) as blocks, sized by volume.
 
     One job counts rows and ids; the rows are spread over the cores, in
-    tasks of BYTES_WORTH_A_TASK to BYTES_PER_TASK,
+    tasks of BYTES_WORTH_A_TASK to BYTES_PER_TASK, packed into blocks,
     written as Parquet under the checkpoint folder and cached. Epoch plans
     then start from a small leaf (cheap to plan every epoch), read memory, and
     a lost cache block is reloaded from the files rather than recomputed from
-    text. The caller releases the copy (:func:`release_epoch_input`).
+    text. The caller releases the copy.
     """
     staged = feats.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         row = staged.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("fids")).alias("ids")).first()
-        rows, ids = int(row["rows"] or 0), int(row["ids"] or 0)
-        volume = 24 * rows + 4 * ids
+        volume = 5 * int(row["rows"] or 0) + 8 * int(row["ids"] or 0)
         cores = feats.sparkSession.sparkContext.defaultParallelism
         tasks = max(1, math.ceil(volume / BYTES_PER_TASK), min(cores, math.ceil(volume / BYTES_WORTH_A_TASK)))
-        # One task: the epoch aggregate needs no exchange. More: partial sums shuffle.
-        _, path = materialize_at(staged.repartition(tasks) if tasks > 1 else staged.coalesce(1), "epoch-input")
+        _, path = materialize_at(pack_blocks(staged.repartition(tasks) if tasks > 1 else staged.coalesce(1)), "epoch-input")
     finally:
         staged.unpersist()
     # The loop has a session of its own: its settings touch no other query.
     loop = feats.sparkSession.newSession()
     loop.conf.set("spark.sql.adaptive.enabled", "false")
     loop.conf.set("spark.sql.files.openCostInBytes", str(BYTES_PER_TASK))  # one split per file
-    return loop.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK), path
-
-
-def release_epoch_input(data: DataFrame, path: str) -> None:
-    data.unpersist()
-    release(data.sparkSession, path)
+    return EpochInput(loop.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK), tasks, path)
 
 
 def train_weights(feats: DataFrame, size: int, n_iter: int, alpha: float, delta: float,
                   label: str = "label", measure: bool = False) -> TrainResult:
-    """Train on ``feats`` (label, fids); labels 0 are ignored.
-
-    Every epoch reads the staged copy (:func:`stage_epoch_input`). The
-    per-epoch aggregate returns at most ``size`` rows, so the loop's own session
-    plans without adaptive steps and its reducer count follows ``size``.
-    """
-    data, path = stage_epoch_input(feats.where(F.col(label) != 0).select(F.col(label).alias("label"), "fids"))
-    spark = data.sparkSession
-    weights = np.zeros(size)
-    result = TrainResult(weights)
-    view = "sprout_epoch_" + uuid.uuid4().hex
-    try:
-        data.createOrReplaceTempView(view)
-        spark.conf.set("spark.sql.shuffle.partitions", max(1, math.ceil(size / GRADIENT_ROWS_PER_REDUCER)))
-        for _ in range(int(n_iter)):
-            got = gradient_from_view(spark, view, weights, alpha).collect()
-            step = np.zeros(size)
-            for fid, value in got:
-                step[fid] = value
-            weights = weights + step
-            l1 = float(sum(abs(value) for _, value in got))
-            result.epochs += 1
-            result.l1.append(l1)
-            if l1 < delta:
-                break
-        if measure:  # accuracy of the final weights on the training rows
-            scored = data.select("label", score_features(F.col("fids"), weight_array(weights)).alias("score"))
-            result.train_accuracy = accuracy(scored).first()["accuracy"]
-    finally:
-        spark.catalog.dropTempView(view)
-        release_epoch_input(data, path)
-    result.weights = weights
-    return result
+    """Train on ``feats`` (label, fids); labels 0 are ignored."""
+    rows = feats.select(F.lit(0).alias("slot"), F.col(label).alias("label"), "fids")
+    return train_weights_batched(rows, {0: size}, {0: int(n_iter)}, {0: alpha}, {0: delta}, measure)[0]
 
 
 def train_model(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: float,
@@ -122,56 +94,36 @@ def train_model(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: floa
 
 
 def train_weights_batched(feats: DataFrame, sizes: dict, n_iter: dict, alpha: dict,
-                          delta: dict) -> dict:
+                          delta: dict, measure: bool = False) -> dict:
     """Train several independent models in one job per epoch.
 
     ``feats`` has (slot, label, fids); every dict is keyed by slot (0-based,
     small: one entry per configuration). Each slot follows exactly the
-    single-model trajectory of :func:`train_weights` and drops out of the
-    epoch query once it stops, so an epoch costs one job for all slots. The
-    shuffle is keyed by (slot, fid): at most sum(m) partial sums per task.
+    single-model trajectory and drops out of the passes once it stops, so an
+    epoch costs one job for all slots. With ``measure`` (one slot only) the
+    accuracy of the final weights on the training rows is taken as well.
     """
     slots = sorted(sizes)
-    weights = {s: np.zeros(sizes[s]) for s in slots}
-    results = {s: TrainResult(weights[s]) for s in slots}
+    results = {s: TrainResult(np.zeros(sizes[s])) for s in slots}
     active = [s for s in slots if n_iter[s] > 0]
-    data, path = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
-    spark = data.sparkSession
-    view = "sprout_epochs_" + uuid.uuid4().hex
+    data = stage_epoch_input(feats.where(F.col("label") != 0).select("slot", "label", "fids"))
     try:
-        data.createOrReplaceTempView(view)
-        width = max(slots) + 1 if slots else 0
-        alphas = "array(" + ", ".join(f"CAST({float(alpha.get(s, 0.0))!r} AS DOUBLE)" for s in range(width)) + ")"
-        spark.conf.set("spark.sql.shuffle.partitions", max(1, math.ceil(sum(sizes.values()) / GRADIENT_ROWS_PER_REDUCER)))
+        running, blocks = list(active), data.blocks
         while active:
-            table = "array(" + ", ".join(
-                weights_sql(weights[s]) if s in active else "CAST(array() AS ARRAY<DOUBLE>)"
-                for s in range(width)) + ")"
-            score = (f"aggregate(fids, CAST(0 AS DOUBLE), "
-                     f"(acc, f) -> acc + element_at(element_at({table}, slot + 1), f + 1))")
-            step = (f"((CASE WHEN label > 0 THEN 1.0D ELSE 0.0D END) - 1.0D / (1.0D + exp(-({score})))) "
-                    f"* element_at({alphas}, slot + 1)")
-            got = spark.sql(
-                f"SELECT slot, fid, sum(_g) AS delta FROM ("
-                f"SELECT slot, explode(fids) AS fid, _g FROM ("
-                f"SELECT slot, fids, {step} AS _g FROM {view} "
-                f"WHERE slot IN ({', '.join(str(s) for s in active)}))) GROUP BY slot, fid").collect()
-            steps = {s: np.zeros(sizes[s]) for s in active}
-            l1 = {s: 0.0 for s in active}
-            for slot, fid, value in got:
-                steps[slot][fid] = value
-                l1[slot] += abs(value)
-            still = []
-            for s in active:
-                weights[s] = weights[s] + steps[s]
-                results[s].epochs += 1
-                results[s].l1.append(l1[s])
-                if l1[s] >= delta[s] and results[s].epochs < n_iter[s]:
-                    still.append(s)
-            active = still
+            if active != running:  # rows of stopped slots aren't read any more
+                running, blocks = list(active), data.blocks.where(F.col("slot").isin(active))
+            steps = gradients(blocks, data.tasks, {s: results[s].weights for s in active},
+                              {s: float(alpha[s]) for s in active})
+            for s in running:
+                fit, l1 = results[s], float(np.abs(steps[s]).sum())
+                fit.weights = fit.weights + steps[s]
+                fit.epochs += 1
+                fit.l1.append(l1)
+                if l1 < delta[s] or fit.epochs >= n_iter[s]:
+                    active.remove(s)
+        if measure:
+            right, n = right_answers(data.blocks, results[0].weights)
+            results[0].train_accuracy = right / n if n else None
     finally:
-        spark.catalog.dropTempView(view)
-        release_epoch_input(data, path)
-    for s in slots:
-        results[s].weights = weights[s]
+        data.release()
     return results

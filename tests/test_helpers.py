@@ -83,18 +83,50 @@ def test_release_deletes_scratch_copy(spark):
 
 def test_training_over_several_tasks_in_its_own_session(spark, monkeypatch):
     import numpy as np
+    from sprout.operators import blocks
     from sprout.plans import train
     rows = [(1 if k % 3 else -1, [k % 7, (k * 5) % 7, k % 2]) for k in range(400)]
     df = spark.createDataFrame(rows, "label int, fids array<int>")
     before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     one = train.train_weights(df, 7, 12, 0.01, 1e-9)
     monkeypatch.setattr(train, "BYTES_WORTH_A_TASK", 1024)
-    data, path = train.stage_epoch_input(df)
-    assert data.rdd.getNumPartitions() > 1
-    train.release_epoch_input(data, path)
+    data = train.stage_epoch_input(df.selectExpr("0 AS slot", "label", "fids"))
+    assert data.tasks > 1 and data.blocks.rdd.getNumPartitions() == data.tasks
+    data.release()
+    monkeypatch.setattr(blocks, "DIRECT_BYTES", 0)  # partial sums meet in tasks, chunk by chunk
+    monkeypatch.setattr(blocks, "CHUNK", 2)
     many = train.train_weights(df, 7, 12, 0.01, 1e-9, measure=True)
     assert one.epochs == many.epochs == 12
     np.testing.assert_allclose(one.weights, many.weights, atol=1e-12)
     assert before == {k: spark.conf.get(k) for k in before}
     early = train.train_weights(df, 7, 100, 0.0001, 10.0)  # the first step is already below delta
     assert early.epochs == 1
+
+
+def test_wide_models_and_blocks_cut_between_rows(spark, monkeypatch):
+    """A million features: weights travel as arrays; small blocks give the same sums."""
+    import numpy as np
+    from sprout.operators import blocks
+    from sprout.plans import train
+    rng = np.random.default_rng(3)
+    rows = [(1 if rng.random() < 0.6 else -1, [int(x) for x in rng.integers(0, 1_000_000, 30)] + [7, 7, 999_999])
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "label int, fids array<int>").repartition(3)
+    want, labels = np.zeros(1_000_000), np.array([y for y, _ in rows])
+    for _ in range(3):
+        scores = np.array([want[f].sum() for _, f in rows])
+        step = 0.05 * ((labels > 0) - 1 / (1 + np.exp(-scores)))
+        for (_, f), g in zip(rows, step):
+            np.add.at(want, f, g)
+    for size in (1 << 19, 50):
+        monkeypatch.setattr(blocks, "BLOCK_IDS", size)
+        fit = train.train_weights(df, 1_000_000, 3, 0.05, 1e-9)
+        np.testing.assert_allclose(fit.weights, want, atol=1e-12)
+
+
+def test_counted_ids():
+    import numpy as np
+    from sprout.operators.blocks import counted
+    ends, fids, cnts = counted(np.array([5, 5, 2, 9, 2, 2]), np.array([3, 0, 1, 2]))
+    assert ends.tolist() == [2, 2, 3, 4] and fids.tolist() == [2, 5, 9, 2] and cnts.tolist() == [1, 2, 1, 2]
+    assert [a.tolist() for a in counted(np.zeros(0, np.int64), np.zeros(2, np.int64))] == [[0, 0], [], []]
