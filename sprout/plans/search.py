@@ -4,17 +4,18 @@ Configurations are numbered in loop order (N outermost, then m, num_iter,
 threshold, alpha, delta innermost), and the best is the first with the
 highest held-out accuracy. Round 1 depends only on the seeds, so it is shared:
 one class-count job and one ranking (with the largest m) per N, and one
-training per distinct (N, m, num_iter, alpha, delta), all of them advanced
+training per distinct (N, m, num_iter, alpha, delta), those of a chunk advanced
 by the same epoch jobs.
 
-Later rounds diverge with the labels each configuration grows, but they still
-run together: the state row (sent_id, ng, labs) carries one label per
-configuration, the class counts of all configurations come from one
-``groupBy(slot, ngram)``, and every training epoch is one job keyed by
-(slot, fid) for all configurations still training. A configuration that stops
-drops out of the queries; the grid size is a user bound. Per-configuration
-labels live in one array column, advanced in-row by each configuration's
-models and folded into a Parquet base every ``checkpoint_every`` rounds.
+Later rounds diverge with the labels each configuration grows, but those of a
+chunk still run together: the state row (sent_id, ng, labs) carries one label per
+configuration, an N-gram is exploded once and one ``groupBy(ngram)`` holds a pair of class
+counts per configuration, and every training epoch is one job over the blocks of
+all configurations still training. A configuration that stops drops out. The
+width of a chunk is bounded, so neither the state row nor the plan grows with
+the grid. Per-configuration labels live in one array column, advanced in-row by
+each configuration's models and folded into a Parquet base every
+``checkpoint_every`` rounds, sooner if the chained models would exceed the lookup bound.
 
 Grid values are exact decimals (0.5 + 3 x 0.1 is 0.8, not 0.7999...).
 """
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +42,7 @@ from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
 INT_PARAMS = ("n", "m", "num_iter")
+CHUNK = 16  # configurations that advance together
 
 
 @dataclass(frozen=True)
@@ -92,49 +95,79 @@ def _below(limit: int):
     return lambda f: f < F.lit(limit)
 
 
-def _shared_first_rounds(train: DataFrame, configs: list[Config]) -> dict:
-    """Round-1 models keyed by (n, m, num_iter, alpha, delta).
+def _key(c: Config) -> tuple:
+    """What round 1 depends on: all but the threshold."""
+    return (c.n, c.m, c.num_iter, c.alpha, c.delta)
 
-    Per N: one class-count job and one ranking with the largest m (each m's
-    vocabulary is a prefix of it), then every distinct training trains in the
-    same epoch jobs (one slot per training).
+
+def chunked(configs: list, width: int | None, max_keys: int) -> list[list]:
+    """Configurations of one N in chunks that advance together.
+
+    A chunk has at most ``width`` configurations (None: no limit of its own),
+    whose vocabularies together stay within the lookup bound. Configurations with an equal
+    first round stand next to each other, so that it is computed for one chunk,
+    or two adjacent ones.
     """
-    out = {}
-    for n in sorted({c.n for c in configs}):
-        group = [c for c in configs if c.n == n]
+    chunks, keys = [], 0
+    for c in sorted(configs, key=lambda c: (_key(c), c.config_id)):
+        if not chunks or (width is not None and len(chunks[-1]) >= width) or keys + c.m > max_keys:
+            chunks.append([])
+            keys = 0
+        chunks[-1].append(c)
+        keys += c.m
+    return chunks
+
+
+class SharedFirstRound:
+    """Round 1 of every configuration of one N.
+
+    One class-count job and one ranking, with the largest m: the vocabulary of a smaller m
+    is a prefix. The labelled rows are written once as ids under the widest vocabulary;
+    trainings take what is below their m from that copy, chunk by chunk.
+    """
+
+    def __init__(self, train: DataFrame, n: int, m: int) -> None:
+        self.n, self.done = n, {}
         rows = tokenized(train, n, keep=("sent_id", "label"))
         counts = class_counts_with_totals(rows, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            positives, negatives, unlabelled = _totals(counts)
-            ranked = rank_vocab(counts, positives, negatives, max(c.m for c in group))
+            self.totals = _totals(counts)
+            ranked = rank_vocab(counts, *self.totals[:2], m)
             ranking = ranked.select("ngram", "fid", F.xxhash64("ngram").alias("_h")).collect()
         finally:
             counts.unpersist()
-        ranking.sort(key=lambda r: r["fid"])
-        keys = sorted({(c.m, c.num_iter, c.alpha, c.delta) for c in group})
-        vocabs = {}
-        for slot, (m, _, _, _) in enumerate(keys):
-            top = ranking[:m]
-            vocabs[slot] = Vocabulary(n, tuple(r["ngram"] for r in top),
-                                      build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in top]))
-        # Ids are ranks and every vocabulary is a prefix of the ranking, so one
-        # probe into the largest serves all slots: slot s keeps ids below its m.
-        widest = max(vocabs.values(), key=lambda v: v.size)
-        labelled = (rows.where(F.col("label") != 0)
-                    .select("label", feature_ids(F.col("ng"), widest).alias("_all")))
-        parts = F.array(*[F.struct(F.lit(s).alias("slot"), F.col("label").alias("label"),
-                                   F.filter("_all", _below(vocabs[s].size)).alias("fids"))
-                          for s in vocabs])
-        feats = labelled.select(F.explode(parts).alias("x")).select("x.*")
-        fits = train_weights_batched(feats, {s: vocabs[s].size for s in vocabs},
-                                     {s: keys[s][1] for s in vocabs}, {s: keys[s][2] for s in vocabs},
-                                     {s: keys[s][3] for s in vocabs})
-        for slot, key in enumerate(keys):
-            fit = fits[slot]
-            info = RoundInfo(1, positives, negatives, unlabelled, vocabs[slot].size, fit.epochs,
-                             fit.l1[-1] if fit.l1 else None, None)
-            out[(n,) + key] = FirstRound(Model(vocabs[slot], fit.weights), info, unlabelled)
-    return out
+        self.ranking = sorted(ranking, key=lambda r: r["fid"])
+        widest = self._vocabulary(m)
+        self.labelled, self.path = materialize_at(
+            rows.where(F.col("label") != 0).select("label", feature_ids(F.col("ng"), widest).alias("ids")),
+            "search-first-round")
+
+    def _vocabulary(self, m: int) -> Vocabulary:
+        top = self.ranking[:m]
+        return Vocabulary(self.n, tuple(r["ngram"] for r in top),
+                          build_lookup([(r["ngram"], r["fid"], r["_h"]) for r in top]))
+
+    def models(self, configs: list) -> dict[tuple, FirstRound]:
+        """First rounds of ``configs`` by :func:`_key`; those of the chunk before are reused, older ones dropped."""
+        keys = sorted({_key(c) for c in configs})
+        self.done = {k: v for k, v in self.done.items() if k in keys}
+        fresh = [k for k in keys if k not in self.done]
+        if fresh:
+            vocabs = [self._vocabulary(k[1]) for k in fresh]
+            parts = F.array(*[F.struct(F.lit(s).alias("slot"), F.col("label").alias("label"),
+                                       F.filter("ids", _below(v.size)).alias("fids")) for s, v in enumerate(vocabs)])
+            of = lambda place: {s: k[place] for s, k in enumerate(fresh)}
+            fits = train_weights_batched(self.labelled.select(F.explode(parts).alias("x")).select("x.*"),
+                                         {s: v.size for s, v in enumerate(vocabs)}, of(2), of(3), of(4))
+            positives, negatives, unlabelled = self.totals
+            for s, (key, vocab) in enumerate(zip(fresh, vocabs, strict=True)):
+                info = RoundInfo(1, positives, negatives, unlabelled, vocab.size, fits[s].epochs,
+                                 fits[s].l1[-1] if fits[s].l1 else None, None)
+                self.done[key] = FirstRound(Model(vocab, fits[s].weights), info, unlabelled)
+        return self.done
+
+    def release(self) -> None:
+        release(self.labelled.sparkSession, self.path)
 
 
 def _labs(slot: int):
@@ -142,34 +175,42 @@ def _labs(slot: int):
 
 
 def _group_counts(state: DataFrame, slots: list) -> DataFrame:
-    """Class counts per (slot, ngram); totals per slot under the NULL N-gram."""
-    per_row = state.select("labs", F.array_distinct("ng").alias("dng"))
-    pairs = F.array(*[F.struct(F.lit(s).alias("slot"), _labs(s).alias("lab")) for s in slots])
-    per_slot = per_row.select(F.explode(pairs).alias("x"), "dng").select("x.slot", "x.lab", "dng")
+    """(ngram, rows, pos_s and neg_s of every slot s): class counts of all configurations at once.
+
+    A row's N-grams are exploded once, whatever the number of configurations;
+    one aggregate holds a pair of counts for each. The NULL N-gram stands for
+    every row, so its counts are the totals.
+    """
     none = F.array(F.lit(None).cast("string"))
-    keys = F.when(F.col("lab") != 0, F.concat(F.col("dng"), none)).otherwise(none)
-    return (per_slot.select("slot", "lab", F.explode(keys).alias("ngram"))
-            .groupBy("slot", "ngram")
-            .agg(F.count_if(F.col("lab") == 1).alias("pos"),
-                 F.count_if(F.col("lab") == -1).alias("neg"),
-                 F.count_if(F.col("lab") == 0).alias("unlabelled")))
+    known = reduce(lambda x, y: x | y, [_labs(s) != 0 for s in slots])
+    keys = F.when(known, F.concat(F.array_distinct("ng"), none)).otherwise(none)
+    counts = [F.count_if(_labs(s) == label).alias(f"{name}_{s}") for s in slots for name, label in (("pos", 1), ("neg", -1))]
+    return (state.select("labs", F.explode(keys).alias("ngram")).groupBy("ngram")
+            .agg(F.count(F.lit(1)).alias("rows"), *counts))
+
+
+def _slot_totals(counts: DataFrame, slots: list) -> dict:
+    """slot -> (positives, negatives, unlabelled), from the NULL N-gram's row."""
+    row = counts.where(F.col("ngram").isNull()).first()
+    if row is None:
+        return {s: (0, 0, 0) for s in slots}
+    return {s: (row[f"pos_{s}"], row[f"neg_{s}"], row["rows"] - row[f"pos_{s}"] - row[f"neg_{s}"]) for s in slots}
 
 
 def _slot_vocabularies(counts: DataFrame, totals: dict, sizes: dict, n: int) -> dict:
     """Every active slot's top-m vocabulary, collected in one job.
 
-    Each slot is still its own bounded top-m (``TakeOrderedAndProject``);
-    the union only saves one driver round trip per configuration.
+    Each slot is its own bounded top-m (``TakeOrderedAndProject``) over its two
+    columns of the counts; the union only saves one driver round trip per configuration.
     """
     parts = []
     for s, m in sizes.items():
         p, q, _ = totals[s]
-        ranked = rank_vocab(counts.where(F.col("slot") == s).drop("slot"), p, q, m)
+        own = counts.select("ngram", F.col(f"pos_{s}").alias("pos"), F.col(f"neg_{s}").alias("neg"))
+        # An N-gram that only other configurations have labelled rows of isn't this one's.
+        ranked = rank_vocab(own.where("ngram IS NOT NULL AND pos + neg > 0"), p, q, m)
         parts.append(ranked.select(F.lit(s).alias("slot"), "ngram", "fid", F.xxhash64("ngram").alias("_h")))
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    rows = union.collect()
+    rows = reduce(DataFrame.unionByName, parts).collect()
     out = {}
     for s in sizes:
         mine = sorted((r for r in rows if r["slot"] == s), key=lambda r: r["fid"])
@@ -207,7 +248,7 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
     width = len(group)
     thresholds = {s: c.threshold for s, c in enumerate(group)}
     base = train.select("sent_id", "text", F.array_repeat(F.col("label"), width).alias("labs"))
-    firsts_by_slot = {s: firsts[(c.n, c.m, c.num_iter, c.alpha, c.delta)] for s, c in enumerate(group)}
+    firsts_by_slot = {s: firsts[_key(c)] for s, c in enumerate(group)}
     models = {s: [firsts_by_slot[s].model] for s in range(width)}
     segment = {s: [firsts_by_slot[s].model] for s in range(width)}
     previous = {s: firsts_by_slot[s].unlabelled for s in range(width)}
@@ -221,11 +262,10 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
         staged = rows.withColumn("labs", _chained_labs(width, {s: segment[s] for s in active}, thresholds))
         counts = _group_counts(staged, active).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            totals = {r.slot: (int(r.pos), int(r.neg), int(r.unlabelled))
-                      for r in counts.where(F.col("ngram").isNull()).collect()}
+            totals = _slot_totals(counts, active)
             still = []
             for s in active:
-                unlabelled = totals.get(s, (0, 0, 0))[2]
+                unlabelled = totals[s][2]
                 stop = unlabelled == 0 or unlabelled == previous[s]
                 if max_rounds is not None and len(models[s]) >= max_rounds:
                     stop = True
@@ -271,12 +311,13 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
            num_iter=(100, 100, 100), threshold=(0.5, 0.5, 0.1), alpha=(0.002, 0.002, 0.002),
            delta=(0.05, 0.05, 0.05), max_rounds: int | None = None,
            checkpoint_every: int = CHECKPOINT_EVERY,
-           max_lookup_keys: int = MAX_LOOKUP_KEYS) -> DataFrame:
+           max_lookup_keys: int = MAX_LOOKUP_KEYS, chunk: int | None = CHUNK) -> DataFrame:
     """(config_id, n, m, num_iter, threshold, alpha, delta, accuracy, rounds).
 
-    All configurations with the same N advance together: one class-count
-    aggregation and one job per training epoch serve every configuration
-    still running. ``max_rounds`` is an optional safety limit per
+    Configurations with the same N advance together in chunks of at most
+    ``chunk``: one class-count aggregation and one job per training epoch serve every
+    configuration of a chunk that still runs, and the ranking and first rounds are shared
+    between chunks. The result doesn't depend on the chunks. ``max_rounds`` is an optional safety limit per
     configuration (off by default: every configuration runs to convergence).
     """
     spark = train.sparkSession
@@ -291,17 +332,18 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
             result = self_train(train, test, n=c.n, m=c.m, n_iter=c.num_iter, threshold=c.threshold,
                                 alpha=c.alpha, delta=c.delta, max_rounds=max_rounds, prepared=True,
                                 max_lookup_keys=max_lookup_keys)
-            acc = result.test_accuracy
-            rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
-                         None if acc is None else round(float(acc), 9), len(result.models)))
-    firsts = _shared_first_rounds(train, configs)
+            rows.append(_outcome(c, result.test_accuracy, len(result.models)))
     for n_value in sorted({c.n for c in configs}):
         group = [c for c in configs if c.n == n_value]
-        outcome = _run_group(train, test, n_value, group, firsts, max_rounds, checkpoint_every, small)
-        for s, c in enumerate(group):
-            acc, rounds = outcome[s]
-            rows.append((c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
-                         None if acc is None else round(float(acc), 9), rounds))
+        first = SharedFirstRound(train, n_value, max(c.m for c in group))
+        try:
+            for part in chunked(group, chunk, max_lookup_keys):
+                # A segment chains a model per round and configuration: fold so often that it stays within the bound.
+                every = max(1, min(checkpoint_every or max_lookup_keys, max_lookup_keys // sum(c.m for c in part)))
+                outcome = _run_group(train, test, n_value, part, first.models(part), max_rounds, every, small)
+                rows += [_outcome(c, *outcome[s]) for s, c in enumerate(part)]
+        finally:
+            first.release()
     if small:
         train.unpersist()
     rows.sort(key=lambda r: r[0])
@@ -309,6 +351,11 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
                                        "alpha double, delta double, accuracy double, rounds int")
 
 
+def _outcome(c: Config, accuracy: float | None, rounds: int) -> tuple:
+    return (c.config_id, c.n, c.m, c.num_iter, c.threshold, c.alpha, c.delta,
+            None if accuracy is None else round(float(accuracy), 9), rounds)
+
+
 def best_config(results: DataFrame) -> DataFrame:
     """The first configuration (loop order) with the highest accuracy.
 

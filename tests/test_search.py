@@ -4,7 +4,8 @@ import pytest
 
 import bruteforce as bf
 from conftest import SF_SMALL
-from sprout.plans.search import best_config, config_grid, grid_configs, inclusive_range, search
+from sprout.plans.search import (CHUNK, _group_counts, _key, _slot_totals, best_config, chunked, config_grid,
+                                 grid_configs, inclusive_range, search)
 from sprout.sources import sentences, split_train_test
 
 
@@ -55,3 +56,47 @@ def test_search_large_m_uses_join_form(spark):
     assert mixed.keys() == plain.keys() == {0, 1}
     for k in plain:
         assert mixed[k][1] == plain[k][1] and abs((mixed[k][0] or 0) - (plain[k][0] or 0)) < 1e-12
+
+
+def test_chunks_of_a_large_grid():
+    """96 configurations: bounded chunks, every one in one chunk, equal first rounds next to each other."""
+    configs = grid_configs(n=(1, 2, 1), m=(100, 400, 100), num_iter=(50, 100, 50), threshold=(0.5, 0.7, 0.1),
+                           alpha=(0.002, 0.004, 0.002), delta=(0.05, 0.05, 0.05))
+    assert len(configs) == 96
+    for n in (1, 2):
+        group = [c for c in configs if c.n == n]
+        for width, keys in ((CHUNK, 200_000), (5, 200_000), (None, 1000), (1, 200_000)):
+            chunks = chunked(group, width, keys)
+            assert sorted(c.config_id for part in chunks for c in part) == [c.config_id for c in group]
+            assert all(len(part) <= (width or len(group)) and sum(c.m for c in part) <= keys for part in chunks)
+            held = [{_key(c) for c in part} for part in chunks]
+            for key in {_key(c) for c in group}:
+                at = [k for k, keys_of in enumerate(held) if key in keys_of]
+                assert at == list(range(at[0], at[-1] + 1))
+        assert len(chunked(group, None, 10**9)) == 1
+
+
+def test_same_result_for_any_chunks(spark):
+    train, test = split_train_test(sentences(spark, SF_SMALL))
+    grid = dict(n=(1, 1, 1), m=(30, 60, 30), num_iter=(5, 5, 1), threshold=(0.1, 0.3, 0.1),
+                alpha=(0.02, 0.02, 0.01), delta=(0.05, 0.05, 0.05), max_rounds=4)
+    runs = [search(train, test, chunk=c, **grid).collect() for c in (1, 4, None)]
+    runs.append(search(train, test, max_lookup_keys=100, **grid).collect())  # the bound folds every round or two
+    assert len(runs[0]) == 6 and all(r == runs[0] for r in runs)
+
+
+def test_counts_of_all_configurations_in_one_aggregate(spark):
+    rows = [(["a", "b", "a"], [1, 1, 0]), (["a", "c"], [-1, 0, 0]), (["b"], [0, 0, -1]), (["d"], [0, 0, 0]), ([], [1, 0, 0])]
+    state = spark.createDataFrame(rows, "ng array<string>, labs array<int>")
+    slots = [0, 1, 2]
+    counts = _group_counts(state, slots)
+    got = {r["ngram"]: tuple((r[f"pos_{s}"], r[f"neg_{s}"]) for s in slots) for r in counts.collect()}
+    want = {g: tuple((sum(g in ng and labs[s] == 1 for ng, labs in rows), sum(g in ng and labs[s] == -1 for ng, labs in rows))
+                     for s in slots) for g in "abc"}
+    assert {g: v for g, v in got.items() if g} == want
+    assert _slot_totals(counts, slots) == {s: (sum(labs[s] == 1 for _, labs in rows), sum(labs[s] == -1 for _, labs in rows),
+                                               sum(labs[s] == 0 for _, labs in rows)) for s in slots}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and _group_counts(state, [0])._jdf.queryExecution().optimizedPlan().toString().count(
+        "Generate") == 1
+    assert _slot_totals(_group_counts(state.where("false"), slots), slots) == {s: (0, 0, 0) for s in slots}
