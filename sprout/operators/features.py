@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..defaults import MAX_LOOKUP_KEYS
+from ..defaults import MAX_LOOKUP_BYTES, MAX_LOOKUP_KEYS
+from .hits import ngram_hits
 from .vocab import Vocabulary, tokenized
 
 
@@ -19,31 +20,21 @@ def featurize(sents: DataFrame, vocab: Vocabulary, keep=("sent_id", "label"),
               max_lookup_keys: int = MAX_LOOKUP_KEYS) -> DataFrame:
     """(keep..., fids): one row per input row, sentences without hits kept.
 
-    A vocabulary within ``max_lookup_keys`` is probed in-row (no shuffle);
-    a larger one goes through :func:`featurize_by_join`.
+    A vocabulary within ``max_lookup_keys``, and the lookup's bytes, is probed in-row (no shuffle);
+    a larger one goes through :func:`featurize_by_join`, with the same rows and ids.
     """
-    if vocab.size > max_lookup_keys:
-        spark = sents.sparkSession
-        return featurize_by_join(tokenized(sents, vocab.n, keep=keep), vocab.frame(spark), keep)
     rows = tokenized(sents, vocab.n, keep=keep)
+    if vocab.size > max_lookup_keys or vocab.text_bytes > MAX_LOOKUP_BYTES:
+        return featurize_by_join(rows, vocab.frame(sents.sparkSession), keep)
     cols = [c for c in keep if c in rows.columns]
     return rows.select(*cols, feature_ids(F.col("ng"), vocab).alias("fids"))
 
 
 def featurize_by_join(rows: DataFrame, vocab_frame: DataFrame, keep=("sent_id", "label")) -> DataFrame:
-    """Join form for vocabularies too large to ship as a constant.
-
-    Only the hit ids are shuffled (grouped by ``sent_id``); one key row per
-    sentence keeps sentences with no hits. Catalyst chooses broadcast or
-    sort-merge for the vocabulary join from its size.
-    """
+    """Join form for vocabularies too large to ship as a constant; ids in text order, as in the lookup form."""
     cols = [c for c in keep if c in rows.columns]
-    hits = (rows.select(*cols, F.explode("ng").alias("ngram"))
-            .join(vocab_frame.select("ngram", "fid"), "ngram")
-            .select(*cols, "fid"))
-    keys = rows.select(*cols, F.lit(None).cast("int").alias("fid"))
-    return (hits.unionByName(keys).groupBy(*cols)
-            .agg(F.collect_list("fid").alias("fids")))
+    found = ngram_hits(rows, vocab_frame.select("ngram", F.col("fid").alias("value")), cols)
+    return found.select(*cols, F.transform("hits", lambda h: h["value"]).alias("fids"))
 
 
 def explode_features(feats: DataFrame, keep=("sent_id",)) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lookup import weight_array
+from .hits import ngram_hits
 from .vocab import Vocabulary
 
 
@@ -67,22 +68,13 @@ def model_score(ng: Column, model: Model, finish=None) -> Column:
 def score_by_join(rows: DataFrame, model_frame: DataFrame, keys) -> DataFrame:
     """(keys..., score) for models too large to ship as a constant.
 
-    One result per input row, whatever its keys: rows are told apart by a
-    number of their own, so repeated and NULL keys keep their scores. Each row
-    also sends one entry under a key of its own that no N-gram equals; it
-    carries the caller's keys and keeps rows without a hit.
+    One result per input row, whatever its keys; weights are added in text
+    order, as in the lookup form, so both give the same score.
     """
     keys = list(keys)
-    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    numbered = rows.select(F.monotonically_increasing_id().alias("_row"), row.alias("_keys"), "ng")
-    own = F.concat(F.lit("\x00"), F.col("_row").cast("string"))
-    entries = numbered.select("_row", "_keys", F.explode(F.concat(F.array(own), F.col("ng"))).alias("ngram"))
-    entries = entries.withColumn("_keys", F.when(F.col("ngram").startswith("\x00"), F.col("_keys")))
-    hits = (entries.join(model_frame.select("ngram", "weight"), "ngram", "left")
-            .where(F.col("weight").isNotNull() | F.col("_keys").isNotNull())
-            .groupBy("_row").agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"),
-                                 F.first("_keys", ignorenulls=True).alias("_keys")))
-    return hits.select(*[F.col(f"_keys.k{i}").alias(k) for i, k in enumerate(keys)], "score")
+    weights = model_frame.where("weight IS NOT NULL").select("ngram", F.col("weight").alias("value"))
+    hits = ngram_hits(rows, weights, keys)
+    return hits.select(*keys, F.aggregate("hits", F.lit(0.0), lambda acc, h: acc + h["value"]).alias("score"))
 
 
 def accuracy(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:

@@ -124,6 +124,11 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.ngrams)
 
+    @property
+    def text_bytes(self) -> int:
+        """Bytes of the N-grams' text, about."""
+        return sum(map(len, self.ngrams))
+
     @classmethod
     def from_frame(cls, vocab: DataFrame, n: int) -> "Vocabulary":
         """Collect a ranked vocabulary (ngram, fid) — bounded by ``m``.

@@ -5,24 +5,28 @@ and labels each still-unknown row whose score clears the threshold; labels
 stick once set. The loop stops when no row is unknown or a round labels
 nothing new (or at ``max_rounds``, a safety limit that is off by default).
 
-State is kept in segments. A segment base is the input (sent_id, text,
-label) with labels as of the segment start; within a segment, a row's label
-is the first non-zero of (base label, cut_1, ..., cut_j), the threshold
-rules of the segment's models applied in-row. That chain is a ``coalesce``
-over narrow expressions: no label table, no join back to the text, no token
-arrays cached. Every ``checkpoint_every`` rounds the labels are folded into a
-new base written as Parquet under ``spark.checkpoint.dir``, which bounds both
-the chain length and the lineage a lost executor has to replay.
-
-Labels stick, so class counts only grow: each round counts the rows that its
-model has just labelled and adds them to the counts it had. It also makes one
-featurized copy of the labelled rows and runs the training epochs.
+Text is tokenized once: the rows are written as (_row, sent_id, text, label, ng) under
+``spark.checkpoint.dir``, and no round reads the text again. What a round
+labels is written as a small table of its own (its rows, labels and N-grams). A
+round therefore reads
+
+* the labelled rows, which are the seeds and those tables, for its training;
+* the rows that are unknown still, once, to score them under its one model.
+
+The labelled rows are left out of the unknown ones by their row numbers; every
+``checkpoint_every`` rounds the unknown rows are written anew without them and the
+round tables become one. Every table is a reliable copy: a lost executor costs
+a scan of files.
+
+Labels stick, so class counts only grow: a round adds the counts of the rows
+it has just labelled to the counts it had.
 """
 
 from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +40,7 @@ from ..functions.stats import threshold_decision
 from ..operators.features import feature_ids, featurize_by_join
 from ..operators.scoring import Model, accuracy, model_score, score_by_join
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
-from ..sources.fixtures import materialize, materialize_at, release, split_train_test
+from ..sources.fixtures import bounded, materialize, materialize_at, release, split_train_test
 from .train import train_weights
 
 
@@ -68,20 +72,22 @@ class RoundInfo:
 @dataclass
 class SelfTrainResult:
     labels: DataFrame | None  # (sent_id, label) for the training rows
-    model: Model
+    model: Model | None
     models: list
     threshold: float
     history: list = field(default_factory=list)
     unlabelled_after: int = 0
     test_accuracy: float | None = None
-    source: DataFrame | None = None  # last segment base (sent_id, text, label)
-    segment: list = field(default_factory=list)  # models applied on top of it
+    source: DataFrame | None = None  # (_row, sent_id, text, label) of the training rows, seed labels
+    decided: DataFrame | None = None  # (_row, label) of all rows labelled by a round
     n: int = defaults.N
     frame: DataFrame | None = None  # model table, when the model is not held on the driver
 
     def labelled_text(self) -> DataFrame:
-        """(sent_id, text, label) after the last round, in one narrow pass."""
-        return fold_labels(self.source, self.n, self.segment, self.threshold)
+        """(sent_id, text, label) after the last round."""
+        grown = bounded(self.decided.select("_row", F.col("label").alias("_new")))
+        label = F.coalesce(F.nullif(F.col("label"), F.lit(0)), F.col("_new"), F.lit(0))
+        return self.source.join(grown, "_row", "left").select("sent_id", "text", label.alias("label"))
 
     def model_frame(self, spark) -> DataFrame:
         """(ngram, fid, weight, n) of the last model."""
@@ -136,198 +142,216 @@ def token_rows(base: DataFrame, n: int, keep, small: bool) -> DataFrame:
     return rows.persist(StorageLevel.MEMORY_AND_DISK) if small else rows
 
 
+class State:
+    """Tables of a running self-training: tokens, what is labelled and what is unknown."""
+
+    def __init__(self, train: DataFrame, n: int, small: bool) -> None:
+        self.spark, self.small = train.sparkSession, small
+        # Rows are numbered as they are written, once: repeated or NULL ids stay separate rows.
+        numbered = train.select("sent_id", "text", "label", F.monotonically_increasing_id().alias("_row"))
+        tokens = tokenized(numbered, n, keep=("_row", "sent_id", "text", "label"))
+        self.tokens, self.path = materialize_at(tokens, "selftrain-tokens")
+        self.seeds = self.tokens.where(F.col("label") != 0).select("label", "ng")
+        self.base, self.base_path = self.tokens.where(F.col("label") == 0).select("_row", "ng"), None
+        self.rounds: list[tuple[DataFrame, str]] = []  # (_row, label, ng) labelled by each round
+        self.folded = 0  # leading tables of ``rounds`` that ``base`` no longer holds
+        self._cache()
+
+    def _cache(self) -> None:
+        """A small input's unknown rows are kept in memory, a large one's are read every round."""
+        if self.small:
+            cores = self.spark.sparkContext.defaultParallelism
+            self.base = self.base.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def labelled(self) -> DataFrame:
+        """(label, ng) of all rows labelled so far."""
+        return reduce(DataFrame.unionByName, [t.select("label", "ng") for t, _ in self.rounds], self.seeds)
+
+    def unknown(self) -> DataFrame:
+        """(_row, ng) of the rows that no round has labelled."""
+        fresh = [t.select("_row") for t, _ in self.rounds[self.folded:]]
+        if not fresh:
+            return self.base
+        return self.base.join(bounded(reduce(DataFrame.unionByName, fresh)), "_row", "left_anti")
+
+    def add(self, decided: DataFrame) -> DataFrame:
+        """Write the rows that a round has labelled (_row, label, ng)."""
+        self.rounds.append(materialize_at(decided, "selftrain-round"))
+        return self.rounds[-1][0]
+
+    def fold(self) -> None:
+        """Unknown rows without the labelled ones, the rounds' tables as one."""
+        base, base_path = materialize_at(self.unknown(), "selftrain-unknown")
+        merged = materialize_at(reduce(DataFrame.unionByName, [t for t, _ in self.rounds]), "selftrain-rounds")
+        if self.small:
+            self.base.unpersist()
+        for path in [p for _, p in self.rounds] + [self.base_path]:
+            release(self.spark, path)
+        self.base, self.base_path, self.rounds, self.folded = base, base_path, [merged], 1
+        self._cache()
+
+    def decided(self) -> DataFrame:
+        """(_row, label) of all rows labelled by a round; its tables stay for the result."""
+        empty = self.tokens.where("false").select("_row", "label")
+        return reduce(DataFrame.unionByName, [t.select("_row", "label") for t, _ in self.rounds], empty)
+
+    def close(self) -> None:
+        if self.small:
+            self.base.unpersist()
+        release(self.spark, self.base_path)
+
+
+@dataclass
+class LookupRound:
+    """A round whose vocabulary travels to the tasks as a constant."""
+
+    vocab: Vocabulary
+    model: Model | None = None
+    frame: DataFrame | None = None
+
+    @property
+    def size(self) -> int:
+        return self.vocab.size
+
+    def features(self, labelled: DataFrame) -> DataFrame:
+        return labelled.select("label", feature_ids(F.col("ng"), self.vocab).alias("fids"))
+
+    def fitted(self, weights: np.ndarray) -> None:
+        self.model = Model(self.vocab, weights)
+
+    def decide(self, unknown: DataFrame, threshold: float) -> DataFrame:
+        cut = model_score(F.col("ng"), self.model, lambda s: threshold_decision(s, threshold))
+        return unknown.select("_row", cut.alias("label"), "ng").where(F.col("label").isNotNull())
+
+    def release(self, spark) -> None:
+        pass
+
+
+@dataclass
+class JoinedRound:
+    """A round whose vocabulary is too large for that: joined, never collected.
+
+    Only the m weights come to the driver.
+    """
+
+    vocab: DataFrame  # (ngram, fid)
+    path: str
+    n: int
+    size: int = 0
+    model: Model | None = None
+    frame: DataFrame | None = None
+
+    def features(self, labelled: DataFrame) -> DataFrame:
+        return featurize_by_join(labelled, self.vocab, keep=("label",))
+
+    def fitted(self, weights: np.ndarray) -> None:
+        table = pd.DataFrame({"fid": np.arange(self.size, dtype="int32"), "weight": weights.astype("float64")})
+        self.frame = (self.vocab.join(self.vocab.sparkSession.createDataFrame(table), "fid", "left")
+                      .select("ngram", "fid", F.coalesce("weight", F.lit(0.0)).alias("weight"), F.lit(self.n).alias("n")))
+
+    def decide(self, unknown: DataFrame, threshold: float) -> DataFrame:
+        scored = score_by_join(unknown, self.frame, ["_row"])
+        cut = (scored.select("_row", threshold_decision(F.col("score"), threshold).alias("label"))
+               .where(F.col("label").isNotNull()))
+        cut, path = materialize_at(cut, "selftrain-decisions")
+        self.cuts = path
+        return unknown.join(bounded(cut), "_row").select("_row", "label", "ng")
+
+    def release(self, spark) -> None:
+        release(spark, getattr(self, "cuts", None))
+        self.cuts = None
+
+
+def next_round(counts: DataFrame, positives: int, negatives: int, n: int, m: int, max_lookup_keys: int):
+    """Rank the vocabulary: held as a constant within the bounds on keys and bytes, as a table beyond them."""
+    ranked = rank_vocab(counts, positives, negatives, m)
+    if m <= max_lookup_keys:
+        vocab = Vocabulary.from_frame(ranked, n)
+        if vocab.text_bytes <= defaults.MAX_LOOKUP_BYTES:
+            return LookupRound(vocab)
+        ranked = vocab.frame(counts.sparkSession)
+    table, path = materialize_at(ranked.select("ngram", "fid"), "vocab-joined")
+    return JoinedRound(table, path, n, table.count())
+
+
 def self_train(train: DataFrame, test: DataFrame | None = None, n: int = defaults.N,
                m: int = defaults.M, n_iter: int = defaults.NUM_ITER,
                threshold: float = defaults.THRESHOLD, alpha: float = defaults.ALPHA,
                delta: float = defaults.DELTA, max_rounds: int | None = None,
                refresh_vocab: bool = True, materialize_input: bool = False,
-               first: FirstRound | None = None, prepared: bool = False,
-               checkpoint_every: int = CHECKPOINT_EVERY,
+               prepared: bool = False, checkpoint_every: int = CHECKPOINT_EVERY,
                max_lookup_keys: int = defaults.MAX_LOOKUP_KEYS) -> SelfTrainResult:
     """Run self-training on ``train`` (sent_id, text, label in {1,-1,0}).
 
     ``n_iter`` is the exact number of epochs per training (pass n_iter + 1
     to reproduce the Scala loop bounds). ``refresh_vocab=False`` keeps the
     first round's vocabulary, as the notebook variant does. A vocabulary
-    larger than ``max_lookup_keys`` runs the join form of the loop
-    (:func:`_self_train_joined`).
+    larger than ``max_lookup_keys``, or than the lookup's bytes, is joined instead of
+    looked up, with the same labels.
     """
-    if m * max(1, checkpoint_every or 1) > max_lookup_keys:  # a chain holds that many models
-        if first is not None:
-            raise ValueError("a shared first round needs the in-row lookup (m within the bound)")
-        return _self_train_joined(train, test, n, m, n_iter, threshold, alpha, delta, max_rounds,
-                                  refresh_vocab, prepared, materialize_input)
+    spark = train.sparkSession
     small = prepared and train.is_cached
     owned = None  # a cached copy made here, released before returning
     if not prepared:
         train, small = _prepare(train, materialize_input)
         owned = train if small else None
-    base = train.select("sent_id", "text", "label")
-    base_path = None  # scratch files of the current base, if written here
-    rows = token_rows(base, n, ("sent_id", "label"), small)
-    segment: list[Model] = []  # models applied on top of ``base``
-    models: list[Model] = []
+    state = State(train, n, small)
+    if owned is not None:
+        owned.unpersist()
+    # One row of totals for unlabelled rows, N-grams for labelled ones: one scan answers both.
+    counts, counts_path = materialize_at(
+        class_counts_with_totals(state.tokens.select("label", "ng"), F.col("label")), "class-counts")
+    models: list[Model | None] = []
     history: list[RoundInfo] = []
-    vocab: Vocabulary | None = None
-    unlabelled_prev: int | None = None
-    unlabelled = 0
-    if first is not None:
-        models.append(first.model)
-        segment.append(first.model)
-        history.append(first.info)
-        vocab = first.model.vocab
-        unlabelled_prev = first.unlabelled
-    staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
-    counts, counts_path = materialize_at(class_counts_with_totals(staged, F.col("_lab")), "class-counts")
+    current, unlabelled_prev = None, None
     while True:
         started = time.perf_counter()
         positives, negatives, unlabelled = _totals(counts)
-        if models:
-            if unlabelled == 0 or unlabelled == unlabelled_prev:
-                break
-            if max_rounds is not None and len(models) >= max_rounds:
-                break
-        if vocab is None or refresh_vocab:
-            vocab = Vocabulary.from_frame(rank_vocab(counts, positives, negatives, m), n)
+        if models and (unlabelled == 0 or unlabelled == unlabelled_prev
+                       or (max_rounds is not None and len(models) >= max_rounds)):
+            break
+        if current is None or refresh_vocab:
+            previous = current
+            current = next_round(counts, positives, negatives, n, m, max_lookup_keys)
+            if isinstance(previous, JoinedRound):
+                release(spark, previous.path)
         unlabelled_prev = unlabelled
-        staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), segment, threshold))
-        labelled = staged.where(F.col("_lab") != 0).select(F.col("_lab").alias("label"), "ng")
-        model, info = train_round(labelled, vocab, n_iter, alpha, delta)
-        info.round, info.positives, info.negatives, info.unlabelled_before = \
-            len(models) + 1, positives, negatives, unlabelled
-        counts, counts_path = grown_counts(
-            counts, counts_path, staged.where(F.col("_lab") == 0).select("ng"), model, threshold)
-        models.append(model)
-        segment.append(model)
-        history.append(info)
-        if checkpoint_every and len(segment) >= checkpoint_every:
-            previous_path = base_path
-            base, base_path = materialize_at(fold_labels(base, n, segment, threshold), "selftrain-state")
-            release(base.sparkSession, previous_path)  # the new base no longer reads it
-            segment = []
-            rows.unpersist()
-            rows = token_rows(base, n, ("sent_id", "label"), small)
-        info.seconds = round(time.perf_counter() - started, 3)
-    rows.unpersist()
-    release(base.sparkSession, counts_path)
-    result = SelfTrainResult(None, models[-1], models, threshold, history, unlabelled,
-                             source=base, segment=segment, n=n)
+        fit = train_weights(current.features(state.labelled()), current.size, n_iter, alpha, delta, measure=True)
+        current.fitted(fit.weights)
+        models.append(current.model)
+        history.append(RoundInfo(len(models), positives, negatives, unlabelled, current.size, fit.epochs,
+                                 fit.l1[-1] if fit.l1 else None, fit.train_accuracy))
+        fresh = state.add(current.decide(state.unknown(), threshold))
+        current.release(spark)
+        counts, counts_path = grown_counts(counts, counts_path, fresh)
+        if checkpoint_every and len(state.rounds) - state.folded >= checkpoint_every:
+            state.fold()
+        history[-1].seconds = round(time.perf_counter() - started, 3)
+    release(spark, counts_path)
+    state.close()
+    result = SelfTrainResult(None, current.model, models, threshold, history, unlabelled, n=n, frame=current.frame,
+                             source=state.tokens.select("_row", "sent_id", "text", "label"), decided=state.decided())
     result.labels = result.labelled_text().select("sent_id", "label")
     if test is not None:
-        result.test_accuracy = evaluate(test, result.model)
-    if owned is not None:
-        owned.unpersist()
+        result.test_accuracy = evaluate(test, current.model) if current.model is not None else accuracy(score_by_join(
+            tokenized(test, n, keep=("sent_id", "label")), current.frame, ["sent_id", "label"])).first()["accuracy"]
     return result
 
 
-def grown_counts(counts: DataFrame, path: str, unknown: DataFrame, model: Model,
-                 threshold: float) -> tuple[DataFrame, str]:
-    """Class counts after ``model`` has labelled some of the ``unknown`` rows (ng).
+def grown_counts(counts: DataFrame, path: str, fresh: DataFrame) -> tuple[DataFrame, str]:
+    """Class counts after the rows of ``fresh`` (label, ng) were labelled.
 
-    The new copy replaces the one at ``path``. The NULL key holds the totals:
-    class totals add up, the number of unknown rows is the new one.
+    The new copy replaces the one at ``path``. The NULL key holds the totals: a
+    row that is labelled moves from the unknown to its class.
     """
-    decided = F.coalesce(model_score(F.col("ng"), model, lambda s: threshold_decision(s, threshold)), F.lit(0))
-    fresh = class_counts_with_totals(unknown, decided)
-    both = counts.withColumn("unlabelled", F.lit(0).cast("long")).unionByName(fresh)
-    grown = both.groupBy("ngram").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "unlabelled")])
+    more = class_counts_with_totals(fresh, F.col("label"))
+    more = more.withColumn("unlabelled", F.when(F.col("ngram").isNull(), -(F.col("pos") + F.col("neg"))).otherwise(F.lit(0)))
+    grown = counts.unionByName(more).groupBy("ngram").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "unlabelled")])
     out = materialize_at(grown, "class-counts")
     release(counts.sparkSession, path)
     return out
 
 
-def _self_train_joined(train: DataFrame, test: DataFrame | None, n: int, m: int, n_iter: int,
-                       threshold: float, alpha: float, delta: float, max_rounds: int | None,
-                       refresh_vocab: bool, prepared: bool, materialize_input: bool) -> SelfTrainResult:
-    """Self-training for vocabularies too large to ship as a constant.
-
-    The vocabulary stays a DataFrame (never collected); only the m weights
-    come to the driver. Training rows are featurized with a join on the
-    N-gram (only hit ids are shuffled, by sentence); unknown rows are scored
-    with a join against the model table. The round's decisions are joined
-    back to the text base by ``sent_id`` and the base is rewritten as Parquet
-    every round: one text-sized shuffle per round, the price of this form.
-    """
-    spark = train.sparkSession
-    owned = None
-    if not prepared:
-        train, small = _prepare(train, materialize_input)
-        owned = train if small else None
-    # A number per row, written once: repeated or NULL ids stay separate rows.
-    base, base_path = materialize_at(
-        train.select("sent_id", "text", "label", F.monotonically_increasing_id().alias("_row")), "selftrain-joined-state")
-    vocab_frame, vocab_path, frame = None, None, None
-    history: list[RoundInfo] = []
-    rounds, unlabelled_prev, unlabelled = 0, None, 0
-    while True:
-        started = time.perf_counter()
-        rows = tokenized(base, n, keep=("sent_id", "label", "_row"))
-        counts = class_counts_with_totals(rows, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            positives, negatives, unlabelled = _totals(counts)
-            if rounds and (unlabelled == 0 or unlabelled == unlabelled_prev
-                           or (max_rounds is not None and rounds >= max_rounds)):
-                break
-            if vocab_frame is None or refresh_vocab:
-                ranked = rank_vocab(counts, positives, negatives, m).select("ngram", "fid")
-                previous_vocab = vocab_path
-                vocab_frame, vocab_path = materialize_at(ranked, "vocab-joined")
-                release(spark, previous_vocab)
-        finally:
-            counts.unpersist()
-        unlabelled_prev = unlabelled
-        size = vocab_frame.count()
-        feats = featurize_by_join(rows.where(F.col("label") != 0), vocab_frame, keep=("_row", "label"))
-        fit = train_weights(feats, size, n_iter, alpha, delta, measure=True)
-        weights = spark.createDataFrame(pd.DataFrame({"fid": np.arange(size, dtype="int32"),
-                                                      "weight": fit.weights.astype("float64")}))
-        frame = (vocab_frame.join(weights, "fid", "left")
-                 .select("ngram", "fid", F.coalesce("weight", F.lit(0.0)).alias("weight"),
-                         F.lit(n).alias("n")))
-        rounds += 1
-        history.append(RoundInfo(rounds, positives, negatives, unlabelled, size, fit.epochs,
-                                 fit.l1[-1] if fit.l1 else None, fit.train_accuracy))
-        unknown = rows.where(F.col("label") == 0)
-        decided = (score_by_join(unknown, frame, ["_row"])
-                   .select("_row", threshold_decision(F.col("score"), threshold).alias("_new"))
-                   .where(F.col("_new").isNotNull()))
-        relabelled = (base.join(decided, "_row", "left")
-                      .select("sent_id", "text",
-                              F.coalesce(F.nullif(F.col("label"), F.lit(0)), F.col("_new"), F.lit(0)).alias("label"),
-                              "_row"))
-        previous_path = base_path
-        base, base_path = materialize_at(relabelled, "selftrain-joined-state")
-        release(spark, previous_path)
-        history[-1].seconds = round(time.perf_counter() - started, 3)
-    result = SelfTrainResult(None, None, [None] * rounds, threshold, history, unlabelled,
-                             source=base, segment=[], n=n, frame=frame)
-    result.labels = base.select("sent_id", "label")
-    if test is not None:
-        scored = score_by_join(tokenized(test, n, keep=("sent_id", "label")), frame, ["sent_id", "label"])
-        result.test_accuracy = accuracy(scored).first()["accuracy"]
-    if owned is not None:
-        owned.unpersist()
-    return result
-
-
-def fold_labels(base: DataFrame, n: int, segment: list, threshold: float) -> DataFrame:
-    """(sent_id, text, label) with the segment's labels applied (narrow)."""
-    chain = label_chain(F.col("label"), F.col("_ng"), segment, threshold)
-    return (tokenized(base, n, keep=("sent_id", "text", "label")).withColumnRenamed("ng", "_ng")
-            .select("sent_id", "text", chain.alias("label")))
-
-
-def train_round(labelled: DataFrame, vocab: Vocabulary, n_iter: int, alpha: float,
-                delta: float) -> tuple[Model, RoundInfo]:
-    """Featurize labelled rows (label, ng), train, measure training accuracy."""
-    feats = labelled.select("label", feature_ids(F.col("ng"), vocab).alias("fids"))
-    fit = train_weights(feats, vocab.size, n_iter, alpha, delta, measure=True)
-    model = Model(vocab, fit.weights)
-    info = RoundInfo(1, 0, 0, 0, vocab.size, fit.epochs, fit.l1[-1] if fit.l1 else None,
-                     fit.train_accuracy)
-    return model, info
-
-
 def score_rows(sents: DataFrame, model: Model, keep=("sent_id", "label")) -> DataFrame:
     """(keep..., score) for every row of ``sents`` under ``model``."""
     rows = tokenized(sents, model.n, keep=keep)

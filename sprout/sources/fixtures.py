@@ -73,6 +73,21 @@ def materialize_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.parquet(path), path
 
 
+# Tables up to this many rows and bytes are sent to every task, larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its rows and bytes, counted first, are within the bounds.
+
+    Without the hint Catalyst shuffles both sides of the join, with the same result.
+    """
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8)
+             for c, kind in df.dtypes]
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
+
+
 def release(spark: SparkSession, path: str | None) -> None:
     """Delete a scratch copy made by :func:`materialize_at` once it is superseded."""
     if path:
