@@ -12,15 +12,19 @@ the class's size, which bound the overlap that is still possible from there.
 Pairs are compared in full only if the parities of their shingles, 512 bits
 a class, do not already differ in too many places.
 
-Skipping. In each list the entry with the smallest position leads (a text
-that others were derived from has no shingle rarer than theirs). Leaders are
-compared with their lists first, exactly. The answers of a similar set then
-come from the leader's: entries already in one component need no comparison
-with each other, and two entries whose distances to the leader differ by more
-than 1 - t can't link, by the triangle inequality. What remains is searched
-list by list, in blocks sorted by size, where runs of entries out of the size
-range or with too late a position are skipped; long lists are cut into blocks
-and every pair of blocks is a task of its own, so no list has to fit in one.
+Answers from similar sets. In each list the entry with the smallest position leads (a
+text that others were derived from has no shingle rarer than theirs). A class is
+first compared with the leader it meets in most lists, then with its other leaders, unless
+the component it is in by then already holds them. The answers of a similar set come
+from the leader's: entries in one component need no comparison with each other, and two
+entries whose distances to their leader differ by more than 1 - t can't link, by the
+triangle inequality.
+
+Skipping. What remains is searched list by list. Entries stand in order of size, in skip
+blocks of ``SKIP`` that keep their best position; a set passes over the blocks whose
+sizes it can't link with, or whose best position is too late for it, without looking into
+them. Long lists are cut into parts of at most about ``BLOCK`` entries and every pair of parts is
+searched on its own, so no list has to fit in one task.
 
 The links found give exact components. ``all_links=True`` keeps comparing
 within components, for callers that want every linked pair.
@@ -37,12 +41,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, arrow_schema, by_ids, partitions, stored, text_or_empty
+from .common import Scratch, arrow_schema, partitions, small, stored, text_or_empty
 from .components import components
 
 SHINGLE = 3
@@ -50,9 +53,12 @@ PERCENT = 90  # linked if 100 * intersection >= PERCENT * union
 PARITY = 512  # bits of a class's parity
 SKETCH_BITS = (16, 22)  # counters: eight per document, within these powers of two
 CHUNK = 1 << 15
-BLOCK = 4096  # entries of a list compared in one block
-ENTRIES = 20_000  # entries compared at one time, and the rest of the last block
-MEMO = 300_000
+WAITING = 1 << 20  # shingles counted at one time
+BLOCK = 256  # entries of a part of a list
+ENTRIES = 20_000  # entries searched at one time, and the rest of the last part
+SKIP = 16  # entries of a skip block
+PROBES = 1 << 14  # pairs of an entry and a skip block looked into at one time
+MEMO = 100_000
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # ASCII letters to lower case, one byte each; bytes.split() then cuts at exactly
@@ -112,7 +118,7 @@ def frequency_sketch(texts: DataFrame, width: int = SHINGLE) -> np.ndarray:
             for text in batch.column(0):
                 held.append(shingles(text.as_py()) >> shift)
                 waiting += len(held[-1])
-                if waiting > size:
+                if waiting > WAITING:
                     total += np.bincount(np.concatenate(held).astype(np.int64), minlength=size).astype(np.int32)
                     held, waiting = [], 0
         if held:
@@ -199,176 +205,255 @@ def can_link(percent: int, n1: str, p1: str, n2: str, p2: str):
 
 
 def promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose parity bits leave room for the overlap they need."""
-    of = lambda name: reps.select(F.col("class").alias(name), F.col("n").alias("n" + name),
+    """Pairs (hub, spoke) whose parity bits leave room for the overlap they need."""
+    bits = small(reps.select("c", "n", "bits"))
+    of = lambda name: bits.select(F.col("c").alias(name), F.col("n").alias("n" + name),
                                   F.col("bits").alias("bits" + name))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    differ = sum((F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k))))
+    both = pairs.join(of("hub"), "hub").join(of("spoke"), "spoke")
+    differ = sum((F.bit_count(F.get("bitshub", F.lit(k)).bitwiseXOR(F.get("bitsspoke", F.lit(k))))
                   for k in range(PARITY // 64)), F.lit(0))
-    total = F.col("na") + F.col("nb")
-    return both.where((100 + percent) * (total - differ) >= 2 * percent * total).select("a", "b")
+    total = F.col("nhub") + F.col("nspoke")
+    return both.where((100 + percent) * (total - differ) >= 2 * percent * total).select(*pairs.columns)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, common, na, nb, linked): exact overlaps of the pairs."""
-    of = lambda name: sets.select(F.col("class").alias(name), F.col("shingles").alias("s" + name))
-    both = pairs.join(of("b"), "b").join(of("a"), "a")
-    # A repeated id can bring a class twice, a pair stays one row.
-    both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("common"),
-                       F.size("sa").alias("na"), F.size("sb").alias("nb")).dropDuplicates(["a", "b"])
-    return both.withColumn("linked", 100 * F.col("common") >=
-                           percent * (F.col("na") + F.col("nb") - F.col("common")))
-
-
-def class_sets(rows: DataFrame, reps: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(class, shingles) of the classes in ``pairs``, from one document of each."""
-    wanted = (pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-              .join(reps.select("class", "_id"), "class"))
-    wanted = stored(wanted, "wanted_classes")
-    ids = wanted.select("_id").distinct()
-    if wanted.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    texts = rows.join(ids, "_id", "left_semi").select("text")
+def class_sets(rows: DataFrame, reps: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(c, shingles) of the classes ``wanted`` (c), from one document of each."""
+    named = small(wanted.distinct().join(small(reps.select("c", "class", "_id")), "c"))
+    texts = rows.select("_id", "text").join(named, "_id").select("text", "c", "class")
 
     def run(batches):
         shingles = Shingler(width)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                own = [shingles(t.as_py()) for t in batch.slice(at, 512).column(0)]
+                part = batch.slice(at, 512)
+                own = [shingles(t.as_py()) for t in part.column(0)]
+                # A repeated id may bring texts of other classes.
+                right = [k for k, (s, c) in enumerate(zip(own, part.column(2), strict=True)) if class_of(s) == c.as_py()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_of(s) for s in own], pa.binary()),
-                     pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], ["class", "shingles"])
+                    [part.column(1).take(pa.array(right, pa.int64())),
+                     pa.array([own[k].view(np.int64) for k in right], pa.list_(pa.int64()))], ["c", "shingles"])
 
-    made = texts.mapInArrow(run, "class binary, shingles array<long>")
-    # A repeated id may bring texts of other classes; the pairs' joins leave them out.
-    return stored(made, "class_sets")
+    return texts.mapInArrow(run, "c long, shingles array<long>")
+
+
+def verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
+    """(hub, spoke, common, na, nb, linked): exact overlaps of the pairs.
+
+    A spoke's set moves once, to its hub's; neither is stored.
+    """
+    spokes = class_sets(rows, reps, pairs.select(F.col("spoke").alias("c")), width)
+    spokes = spokes.join(small(pairs), F.col("c") == F.col("spoke")).select("hub", "spoke", F.col("shingles").alias("own"))
+    hubs = class_sets(rows, reps, pairs.select(F.col("hub").alias("c")), width)
+    both = spokes.join(hubs, F.col("hub") == F.col("c"))
+    # A repeated row can bring a class twice, a pair stays one row.
+    both = both.select("hub", "spoke", F.size(F.array_intersect("own", "shingles")).alias("common"),
+                       F.size("shingles").alias("na"), F.size("own").alias("nb")).dropDuplicates(["hub", "spoke"])
+    return both.withColumn("linked", 100 * F.col("common") >=
+                           percent * (F.col("na") + F.col("nb") - F.col("common")))
 
 
-def open_pairs(part: pd.DataFrame, percent: int, within: bool) -> pd.DataFrame:
-    """Pairs, in whole blocks of lists, that nothing rules out yet.
+def open_pairs(entries: dict[str, np.ndarray], percent: int, within: bool):
+    """Yield (class, class) arrays of pairs, in whole parts of lists, that nothing rules out yet.
 
-    Entries stand block by block in order of size. Every entry is compared
-    with the one after it, then the one after that, and so on, all entries at
-    once; an entry leaves as soon as it meets the end of its block or a set too
-    large for it. One whose position is too late to link upwards never starts.
+    ``entries`` stand part by part in order of size. A skip block keeps the
+    best room (shingles from the position on) of its entries; an entry looks into
+    the blocks up to the size limit whose best room is enough, a bounded number at a time.
     """
-    part = part.sort_values(["t", "bi", "bj", "n", "class"], ignore_index=True)
-    n, room = part["n"].to_numpy(np.int64), (part["n"] - part["pos"]).to_numpy(np.int64)
-    keys = part[["t", "bi", "bj"]].to_numpy()
-    group = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).any(axis=1)]) if len(part) else np.zeros(0, np.int64)
-    root, _ = pd.factorize(part["root"])
-    far, block = part["far"].to_numpy(float), part["block"].to_numpy()
-    two = keys[:, 1] != keys[:, 2]
-    found = []
-    i = np.flatnonzero((100 + percent) * room >= 2 * percent * n)
-    step = 0
-    while len(i):
-        step += 1
-        i = i[i + step < len(n)]
-        i = i[(group[i + step] == group[i]) & (percent * n[i + step] <= 100 * n[i])]
-        j = i + step
-        ok = (100 + percent) * np.minimum(room[i], room[j]) >= percent * (n[i] + n[j])
-        if not within:
-            ok &= root[i] != root[j]
-        ok &= ~two[i] | (block[i] != block[j])
-        ok &= ~(np.abs(far[i] - far[j]) > 1 - percent / 100 + 1e-9)  # NaN: not compared with the leader
-        found.append(np.stack([i[ok], j[ok]]))
-    name = part["class"].to_numpy(object)
-    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    pairs = {(min(a, b), max(a, b)) for a, b in zip(name[pairs[0]], name[pairs[1]], strict=True)}
-    return pd.DataFrame(sorted(pairs), columns=["a", "b"])
-
-
-def whole_blocks(parts, rows: int = ENTRIES):
-    """Sorted entries as frames of at least ``rows`` rows that end with a block."""
+    keys = np.stack([entries[c] for c in ("t", "bi", "bj")], axis=1)
+    total = len(keys)
+    if not total:
+        return
+    group = np.cumsum(np.r_[False, (keys[1:] != keys[:-1]).any(axis=1)])
+    n, room = entries["n"], entries["n"] - entries["pos"]
+    far, block, root, name = (entries[c] for c in ("far", "block", "root", "c"))
+    two = entries["bi"] != entries["bj"]
+    # End of the entries of the same part that aren't too large: sizes grow within a part.
+    most = int(n.max()) + 1
+    end = np.searchsorted(group * most + n, group * most + np.minimum(100 * n // percent, most - 1), side="right")
+    best = np.maximum.reduceat(room, np.arange(0, total, SKIP))
+    least = -(-2 * percent * n // (100 + percent))  # overlap with a set no smaller
+    first, last = (np.arange(total) + 1) // SKIP, -(-end // SKIP)
+    blocks = np.where((room >= least) & (end > np.arange(total) + 1), last - first, 0)
+    done = np.cumsum(blocks)
+    if not done[-1]:
+        return
+    cuts = np.searchsorted(done, np.arange(0, int(done[-1]), PROBES), side="right")
+    for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), total], strict=True):
+        i = np.repeat(np.arange(lo, hi), blocks[lo:hi])
+        k = first[i] + np.arange(len(i)) - np.repeat(done[lo:hi] - blocks[lo:hi] - done[lo] + blocks[lo], blocks[lo:hi])
+        seen = best[k] >= least[i]
+        for some in np.array_split(np.flatnonzero(seen), max(1, -(-int(seen.sum()) // PROBES))):
+            a = np.repeat(i[some], SKIP)
+            b = (k[some][:, None] * SKIP + np.arange(SKIP)).ravel()
+            ok = (b > a) & (b < end[a])
+            a, b = a[ok], b[ok]
+            ok = (100 + percent) * np.minimum(room[a], room[b]) >= percent * (n[a] + n[b])
+            if not within:
+                ok &= root[a] != root[b]
+            ok &= ~two[a] | (block[a] != block[b])
+            ok &= ~(np.abs(far[a] - far[b]) > 1 - percent / 100 + 1e-9)  # NaN: not compared with the leader
+            pairs = np.unique(np.stack([np.minimum(name[a], name[b])[ok], np.maximum(name[a], name[b])[ok]], axis=1), axis=0)
+            if len(pairs):
+                yield pairs[:, 0], pairs[:, 1]
+
+
+COLUMNS = ("t", "bi", "bj", "n", "pos", "root", "block", "c", "far")
+
+
+def whole_parts(batches, rows: int = ENTRIES):
+    """Sorted entries as arrays of at least ``rows`` entries that end with a part of a list."""
     held = None
-    for part in parts:
-        held = part if held is None else pd.concat([held, part], ignore_index=True)
-        if len(held) >= rows:
-            keys = held[["t", "bi", "bj"]].to_numpy()
-            end = int((keys == keys[-1]).all(axis=1).argmax())
+    for batch in batches:
+        new = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64 if c == "far" else np.int64) for c in COLUMNS}
+        held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in COLUMNS}
+        if len(held["t"]) >= rows:
+            same = np.ones(len(held["t"]), bool)
+            for c in ("t", "bi", "bj"):
+                same &= held[c] == held[c][-1]
+            end = int(same.argmax())
             if end:
-                yield held.iloc[:end]
-                held = held.iloc[end:]
-    if held is not None:
+                yield {c: v[:end] for c, v in held.items()}
+                held = {c: v[end:] for c, v in held.items()}
+    if held is not None and len(held["t"]):
         yield held
 
 
 def remaining_pairs(entries: DataFrame, known: DataFrame, roots: DataFrame, percent: int,
                     all_links: bool) -> DataFrame:
-    """Pairs of a list, no leader among them, that may still link."""
-    rest = entries.where("size > 2").join(roots, F.col("class") == F.col("node"), "left").drop("node")
-    rest = rest.withColumn("root", F.coalesce("root", "class"))
+    """(hub, spoke): pairs of a list, no leader among them, that may still link."""
+    rest = entries.where("size > 2").join(small(roots), F.col("c") == F.col("node"), "left").drop("node")
+    rest = rest.withColumn("root", F.coalesce("root", "c"))
     if not all_links:
         several = (rest.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                    .where("lo != hi").select("t"))
-        rest = rest.join(several, "t", "left_semi")
+        rest = rest.join(small(several), "t", "left_semi")
     jaccard = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    far = known.select("a", "b", (1 - jaccard).alias("far"))
-    rest = (rest.withColumn("a", F.least("class", "leader")).withColumn("b", F.greatest("class", "leader"))
-            .join(far, ["a", "b"], "left")
-            .withColumn("far", F.when(F.col("class") == F.col("leader"), F.lit(0.0)).otherwise(F.col("far"))))
-    # Block pairs: entry of block k goes to (k, j) for later j and (i, k) for earlier i.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("t", "class", "n", "pos", "root", "far", "block",
+    far = both_ways(known.select("hub", "spoke", (1 - jaccard).alias("far"))).select(
+        F.col("hub").alias("leader"), F.col("spoke").alias("c"), "far")
+    rest = (rest.join(small(far), ["leader", "c"], "left")
+            .withColumn("far", F.when(F.col("c") == F.col("leader"), F.lit(0.0)).otherwise(F.col("far"))))
+    # Pairs of parts: an entry of part k goes to (k, j) for later j and (i, k) for earlier i.
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    rest = rest.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("c"), "parts").cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rest = rest.select("t", "c", "n", "pos", "root", F.coalesce("far", F.lit(float("nan"))).alias("far"), "block",
                        F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
+    schema = arrow_schema("hub long, spoke long")
 
-    def search(parts):
-        for part in whole_blocks(parts):
-            yield open_pairs(part, percent, all_links)
+    def search(batches):
+        for part in whole_parts(batches):
+            for hub, spoke in open_pairs(part, percent, all_links):
+                yield pa.RecordBatch.from_arrays([pa.array(hub, pa.int64()), pa.array(spoke, pa.int64())], schema=schema)
 
     # A fixed number of partitions: the work is in the comparisons, not the bytes.
     tasks = 4 * partitions(entries.sparkSession)
-    pairs = (rest.repartition(tasks, "t", "bi", "bj").sortWithinPartitions("t", "bi", "bj", "n", "class")
-             .mapInPandas(search, "a binary, b binary").distinct())
-    return pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = (rest.repartition(tasks, "t", "bi", "bj").sortWithinPartitions("t", "bi", "bj", "n", "c")
+             .mapInArrow(search, "hub long, spoke long").distinct())
+    met = known.select(F.least("hub", "spoke").alias("hub"), F.greatest("hub", "spoke").alias("spoke"))
+    return pairs.join(small(met), ["hub", "spoke"], "left_anti")
+
+
+def once(pairs: DataFrame) -> DataFrame:
+    """(hub, spoke): one row for two classes that are each other's leader in some list."""
+    both = pairs.groupBy(F.least("hub", "spoke"), F.greatest("hub", "spoke")).agg(F.min(F.struct("hub", "spoke")).alias("p"))
+    return both.select("p.hub", "p.spoke")
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Every row, and the same with hub and spoke changed over."""
+    rest = [c for c in pairs.columns if c not in ("hub", "spoke")]
+    return pairs.select("hub", "spoke", *rest).unionByName(
+        pairs.select(F.col("spoke").alias("hub"), F.col("hub").alias("spoke"), *rest))
+
+
+def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose classes aren't in one component yet."""
+    root = lambda name: small(roots).select(F.col("node").alias(name), F.col("root").alias("r" + name))
+    both = pairs.join(root("hub"), "hub", "left").join(root("spoke"), "spoke", "left")
+    return both.where(F.coalesce("rhub", "hub") != F.coalesce("rspoke", "spoke")).select(*pairs.columns)
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, all_links: bool = False,
                     doc_id: str = "doc_id", text: str = "text", carry=()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Membership (doc_id, carry..., n_shingles, class), links (a, b, common, na, nb) and roots (node, root)."""
+    """Membership (doc_id, carry..., n_shingles, class), links (a, b, common, na, nb) and roots (node, root).
+
+    Links name classes, roots the smallest class of each component; classes without a link have no root.
+    """
+    scratch = Scratch()
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("\x00"))
     rows = docs.select(key.alias("_id"), F.col(doc_id).alias("doc_id"), *carry, text_or_empty(text).alias("text"))
     sketch = frequency_sketch(rows.select("text"), width)
-    sets = stored(document_sets(rows, sketch, width, percent), "document_sets")
+    sets = scratch.store(document_sets(rows, sketch, width, percent), "document_sets")
+    # Classes are numbered as they are written: what moves from here on are numbers.
+    reps = scratch.store(sets.where("class IS NOT NULL").groupBy("class").agg(
+        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("prefix").alias("prefix")).withColumn("c", F.monotonically_increasing_id()), "classes")
+    members = scratch.store(sets.select("doc_id", *carry, F.col("n").alias("n_shingles"), "class"), "members")
+    scratch.release(sets)
 
-    reps = stored(sets.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "classes")
     # Most lists hold one class: they are found by their shingles alone, and
     # only entries of the others move.
-    entries = reps.select("class", "n", F.posexplode("prefix").alias("pos", "t"))
-    several = stored(reps.select(F.explode("prefix").alias("t")).groupBy("t").count().where("count > 1").select("t"),
-                     "shared_shingles")
-    entries = stored(by_ids(entries, several, "t", "left_semi"), "entries")
-    lists = entries.groupBy("t").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("pos", "n", "class")).alias("lead"))
-    entries = stored(entries.join(lists, "t").select(
-        "t", "class", "n", "pos", "size", F.col("lead.class").alias("leader"),
+    several = scratch.store(reps.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("size"))
+                            .where("size > 1"), "shared_shingles")
+    entries = reps.select("c", "n", F.posexplode("prefix").alias("pos", "t")).join(small(several), "t")
+    lists = entries.groupBy("t").agg(F.min(F.struct("pos", "n", "c")).alias("lead"))
+    entries = scratch.store(entries.join(small(lists), "t").select(
+        "t", "c", "n", "pos", "size", F.col("lead.c").alias("leader"),
         F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lp")), "lists")
-
-    star = (entries.where(F.col("class") != F.col("leader")).where(can_link(percent, "n", "pos", "ln", "lp"))
-            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b")).distinct())
-    star = stored(promising(star, reps, percent), "leader_pairs")
-    known = stored(verified(star, class_sets(rows, reps, star, width), percent), "leader_links")
-    roots = stored(components(known.where("linked"), "a", "b"), "roots")
-    rest = stored(promising(remaining_pairs(entries, known, roots, percent, all_links), reps, percent), "open_pairs")
-    if rest.limit(1).count():
-        more = stored(verified(rest, class_sets(rows, reps, rest, width), percent), "open_links")
-        known = known.unionByName(more)
-        if more.where("linked").limit(1).count():
-            roots = stored(components(known.where("linked"), "a", "b"), "roots")
-    links = known.where("linked").drop("linked")
-    return sets.select("doc_id", *carry, F.col("n").alias("n_shingles"), "class"), links, roots
+    scratch.release(several)
+
+    meets = (entries.where(F.col("c") != F.col("leader")).where(can_link(percent, "n", "pos", "ln", "lp"))
+             .groupBy(F.col("leader").alias("hub"), F.col("c").alias("spoke")).agg(F.count(F.lit(1)).alias("lists")))
+    star = scratch.store(promising(meets, reps, percent), "leader_pairs")
+    best = star.groupBy("spoke").agg(F.max(F.struct("lists", "hub")).alias("most"))
+    chosen = scratch.store(once(best.select(F.col("most.hub").alias("hub"), "spoke")), "first_leaders")
+    known = scratch.store(verified(chosen, rows, reps, width, percent), "leader_links")
+    roots = scratch.store(components(known.where("linked"), "hub", "spoke"), "roots")
+    other = once(star.select("hub", "spoke")).join(small(both_ways(chosen)), ["hub", "spoke"], "left_anti")
+    other = scratch.store(other if all_links else across(other, roots), "other_leaders")
+    known, roots = _more(scratch, known, roots, other, rows, reps, width, percent)
+    scratch.release(star, chosen, other)
+    rest = promising(remaining_pairs(entries, known, roots, percent, all_links), reps, percent)
+    rest = scratch.store(rest, "open_pairs")
+    known, roots = _more(scratch, known, roots, rest, rows, reps, width, percent)
+    scratch.release(entries, rest)
+
+    links = known.where("linked").select("hub", "spoke", "common", "na", "nb")
+    of = lambda name: reps.select(F.col("c").alias(name), F.col("class").alias(name + "_class"))
+    links = links.join(of("hub"), "hub").join(of("spoke"), "spoke").select(
+        F.col("hub_class").alias("a"), F.col("spoke_class").alias("b"), "common", "na", "nb")
+    roots = scratch.store(roots.join(of("node"), "node").join(of("root"), "root").select(
+        F.col("node_class").alias("node"), F.col("root_class").alias("root")), "component_roots")
+    return members, links, roots
+
+
+def _more(scratch: Scratch, known: DataFrame, roots: DataFrame, pairs: DataFrame, rows: DataFrame, reps: DataFrame,
+          width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Known overlaps and components after comparing ``pairs`` too."""
+    if not pairs.limit(1).count():
+        return known, roots
+    fresh = scratch.store(verified(pairs, rows, reps, width, percent), "more_links")
+    if not fresh.where("linked").limit(1).count():
+        return known.unionByName(fresh), roots
+    # A component goes on as the links to its root, so the work follows what is new.
+    links = fresh.where("linked").select("hub", "spoke").unionByName(
+        roots.select(F.col("root").alias("hub"), F.col("node").alias("spoke")))
+    return known.unionByName(fresh), scratch.store(components(links, "hub", "spoke"), "roots")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
                        doc_id: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
     """(doc_id, n_shingles, component_id, carry...), one row per document."""
     rows, _, roots = jaccard_classes(docs, percent, width, doc_id=doc_id, text=text, carry=carry)
-    least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    named = least.join(roots, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("root", "class"))
+    some = rows.where("class IS NOT NULL")
+    least = some.groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    named = least.join(roots, F.col("class") == F.col("node"), "left")
+    # A class of one document without a link is its own component: only the others are looked up.
+    named = named.where("copies > 1 OR root IS NOT NULL").select("class", "least", F.coalesce("root", "class").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.select("class", "root").join(ids, "root").select("class", "component_id")
-    return rows.join(named, "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *carry)
+    named = stored(named.join(small(ids), "root").select("class", "component_id"), "class_components")
+    found = some.join(small(named), "class", "left")
+    alone = rows.where("class IS NULL").withColumn("component_id", F.lit(None).cast(rows.schema["doc_id"].dataType))
+    out = found.select("doc_id", "n_shingles", "component_id", *carry).unionByName(
+        alone.select("doc_id", "n_shingles", "component_id", *carry))
+    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))

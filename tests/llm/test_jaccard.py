@@ -3,12 +3,13 @@ import random
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pytest
 
 from llm_fixtures import docs, empty  # noqa: F401
 from sprout.llm import jaccard
 from sprout.llm.components import components
-from sprout.llm.jaccard import Shingler, jaccard_classes, jaccard_components, open_pairs, whole_blocks
+from sprout.llm.jaccard import Shingler, jaccard_classes, jaccard_components, open_pairs, whole_parts
 
 LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -89,19 +90,49 @@ def test_shingler_counts_like_sets():
     assert (shingle("A b") == shingle("a B")).all() and (shingle("a b") != shingle("b a")).all()
 
 
-def test_open_pairs_keep_every_possible_link():
+def arrays(rows):
+    """Entries (t, bi, bj, n, pos, root, block, c, far) as the search gets them."""
+    rows = sorted(rows, key=lambda r: (*r[:4], r[7]))
+    return {c: np.array([r[k] for r in rows], np.float64 if c == "far" else np.int64)
+            for k, c in enumerate(("t", "bi", "bj", "n", "pos", "root", "block", "c", "far"))}
+
+
+@pytest.mark.parametrize("probes", [1, 40, 1 << 14])
+@pytest.mark.parametrize("percent", [80, 90])
+def test_open_pairs_are_all_that_the_bounds_allow(monkeypatch, probes, percent):
+    """Skip blocks pass over nothing: every pair is tried in turn here, in lists, parts of lists and with distances."""
+    monkeypatch.setattr(jaccard, "PROBES", probes)
     rng = random.Random(2)
-    part = pd.DataFrame([(7, rng.randint(50, 70), rng.randint(0, 5), bytes([k]), bytes([k % 5]), np.nan, 0, 0, 0)
-                         for k in range(40)], columns=["t", "n", "pos", "class", "root", "far", "block", "bi", "bj"])
-    other = part.assign(t=9)  # another list: nothing pairs across
-    got = {(a, b) for a, b in open_pairs(pd.concat([part, other]), 90, False).itertuples(index=False)}
-    rows = list(part.itertuples(index=False))
-    for x in range(40):
-        for y in range(x):
-            a, b = rows[x], rows[y]
-            room = min(a.n - a.pos, b.n - b.pos)
-            may = room >= math.ceil(90 * (a.n + b.n) / 190) and 100 * min(a.n, b.n) >= 90 * max(a.n, b.n)
-            assert ((min(a[3], b[3]), max(a[3], b[3])) in got) == (may and a.root != b.root)
+    rows = []
+    for t, bi, bj, size in ((7, 0, 0, 45), (9, 0, 0, 45), (9, 0, 1, 60), (11, 2, 2, 1), (12, 0, 0, 2), (13, 0, 3, 90)):
+        for _ in range(size):
+            rows.append((t, bi, bj, rng.randint(50, 80), rng.randint(0, 12), rng.randrange(9), rng.choice((bi, bj)),
+                         1000 * t + len(rows), rng.choice((float("nan"), rng.random() / 3))))
+    for within in (False, True):
+        got = [(a, b) for x, y in open_pairs(arrays(rows), percent, within) for a, b in zip(x.tolist(), y.tolist())]
+        want = set()
+        for k, a in enumerate(rows):
+            for b in rows[:k]:
+                room = min(a[3] - a[4], b[3] - b[4])
+                may = (a[:3] == b[:3] and 100 * min(a[3], b[3]) >= percent * max(a[3], b[3])
+                       and (100 + percent) * room >= percent * (a[3] + b[3]) and (within or a[5] != b[5])
+                       and (a[1] == a[2] or a[6] != b[6]) and not abs(a[8] - b[8]) > 1 - percent / 100 + 1e-9)
+                if may:
+                    want.add((min(a[7], b[7]), max(a[7], b[7])))
+        assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_open_pairs_of_nothing():
+    assert list(open_pairs(arrays([]), 90, False)) == []
+
+
+def test_a_full_list_is_searched_in_bounded_slices():
+    """4,096 equal sizes: eight million pairs, of which a slice is held at one time."""
+    rows = [(1, 0, 0, 60, 0, k, 0, k, float("nan")) for k in range(4096)]
+    most = total = 0
+    for x, _ in open_pairs(arrays(rows), 90, False):
+        most, total = max(most, len(x)), total + len(x)
+    assert total == 4096 * 4095 // 2 and most <= jaccard.PROBES * jaccard.SKIP
 
 
 def test_parity_differs_in_no_more_places_than_the_sets():
@@ -114,12 +145,15 @@ def test_parity_differs_in_no_more_places_than_the_sets():
         assert differ <= len(np.setxor1d(one, other))
 
 
-def test_whole_blocks_end_with_a_block():
-    rows = pd.DataFrame([(t, 0, 0, k) for t in range(30) for k in range(t % 7 + 1)], columns=["t", "bi", "bj", "k"])
+def test_whole_parts_end_with_a_part():
+    rows = [(t, 0, 0, 50, 0, 0, 0, k, 0.5) for t in range(30) for k in range(t % 7 + 1)]
+    names = jaccard.COLUMNS
     for size in (1, 5, 1000):
-        got = list(whole_blocks([rows.iloc[k:k + 4] for k in range(0, len(rows), 4)], size))
-        assert pd.concat(got).reset_index(drop=True).equals(rows)
-        seen = [set(g["t"]) for g in got]
+        batches = [pa.RecordBatch.from_pydict({c: [r[("t", "bi", "bj", "n", "pos", "root", "block", "c", "far").index(c)]
+                                                   for r in rows[k:k + 4]] for c in names}) for k in range(0, len(rows), 4)]
+        got = list(whole_parts(batches, size))
+        assert np.concatenate([g["t"] for g in got]).tolist() == [r[0] for r in rows]
+        seen = [set(g["t"].tolist()) for g in got]
         assert all(not (a & b) for a, b in zip(seen, seen[1:]))
 
 
