@@ -57,11 +57,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows, key = with_row_key(docs)
     linked = jaccard_components(_needed(rows, key), percent=NEAR_PERCENT, width=NEAR_WIDTH, carry=_carried(key))
     groups = stored(linked.where("n_shingles > 0")
-                    .select("component_id", F.col("doc_id").alias("_id"), F.col(key).alias(key)), "components")
-    stays = groups.groupBy("component_id").agg(F.min(F.struct("_id", key)).alias("least"))
-    dropped = (groups.join(stays, groups["component_id"].eqNullSafe(stays["component_id"]))
-               .where(~F.col("least").getField(key).eqNullSafe(groups[key])).select(groups[key]))
-    return by_ids(rows, stored(dropped, "near_duplicates"), key, "left_anti").select(*docs.columns)
+                    .select("component_id", F.col("doc_id").alias("_id"), F.col(key).alias("_key")), "components")
+    stays = groups.groupBy("component_id").agg(F.min(F.struct("_id", "_key")).alias("least"))
+    # By the rows' own keys, which are unique: a component of any size is no join key.
+    dropped = groups.select("_key").join(stays.select(F.col("least._key").alias("_key")), "_key", "left_anti")
+    return by_ids(rows, stored(dropped.withColumnRenamed("_key", key), "near_duplicates"), key, "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
