@@ -85,20 +85,41 @@ def rank_vocab(counts: DataFrame, positives: int, negatives: int, m: int,
     scored = counts.where(F.col("ngram").isNotNull()).select("ngram", ig.alias("ig"), "pos", "neg")
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if m > topk_max or m * tasks > TOPK_MERGED:
-        from ..sources.fixtures import materialize
-        from ..sources.lines import with_line_index
-        # The sorted rows are written first (one file per range, in order) and
-        # numbered by their place in the files: a task that runs again reads
-        # the same files, it doesn't sample other ranges.
-        numbered = with_line_index(materialize(scored.orderBy(*order), "vocab-sorted"), name="_rank")
-        return numbered.where(F.col("_rank") < m).select(
-            "ngram", F.col("_rank").cast("int").alias("fid"), "ig", "pos", "neg")
+        return _sorted_ranking(scored, order, m)
     top = scored.orderBy(*order).limit(int(m))
     # At most m rows reach this window, by construction of the limit above.
     return top.select("ngram", (F.row_number().over(Window.orderBy(*order)) - 1).alias("fid"),
                       "ig", "pos", "neg")
 
 
+def _sorted_ranking(scored: DataFrame, order: list, m: int) -> DataFrame:
+    """:func:`rank_vocab` by a distributed sort of the N-grams that can be among the first ``m``.
+
+    An approximate quantile of the gain gives a cut with a few more than ``m`` N-grams above
+    it; their number is counted, and only then the rest, undefined gains included, is left out
+    of the sort. The sorted rows are written first (one file per range, in order) and
+    numbered by their place in the files: a task that runs again reads the same files, it
+    doesn't sample other ranges.
+    """
+    from ..sources.fixtures import materialize_at, release
+    from ..sources.lines import with_line_index
+    spark = scored.sparkSession
+    held, path = materialize_at(scored, "vocab-scored")
+    defined = held.agg(F.count("ig")).first()[0]
+    if defined > m:
+        share = max(0.0, 1.0 - (1.1 * m + 100) / defined)
+        cut = held.agg(F.percentile_approx("ig", share, 10_000)).first()[0]
+        above = held.where(F.col("ig") >= cut)
+        held = above if above.count() >= m else held.where("ig IS NOT NULL")
+    ranges, sorted_path = materialize_at(held.orderBy(*order), "vocab-sorted")
+    numbered = with_line_index(ranges, name="_rank").where(F.col("_rank") < m)
+    top, _ = materialize_at(numbered.select("ngram", F.col("_rank").cast("int").alias("fid"), "ig", "pos", "neg"),
+                            "vocab-ranked")
+    release(spark, path)
+    release(spark, sorted_path)
+    return top
+
+
 def label_totals(sents: DataFrame, label: str = "label") -> tuple[int, int, int]:
     """(positives, negatives, unlabelled) over a plain label column."""
     lab = F.col(label)

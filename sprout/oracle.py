@@ -161,6 +161,7 @@ def _search_round1() -> str:
 
 ORACLES: dict[str, str] = {
     "scan_sentences": _with() + "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences",
+    "overwrite_outputs": _with() + "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences",
     "line_index": _with() + (
         "SELECT row_number() OVER (ORDER BY sent_id) - 1 AS sent_id, "
         "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS text, label FROM sentences"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import defaults
 from .functions.stats import sigmoid, threshold_cut
 from .functions.text import tokenize
 from .operators.features import explode_features, featurize
@@ -68,6 +69,15 @@ def q_scan_sentences(spark, sf):
     return read_labelled_lines(spark, path)
 
 
+def q_overwrite_outputs(spark, sf):
+    """Labelled lines and a model written twice to the same paths, read back: the second write counts."""
+    sents = sentences(spark, sf).select("text", "label")
+    path = scratch_path(spark, "overwritten-lines")
+    write_labelled_lines(sents.withColumn("label", F.lit(0)), path)
+    write_labelled_lines(sents, path)
+    return read_labelled_lines(spark, path)
+
+
 def q_line_index(spark, sf):
     """Lines in several files, read back with their position over the whole folder."""
     path = scratch_path(spark, "indexed-lines")
@@ -264,6 +274,29 @@ def q_score_batch_joined(spark, sf):
     return out.select("conv_id", "turn", r6(F.col("score")).alias("score"), "label")
 
 
+# Default parameters: 100 epochs. No SQL statement goes so far; tests compare with a brute force.
+
+def _full_model(spark, sf) -> Model:
+    train, _ = _split(spark, sf)
+    return train_model(train, _vocab(spark, sf), defaults.NUM_ITER, defaults.ALPHA, defaults.DELTA)[0]
+
+
+def q_model_table_full(spark, sf):
+    """The model of a whole training at the default parameters."""
+    return _full_model(spark, sf).frame(spark)
+
+
+def q_score_batch_full(spark, sf):
+    """Every conversation turn scored with that model."""
+    return score_batch(read_table(spark, sf, "conversations"), _full_model(spark, sf).frame(spark), keys=("conv_id", "turn"))
+
+
+def q_accuracy_full(spark, sf):
+    """Its accuracy on the held-out rows."""
+    _, test = _split(spark, sf)
+    return accuracy(score_rows(test, _full_model(spark, sf)))
+
+
 # --- self-training and search ---------------------------------------------------------
 
 def q_self_train_round1(spark, sf):
@@ -329,6 +362,15 @@ def q_best_config_round1(spark, sf):
     return out.select("config_id", "m", "threshold", "accuracy")
 
 
+# The same grid at the default number of epochs, every configuration to convergence.
+SEARCH_GRID_FULL = dict(SEARCH_GRID, num_iter=(100, 100, 100))
+
+
+def q_search_grid_full(spark, sf):
+    train, test = _split(spark, sf)
+    return search(train, test, **SEARCH_GRID_FULL)
+
+
 def q_best_config(spark, sf):
     train, test = _split(spark, sf)
     return best_config(search(train, test, **SEARCH_GRID))
@@ -375,6 +417,7 @@ def q_build_corpus(spark, sf):
 
 QUERIES = {
     "scan_sentences": q_scan_sentences,
+    "overwrite_outputs": q_overwrite_outputs,
     "line_index": q_line_index,
     "parse_lines": q_parse_lines,
     "parse_lines_strip3": q_parse_lines_strip3,
@@ -405,12 +448,16 @@ QUERIES = {
     "accuracy": q_accuracy,
     "score_batch": q_score_batch,
     "score_batch_joined": q_score_batch_joined,
+    "model_table_full": q_model_table_full,
+    "score_batch_full": q_score_batch_full,
+    "accuracy_full": q_accuracy_full,
     "self_train_round1": q_self_train_round1,
     "self_train_round1_n2": q_self_train_round1_n2,
     "self_train_round2": q_self_train_round2,
     "selftrain_output_lines": q_selftrain_output_lines,
     "self_train": q_self_train,
     "search_grid": q_search_grid,
+    "search_grid_full": q_search_grid_full,
     "search_round1": q_search_round1,
     "best_config": q_best_config,
     "best_config_round1": q_best_config_round1,

@@ -73,6 +73,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete a scratch path through the session's Hadoop filesystem."""
     jvm = spark.sparkContext._jvm
@@ -80,6 +86,41 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def replace_output(spark: SparkSession, path: str, write) -> None:
+    """Overwrite ``path`` with what ``write(staging)`` writes, or leave it as it is.
+
+    The new output is written whole to a folder beside ``path`` and then takes
+    its place; a write that fails leaves the old output and no staging folder. Between the
+    two renames a reader may find neither, never a mixture; the old output is
+    deleted last and put back if its successor can't be moved in.
+    """
+    jvm = spark.sparkContext._jvm
+    mark = uuid.uuid4().hex
+    base = path.rstrip("/")
+    parent, _, name = base.rpartition("/")
+    beside = f"{parent}/" if parent or base.startswith("/") else ""
+    # Hidden names: a reader of the parent folder doesn't take them for data.
+    staging, old = f"{beside}_{name}.new-{mark}", f"{beside}_{name}.old-{mark}"
+    target, new, aside = (jvm.org.apache.hadoop.fs.Path(x) for x in (base, staging, old))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write(staging)
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        fs.delete(new, True)
+        raise OSError(f"can't move the old output {base}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(aside, target)
+        fs.delete(new, True)
+        raise OSError(f"can't move the new output to {base}")
+    if had:
+        fs.delete(aside, True)
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict):
     """Apply SQL settings for the duration of a block, then restore them."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import replace_output
+
 # Line markers for label 1, -1 and unknown (0).
 POSITIVE_MARK, NEGATIVE_MARK, UNKNOWN_MARK = "+", "-", "0"
 
@@ -75,5 +77,9 @@ def one_line(text: Column) -> Column:
 
 
 def write_labelled_lines(sents: DataFrame, path: str) -> None:
-    """One line per row; line breaks inside a text become spaces."""
-    encode_labelled(sents.withColumn("text", one_line(F.col("text")))).write.mode("overwrite").text(path)
+    """One line per row; line breaks inside a text become spaces, a NULL text is an empty one.
+
+    An output already there is replaced once the new one is complete.
+    """
+    lines = encode_labelled(sents.withColumn("text", one_line(F.coalesce("text", F.lit("")))))
+    replace_output(sents.sparkSession, path, lambda staging: lines.write.text(staging))

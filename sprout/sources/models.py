@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import replace_output
 from .lines import with_line_index
 
 
 def write_model(model_frame: DataFrame, path: str) -> None:
-    model_frame.write.mode("overwrite").parquet(path)
+    """Replace the model at ``path`` once the new one is complete."""
+    replace_output(model_frame.sparkSession, path, lambda staging: model_frame.write.parquet(staging))
 
 
 def read_model(spark: SparkSession, path: str) -> DataFrame:
@@ -27,9 +29,8 @@ def write_legacy_model(model_frame: DataFrame, path: str) -> None:
     Weights that differ only by rounding noise count as equal in the order.
     """
     line = F.concat(F.lit("("), F.col("ngram"), F.lit(","), F.col("weight").cast("string"), F.lit(")"))
-    (model_frame.orderBy(F.round("weight", 12).desc(), F.col("ngram"))
-     .select(line.alias("value")).coalesce(1)
-     .write.mode("overwrite").text(path))
+    lines = model_frame.orderBy(F.round("weight", 12).desc(), F.col("ngram")).select(line.alias("value")).coalesce(1)
+    replace_output(model_frame.sparkSession, path, lambda staging: lines.write.text(staging))
 
 
 def read_legacy_model(spark: SparkSession, path: str) -> DataFrame:

@@ -17,11 +17,12 @@ def test_entry_smoke(spark):
 def test_oracles_cover_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(QUERIES) - set(o) == {"self_train", "search_grid", "best_config"}
+    assert set(QUERIES) - set(o) == {"self_train", "search_grid", "search_grid_full", "best_config", "model_table_full",
+                                    "score_batch_full", "accuracy_full"}
 
 
 @pytest.mark.parametrize("name", ["select_vocab", "featurize", "train_weights_3ep", "self_train_round1",
-                                  "score_batch", "score_batch_joined", "line_index", "model_roundtrip",
+                                  "score_batch", "score_batch_joined", "line_index", "overwrite_outputs", "model_roundtrip",
                                   "best_config_round1", "build_corpus"])
 def test_oracle_agreement(spark, name):
     con = duckdb.connect()

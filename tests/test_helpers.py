@@ -130,3 +130,71 @@ def test_counted_ids():
     ends, fids, cnts = counted(np.array([5, 5, 2, 9, 2, 2]), np.array([3, 0, 1, 2]))
     assert ends.tolist() == [2, 2, 3, 4] and fids.tolist() == [2, 5, 9, 2] and cnts.tolist() == [1, 2, 1, 2]
     assert [a.tolist() for a in counted(np.zeros(0, np.int64), np.zeros(2, np.int64))] == [[0, 0], [], []]
+
+
+def test_ranking_leaves_out_what_cannot_be_chosen(spark, monkeypatch):
+    """The sorted form with a cut at a quantile: same vocabulary for any m, ties and undefined gains included."""
+    from sprout.operators.vocab import rank_vocab
+    rows = [(f"w{k:04d}", 1 + k % 23, k % 17) for k in range(3000)] + [(f"z{k}", k % 3, 0) for k in range(900)] + [(None, 90, 80)]
+    counts = spark.createDataFrame(rows, "ngram string, pos long, neg long").repartition(4)
+    for m in (1, 40, 1500, 2900, 3500, 5000):
+        forms = [[tuple(r) for r in rank_vocab(counts, 90, 80, m, topk_max=bound).orderBy("fid").collect()] for bound in (10**6, 0)]
+        assert forms[0] == forms[1] and len(forms[0]) == min(m, 3900)
+
+
+def test_join_featurization_tells_rows_apart(spark):
+    from sprout.operators import featurize
+    from sprout.operators.vocab import Vocabulary
+    from sprout.functions.lookup import collect_lookup
+    names = spark.createDataFrame([("a", 0), ("b", 1), ("the", 2)], "ngram string, fid int")
+    vocab = Vocabulary(1, ("a", "b", "the"), collect_lookup(names, "ngram", "fid"))
+    sents = spark.createDataFrame([(1, 1, "a the b the"), (1, 1, "b"), (None, 1, "the a"), (None, None, None), (2, 0, "x y")],
+                                  "sent_id int, label int, text string")
+    forms = [sorted(map(tuple, featurize(sents, vocab, max_lookup_keys=k).collect()), key=repr) for k in (10, 0)]
+    assert forms[0] == forms[1] and len(forms[0]) == 5
+    assert (1, 1, [0, 2, 1, 2]) in forms[0]
+
+
+def test_heavy_ngrams_are_looked_up_in_the_rows(spark, monkeypatch):
+    """A third of all tokens is one N-gram: no entry of it is shuffled, and the scores are those of the lookup form, bit by bit."""
+    import random
+    from pyspark.sql import functions as F
+    from sprout.operators import hits
+    from sprout.operators.vocab import tokenized
+    from sprout.plans import score_batch
+    rng = random.Random(1)
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(200)]
+    rows = [(i, " ".join("the" if rng.random() < 1 / 3 else rng.choice(words) for _ in range(rng.randint(0, 40)))) for i in range(300)]
+    texts = spark.createDataFrame(rows, "i int, text string").repartition(3)
+    model = spark.createDataFrame([(g, k, rng.uniform(-1, 1), 1) for k, g in enumerate(["the", *words[::2]])],
+                                  "ngram string, fid int, weight double, n int")
+    want = sorted(map(tuple, score_batch(texts, model, ["i"]).collect()))
+    for share, heavy in ((1e-4, 201), (0.02, 1), (1.0, 0)):
+        monkeypatch.setattr(hits, "HEAVY_SHARE", share)
+        entries = tokenized(texts, 1, keep=("i",)).select(F.explode(F.array_distinct("ng")).alias("ngram"))
+        assert len(hits.heavy_ngrams(entries)) == heavy
+        assert sorted(map(tuple, score_batch(texts, model, ["i"], max_lookup_keys=0).collect())) == want
+
+
+def test_full_training_queries_match_brute_force(spark):
+    """100 epochs at the default parameters: model, conversation scores and held-out accuracy."""
+    import math
+    import bruteforce as bf
+    from conftest import SF_SMALL
+    from sprout.queries import QUERIES
+    train, test = bf.split(bf.load_sentences(SF_SMALL))
+    rows = [(t, y) for _, t, y in train]
+    names = bf.vocab(rows, 1, 400)
+    fmap = {g: k for k, g in enumerate(names)}
+    w, l1 = bf.train([(bf.featurize(t, fmap, 1), y) for t, y in rows if y != 0], 100, 0.002, 0.05)
+    assert len(l1) > 3
+    model = {r["ngram"]: r["weight"] for r in QUERIES["model_table_full"](spark, SF_SMALL).collect()}
+    assert model.keys() == fmap.keys()
+    assert all(math.isclose(model[g], w.get(k, 0.0), abs_tol=1e-9) for g, k in fmap.items())
+    scores = {(r["conv_id"], r["turn"]): r["score"] for r in QUERIES["score_batch_full"](spark, SF_SMALL).collect()}
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
+    for r in turns:
+        want = bf.score(bf.featurize(r["text"] or "", fmap, 1), w)
+        assert math.isclose(scores[r["conv_id"], r["turn"]], want, abs_tol=1e-9)
+    held = [(t, y) for _, t, y in test]
+    assert math.isclose(QUERIES["accuracy_full"](spark, SF_SMALL).first()["accuracy"], bf.accuracy(held, fmap, w, 1))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -60,3 +61,26 @@ def test_score_batch_lookup_equals_join(spark):
          score_batch(docs, frame, ["doc_id"], max_lookup_keys=0).collect()}
     assert a == b and len(a) == docs.count()
     assert load_model(frame).n == 2
+
+
+def test_failed_overwrite_keeps_the_old_output(spark, tmp_path):
+    import os
+    from pyspark.sql import functions as F
+    from sprout.sources.lines import read_labelled_lines, write_labelled_lines
+    from sprout.sources.models import read_model, write_model
+    lines, model = str(tmp_path / "lines"), str(tmp_path / "model")
+    good = spark.createDataFrame([("one", 1), (None, -1)], "text string, label int")
+    frame = spark.createDataFrame([("a", 0, 0.5, 1)], "ngram string, fid int, weight double, n int")
+    write_labelled_lines(good, lines)
+    write_model(frame, model)
+    broken = good.withColumn("text", F.when(F.col("label") > 0, F.raise_error(F.lit("no"))).otherwise(F.col("text")))
+    with pytest.raises(Exception):
+        write_labelled_lines(broken, lines)
+    with pytest.raises(Exception):
+        write_model(frame.withColumn("ngram", F.raise_error(F.lit("no")).cast("string")), model)
+    assert sorted(map(tuple, read_labelled_lines(spark, lines).collect())) == [("", -1), ("one", 1)]
+    assert read_model(spark, model).collect() == frame.collect()
+    assert sorted(os.listdir(tmp_path)) == ["lines", "model"]  # no staging folder is left
+    write_model(frame.withColumn("weight", F.lit(2.0)), model)
+    assert read_model(spark, model).first()["weight"] == 2.0
+    assert sorted(os.listdir(tmp_path)) == ["lines", "model"]

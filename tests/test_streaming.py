@@ -1,3 +1,4 @@
+import pytest
 from conftest import SF_SMALL
 from sprout.plans import score_batch, self_train
 from sprout.sources import sentences, split_train_test
@@ -38,31 +39,49 @@ def test_text_stream_scores_equal_batch(spark, tmp_path):
     assert got == want
 
 
-def test_large_model_scores_equal_batch(spark, tmp_path, monkeypatch):
-    """Above the lookup bound the same scores, on a stream and across a restart with a larger model."""
+def test_large_model_is_joined_in_runs(spark, tmp_path, monkeypatch):
+    """Above the lookup bound: each run scores what is new, a run that failed late is done again, scores equal the batch's."""
+    from sprout.plans import batch as plans
     from sprout.streaming import scoring
     frame = spark.createDataFrame([(f"w{k}", k, (k % 7 - 3) / 7, 1) for k in range(300)] + [("ünï", 300, 0.1, 1)],
                                   "ngram string, fid int, weight double, n int").repartition(3)
     texts = ["w1 w2 w2 w299 none", "", None, "none at all", "ünï w3 w3 w3 w5 w8", "w1 w2 w2 w299 none"]
     schema, src, sink = "i int, text string", str(tmp_path / "in"), str(tmp_path / "out")
+    monkeypatch.setattr(scoring, "MAX_LOOKUP_KEYS", 20)
 
-    def batch(k):
-        return spark.createDataFrame([(10 * k + i, t) for i, t in enumerate(texts)], schema)
-    for k, bound in enumerate((1000, 20, 0)):
-        monkeypatch.setattr(scoring, "MAX_LOOKUP_KEYS", bound)
-        batch(k).coalesce(1).write.mode("append").parquet(src)
-        query = start_scoring(spark, src, schema, frame, sink, ["i"], checkpoint=str(tmp_path / "ck"), trigger_once=True)
-        query.awaitTermination(120)
-    got = spark.read.parquet(sink)
-    want = [tuple(r) for k in range(3) for r in score_batch(batch(k), frame, ["i"]).collect()]
-    assert got.columns == ["i", "score", "label"]
-    assert sorted(map(tuple, got.collect())) == sorted(want)
+    def arrive(k):
+        rows = spark.createDataFrame([(10 * k + i, t) for i, t in enumerate(texts)], schema)
+        rows.coalesce(1).write.mode("append").parquet(src)
+        return rows
 
+    def run():
+        start_scoring(spark, src, schema, frame, sink, ["i"], checkpoint=str(tmp_path / "ck"), trigger_once=True)
 
-def test_probe_tells_equal_hashes_apart():
-    import numpy as np
-    import pyarrow as pa
-    from sprout.streaming.scoring import probe
-    got = probe(["b", "c", "a", "d"], np.array([5, 5, 5, 9], np.uint64), np.array([5, 5, 7], np.uint64),
-                np.array([1.0, 2.0, 3.0]), pa.array(["a", "b", "e"]))
-    assert got.tolist() == [2.0, 0.0, 1.0, 0.0]
+    def scores():
+        return sorted(tuple(r) for r in spark.read.parquet(sink).drop("run").collect())
+
+    want = []
+    for k in range(2):
+        want += [tuple(r) for r in score_batch(arrive(k), frame, ["i"]).collect()]
+        run()
+        run()  # nothing new
+        assert scores() == sorted(want)
+    rows, writer = arrive(2), type(spark.range(1).write)
+    write = writer.parquet
+
+    def fails(self, path, *args, **kw):
+        if path.endswith("/runs"):
+            raise OSError("lost before the run was recorded")
+        return write(self, path, *args, **kw)
+    with monkeypatch.context() as broken:
+        broken.setattr(writer, "parquet", fails)
+        with pytest.raises(OSError):
+            run()
+    run()
+    want += [tuple(r) for r in score_batch(rows, frame, ["i"]).collect()]
+    assert scores() == sorted(want)
+    assert sorted(map(tuple, scoring.score_stream(rows, frame, ["i"]).collect())) == sorted(
+        tuple(r) for r in score_batch(rows, frame, ["i"]).collect())
+    with pytest.raises(ValueError):
+        start_scoring(spark, src, schema, frame, sink, ["i"], checkpoint=str(tmp_path / "ck2"))
+    assert plans.load_model(frame, limit=20) is None
