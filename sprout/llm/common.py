@@ -59,12 +59,12 @@ class Scratch:
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row, about: the text of strings and binaries, 8 for a number, also in an array."""
+    """Bytes of a row in a join's hash table, about: 32, the text of strings and binaries, 8 for a number, also in an array."""
     def size(c: str, kind: str) -> Column:
         if kind in ("string", "binary"):
             return F.coalesce(F.octet_length(c), F.lit(0)) + 8
         return 8 * F.greatest(F.size(c), F.lit(0)) + 16 if kind.startswith("array") else F.lit(8)
-    return sum((size(c, kind) for c, kind in df.dtypes), F.lit(0))
+    return sum((size(c, kind) for c, kind in df.dtypes), F.lit(32))
 
 
 def small(df: DataFrame) -> DataFrame:

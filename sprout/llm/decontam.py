@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, stored, text_or_empty, words
+from .common import small, stored, text_or_empty, words
 
 WINDOW = 10
 SLOP = 2
@@ -128,9 +128,7 @@ def block_matches(docs: DataFrame, seqs: DataFrame, width: int, slop: int) -> Da
 
     # The other terms: only documents with a candidate are read again.
     phrases = found.where("meets").distinct()
-    where = phrases.select(*KEY).distinct()
-    if where.count() <= BROADCAST_ROWS:
-        where = F.broadcast(where)
+    where = small(phrases.select(*KEY).distinct())
     texts = docs.select(*KEY, "_words").join(where, KEY, "left_semi").dropDuplicates(KEY)
     exact = (texts.join(phrases, KEY).join(F.broadcast(seqs), "_seq")
              .where(F.slice("_words", F.col("start") + 1, F.col("len")) == F.slice("item", F.col("s") + 1, F.col("len")))
@@ -167,7 +165,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, slop:
     named = (exact.select(*KEY, "_seq").distinct().join(named_items.select("_seq", "item_id"), "_seq")
              .groupBy(*KEY).agg(F.sort_array(F.collect_set("item_id")).alias("ids")))
     near = found.where("NOT exact").groupBy(*KEY).agg(F.countDistinct("_seq", "start").alias("n_near"))
-    return (tokens.select("doc_id", *carry, *KEY, F.size("_words").cast("long").alias("n_words"))
+    # Words are counted once; the join below reads these few columns, however often it is planned anew.
+    lengths = stored(tokens.select("doc_id", *carry, *KEY, F.size("_words").cast("long").alias("n_words")), "lengths")
+    return (lengths
             .join(hits.join(named, KEY).join(near, KEY, "full"), KEY, "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
                     F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
