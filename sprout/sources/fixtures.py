@@ -84,7 +84,7 @@ def bounded(df: DataFrame) -> DataFrame:
     """
     sizes = [F.coalesce(F.octet_length(c), F.lit(0)) + 8 if kind in ("string", "binary") else F.lit(8)
              for c, kind in df.dtypes]
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(0))), F.lit(0))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes, F.lit(32))), F.lit(0))).first()
     return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
