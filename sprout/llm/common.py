@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from sprout.session import ensure_checkpoint_dir
+from sprout.session import ensure_checkpoint_dir, scoped_conf
 from sprout.sources.fixtures import materialize, materialize_at, release
 
 # ASCII letters, lower-cased one by one (no other letter changes).
@@ -18,6 +18,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed value: ASCII characters outside words; every other character is part of one.
 BETWEEN_WORDS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
+BATCH_ROWS = 1024  # rows of an Arrow batch
 SLICE_ROWS = 256  # rows of an Arrow batch that are Python objects at one time
 # Tables up to this many rows and bytes are broadcast, larger ones are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
@@ -33,9 +34,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def arrow_rows(spark: SparkSession):
+    """Context in which tasks exchange texts with Python in batches of at most ``BATCH_ROWS`` rows.
+
+    A task and its worker hold a batch each, and copies of it, outside Spark's own memory.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    return scoped_conf(spark, {key: min(now, BATCH_ROWS) if now > 0 else BATCH_ROWS})
+
+
+def give_back() -> None:
+    """Return what a worker has freed to the system: workers live on, and the next stage's memory comes on top."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, after which the worker gives its memory back."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return whole
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back (cuts lineage)."""
-    return materialize(df, name)
+    with arrow_rows(df.sparkSession):
+        return materialize(df, name)
 
 
 class Scratch:
@@ -45,7 +78,8 @@ class Scratch:
         self.held: list[tuple[DataFrame, str]] = []
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        table, path = materialize_at(df, name)
+        with arrow_rows(df.sparkSession):
+            table, path = materialize_at(df, name)
         self.held.append((table, path))
         return table
 
@@ -121,7 +155,7 @@ def per_row(df: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str
                     [pa.array(col, type=f.type)
                      for col, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def by_ids(docs: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:

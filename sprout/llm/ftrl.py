@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, per_row, text_or_empty
+from .common import give_back, held_out, per_row, text_or_empty
 
 BITS = 18
 MAX_TRAIN_ROWS = 40_000
@@ -123,7 +123,10 @@ def train(rows: DataFrame, bits: int = BITS, shards: int | None = None) -> np.nd
         hasher = Hasher(bits)
         part = part.sort_values(["_mix", "doc_id"])
         seen = [(hasher(t), int(y)) for t, y in zip(part["text"], part["label"], strict=True)]
-        return pd.DataFrame({"rows": [len(seen)], "w": [ftrl(seen, bits).astype("<f4").tobytes()]})
+        out = pd.DataFrame({"rows": [len(seen)], "w": [ftrl(seen, bits).astype("<f4").tobytes()]})
+        del hasher, part, seen
+        give_back()
+        return out
 
     mixed = rows.withColumn("_mix", F.xxhash64("doc_id", F.lit("order")))
     learnt = (mixed.groupBy(F.pmod("_mix", F.lit(shards)).alias("_shard"))

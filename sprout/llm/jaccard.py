@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_schema, partitions, small, stored, text_or_empty
+from .common import Scratch, arrow_rows, arrow_schema, frugal, partitions, small, stored, text_or_empty
 from .components import components
 
 SHINGLE = 3
@@ -139,8 +139,9 @@ def frequency_sketch(texts: DataFrame, width: int = SHINGLE) -> np.ndarray:
              pa.array([np.minimum(p, most).astype(np.int32).tobytes() for p in total.values()], pa.binary())],
             ["chunk", "counts"])
 
-    rows = (texts.mapInArrow(count, "chunk int, counts binary").repartition(size // CHUNK, "chunk")
-            .mapInArrow(add, "chunk int, counts binary").collect())  # the bounded sketch
+    with arrow_rows(texts.sparkSession):
+        rows = (texts.mapInArrow(frugal(count), "chunk int, counts binary").repartition(size // CHUNK, "chunk")
+                .mapInArrow(frugal(add), "chunk int, counts binary").collect())  # the bounded sketch
     sketch = np.zeros(size, np.int32)
     for k, p in rows:
         sketch[k * CHUNK:(k + 1) * CHUNK] = np.frombuffer(p, np.int32)
@@ -193,7 +194,7 @@ def document_sets(texts: DataFrame, sketch: np.ndarray, width: int, percent: int
                     [*part.columns[:-1], pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()),
                      pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
 
-    return texts.mapInArrow(run, ddl)
+    return texts.mapInArrow(frugal(run), ddl)
 
 
 def can_link(percent: int, n1: str, p1: str, n2: str, p2: str):
@@ -233,7 +234,7 @@ def class_sets(rows: DataFrame, reps: DataFrame, wanted: DataFrame, width: int)
                     [part.column(1).take(pa.array(right, pa.int64())),
                      pa.array([own[k].view(np.int64) for k in right], pa.list_(pa.int64()))], ["c", "shingles"])
 
-    return texts.mapInArrow(run, "c long, shingles array<long>")
+    return texts.mapInArrow(frugal(run), "c long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, rows: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame:
@@ -348,7 +349,7 @@ def remaining_pairs(entries: DataFrame, known: DataFrame, roots: DataFrame, perc
     # A fixed number of partitions: the work is in the comparisons, not the bytes.
     tasks = 4 * partitions(entries.sparkSession)
     pairs = (rest.repartition(tasks, "t", "bi", "bj").sortWithinPartitions("t", "bi", "bj", "n", "c")
-             .mapInArrow(search, "hub long, spoke long").distinct())
+             .mapInArrow(frugal(search), "hub long, spoke long").distinct())
     met = known.select(F.least("hub", "spoke").alias("hub"), F.greatest("hub", "spoke").alias("spoke"))
     return pairs.join(small(met), ["hub", "spoke"], "left_anti")
 
