@@ -13,7 +13,7 @@ from sprout.operators import Vocabulary, featurize, select_vocab
 from sprout.operators.gradient import gradient
 from sprout.operators.vocab import class_counts_with_totals, rank_vocab, tokenized
 from sprout.plans.search import _group_counts
-from sprout.plans.selftrain import label_chain, score_rows
+from sprout.plans.selftrain import score_rows
 from sprout.plans.train import train_model
 from sprout.session import build_session
 from sprout.sources import sentences, split_train_test
@@ -33,14 +33,13 @@ def main(sf_dir: str) -> None:
     vocab = Vocabulary.from_frame(select_vocab(train, 1, 400), 1)
     model, _ = train_model(train, vocab, 1, 0.002, 0.05)
     rows = tokenized(train, 1)
-    staged = rows.withColumn("_lab", label_chain(F.col("label"), F.col("ng"), [model], 0.5))
-    counts = class_counts_with_totals(staged, F.col("_lab"))
+    counts = class_counts_with_totals(rows, F.col("label"))
     feats = featurize(train.where("label != 0"), vocab)
     sections = [
-        ("Class counts of a self-training round (labels from the in-row chain)", counts),
+        ("Class counts of the labelled rows, totals under the NULL N-gram", counts),
         ("Top-m vocabulary by information gain", rank_vocab(counts, 100, 20, 400)),
         ("Featurization (constant lookup, no exchange)", feats),
-        ("One training epoch (DataFrame form; the loop runs it over a checkpointed leaf)",
+        ("One gradient step (DataFrame form; the loop runs it over columnar blocks)",
          gradient(feats.select("label", "fids"), model.weights, 0.002)),
         ("Held-out scoring", score_rows(test, model)),
         ("Search: class counts of four configurations in one aggregation",
