@@ -59,6 +59,9 @@ ENTRIES = 20_000  # entries searched at one time, and the rest of the last part
 SKIP = 16  # entries of a skip block
 PROBES = 1 << 14  # pairs of an entry and a skip block looked into at one time
 MEMO = 100_000
+FILTER_BITS = 27  # a filter of shared shingles has at most 2 ** 27 bits, 16 MB
+PER_SHINGLE = 10  # its bits a shingle
+PIECE = 16  # it is built in pieces of 2 ** 16 bits
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # ASCII letters to lower case, one byte each; bytes.split() then cuts at exactly
@@ -94,6 +97,82 @@ class Shingler:
         return np.unique(mixed ^ (mixed >> np.uint64(29)))
 
 
+class ShingleFilter:
+    """Bloom filter of shingles: their upper bits name a piece, their lower ones three bits in it."""
+
+    def __init__(self, bits: int, field: np.ndarray) -> None:
+        self.bits, self.field = bits, field
+
+    @staticmethod
+    def places(t: np.ndarray) -> np.ndarray:
+        return np.stack([t >> np.uint64(k * PIECE) & np.uint64((1 << PIECE) - 1) for k in range(3)]).astype(np.int64)
+
+    def __call__(self, t: np.ndarray) -> np.ndarray:
+        at = ((t >> np.uint64(64 - self.bits + PIECE)).astype(np.int64) << PIECE) + self.places(t)
+        return (self.field[at >> 3] >> (at & 7).astype(np.uint8) & 1).all(axis=0)
+
+
+def shingle_filter(shared: DataFrame) -> ShingleFilter | None:
+    """Filter of the shingles of ``shared`` (t), or None if it would need more than 2 ** FILTER_BITS bits.
+
+    Every piece is built by one task; the driver gets the finished pieces.
+    """
+    bits = max(PIECE + 1, math.ceil(math.log2(PER_SHINGLE * max(1, shared.count()))))
+    if bits > FILTER_BITS:
+        return None
+
+    def build(batches):
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            t = np.sort(batch.column(0).to_numpy().view(np.uint64))  # pieces side by side
+            own = (t >> np.uint64(64 - bits + PIECE)).astype(np.int64)
+            names, starts = np.unique(own, return_index=True)
+            for piece, some in zip(names.tolist(), np.split(t, starts)[1:], strict=True):
+                field = pieces.setdefault(piece, np.zeros(1 << PIECE, bool))
+                field[ShingleFilter.places(some).ravel()] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(pieces), pa.int64()),
+             pa.array([np.packbits(f, bitorder="little").tobytes() for f in pieces.values()], pa.binary())],
+            ["piece", "field"])
+
+    named = shared.select("t", F.expr(f"shiftrightunsigned(t, {64 - bits + PIECE})").alias("piece"))
+    rows = named.repartition(partitions(shared.sparkSession), "piece").select("t").mapInArrow(
+        frugal(build), "piece long, field binary").collect()  # the bounded filter
+    field = np.zeros(1 << (bits - 3), np.uint8)
+    for piece, part in rows:
+        field[piece << (PIECE - 3):(piece + 1) << (PIECE - 3)] = np.frombuffer(part, np.uint8)
+    return ShingleFilter(bits, field)
+
+
+def list_entries(reps: DataFrame, shared: DataFrame) -> DataFrame:
+    """(c, n, pos, t): entries of the classes; those of shingles that ``shared`` lacks are left out where its filter shows it.
+
+    Most shingles of a class are its own. The filter drops nearly all of them before
+    anything moves; with more shingles than it can hold, all entries move.
+    """
+    keeps = shingle_filter(shared)
+    if keeps is None:
+        return reps.select("c", "n", F.posexplode("prefix").alias("pos", "t"))
+    sent = reps.sparkSession.sparkContext.broadcast((keeps.bits, keeps.field))
+    schema = arrow_schema("c long, n long, pos int, t long")
+
+    def run(batches):
+        known = ShingleFilter(*sent.value)
+        for batch in batches:
+            prefixes = batch.column(2)
+            t = prefixes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            sizes = prefixes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(t)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = np.flatnonzero(known(t))
+            row = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos[kept].astype(np.int32)),
+                 pa.array(t[kept].view(np.int64))], schema=schema)
+
+    return reps.select("c", "n", "prefix").mapInArrow(frugal(run), "c long, n long, pos int, t long")
+
+
 def _sum_counts(total: dict[int, np.ndarray], chunk: int, more: np.ndarray) -> None:
     if chunk in total:
         total[chunk] += more
@@ -393,15 +472,15 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     scratch.release(sets)
 
     # Most lists hold one class: they are found by their shingles alone, and
-    # only entries of the others move.
+    # only entries of the others move (and the filter's few false hits).
     several = scratch.store(reps.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("size"))
                             .where("size > 1"), "shared_shingles")
-    entries = reps.select("c", "n", F.posexplode("prefix").alias("pos", "t")).join(small(several), "t")
-    lists = entries.groupBy("t").agg(F.min(F.struct("pos", "n", "c")).alias("lead"))
-    entries = scratch.store(entries.join(small(lists), "t").select(
+    met = scratch.store(list_entries(reps, several).join(small(several), "t"), "shared_entries")
+    lists = met.groupBy("t").agg(F.min(F.struct("pos", "n", "c")).alias("lead"))
+    entries = scratch.store(met.join(small(lists), "t").select(
         "t", "c", "n", "pos", "size", F.col("lead.c").alias("leader"),
         F.col("lead.n").alias("ln"), F.col("lead.pos").alias("lp")), "lists")
-    scratch.release(several)
+    scratch.release(several, met)
 
     meets = (entries.where(F.col("c") != F.col("leader")).where(can_link(percent, "n", "pos", "ln", "lp"))
              .groupBy(F.col("leader").alias("hub"), F.col("c").alias("spoke")).agg(F.count(F.lit(1)).alias("lists")))

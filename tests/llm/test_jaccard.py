@@ -21,8 +21,8 @@ def shingles(text, width=3):
     return frozenset(tuple(w[k:k + width]) for k in range(len(w) - width + 1))
 
 
-def brute(rows, percent=90):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, percent=90, width=3):
+    sets = [shingles(t, width) for _, t in rows]
     parent = list(range(len(rows)))
 
     def top(k):
@@ -161,3 +161,23 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()))
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_shingle_filter(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    own = np.unique(rng.integers(0, 2 ** 64, 20_000, dtype=np.uint64))
+    table = spark.createDataFrame([(int(x),) for x in own.view(np.int64)], "t long").repartition(3)
+    found = jaccard.shingle_filter(table)
+    assert found(own).all()  # never drops a shared shingle
+    assert found(rng.integers(0, 2 ** 64, 20_000, dtype=np.uint64)).mean() < 0.1
+    assert not jaccard.shingle_filter(table.where("false"))(own).any()
+    monkeypatch.setattr(jaccard, "FILTER_BITS", 17)
+    assert jaccard.shingle_filter(table) is None
+
+
+@pytest.mark.parametrize("bits", [0, 27])
+def test_filter_changes_no_result(spark, monkeypatch, bits):
+    monkeypatch.setattr(jaccard, "FILTER_BITS", bits)
+    rows = near_copies(groups=6) + [(900, None), (901, ""), (902, "two words")]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 80, 5)
+    assert result(got) == brute(rows, 80, 5)[0]
