@@ -180,6 +180,50 @@ def test_cues_beside_any_edge_character_are_decoded(monkeypatch):
     assert [r[5] for r in pii.scan_batch(texts, model)] == want
 
 
+def every_line(text, model):
+    """Every line decoded whole and on its own, its scores added up feature by feature."""
+    out, start = [], 0
+    for line in text.split("\n"):
+        tokens = list(re.finditer(r"\S+", line))
+        if tokens:
+            words = [m.group() for m in tokens]
+            scores = [sum(model.emit[model.index[f]] for f in pii.word_features(words, t) if f in model.index)
+                      for t in range(len(words))]
+            best, back = scores[0] + model.first, []
+            for own in scores[1:]:
+                reach = best[:, None] + model.step
+                back.append(reach.argmax(axis=0))
+                best = reach.max(axis=0) + own
+            tags = [best.argmax()]
+            for b in reversed(back):
+                tags.insert(0, b[tags[0]])
+            out += [(start + a, k, start + b) for a, k, b in pii.entity_spans(tokens, np.array(tags))]
+        start += len(line) + 1
+    base = pii.base_spans(text)
+    return pii.joined(sorted(base + [s for s in out if not any(s[0] < e and b < s[2] for b, _, e in base)]))
+
+
+def test_lines_without_a_trigger_are_decoded():
+    model = pii.trained()
+    text = "they saw it\n" + "Anna " * 12 + "\nname: Peter Jones\n\n  Anna Anna Anna Anna Anna Anna Anna was here"
+    assert not pii.segments_of(text.split("\n")[1]) and not pii.segments_of(text.split("\n")[4])
+    got = pii.scan_batch([text], model)[0][5]
+    assert got == every_line(text, model)
+    assert got == "crf_person:17:66,crf_person:79:90,crf_person:99:123"
+
+
+PIECES = ["Anna", "Lopez", "was", "name:", "(Dr.", "id", "\u212aim", "ÉCOLE", "x-1", "555-0142", "a@b.c", "\n", "\n", "  ", "\x1c",
+          "...", "Ǆ", "٣", "ſ", "--", "Señora,", "Ab12", "the", "Of.", "9" * 70, "A" * 70 + "b"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=30), max_size=4))
+def test_the_scan_equals_every_line_decoded_on_its_own(parts):
+    model = pii.trained()
+    texts = [" ".join(p) for p in parts]
+    assert [r[5] for r in pii.scan_batch(texts, model)] == [every_line(t, model) for t in texts]
+
+
 def test_long_entities_are_not_cut():
     model = pii.trained()
     names = " ".join(["Anna", "Maria"] * 10)
