@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The tokenizer contract. Text is lower-cased, then every run of
@@ -37,8 +37,26 @@ def ngrams(tokens: Column | str, n: int) -> Column:
     tok = F.col(tokens) if isinstance(tokens, str) else tokens
     if n == 1:
         return tok
-    count = F.size(tok) - F.lit(n - 1)
-    shifted = [F.slice(tok, F.lit(k + 1), count) for k in range(n)]
-    windows = F.transform(F.arrays_zip(*shifted),
-                          lambda z: F.concat_ws(" ", *[z.getField(str(k)) for k in range(n)]))
+    windows = F.transform(_shifted(tok, n), lambda z: _joined(z, n))
     return F.when(F.size(tok) >= n, windows).otherwise(F.array().cast("array<string>"))
+
+
+def ngram_rows(rows: DataFrame, tokens: str, n: int) -> DataFrame:
+    """(ngram): a row for every element of :func:`ngrams` of the column ``tokens``, joined once it is a row.
+
+    The outer form keeps the optimizer from a filter on the size of the list,
+    which would run the tokenizer a second time, before the rows are dealt out.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    exploded = rows.select(F.explode_outer(_shifted(F.col(tokens), n)).alias("_z")).where(F.col("_z").isNotNull())
+    return exploded.select(_joined(F.col("_z"), n).alias("ngram"))
+
+
+def _shifted(tok: Column, n: int) -> Column:
+    count = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))
+    return F.arrays_zip(*[F.slice(tok, F.lit(k + 1), count).alias(str(k)) for k in range(n)])
+
+
+def _joined(window: Column, n: int) -> Column:
+    return F.concat_ws(" ", *[window.getField(str(k)) for k in range(n)])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import defaults
 from .functions.stats import sigmoid, threshold_cut
-from .functions.text import tokenize
+from .functions.text import ngram_rows, tokenize
 from .operators.features import explode_features, featurize
 from .operators.gradient import gradient, gradient_norm
 from .operators.scoring import Model, accuracy
@@ -24,7 +24,7 @@ from .plans.selftrain import score_rows, self_train
 from .plans.train import train_model
 from .session import scratch_path
 from .sources.corpus import build_corpus, keyword_filter, seed_by_marker
-from .sources.fixtures import read_table, sentences, split_train_test
+from .sources.fixtures import read_table, sentences, split_train_test, spread_text
 from .sources.lines import encode_labelled, parse_lines, read_labelled_lines, write_labelled_lines
 from .sources.models import read_legacy_model, read_model, write_legacy_model, write_model
 
@@ -129,9 +129,9 @@ def q_tokenize(spark, sf):
 
 
 def _ngram_occurrences(spark, sf, n):
-    rows = tokenized(sentences(spark, sf), n, keep=("sent_id",))
-    return (rows.select(F.explode("ng").alias("ngram"))
-            .groupBy("ngram").agg(F.count(F.lit(1)).alias("occurrences")))
+    """Every N-gram and its occurrences; a task counts a bounded amount of text before the shuffle."""
+    rows = spread_text(sentences(spark, sf).select("text")).select(tokenize("text").alias("tok"))
+    return ngram_rows(rows, "tok", n).groupBy("ngram").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def q_ngrams_n1(spark, sf):

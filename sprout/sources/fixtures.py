@@ -30,6 +30,21 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df
 
 
+# Bytes of text whose N-grams one task counts.
+TEXT_PER_TASK = 8 << 20
+
+
+def spread_text(rows: DataFrame, text: str = "text") -> DataFrame:
+    """``rows`` dealt out evenly, about ``TEXT_PER_TASK`` bytes of text to a task, if that makes more tasks than cores.
+
+    A split of a compressed file holds tens of millions of words. A table of all their N-grams
+    in one task grows with the split, out of the cache and then onto disk.
+    """
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = -(-size // TEXT_PER_TASK)
+    return rows.repartition(tasks) if tasks > rows.sparkSession.sparkContext.defaultParallelism else rows
+
+
 def label_from_quality(quality) -> F.Column:
     """quality 1 -> 1, 0 -> -1, missing -> 0 (unknown)."""
     return F.when(quality == 1, F.lit(1)).when(quality == 0, F.lit(-1)).otherwise(F.lit(0))
