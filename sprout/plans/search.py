@@ -35,9 +35,9 @@ from ..functions.lookup import build_lookup
 from ..operators.features import feature_ids
 from ..operators.scoring import Model, model_score
 from ..operators.vocab import Vocabulary, class_counts_with_totals, rank_vocab, tokenized
-from ..sources.fixtures import materialize_at, release
+from ..sources.fixtures import materialize_at, release, spread_small
 from .selftrain import (CHECKPOINT_EVERY, FirstRound, RoundInfo, _prepare, _totals, label_chain,
-                        self_train, token_rows)
+                        self_train)
 from .train import train_weights_batched
 
 PARAMS = ("n", "m", "num_iter", "threshold", "alpha", "delta")
@@ -119,16 +119,15 @@ def chunked(configs: list, width: int | None, max_keys: int) -> list[list]:
 
 
 class SharedFirstRound:
-    """Round 1 of every configuration of one N.
+    """Round 1 of every configuration of one N, from the stored tokens (sent_id, label, ng).
 
     One class-count job and one ranking, with the largest m: the vocabulary of a smaller m
     is a prefix. The labelled rows are written once as ids under the widest vocabulary;
     trainings take what is below their m from that copy, chunk by chunk.
     """
 
-    def __init__(self, train: DataFrame, n: int, m: int) -> None:
+    def __init__(self, rows: DataFrame, n: int, m: int) -> None:
         self.n, self.done = n, {}
-        rows = tokenized(train, n, keep=("sent_id", "label"))
         counts = class_counts_with_totals(rows, F.col("label")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self.totals = _totals(counts)
@@ -237,17 +236,23 @@ def _test_accuracy(test: DataFrame, n: int, models: dict) -> dict:
     return {s: got.get(s) for s in slots}
 
 
-def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: dict,
+def _held(base: DataFrame, small: bool) -> DataFrame:
+    """A segment base's (labs, ng); cached over the cores when the input is small."""
+    rows = base.select("labs", "ng")
+    return spread_small(rows).persist(StorageLevel.MEMORY_AND_DISK) if small else rows
+
+
+def _run_group(tokens: DataFrame, test: DataFrame, n: int, group: list, firsts: dict,
                max_rounds: int | None, checkpoint_every: int, small: bool) -> dict:
     """Self-train every configuration of one N together; returns slot -> (acc, rounds).
 
-    The segment base is (sent_id, text, labs) with one label per slot; the
+    The segment base is (sent_id, ng, labs) with one label per slot, no round reads the text; the
     models of the current segment are applied in-row as per-slot chains, and
     folded into a new Parquet base every ``checkpoint_every`` rounds.
     """
     width = len(group)
     thresholds = {s: c.threshold for s, c in enumerate(group)}
-    base = train.select("sent_id", "text", F.array_repeat(F.col("label"), width).alias("labs"))
+    base = tokens.select("sent_id", "ng", F.array_repeat(F.col("label"), width).alias("labs"))
     firsts_by_slot = {s: firsts[_key(c)] for s, c in enumerate(group)}
     models = {s: [firsts_by_slot[s].model] for s in range(width)}
     segment = {s: [firsts_by_slot[s].model] for s in range(width)}
@@ -255,7 +260,7 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
     active = list(range(width))
     rounds_in_segment = 1
     base_path = None
-    rows = token_rows(base, n, ("sent_id", "labs"), small)
+    rows = _held(base, small)
     while active:
         # Stopped slots are never read again within the round; only the
         # active ones pay for their chains (the fold below applies all).
@@ -291,17 +296,16 @@ def _run_group(train: DataFrame, test: DataFrame, n: int, group: list, firsts: d
             segment[s].append(model)
         rounds_in_segment += 1
         if checkpoint_every and rounds_in_segment >= checkpoint_every:
-            folded = (tokenized(base, n, keep=("sent_id", "text", "labs"))
-                      .select("sent_id", "text", _chained_labs(width, segment, thresholds).alias("labs")))
+            folded = base.withColumn("labs", _chained_labs(width, segment, thresholds))
             previous_path = base_path
             base, base_path = materialize_at(folded, "search-state")
             release(base.sparkSession, previous_path)  # the new base no longer reads it
             segment = {s: [] for s in range(width)}
             rounds_in_segment = 0
             rows.unpersist()
-            rows = token_rows(base, n, ("sent_id", "labs"), small)
+            rows = _held(base, small)
     rows.unpersist()
-    release(train.sparkSession, base_path)
+    release(tokens.sparkSession, base_path)
     final = {s: models[s][-1] for s in range(width)}
     accuracy = _test_accuracy(test, n, final) if test is not None else {s: None for s in final}
     return {s: (accuracy[s], len(models[s])) for s in range(width)}
@@ -335,15 +339,18 @@ def search(train: DataFrame, test: DataFrame, n=(1, 1, 1), m=(400, 400, 100),
             rows.append(_outcome(c, result.test_accuracy, len(result.models)))
     for n_value in sorted({c.n for c in configs}):
         group = [c for c in configs if c.n == n_value]
-        first = SharedFirstRound(train, n_value, max(c.m for c in group))
+        # Text is tokenized once for every N; rounds and fold-ins read the tokens.
+        tokens, tokens_path = materialize_at(tokenized(train, n_value, keep=("sent_id", "label")), "search-tokens")
+        first = SharedFirstRound(tokens, n_value, max(c.m for c in group))
         try:
             for part in chunked(group, chunk, max_lookup_keys):
                 # A segment chains a model per round and configuration: fold so often that it stays within the bound.
                 every = max(1, min(checkpoint_every or max_lookup_keys, max_lookup_keys // sum(c.m for c in part)))
-                outcome = _run_group(train, test, n_value, part, first.models(part), max_rounds, every, small)
+                outcome = _run_group(tokens, test, n_value, part, first.models(part), max_rounds, every, small)
                 rows += [_outcome(c, *outcome[s]) for s, c in enumerate(part)]
         finally:
             first.release()
+            release(spark, tokens_path)
     if small:
         train.unpersist()
     rows.sort(key=lambda r: r[0])

@@ -136,12 +136,6 @@ def _prepare(train: DataFrame, materialize_input: bool = False) -> tuple[DataFra
     return train, False
 
 
-def token_rows(base: DataFrame, n: int, keep, small: bool) -> DataFrame:
-    """Tokenized rows of a segment base; cached only when the input is small."""
-    rows = tokenized(base, n, keep=keep)
-    return rows.persist(StorageLevel.MEMORY_AND_DISK) if small else rows
-
-
 class State:
     """Tables of a running self-training: tokens, what is labelled and what is unknown."""
 

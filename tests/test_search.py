@@ -100,3 +100,15 @@ def test_counts_of_all_configurations_in_one_aggregate(spark):
     assert plan.count("Generate") == 1 and _group_counts(state, [0])._jdf.queryExecution().optimizedPlan().toString().count(
         "Generate") == 1
     assert _slot_totals(_group_counts(state.where("false"), slots), slots) == {s: (0, 0, 0) for s in slots}
+
+
+def test_search_tokenizes_the_text_once(spark, monkeypatch):
+    """Training text is tokenized for the stored tokens only, whatever the rounds and fold-ins; then the held-out text."""
+    from sprout.plans import search as plan
+    texts = []
+    whole = plan.tokenized
+    monkeypatch.setattr(plan, "tokenized", lambda rows, *a, **b: texts.append(rows) or whole(rows, *a, **b))
+    train, test = split_train_test(sentences(spark, SF_SMALL))
+    out = search(train, test, n=(1, 1, 1), m=(40, 80, 40), num_iter=(4, 4, 1), threshold=(0.1, 0.1, 0.1),
+                 alpha=(0.02, 0.02, 0.01), delta=(0.05, 0.05, 0.05), checkpoint_every=1, max_rounds=3)
+    assert max(r.rounds for r in out.collect()) > 1 and len(texts) == 2
